@@ -46,3 +46,225 @@ def finance_monthly(spark, sf_dir):
 @query("budget_vs_actual")
 def budget_vs_actual(spark, sf_dir):
     return marts.budget_vs_actual(Star(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- parsing
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..functions.dates import period_to_month  # noqa: E402
+from ..functions.text import (norm_key, parse_mixed_date, parse_mixed_number,  # noqa: E402
+                              yn_flag)
+from ..operators import clean  # noqa: E402
+
+
+def _t(spark, sf_dir, name):
+    return Star(spark, sf_dir).t(name)
+
+
+def raw_date_text(li):
+    """Ship dates written in six shapes (the last one unsupported)."""
+    d = F.to_date("l_shipdate")
+    k = F.col("l_linenumber") % 6
+    return (F.when(k == 0, F.date_format(d, "yyyy-MM-dd"))
+            .when(k == 1, F.date_format(d, "dd/MM/yyyy"))
+            .when(k == 2, F.date_format(d, "MM-dd-yyyy"))
+            .when(k == 3, F.upper(F.date_format(d, "dd-MMM-yyyy")))
+            .when(k == 4, F.date_format(d, "yyyyMMdd"))
+            .otherwise(F.date_format(d, "yyyy/MM/dd")))
+
+
+@query("parse_mixed_dates")
+def parse_mixed_dates(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    r = li.select("l_orderkey", "l_linenumber", raw_date_text(li).alias("raw_date"))
+    return r.withColumn("parsed_date", parse_mixed_date("raw_date"))
+
+
+def raw_number_text():
+    """Prices and quantities written in five locale styles."""
+    k = F.col("l_linenumber") % 5
+    en = F.format_number("l_extendedprice", 2)
+    qty = F.col("l_quantity").cast("int").cast("string")
+    return (F.when(k == 0, en)
+            .when(k == 1, F.translate(en, ",.", ".,"))
+            .when(k == 2, F.regexp_replace(en, ",", ""))
+            .when(k == 3, F.concat(qty, F.lit(".000")))
+            .otherwise(F.concat(F.lit("- "), qty)))
+
+
+@query("parse_mixed_numbers")
+def parse_mixed_numbers(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    r = li.select("l_orderkey", "l_linenumber", raw_number_text().alias("raw_number"))
+    return r.withColumn("parsed_number", parse_mixed_number("raw_number"))
+
+
+def raw_name_text():
+    k = F.col("p_partkey") % 4
+    n = F.col("p_name")
+    return (F.when(k == 0, F.upper(n))
+            .when(k == 1, F.concat(F.lit("  "), n, F.lit(" ")))
+            .when(k == 2, F.regexp_replace(n, " ", "-"))
+            .otherwise(F.concat(n, F.lit(" & Co."))))
+
+
+@query("norm_keys")
+def norm_keys(spark, sf_dir):
+    p = _t(spark, sf_dir, "part")
+    r = p.select("p_partkey", raw_name_text().alias("raw_name"))
+    return r.withColumn("name_key", norm_key("raw_name"))
+
+
+@query("period_parse")
+def period_parse(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders")
+    period = F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "yyyy-MM")) \
+        .otherwise(F.date_format("o_orderdate", "MMM-yyyy"))
+    r = o.select("o_orderkey", period.alias("period"))
+    return r.withColumn("period_month", period_to_month("period"))
+
+
+@query("yn_flags")
+def yn_flags(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    raw = (F.when(F.col("l_returnflag") == "R", "y").when(F.col("l_returnflag") == "A", " Y ")
+           .when(F.col("l_linestatus") == "O", "n").otherwise("N"))
+    return (li.select(raw.alias("raw_flag"))
+            .groupBy("raw_flag", yn_flag("raw_flag").alias("flag"))
+            .agg(F.count("*").alias("n")))
+
+
+# ---------------------------------------------------------------- dedup / numbering
+LINE_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+              "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+
+@query("dedup_first")
+def dedup_first(spark, sf_dir):
+    p = _t(spark, sf_dir, "part")
+    return clean.dedup_first(p, ["p_name"], ["p_partkey"])
+
+
+@query("dedup_exact")
+def dedup_exact(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    r = li.select("l_orderkey", "l_partkey", "l_returnflag",
+                  F.col("l_linenumber").alias("_raw_row"))
+    return clean.dedup_exact(r, ignore=("_raw_row",))
+
+
+@query("line_numbers")
+def line_numbers(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    r = clean.line_numbers(li, "l_orderkey", LINE_ORDER, "line_no", base=1)
+    return r.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                    F.to_date("l_shipdate").alias("ship_date"), "line_no")
+
+
+@query("composite_keys")
+def composite_keys(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    r = clean.line_numbers(li, "l_orderkey", LINE_ORDER, "n", base=0)
+    return r.select(clean.composite_key("l_orderkey", "n").alias("purchase_line_id"),
+                    "l_partkey", "l_suppkey",
+                    F.col("l_extendedprice").cast("decimal(18,2)").cast("double").alias("total_amount"))
+
+
+# ---------------------------------------------------------------- row repairs
+@query("fix_interval")
+def fix_interval(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    r = j.select("l_orderkey", "l_linenumber", F.to_date("o_orderdate").alias("stay_start"),
+                 F.to_date("l_shipdate").alias("stay_end"))
+    return clean.fix_interval(r, "stay_start", "stay_end", flag="swapped")
+
+
+@query("fix_negative")
+def fix_negative(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    r = clean.fix_negative(c, "c_acctbal", "zero", out="acctbal_floor")
+    return clean.fix_negative(r, "c_acctbal", "abs", out="acctbal_abs")
+
+
+@query("window_guard")
+def window_guard(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("order_date"))
+    return clean.window_guard(o, "order_date", "1996-01-01", "2000-12-31")
+
+
+@query("los_flags")
+def los_flags(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_extendedprice")
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+    j = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        "o_orderstatus", F.to_date("o_orderdate").alias("check_in"),
+        F.to_date("l_shipdate").alias("check_out"), "l_extendedprice")
+    j = clean.fix_interval(j, "check_in", "check_out")
+    flags = clean.status_flags("o_orderstatus", {"rooms_sold": "F", "is_cancelled": "O",
+                                                 "is_no_show": "P"})
+    j = j.withColumns(flags).withColumn("los", clean.length_of_stay("check_in", "check_out"))
+    return j.groupBy("o_orderstatus").agg(
+        F.count("*").alias("bookings"),
+        F.sum("los").cast("bigint").alias("los_total"),
+        F.sum("rooms_sold").cast("bigint").alias("rooms_sold"),
+        F.sum(F.col("rooms_sold") * F.col("los")).cast("bigint").alias("room_nights"),
+        F.sum("is_cancelled").cast("bigint").alias("cancellations"),
+        F.sum("is_no_show").cast("bigint").alias("no_shows"),
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)") * F.col("rooms_sold"))
+        .cast("double").alias("room_revenue"))
+
+
+@query("unit_price_cogs")
+def unit_price_cogs(spark, sf_dir):
+    star = Star(spark, sf_dir)
+    li = star.t("lineitem")
+    prod = star.dim_product.select("product_id", "unit_cost_ratio")
+    j = li.join(prod, li.l_partkey == prod.product_id)
+    qty = F.when(F.col("l_linenumber") == 1, F.lit(0.0)).otherwise(F.col("l_quantity"))
+    gross = F.col("l_extendedprice").cast("decimal(18,2)")
+    return j.select(
+        "l_orderkey", "l_linenumber", "l_partkey", qty.alias("quantity"),
+        F.round(clean.guarded_unit_price("l_extendedprice", qty), 6).alias("unit_price"),
+        F.round(gross * F.col("unit_cost_ratio"), 2).cast("double").alias("cogs_amount"))
+
+
+# ---------------------------------------------------------------- blanks, trims, whitelist
+def _blanked_part(p):
+    small = F.col("p_size") <= 2
+    return p.select(
+        F.col("p_partkey").alias("_raw_row"),
+        F.when(small, F.lit("  ")).otherwise(F.col("p_name")).alias("p_name"),
+        F.when(small, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("p_brand"),
+        F.when(F.col("p_size") <= 3, F.lit("\t")).otherwise(F.col("p_type")).alias("p_type"))
+
+
+@query("drop_blank_rows")
+def drop_blank_rows(spark, sf_dir):
+    p = _t(spark, sf_dir, "part")
+    return clean.drop_blank_rows(_blanked_part(p), ignore=("_raw_row",))
+
+
+@query("trim_all")
+def trim_all(spark, sf_dir):
+    p = _t(spark, sf_dir, "part")
+    r = p.select("p_partkey",
+                 F.concat(F.lit(" \t"), "p_name", F.lit("  ")).alias("p_name"),
+                 F.concat("p_brand", F.lit("\n")).alias("p_brand"),
+                 F.concat(F.lit("  "), "p_type").alias("p_type"))
+    return clean.trim_all(r)
+
+
+# The category whitelist used by the whitelist query.
+CATEGORY_WHITELIST = ["Standard", "Medium", "Economy", "Large"]
+
+
+@query("whitelist_default")
+def whitelist_default(spark, sf_dir):
+    p = _t(spark, sf_dir, "part")
+    k = F.col("p_partkey") % 3
+    raw = (F.when(k == 0, F.lower("p_type")).when(k == 1, F.concat(F.lit(" "), "p_type", F.lit(" ")))
+           .otherwise(F.col("p_type")))
+    r = p.select("p_partkey", raw.alias("raw_type"))
+    return clean.whitelist(r, "raw_type", CATEGORY_WHITELIST, "Other", out="category")

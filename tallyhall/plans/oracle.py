@@ -299,3 +299,162 @@ SELECT year, month, property_id, property_name, department_name, account_name, a
        CAST(actual_amount - budget_amount AS DOUBLE) AS variance,
        {_r6(_div('actual_amount - budget_amount', 'budget_amount') + ' * 100')} AS variance_pct
 FROM g"""
+
+
+# ---------------------------------------------------------------- parsing helpers (SQL side)
+def sql_trim_ws(e: str) -> str:
+    return f"regexp_replace({e}, '^\\s+|\\s+$', '', 'g')"
+
+
+def sql_parse_date(e: str) -> str:
+    s = sql_trim_ws(e)
+    shapes = [(r"\d{4}-\d{2}-\d{2}", "%Y-%m-%d"), (r"\d{2}/\d{2}/\d{4}", "%d/%m/%Y"),
+              (r"\d{2}-\d{2}-\d{4}", "%m-%d-%Y"), (r"\d{2}-[A-Za-z]{3}-\d{4}", "%d-%b-%Y"),
+              (r"\d{8}", "%Y%m%d")]
+    parts = [f"CASE WHEN regexp_full_match({s}, '{rx}') THEN CAST(try_strptime({s}, '{fmt}') AS DATE) END"
+             for rx, fmt in shapes]
+    return "COALESCE(" + ", ".join(parts) + ")"
+
+
+def sql_parse_number(e: str) -> str:
+    s = sql_trim_ws(e)
+    body = sql_trim_ws(f"regexp_replace({s}, '^[-+]+', '')")
+    norm = (f"CASE WHEN contains(b, ',') AND contains(b, '.') AND regexp_matches(b, ',[^.]*$') "
+            f"THEN replace(replace(b, '.', ''), ',', '.') "
+            f"WHEN contains(b, ',') AND contains(b, '.') THEN replace(b, ',', '') "
+            f"WHEN contains(b, ',') AND regexp_full_match(b, '\\d{{1,3}}(,\\d{{3}})+') THEN replace(b, ',', '') "
+            f"WHEN contains(b, ',') THEN replace(b, ',', '.') "
+            f"WHEN contains(b, '.') AND regexp_full_match(b, '\\d{{1,3}}(\\.\\d{{3}})+') THEN replace(b, '.', '') "
+            f"ELSE b END")
+    return (f"(SELECT CASE WHEN neg THEN -v ELSE v END FROM (SELECT neg, "
+            f"CASE WHEN regexp_full_match(b, '[0-9.,]*') AND regexp_full_match(n, '([0-9]+\\.?[0-9]*|\\.[0-9]+)') "
+            f"THEN CAST(n AS DOUBLE) END AS v FROM (SELECT neg, b, {norm} AS n FROM "
+            f"(SELECT starts_with({s}, '-') AS neg, {body} AS b))))")
+
+
+def sql_norm_key(e: str) -> str:
+    return (f"COALESCE(trim(regexp_replace(regexp_replace(upper({e}), '[^A-Z0-9 ]+', ' ', 'g'), "
+            f"' +', ' ', 'g')), '')")
+
+
+RAW_DATE_SQL = """CASE l_linenumber % 6
+  WHEN 0 THEN strftime(l_shipdate, '%Y-%m-%d') WHEN 1 THEN strftime(l_shipdate, '%d/%m/%Y')
+  WHEN 2 THEN strftime(l_shipdate, '%m-%d-%Y') WHEN 3 THEN upper(strftime(l_shipdate, '%d-%b-%Y'))
+  WHEN 4 THEN strftime(l_shipdate, '%Y%m%d') ELSE strftime(l_shipdate, '%Y/%m/%d') END"""
+
+ORACLE["parse_mixed_dates"] = f"""
+SELECT l_orderkey, l_linenumber, raw_date, {sql_parse_date('raw_date')} AS parsed_date
+FROM (SELECT l_orderkey, l_linenumber, {RAW_DATE_SQL} AS raw_date FROM lineitem)"""
+
+RAW_NUMBER_SQL = """CASE l_linenumber % 5
+  WHEN 0 THEN format('{:,.2f}', l_extendedprice)
+  WHEN 1 THEN translate(format('{:,.2f}', l_extendedprice), ',.', '.,')
+  WHEN 2 THEN replace(format('{:,.2f}', l_extendedprice), ',', '')
+  WHEN 3 THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || '.000'
+  ELSE '- ' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END"""
+
+ORACLE["parse_mixed_numbers"] = f"""
+SELECT l_orderkey, l_linenumber, raw_number, {sql_parse_number('raw_number')} AS parsed_number
+FROM (SELECT l_orderkey, l_linenumber, {RAW_NUMBER_SQL} AS raw_number FROM lineitem)"""
+
+RAW_NAME_SQL = """CASE p_partkey % 4 WHEN 0 THEN upper(p_name) WHEN 1 THEN '  ' || p_name || ' '
+  WHEN 2 THEN replace(p_name, ' ', '-') ELSE p_name || ' & Co.' END"""
+
+ORACLE["norm_keys"] = f"""
+SELECT p_partkey, raw_name, {sql_norm_key('raw_name')} AS name_key
+FROM (SELECT p_partkey, {RAW_NAME_SQL} AS raw_name FROM part)"""
+
+ORACLE["period_parse"] = """
+SELECT o_orderkey, period,
+  CASE WHEN regexp_full_match(period, '\\d{4}-\\d{1,2}') THEN CAST(try_strptime(period || '-01', '%Y-%m-%d') AS DATE)
+       WHEN regexp_full_match(period, '[A-Za-z]{3}-\\d{4}') THEN CAST(try_strptime('01-' || period, '%d-%b-%Y') AS DATE)
+  END AS period_month
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m')
+                              ELSE strftime(o_orderdate, '%b-%Y') END AS period FROM orders)"""
+
+ORACLE["yn_flags"] = """
+SELECT raw_flag, CASE WHEN upper(trim(raw_flag)) = 'Y' THEN 1 ELSE 0 END AS flag, COUNT(*) AS n
+FROM (SELECT CASE WHEN l_returnflag = 'R' THEN 'y' WHEN l_returnflag = 'A' THEN ' Y '
+                  WHEN l_linestatus = 'O' THEN 'n' ELSE 'N' END AS raw_flag FROM lineitem)
+GROUP BY 1, 2"""
+
+ORACLE["dedup_first"] = """
+SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice
+FROM (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS rn FROM part)
+WHERE rn = 1"""
+
+ORACLE["dedup_exact"] = """
+SELECT l_orderkey, l_partkey, l_returnflag, MIN(l_linenumber) AS _raw_row
+FROM lineitem GROUP BY 1, 2, 3"""
+
+LINE_ORDER_SQL = ("l_shipdate, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, "
+                  "l_discount, l_tax, l_returnflag, l_linestatus")
+
+ORACLE["line_numbers"] = f"""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_shipdate AS DATE) AS ship_date,
+       CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINE_ORDER_SQL}) AS INTEGER) AS line_no
+FROM lineitem"""
+
+ORACLE["composite_keys"] = f"""
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINE_ORDER_SQL}) - 1 AS VARCHAR) AS purchase_line_id,
+       l_partkey, l_suppkey, CAST(CAST(l_extendedprice AS {M}) AS DOUBLE) AS total_amount
+FROM lineitem"""
+
+ORACLE["fix_interval"] = """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN e < s THEN e ELSE s END AS stay_start, CASE WHEN e < s THEN s ELSE e END AS stay_end,
+       CASE WHEN e < s THEN 1 ELSE 0 END AS swapped
+FROM (SELECT l.l_orderkey, l.l_linenumber, CAST(o.o_orderdate AS DATE) AS s, CAST(l.l_shipdate AS DATE) AS e
+      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
+ORACLE["fix_negative"] = """
+SELECT c_custkey, c_acctbal, CASE WHEN c_acctbal < 0 THEN 0 ELSE c_acctbal END AS acctbal_floor,
+       abs(c_acctbal) AS acctbal_abs
+FROM customer"""
+
+ORACLE["window_guard"] = """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date FROM orders
+WHERE o_orderdate IS NULL OR CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'"""
+
+ORACLE["los_flags"] = f"""
+SELECT o_orderstatus, COUNT(*) AS bookings, CAST(SUM(los) AS BIGINT) AS los_total,
+       CAST(SUM(sold) AS BIGINT) AS rooms_sold, CAST(SUM(sold * los) AS BIGINT) AS room_nights,
+       CAST(SUM(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS cancellations,
+       CAST(SUM(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS BIGINT) AS no_shows,
+       CAST(SUM(CAST(l_extendedprice AS {M}) * sold) AS DOUBLE) AS room_revenue
+FROM (SELECT o.o_orderstatus, l.l_extendedprice,
+             CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END AS sold,
+             greatest(abs(datediff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE))), 1) AS los
+      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+GROUP BY 1"""
+
+ORACLE["unit_price_cogs"] = f"""
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey,
+       CASE WHEN l.l_linenumber = 1 THEN 0.0 ELSE l.l_quantity END AS quantity,
+       round(CASE WHEN (CASE WHEN l.l_linenumber = 1 THEN 0.0 ELSE l.l_quantity END) > 0
+                  THEN l.l_extendedprice / l.l_quantity ELSE 0.0 END, 6) AS unit_price,
+       CAST(round(CAST(l.l_extendedprice AS {M}) * CAST((p.p_size + 20) * 0.01 AS DECIMAL(6,4)), 2) AS DOUBLE) AS cogs_amount
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey"""
+
+ORACLE["drop_blank_rows"] = """
+SELECT * FROM (
+  SELECT p_partkey AS _raw_row,
+         CASE WHEN p_size <= 2 THEN '  ' ELSE p_name END AS p_name,
+         CASE WHEN p_size <= 2 THEN NULL ELSE p_brand END AS p_brand,
+         CASE WHEN p_size <= 3 THEN chr(9) ELSE p_type END AS p_type
+  FROM part)
+WHERE NOT ((p_name IS NULL OR trim(p_name, ' ' || chr(9) || chr(10) || chr(13)) = '')
+       AND (p_brand IS NULL OR trim(p_brand, ' ' || chr(9) || chr(10) || chr(13)) = '')
+       AND (p_type IS NULL OR trim(p_type, ' ' || chr(9) || chr(10) || chr(13)) = ''))"""
+
+ORACLE["trim_all"] = f"""
+SELECT p_partkey, {sql_trim_ws("' ' || chr(9) || p_name || '  '")} AS p_name,
+       {sql_trim_ws("p_brand || chr(10)")} AS p_brand, {sql_trim_ws("'  ' || p_type")} AS p_type
+FROM part"""
+
+ORACLE["whitelist_default"] = f"""
+SELECT p_partkey, raw_type,
+       CASE {sql_norm_key('raw_type')} WHEN 'STANDARD' THEN 'Standard' WHEN 'MEDIUM' THEN 'Medium'
+            WHEN 'ECONOMY' THEN 'Economy' WHEN 'LARGE' THEN 'Large' ELSE 'Other' END AS category
+FROM (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN lower(p_type) WHEN 1 THEN ' ' || p_type || ' '
+                             ELSE p_type END AS raw_type FROM part)"""
