@@ -164,8 +164,9 @@ def token_overlap_match(strings: DataFrame, col: str, dim: DataFrame, dim_text:
               .groupBy("__raw", "__id", "__ord").agg(F.count("*").alias("__n"))
               .filter(F.col("__n") >= min_overlap))
     best = shared.groupBy("__raw").agg(
-        F.max_by(F.struct("__id", "__n"),
-                 F.struct(F.col("__n"), -F.col("__ord"))).alias("__b"))
+        F.min_by(F.struct("__id", "__n"),
+                 F.struct((-F.col("__n")).alias("a"), F.col("__ord").alias("b"),
+                          F.col("__id").alias("c"))).alias("__b"))
     return best.select(F.col("__raw").alias(col), F.col("__b.__id").alias(out),
                        F.col("__b.__n").alias("shared_tokens"))
 

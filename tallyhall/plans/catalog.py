@@ -268,3 +268,201 @@ def whitelist_default(spark, sf_dir):
            .otherwise(F.col("p_type")))
     r = p.select("p_partkey", raw.alias("raw_type"))
     return clean.whitelist(r, "raw_type", CATEGORY_WHITELIST, "Other", out="category")
+
+
+# ---------------------------------------------------------------- lookups
+from ..operators import lookup as lk  # noqa: E402
+from ..operators.calendar import build_calendar, demand_index, holiday_dates, holiday_window_days  # noqa: E402,E501
+
+
+def _supplier_raw_property(spark, sf_dir):
+    """Each supplier names its nation in one of four spellings."""
+    s = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
+    k = F.col("s_suppkey") % 4
+    raw = (F.when(k == 0, F.col("n_name")).when(k == 1, F.concat(F.lit("MG "), "n_name"))
+           .when(k == 2, F.lower("n_name")).otherwise(F.regexp_replace("n_name", "_", "-")))
+    return j.select("s_suppkey", raw.alias("raw_property"))
+
+
+def _property_alias_map(spark, sf_dir):
+    n = _t(spark, sf_dir, "nation")
+    return (n.select(F.col("n_name").alias("alias"), F.col("n_nationkey").alias("pid"))
+            .unionByName(n.select(F.concat(F.lit("MG "), "n_name").alias("alias"),
+                                  F.col("n_nationkey").alias("pid"))))
+
+
+@query("alias_lookup")
+def alias_lookup(spark, sf_dir):
+    raw = _supplier_raw_property(spark, sf_dir)
+    return lk.lookup(raw, "raw_property", _property_alias_map(spark, sf_dir), "alias", "pid",
+                     out="property_id")
+
+
+@query("normalized_lookup")
+def normalized_lookup(spark, sf_dir):
+    raw = _supplier_raw_property(spark, sf_dir)
+    return lk.normalized_lookup(raw, "raw_property", _property_alias_map(spark, sf_dir), "alias",
+                                "pid", out="property_id")
+
+
+@query("two_stage_lookup")
+def two_stage_lookup(spark, sf_dir):
+    s = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n = _t(spark, sf_dir, "nation")
+    j = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
+    k3, k2 = F.col("s_suppkey") % 3, F.col("s_suppkey") % 2
+    code = (F.when(k3 == 0, F.col("n_nationkey").cast("string"))
+            .when(k3 == 1, F.concat(F.lit("X"), F.col("n_nationkey").cast("string"))))
+    name = F.when(k2 == 0, F.lower("n_name")).otherwise(F.lit("unknown"))
+    raw = j.select("s_suppkey", code.alias("raw_code"), name.alias("raw_name"))
+    dim = n.select(F.col("n_nationkey").cast("string").alias("code"), "n_name",
+                   F.col("n_nationkey").alias("pid"))
+    return lk.two_stage_lookup(raw, "raw_code", "raw_name", dim, "code", "n_name", "pid",
+                               "property_id")
+
+
+UNKNOWN_PROPERTY = -1
+
+
+@query("default_bucket")
+def default_bucket(spark, sf_dir):
+    return lk.default_bucket(alias_lookup(spark, sf_dir), "property_id", UNKNOWN_PROPERTY)
+
+
+@query("quarantine_counts")
+def quarantine_counts(spark, sf_dir):
+    mapped = alias_lookup(spark, sf_dir)
+    ok, bad = clean.quarantine(mapped, F.col("property_id").isNull(), "unmapped_property")
+    return (ok.select(F.lit("ok").alias("status"))
+            .unionByName(bad.select(F.col("_rule").alias("status")))
+            .groupBy("status").agg(F.count("*").alias("n")))
+
+
+# ---------------------------------------------------------------- fuzzy maps
+@query("contains_match")
+def contains_match(spark, sf_dir):
+    p = _t(spark, sf_dir, "part")
+    raw = p.select(raw_name_text().alias("raw_name"))
+    dim = p.select("p_type").distinct()
+    return lk.contains_match(raw, "raw_name", dim, "p_type", "p_type", "p_type", "matched_type")
+
+
+def _token_raw(p):
+    second = F.element_at(F.split("p_name", " "), 2)
+    return (F.when(F.col("p_partkey") % 2 == 0,
+                   F.concat(F.upper("p_name"), F.lit(" "), F.lower("p_type")))
+            .otherwise(F.concat(second, F.lit(" "), F.col("p_type"))))
+
+
+@query("token_overlap_match")
+def token_overlap_match(spark, sf_dir):
+    p = _t(spark, sf_dir, "part")
+    raw = p.select(_token_raw(p).alias("raw_text"))
+    dim = p.select("p_name").distinct()
+    return lk.token_overlap_match(raw, "raw_text", dim, "p_name", "p_name", "p_name", 1,
+                                  "matched_name")
+
+
+def _coverage_raw():
+    k = F.col("p_partkey") % 5
+    first = F.element_at(F.split("p_name", " "), 1)
+    second = F.element_at(F.split("p_name", " "), 2)
+    return (F.when(k == 0, F.col("p_name"))
+            .when(k == 1, F.concat(F.upper("p_name"), F.lit(" special")))
+            .when(k == 2, F.regexp_replace("p_name", " ", "-"))
+            .when(k == 3, F.concat(second, F.lit(" "), first))
+            .otherwise(F.concat(second, F.lit(" deluxe"))))
+
+
+@query("alias_coverage")
+def alias_coverage(spark, sf_dir):
+    p = _t(spark, sf_dir, "part")
+    obs = p.select(_coverage_raw().alias("raw_name"))
+    dim = p.select("p_name").distinct()
+    amap, unmapped = lk.build_alias_map(obs, "raw_name", dim, "p_name", "p_name", "p_name",
+                                        fallback="tokens", min_overlap=2)
+    return (amap.select("raw", "id", "method")
+            .unionByName(unmapped.select("raw", F.lit(None).cast("string").alias("id"),
+                                         F.lit("unmapped").alias("method"))))
+
+
+# ---------------------------------------------------------------- RI, semi, outer merge, sets
+@query("ri_orphans")
+def ri_orphans(spark, sf_dir):
+    star = Star(spark, sf_dir)
+    hotels = star.dim_property.filter(F.col("business_type") == "Hotel")
+    rooms = star.fact_room_sales.select("booking_id", "property_id")
+    return lk.orphans(rooms, "property_id", hotels, "property_id")
+
+
+@query("semi_members")
+def semi_members(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = _t(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    return lk.members(o, "o_custkey", c, "c_custkey")
+
+
+@query("outer_merge_trend")
+def outer_merge_trend(spark, sf_dir):
+    from ..operators.combine import outer_merge
+    star = Star(spark, sf_dir)
+    room = (star.fact_room_sales.groupBy(F.date_format("check_in", "yyyy-MM").alias("month"))
+            .agg(F.sum("room_revenue").cast("double").alias("room_revenue")))
+    fnb = (star.t("lineitem").groupBy(F.date_format("l_shipdate", "yyyy-MM").alias("month"))
+           .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double")
+                .alias("fnb_revenue")))
+    return outer_merge(room, fnb, ["month"])
+
+
+def _customer_raw_property(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    k = F.col("c_custkey") % 3
+    raw = (F.when(k == 0, F.col("n_name")).when(k == 1, F.upper(F.concat(F.lit("mg "), "n_name")))
+           .otherwise(F.concat(F.lit(" "), "n_name")))
+    return j.select(raw.alias("raw_property"))
+
+
+@query("union_distinct")
+def union_distinct(spark, sf_dir):
+    from ..operators.combine import union_distinct as ud
+    return ud([_supplier_raw_property(spark, sf_dir), _customer_raw_property(spark, sf_dir)],
+              "raw_property")
+
+
+@query("set_difference")
+def set_difference(spark, sf_dir):
+    from ..operators.combine import set_difference as sd
+    p = _t(spark, sf_dir, "part")
+    observed = p.select(norm_key("p_type").alias("category_key"))
+    allowed = spark.createDataFrame([(k.upper(),) for k in CATEGORY_WHITELIST] + [("OTHER",)],
+                                    "category_key string")
+    return sd(observed, allowed, "category_key")
+
+
+# ---------------------------------------------------------------- calendar
+def _data_bounds(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").agg(F.min(F.to_date("o_orderdate")).alias("lo"))
+    li = _t(spark, sf_dir, "lineitem").agg(F.max(F.to_date("l_shipdate")).alias("hi"))
+    return o.crossJoin(li)
+
+
+@query("calendar_dim")
+def calendar_dim(spark, sf_dir):
+    return build_calendar(_data_bounds(spark, sf_dir))
+
+
+@query("holiday_windows")
+def holiday_windows(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("order_date"))
+    years = o.select(F.year("order_date").alias("y")).distinct()
+    years = years.select(F.explode(F.array(F.col("y") - 1, F.col("y"), F.col("y") + 1))
+                         .alias("year")).distinct()
+    win = holiday_window_days(holiday_dates(spark, years))
+    j = o.join(F.broadcast(win), o.order_date == win.window_date, "left")
+    flag = F.col("window_date").isNotNull().cast("int")
+    return j.select("o_orderkey", "order_date", flag.alias("in_window"),
+                    F.round(demand_index("order_date", flag), 6).alias("demand_index"))

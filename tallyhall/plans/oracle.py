@@ -458,3 +458,147 @@ SELECT p_partkey, raw_type,
             WHEN 'ECONOMY' THEN 'Economy' WHEN 'LARGE' THEN 'Large' ELSE 'Other' END AS category
 FROM (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN lower(p_type) WHEN 1 THEN ' ' || p_type || ' '
                              ELSE p_type END AS raw_type FROM part)"""
+
+
+# ---------------------------------------------------------------- lookups
+SUP_RAW_SQL = """
+sup_raw AS (
+  SELECT s.s_suppkey, CASE s.s_suppkey % 4 WHEN 0 THEN n.n_name WHEN 1 THEN 'MG ' || n.n_name
+                           WHEN 2 THEN lower(n.n_name) ELSE replace(n.n_name, '_', '-') END AS raw_property
+  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey),
+amap AS (
+  SELECT n_name AS alias, n_nationkey AS pid FROM nation
+  UNION ALL SELECT 'MG ' || n_name, n_nationkey FROM nation)"""
+
+ORACLE["alias_lookup"] = f"""WITH {SUP_RAW_SQL}
+SELECT r.s_suppkey, r.raw_property, m.pid AS property_id
+FROM sup_raw r LEFT JOIN amap m ON r.raw_property = m.alias"""
+
+ORACLE["normalized_lookup"] = f"""WITH {SUP_RAW_SQL}
+SELECT r.s_suppkey, r.raw_property, m.pid AS property_id
+FROM sup_raw r LEFT JOIN (SELECT DISTINCT {sql_norm_key('alias')} AS k, pid FROM amap) m
+  ON {sql_norm_key('r.raw_property')} = m.k"""
+
+ORACLE["two_stage_lookup"] = f"""
+WITH raw AS (
+  SELECT s.s_suppkey,
+         CASE s.s_suppkey % 3 WHEN 0 THEN CAST(n.n_nationkey AS VARCHAR)
+                              WHEN 1 THEN 'X' || CAST(n.n_nationkey AS VARCHAR) END AS raw_code,
+         CASE s.s_suppkey % 2 WHEN 0 THEN lower(n.n_name) ELSE 'unknown' END AS raw_name
+  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey)
+SELECT r.s_suppkey, r.raw_code, r.raw_name, COALESCE(a.n_nationkey, b.n_nationkey) AS property_id
+FROM raw r
+LEFT JOIN nation a ON {sql_norm_key('r.raw_code')} = {sql_norm_key('CAST(a.n_nationkey AS VARCHAR)')}
+LEFT JOIN nation b ON {sql_norm_key('r.raw_name')} = {sql_norm_key('b.n_name')}"""
+
+ORACLE["default_bucket"] = f"""WITH {SUP_RAW_SQL}
+SELECT r.s_suppkey, r.raw_property, COALESCE(m.pid, -1) AS property_id
+FROM sup_raw r LEFT JOIN amap m ON r.raw_property = m.alias"""
+
+ORACLE["quarantine_counts"] = f"""WITH {SUP_RAW_SQL}
+SELECT CASE WHEN m.pid IS NULL THEN 'unmapped_property' ELSE 'ok' END AS status, COUNT(*) AS n
+FROM sup_raw r LEFT JOIN amap m ON r.raw_property = m.alias GROUP BY 1"""
+
+ORACLE["contains_match"] = f"""
+WITH s AS (SELECT DISTINCT {RAW_NAME_SQL} AS raw_name FROM part),
+d AS (SELECT DISTINCT p_type, {sql_norm_key('p_type')} AS ck FROM part)
+SELECT raw_name, MIN(p_type) AS matched_type
+FROM s JOIN d ON d.ck <> '' AND (instr({sql_norm_key('raw_name')}, d.ck) > 0
+     OR instr(replace({sql_norm_key('raw_name')}, ' ', ''), replace(d.ck, ' ', '')) > 0)
+GROUP BY raw_name"""
+
+ORACLE["token_overlap_match"] = f"""
+WITH s AS (SELECT DISTINCT CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) || ' ' || lower(p_type)
+                               ELSE split_part(p_name, ' ', 2) || ' ' || p_type END AS raw_text FROM part),
+st AS (SELECT DISTINCT raw_text, unnest(string_split({sql_norm_key('raw_text')}, ' ')) AS tok FROM s),
+d AS (SELECT DISTINCT p_name FROM part),
+dt AS (SELECT DISTINCT p_name, unnest(string_split({sql_norm_key('p_name')}, ' ')) AS tok FROM d),
+sh AS (SELECT st.raw_text, dt.p_name, COUNT(*) AS n FROM st JOIN dt ON st.tok = dt.tok
+       WHERE st.tok <> '' GROUP BY 1, 2 HAVING COUNT(*) >= 1)
+SELECT raw_text, p_name AS matched_name, n AS shared_tokens
+FROM (SELECT *, row_number() OVER (PARTITION BY raw_text ORDER BY n DESC, p_name) AS rn FROM sh)
+WHERE rn = 1"""
+
+COVERAGE_RAW_SQL = """CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN upper(p_name) || ' special'
+  WHEN 2 THEN replace(p_name, ' ', '-') WHEN 3 THEN split_part(p_name, ' ', 2) || ' ' || split_part(p_name, ' ', 1)
+  ELSE split_part(p_name, ' ', 2) || ' deluxe' END"""
+
+ORACLE["alias_coverage"] = f"""
+WITH obs AS (SELECT DISTINCT {COVERAGE_RAW_SQL} AS raw FROM part),
+d AS (SELECT DISTINCT p_name FROM part),
+ex AS (SELECT {sql_norm_key('p_name')} AS k, MIN(p_name) AS id FROM d GROUP BY 1),
+hit AS (SELECT o.raw, ex.id FROM obs o LEFT JOIN ex ON {sql_norm_key('o.raw')} = ex.k),
+st AS (SELECT DISTINCT raw, unnest(string_split({sql_norm_key('raw')}, ' ')) AS tok FROM hit WHERE id IS NULL),
+dt AS (SELECT DISTINCT p_name, unnest(string_split({sql_norm_key('p_name')}, ' ')) AS tok FROM d),
+sh AS (SELECT st.raw, dt.p_name, COUNT(*) AS n FROM st JOIN dt ON st.tok = dt.tok
+       WHERE st.tok <> '' GROUP BY 1, 2 HAVING COUNT(*) >= 2),
+fb AS (SELECT raw, p_name AS fb_id FROM (
+         SELECT *, row_number() OVER (PARTITION BY raw ORDER BY n DESC, p_name) AS rn FROM sh) WHERE rn = 1)
+SELECT h.raw, COALESCE(h.id, fb.fb_id) AS id,
+       CASE WHEN h.id IS NOT NULL THEN 'exact' WHEN fb.fb_id IS NOT NULL THEN 'tokens' ELSE 'unmapped' END AS method
+FROM hit h LEFT JOIN fb ON h.raw = fb.raw"""
+
+ORACLE["ri_orphans"] = with_star("dim_property", "fact_room_sales") + """
+SELECT booking_id, property_id FROM fact_room_sales r
+WHERE NOT EXISTS (SELECT 1 FROM dim_property p WHERE p.business_type = 'Hotel'
+                  AND p.property_id = r.property_id)"""
+
+ORACLE["semi_members"] = """
+SELECT o_orderkey, o_custkey FROM orders o
+WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"""
+
+ORACLE["outer_merge_trend"] = with_star("fact_room_sales") + f"""
+, room AS (SELECT strftime(check_in, '%Y-%m') AS month, CAST(SUM(room_revenue) AS DOUBLE) AS room_revenue
+           FROM fact_room_sales GROUP BY 1),
+fnb AS (SELECT strftime(l_shipdate, '%Y-%m') AS month,
+               CAST(SUM(CAST(l_extendedprice AS {M})) AS DOUBLE) AS fnb_revenue FROM lineitem GROUP BY 1)
+SELECT month, COALESCE(room_revenue, 0) AS room_revenue, COALESCE(fnb_revenue, 0) AS fnb_revenue
+FROM room FULL OUTER JOIN fnb USING (month)"""
+
+ORACLE["union_distinct"] = f"""WITH {SUP_RAW_SQL}
+SELECT raw_property FROM sup_raw
+UNION
+SELECT CASE c.c_custkey % 3 WHEN 0 THEN n.n_name WHEN 1 THEN upper('mg ' || n.n_name)
+            ELSE ' ' || n.n_name END FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey"""
+
+ORACLE["set_difference"] = f"""
+SELECT DISTINCT {sql_norm_key('p_type')} AS category_key FROM part
+WHERE {sql_norm_key('p_type')} NOT IN ('STANDARD', 'MEDIUM', 'ECONOMY', 'LARGE', 'OTHER')"""
+
+CAL_SQL = """
+b AS (SELECT (SELECT MIN(CAST(o_orderdate AS DATE)) FROM orders) AS lo,
+             (SELECT MAX(CAST(l_shipdate AS DATE)) FROM lineitem) AS hi),
+hy AS (SELECT make_date(CAST(y AS INTEGER), m, d) AS hd, name || ' ' || CAST(y AS VARCHAR) AS hname
+       FROM b, range(year(b.lo) - 1, year(b.hi) + 2) t(y),
+            (VALUES (1, 1, 'New Year'), (5, 1, 'Labour Day'), (6, 1, 'Pancasila Day'),
+                    (8, 17, 'Independence Day'), (12, 25, 'Christmas')) h(m, d, name)),
+days AS (SELECT CAST(g AS DATE) AS full_date FROM b, generate_series(b.lo, b.hi, INTERVAL 1 DAY) t(g))"""
+
+ORACLE["calendar_dim"] = f"""WITH {CAL_SQL}
+SELECT {dkey('full_date')} AS date_key, full_date, CAST(year(full_date) AS INTEGER) AS year,
+       CAST(quarter(full_date) AS INTEGER) AS quarter, CAST(month(full_date) AS INTEGER) AS month,
+       strftime(full_date, '%B') AS month_name, CAST(isodow(full_date) - 1 AS INTEGER) AS day_of_week,
+       strftime(full_date, '%A') AS day_name,
+       CASE WHEN isodow(full_date) >= 6 THEN 1 ELSE 0 END AS is_weekend,
+       CASE WHEN EXISTS (SELECT 1 FROM hy WHERE full_date BETWEEN hy.hd - 1 AND hy.hd + 1) THEN 1 ELSE 0 END AS is_holiday_flag,
+       COALESCE((SELECT string_agg(DISTINCT hname, ' / ' ORDER BY hname) FROM hy WHERE hy.hd = full_date), '') AS holiday_name,
+       CAST(dayofyear(full_date) AS INTEGER) AS day_of_year,
+       CAST(strftime(full_date, '%W') AS INTEGER) AS week_of_year,
+       CAST(week(full_date) AS INTEGER) AS iso_week
+FROM days"""
+
+ORACLE["holiday_windows"] = """
+WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date FROM orders),
+yrs AS (SELECT DISTINCT year(order_date) + k AS y FROM o, (VALUES (-1), (0), (1)) t(k)),
+hd AS (SELECT make_date(CAST(y AS INTEGER), m, d) AS hd FROM yrs,
+       (VALUES (1, 1), (5, 1), (6, 1), (8, 17), (12, 25)) h(m, d)),
+o2 AS (SELECT o.*, CASE WHEN EXISTS (SELECT 1 FROM hd WHERE o.order_date BETWEEN hd.hd - 1 AND hd.hd + 1)
+                        THEN 1 ELSE 0 END AS in_window FROM o)
+SELECT o_orderkey, order_date, in_window,
+       round(CASE isodow(order_date) WHEN 1 THEN 0.92 WHEN 2 THEN 0.95 WHEN 3 THEN 0.97 WHEN 4 THEN 1.02
+                  WHEN 5 THEN 1.18 WHEN 6 THEN 1.22 ELSE 0.88 END::DOUBLE
+           * CASE month(order_date) WHEN 1 THEN 1.05 WHEN 2 THEN 0.88 WHEN 3 THEN 0.90 WHEN 4 THEN 0.95
+                  WHEN 5 THEN 0.98 WHEN 6 THEN 1.08 WHEN 7 THEN 1.12 WHEN 8 THEN 1.10 WHEN 9 THEN 0.96
+                  WHEN 10 THEN 0.97 WHEN 11 THEN 1.03 ELSE 1.15 END::DOUBLE
+           * CASE WHEN in_window = 1 THEN 1.25 ELSE 1.0 END, 6) AS demand_index
+FROM o2"""
