@@ -466,3 +466,290 @@ def holiday_windows(spark, sf_dir):
     flag = F.col("window_date").isNotNull().cast("int")
     return j.select("o_orderkey", "order_date", flag.alias("in_window"),
                     F.round(demand_index("order_date", flag), 6).alias("demand_index"))
+
+
+# ---------------------------------------------------------------- distributions
+from ..operators import describe as ds  # noqa: E402
+from ..operators import timeseries as ts  # noqa: E402
+
+
+@query("describe_series")
+def describe_series(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    return ds.describe_series(ev, "value", by="event_type")
+
+
+@query("check_size")
+def check_size(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    checks = (li.groupBy("l_orderkey")
+              .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double")
+                   .alias("check_total")))
+    return ds.describe_series(checks, "check_total")
+
+
+@query("ratio_distribution")
+def ratio_distribution(spark, sf_dir):
+    f = Star(spark, sf_dir).fact_fnb_sales
+    ratio = F.when(F.col("net_sales") > 0,
+                   F.col("cogs_amount").cast("double") / F.col("net_sales").cast("double") * 100)
+    return ds.describe_series(f.select("category", ratio.alias("food_cost_pct")),
+                              "food_cost_pct", by="category")
+
+
+@query("histogram")
+def histogram(spark, sf_dir):
+    return ds.histogram(_t(spark, sf_dir, "lineitem"), "l_extendedprice", 40, 0.99)
+
+
+# ---------------------------------------------------------------- segments, KPI rows, counts
+@query("segment_topk")
+def segment_topk(spark, sf_dir):
+    from pyspark.sql import Window
+    star = Star(spark, sf_dir)
+    r = star.fact_room_sales.join(
+        F.broadcast(star.dim_property.select("property_id", "property_name")), "property_id")
+    f = star.fact_fnb_sales.filter((F.col("is_void") == 0) & (F.col("is_refund") == 0))
+
+    def tot(df, dim, member, measure):
+        return (df.groupBy(F.col(member).cast("string").alias("member"))
+                .agg(F.sum(measure).cast("double").alias("revenue"))
+                .withColumn("dimension", F.lit(dim)))
+
+    u = (tot(r, "property", "property_name", "room_revenue")
+         .unionByName(tot(r, "channel", "channel", "room_revenue"))
+         .unionByName(tot(r, "segment", "segment", "room_revenue"))
+         .unionByName(tot(f, "category", "category", "net_sales")))
+    w = Window.partitionBy("dimension").orderBy(F.desc("revenue"), "member")
+    return (u.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 8)
+            .select("dimension", "member", "revenue", "rank"))
+
+
+KPI_METRICS = ["room_revenue", "rooms_sold", "fnb_net_revenue", "fnb_cogs", "gross_profit",
+               "food_cost_pct", "adr", "date_span_days", "n_properties"]
+
+
+@query("kpi_long")
+def kpi_long(spark, sf_dir):
+    star = Star(spark, sf_dir)
+    r = star.fact_room_sales.agg(
+        F.sum("room_revenue").alias("room_revenue"), F.sum("rooms_sold").alias("rooms_sold"),
+        (F.datediff(F.max("check_in"), F.min("check_in")) + 1).alias("date_span_days"),
+        F.countDistinct("property_id").alias("n_properties"))
+    clean_ = (F.col("is_void") == 0) & (F.col("is_refund") == 0)
+    f = star.fact_fnb_sales.agg(
+        F.sum(F.when(clean_, F.col("net_sales")).otherwise(0)).alias("fnb_net_revenue"),
+        F.sum("cogs_amount").alias("fnb_cogs"))
+    row = r.crossJoin(f).select(
+        "*", (F.col("fnb_net_revenue") - F.col("fnb_cogs")).alias("gross_profit"),
+        (F.col("fnb_cogs").cast("double") / F.nullif(F.col("fnb_net_revenue").cast("double"), F.lit(0.0))
+         * 100).alias("food_cost_pct"),
+        (F.col("room_revenue").cast("double") / F.nullif(F.col("rooms_sold").cast("double"), F.lit(0.0)))
+        .alias("adr"))
+    out = ds.long_kpis(row, KPI_METRICS)
+    return out.select("metric", F.round("value", 6).alias("value"))
+
+
+@query("row_counts")
+def row_counts(spark, sf_dir):
+    star = Star(spark, sf_dir)
+    return ds.row_counts({
+        "dim_property": star.dim_property, "dim_product": star.dim_product,
+        "fact_room_sales": star.fact_room_sales, "fact_fnb_sales": star.fact_fnb_sales,
+        "fact_expense": star.fact_expense, "fact_budget": star.fact_budget,
+        "fact_purchase": star.fact_purchase, "fact_inventory": star.fact_inventory})
+
+
+# ---------------------------------------------------------------- series
+def room_series(star, by_property=True):
+    keys = ["property_id"] if by_property else []
+    return (star.fact_room_sales.groupBy(*keys, F.col("check_in").alias("ds"))
+            .agg(F.sum("room_revenue").cast("double").alias("revenue")))
+
+
+@query("rolling7")
+def rolling7(spark, sf_dir):
+    s = room_series(Star(spark, sf_dir))
+    r = ts.rolling_mean(s, "revenue", "ds", by="property_id", n=7)
+    return r.select("property_id", "ds", "revenue", F.round("rolling_mean", 4).alias("rolling_mean"),
+                    F.round("diff_from_rolling", 4).alias("diff_from_rolling"))
+
+
+@query("rolling_median28")
+def rolling_median28(spark, sf_dir):
+    s = room_series(Star(spark, sf_dir))
+    r = ts.rolling_median(s, "revenue", "ds", by="property_id", n=28)
+    return r.select("property_id", "ds", "revenue", F.round("rolling_median", 4).alias("rolling_median"),
+                    F.round("deviation", 4).alias("deviation"))
+
+
+@query("zscore_anomalies")
+def zscore_anomalies(spark, sf_dir):
+    s = room_series(Star(spark, sf_dir), by_property=False)
+    z = ts.zscores(s, "revenue").filter(F.abs("z") > 2)
+    return (z.orderBy(F.desc(F.abs("z")), "ds").limit(10)
+            .select("ds", "revenue", F.round("z", 6).alias("z")))
+
+
+def kpi_series_long(daily):
+    g = daily.groupBy("full_date").agg(
+        F.sum("total_revenue").alias("daily_revenue"),
+        F.avg("occupancy_pct").alias("occupancy"),
+        (F.sum("fnb_cogs") / F.nullif(F.sum("fnb_net_revenue"), F.lit(0.0)) * 100).alias("food_cost"),
+        F.sum("fnb_transactions").cast("double").alias("fnb_transactions"))
+    return (g.selectExpr("full_date", "stack(4, 'daily_revenue', daily_revenue, 'occupancy', occupancy, "
+                         "'food_cost', food_cost, 'fnb_transactions', fnb_transactions) AS (series, v)")
+            .filter(F.col("v").isNotNull()))
+
+
+@query("outliers_hi_lo")
+def outliers_hi_lo(spark, sf_dir):
+    long = kpi_series_long(marts.kpi_daily(Star(spark, sf_dir)))
+    z = ts.zscores(long, "v", by="series")
+    return (z.filter(F.abs("z") > 3)
+            .select("series", "full_date", F.round("v", 6).alias("v"), F.round("z", 6).alias("z"),
+                    F.when(F.col("z") > 0, "high").otherwise("low").alias("side")))
+
+
+@query("iqr_anomalies")
+def iqr_anomalies(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    r = ts.iqr_fences(ev, "value", by="event_type", k=1.5)
+    return r.select("event_id", "event_type", "value", F.round("lower_fence", 6).alias("lower_fence"),
+                    F.round("upper_fence", 6).alias("upper_fence"))
+
+
+# Business-rule thresholds (percent units).
+BR_FOOD_COST, BR_OCC_MAX, BR_OCC_MIN, BR_DISCOUNT, BR_VOID = 40.0, 100.0, 20.0, 20.0, 5.0
+
+
+@query("business_rules")
+def business_rules(spark, sf_dir):
+    k = marts.kpi_daily(Star(spark, sf_dir))
+    disc = F.col("fnb_discount") / F.nullif(F.col("fnb_gross_sales"), F.lit(0.0)) * 100
+    void = F.col("void_lines") / F.nullif(F.col("fnb_lines").cast("double"), F.lit(0.0)) * 100
+    rules = {
+        "negative_net_revenue": (F.col("fnb_net_revenue") < 0, F.col("fnb_net_revenue")),
+        "occupancy_above_max": (F.col("occupancy_pct") > BR_OCC_MAX, F.col("occupancy_pct")),
+        "occupancy_below_min": (F.col("occupancy_pct") < BR_OCC_MIN, F.col("occupancy_pct")),
+        "food_cost_high": (F.col("food_cost_pct") > BR_FOOD_COST, F.col("food_cost_pct")),
+        "discount_high": (disc > BR_DISCOUNT, disc),
+        "void_rate_high": (void > BR_VOID, void),
+    }
+    r = ts.rule_hits(k, ["date_key", "property_id"], rules)
+    return r.select("date_key", "property_id", "rule", F.round("value", 6).alias("value"))
+
+
+# ---------------------------------------------------------------- stock
+@query("densify_ffill")
+def densify_ffill(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    daily = (ev.groupBy("user_id", F.to_date("ts").alias("ds"))
+             .agg(F.max_by("value", F.struct("ts", "event_id")).alias("value")))
+    return ts.densify_ffill(daily, "user_id", "ds", "value")
+
+
+def _inv(spark, sf_dir):
+    return Star(spark, sf_dir).fact_inventory
+
+
+@query("stock_continuity")
+def stock_continuity(spark, sf_dir):
+    r = ts.stock_continuity(_inv(spark, sf_dir), ["store_id", "item"], "stock_date",
+                            "opening_stock", "closing_stock")
+    return r.select("store_id", "item", "stock_date",
+                    *[F.col(c).cast("double").alias(c) for c in
+                      ["opening_stock", "closing_stock", "prev_closing", "continuity_gap"]])
+
+
+@query("stock_variance")
+def stock_variance(spark, sf_dir):
+    r = ts.stock_variance(_inv(spark, sf_dir))
+    return r.select("store_id", "item", "stock_date",
+                    *[F.col(c).cast("double").alias(c) for c in
+                      ["opening_stock", "closing_stock", "theoretical_closing", "inventory_variance"]])
+
+
+@query("moving_unit_cost")
+def moving_unit_cost(spark, sf_dir):
+    p = Star(spark, sf_dir).fact_purchase
+    daily = p.groupBy("product_id", "purchase_date").agg(
+        F.sum(F.col("quantity").cast("decimal(18,2)")).alias("qty"),
+        F.sum("total_amount").alias("total"))
+    r = ts.moving_unit_cost(daily, "product_id", "purchase_date", "total", "qty")
+    return r.select("product_id", "purchase_date", F.col("qty").cast("double").alias("qty"),
+                    F.col("total").cast("double").alias("total"),
+                    F.round("moving_unit_cost", 6).alias("moving_unit_cost"))
+
+
+REORDER_COVERAGE_DAYS = 5
+
+
+@query("reorder_signal")
+def reorder_signal(spark, sf_dir):
+    r = clean.reorder_signal(_inv(spark, sf_dir), "opening_stock", "consumption_qty",
+                             REORDER_COVERAGE_DAYS)
+    return (r.filter(F.col("needs_reorder") == 1)
+            .select("store_id", "item", "stock_date",
+                    F.col("opening_stock").cast("double").alias("opening_stock"),
+                    F.col("consumption_qty").cast("double").alias("consumption_qty")))
+
+
+# ---------------------------------------------------------------- forecasts
+HORIZON = 90
+
+
+def _levels_mean(s):
+    return s.groupBy("property_id").agg(F.avg("revenue").alias("level"),
+                                        F.date_add(F.max("ds"), 1).alias("start"))
+
+
+def _levels_last30(s):
+    last = ts.last_n(s, "property_id", "ds", 30)
+    return last.groupBy("property_id").agg(F.avg("revenue").alias("level"))
+
+
+@query("forecast_wave")
+def forecast_wave(spark, sf_dir):
+    s = room_series(Star(spark, sf_dir))
+    f = ts.wave_forecast(_levels_mean(s), "property_id", "level", "start", HORIZON)
+    return f.select("property_id", "forecast_date", "step", F.round("forecast", 4).alias("forecast"))
+
+
+@query("forecast_moving_avg")
+def forecast_moving_avg(spark, sf_dir):
+    s = room_series(Star(spark, sf_dir))
+    lv = _levels_last30(s).join(_levels_mean(s).select("property_id", "start"), "property_id")
+    f = ts.wave_forecast(lv, "property_id", "level", "start", HORIZON)
+    return f.select("property_id", "forecast_date", "step", F.round("forecast", 4).alias("forecast"))
+
+
+@query("forecast_accuracy")
+def forecast_accuracy(spark, sf_dir):
+    s = room_series(Star(spark, sf_dir))
+    cut = s.groupBy("property_id").agg(F.date_sub(F.max("ds"), HORIZON - 1).alias("cutoff"))
+    s = s.join(F.broadcast(cut), "property_id")
+    train = s.filter(F.col("ds") < F.col("cutoff"))
+    test = s.filter(F.col("ds") >= F.col("cutoff")).select(
+        "property_id", F.col("ds").alias("forecast_date"), F.col("revenue").alias("actual"))
+    mean_lv = train.groupBy("property_id", "cutoff").agg(F.avg("revenue").alias("level"))
+    ma_lv = _levels_last30(train).join(cut, "property_id")
+    out = None
+    for name, lv in [("wave", mean_lv), ("moving_avg", ma_lv)]:
+        fc = ts.wave_forecast(lv, "property_id", "level", "cutoff", HORIZON)
+        acc = ts.accuracy(test, fc, "property_id").withColumn("model", F.lit(name))
+        out = acc if out is None else out.unionByName(acc)
+    return out.select("property_id", "model", "n", F.round("mape", 4).alias("mape"),
+                      F.round("mae", 4).alias("mae"), F.round("rmse", 4).alias("rmse"))
+
+
+@query("forecast_seasonal")
+def forecast_seasonal(spark, sf_dir):
+    """T3 (rows-only check): Holt-Winters per property on the zero-filled
+    daily room revenue series."""
+    s = room_series(Star(spark, sf_dir))
+    b = s.groupBy("property_id").agg(F.min("ds").alias("lo"), F.max("ds").alias("hi"))
+    spine = b.select("property_id", F.explode(F.sequence("lo", "hi")).alias("ds"))
+    dense = (spine.join(s, ["property_id", "ds"], "left")
+             .select("property_id", "ds", F.coalesce("revenue", F.lit(0.0)).alias("revenue")))
+    return ts.seasonal_forecast(dense, "property_id", "ds", "revenue", HORIZON, HORIZON, 7)

@@ -602,3 +602,203 @@ SELECT o_orderkey, order_date, in_window,
                   WHEN 10 THEN 0.97 WHEN 11 THEN 1.03 ELSE 1.15 END::DOUBLE
            * CASE WHEN in_window = 1 THEN 1.25 ELSE 1.0 END, 6) AS demand_index
 FROM o2"""
+
+
+# ---------------------------------------------------------------- distributions
+def sql_describe(v: str, src: str, by: str | None = None) -> str:
+    qs = [("p01", 0.01), ("p05", 0.05), ("q1", 0.25), ("median", 0.5), ("q3", 0.75),
+          ("p95", 0.95), ("p99", 0.99)]
+    cols = ", ".join(f"round(quantile_cont(x, {p}), 6) AS {n}" for n, p in qs)
+    b = f"{by}, " if by else ""
+    return (f"SELECT {b}COUNT(x) AS count, round(AVG(x), 6) AS mean, round(stddev_samp(x), 6) AS std, "
+            f"round(MIN(x), 6) AS min, {cols}, round(MAX(x), 6) AS max, "
+            f"round(CASE WHEN COUNT(x) >= 3 THEN skewness(x) END, 6) AS skew "
+            f"FROM (SELECT {b}CAST({v} AS DOUBLE) AS x FROM {src}) WHERE x IS NOT NULL"
+            + (f" GROUP BY {by}" if by else ""))
+
+
+ORACLE["describe_series"] = sql_describe("value", "events", "event_type")
+
+ORACLE["check_size"] = sql_describe(
+    "check_total", f"(SELECT l_orderkey, CAST(SUM(CAST(l_extendedprice AS {M})) AS DOUBLE) AS check_total "
+                   "FROM lineitem GROUP BY 1)")
+
+ORACLE["ratio_distribution"] = with_star("fact_fnb_sales") + " " + sql_describe(
+    "food_cost_pct", "(SELECT category, CASE WHEN net_sales > 0 THEN CAST(cogs_amount AS DOUBLE) / "
+                     "CAST(net_sales AS DOUBLE) * 100 END AS food_cost_pct FROM fact_fnb_sales)", "category")
+
+ORACLE["histogram"] = """
+WITH d AS (SELECT CAST(l_extendedprice AS DOUBLE) AS x FROM lineitem WHERE l_extendedprice IS NOT NULL),
+s AS (SELECT MIN(x) AS lo, quantile_cont(x, 0.99) AS hi FROM d),
+c AS (SELECT CAST(CASE WHEN s.hi - s.lo > 0 THEN least(floor((least(d.x, s.hi) - s.lo) / (s.hi - s.lo) * 40), 39)
+                       ELSE 0 END AS INTEGER) AS bin, COUNT(*) AS n FROM d, s GROUP BY 1),
+b AS (SELECT CAST(range AS INTEGER) AS bin FROM range(0, 40))
+SELECT b.bin, round(s.lo + b.bin * ((s.hi - s.lo) / 40), 6) AS bin_lo,
+       round(s.lo + (b.bin + 1) * ((s.hi - s.lo) / 40), 6) AS bin_hi, COALESCE(c.n, 0) AS n
+FROM b CROSS JOIN s LEFT JOIN c ON c.bin = b.bin"""
+
+ORACLE["segment_topk"] = with_star("dim_property", "fact_room_sales", "fact_fnb_sales") + """
+, u AS (
+  SELECT 'property' AS dimension, p.property_name AS member, CAST(SUM(r.room_revenue) AS DOUBLE) AS revenue
+  FROM fact_room_sales r JOIN dim_property p ON p.property_id = r.property_id GROUP BY 2
+  UNION ALL SELECT 'channel', channel, CAST(SUM(room_revenue) AS DOUBLE) FROM fact_room_sales GROUP BY 2
+  UNION ALL SELECT 'segment', segment, CAST(SUM(room_revenue) AS DOUBLE) FROM fact_room_sales GROUP BY 2
+  UNION ALL SELECT 'category', category, CAST(SUM(net_sales) AS DOUBLE) FROM fact_fnb_sales
+            WHERE is_void = 0 AND is_refund = 0 GROUP BY 2)
+SELECT dimension, member, revenue, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY dimension ORDER BY revenue DESC, member) AS INTEGER) AS rank FROM u)
+WHERE rank <= 8"""
+
+ORACLE["kpi_long"] = with_star("fact_room_sales", "fact_fnb_sales") + """
+, r AS (SELECT SUM(room_revenue) AS room_revenue, SUM(rooms_sold) AS rooms_sold,
+               datediff('day', MIN(check_in), MAX(check_in)) + 1 AS date_span_days,
+               COUNT(DISTINCT property_id) AS n_properties FROM fact_room_sales),
+f AS (SELECT SUM(CASE WHEN is_void = 0 AND is_refund = 0 THEN net_sales ELSE 0 END) AS fnb_net_revenue,
+             SUM(cogs_amount) AS fnb_cogs FROM fact_fnb_sales),
+k AS (SELECT r.*, f.*, f.fnb_net_revenue - f.fnb_cogs AS gross_profit,
+             CAST(f.fnb_cogs AS DOUBLE) / NULLIF(CAST(f.fnb_net_revenue AS DOUBLE), 0) * 100 AS food_cost_pct,
+             CAST(r.room_revenue AS DOUBLE) / NULLIF(CAST(r.rooms_sold AS DOUBLE), 0) AS adr FROM r, f)
+SELECT metric, round(value, 6) AS value FROM (
+  SELECT 'room_revenue' AS metric, CAST(room_revenue AS DOUBLE) AS value FROM k
+  UNION ALL SELECT 'rooms_sold', CAST(rooms_sold AS DOUBLE) FROM k
+  UNION ALL SELECT 'fnb_net_revenue', CAST(fnb_net_revenue AS DOUBLE) FROM k
+  UNION ALL SELECT 'fnb_cogs', CAST(fnb_cogs AS DOUBLE) FROM k
+  UNION ALL SELECT 'gross_profit', CAST(gross_profit AS DOUBLE) FROM k
+  UNION ALL SELECT 'food_cost_pct', food_cost_pct FROM k
+  UNION ALL SELECT 'adr', adr FROM k
+  UNION ALL SELECT 'date_span_days', CAST(date_span_days AS DOUBLE) FROM k
+  UNION ALL SELECT 'n_properties', CAST(n_properties AS DOUBLE) FROM k)"""
+
+ORACLE["row_counts"] = with_star("dim_property", "dim_product", "fact_room_sales", "fact_fnb_sales",
+                                 "fact_expense", "fact_budget", "fact_inventory") + """
+SELECT 'dim_property' AS table_name, COUNT(*) AS n_rows FROM dim_property
+UNION ALL SELECT 'dim_product', COUNT(*) FROM dim_product
+UNION ALL SELECT 'fact_room_sales', COUNT(*) FROM fact_room_sales
+UNION ALL SELECT 'fact_fnb_sales', COUNT(*) FROM fact_fnb_sales
+UNION ALL SELECT 'fact_expense', COUNT(*) FROM fact_expense
+UNION ALL SELECT 'fact_budget', COUNT(*) FROM fact_budget
+UNION ALL SELECT 'fact_purchase', COUNT(*) FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+UNION ALL SELECT 'fact_inventory', COUNT(*) FROM fact_inventory"""
+
+ROOM_SERIES = """
+rs AS (SELECT property_id, check_in AS ds, CAST(SUM(room_revenue) AS DOUBLE) AS revenue
+       FROM fact_room_sales GROUP BY 1, 2)"""
+
+ORACLE["rolling7"] = with_star("fact_room_sales") + "," + ROOM_SERIES + """
+SELECT property_id, ds, revenue, round(rm, 4) AS rolling_mean, round(revenue - rm, 4) AS diff_from_rolling
+FROM (SELECT *, CASE WHEN COUNT(revenue) OVER w = 7 THEN AVG(revenue) OVER w END AS rm FROM rs
+      WINDOW w AS (PARTITION BY property_id ORDER BY ds ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))"""
+
+ORACLE["rolling_median28"] = with_star("fact_room_sales") + "," + ROOM_SERIES + """
+SELECT property_id, ds, revenue, round(md, 4) AS rolling_median, round(revenue - md, 4) AS deviation
+FROM (SELECT *, quantile_cont(revenue, 0.5) OVER (PARTITION BY property_id ORDER BY ds
+                 ROWS BETWEEN 27 PRECEDING AND CURRENT ROW) AS md FROM rs)"""
+
+ORACLE["zscore_anomalies"] = with_star("fact_room_sales") + """
+, g AS (SELECT check_in AS ds, CAST(SUM(room_revenue) AS DOUBLE) AS revenue FROM fact_room_sales GROUP BY 1),
+z AS (SELECT ds, revenue, (revenue - AVG(revenue) OVER ()) / NULLIF(stddev_samp(revenue) OVER (), 0) AS z FROM g)
+SELECT ds, revenue, round(z, 6) AS z FROM z WHERE abs(z) > 2 ORDER BY abs(z) DESC, ds LIMIT 10"""
+
+ORACLE["outliers_hi_lo"] = kpi_with() + """
+, g AS (SELECT full_date, SUM(total_revenue) AS daily_revenue, AVG(occupancy_pct) AS occupancy,
+               SUM(fnb_cogs) / NULLIF(SUM(fnb_net_revenue), 0) * 100 AS food_cost,
+               CAST(SUM(fnb_transactions) AS DOUBLE) AS fnb_transactions FROM kpi GROUP BY 1),
+l AS (SELECT full_date, 'daily_revenue' AS series, daily_revenue AS v FROM g
+      UNION ALL SELECT full_date, 'occupancy', occupancy FROM g
+      UNION ALL SELECT full_date, 'food_cost', food_cost FROM g
+      UNION ALL SELECT full_date, 'fnb_transactions', fnb_transactions FROM g),
+z AS (SELECT *, (v - AVG(v) OVER (PARTITION BY series)) / NULLIF(stddev_samp(v) OVER (PARTITION BY series), 0) AS z
+      FROM l WHERE v IS NOT NULL)
+SELECT series, full_date, round(v, 6) AS v, round(z, 6) AS z, CASE WHEN z > 0 THEN 'high' ELSE 'low' END AS side
+FROM z WHERE abs(z) > 3"""
+
+ORACLE["iqr_anomalies"] = """
+WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
+           FROM events GROUP BY 1),
+f AS (SELECT e.event_id, e.event_type, e.value, q.q1 - 1.5 * (q.q3 - q.q1) AS lo, q.q3 + 1.5 * (q.q3 - q.q1) AS hi
+      FROM events e JOIN q USING (event_type))
+SELECT event_id, event_type, value, round(lo, 6) AS lower_fence, round(hi, 6) AS upper_fence
+FROM f WHERE value < lo OR value > hi"""
+
+ORACLE["business_rules"] = kpi_with() + """
+, r AS (
+  SELECT date_key, property_id, 'negative_net_revenue' AS rule, fnb_net_revenue AS value, fnb_net_revenue < 0 AS hit FROM kpi
+  UNION ALL SELECT date_key, property_id, 'occupancy_above_max', occupancy_pct, occupancy_pct > 100 FROM kpi
+  UNION ALL SELECT date_key, property_id, 'occupancy_below_min', occupancy_pct, occupancy_pct < 20 FROM kpi
+  UNION ALL SELECT date_key, property_id, 'food_cost_high', food_cost_pct, food_cost_pct > 40 FROM kpi
+  UNION ALL SELECT date_key, property_id, 'discount_high', fnb_discount / NULLIF(fnb_gross_sales, 0) * 100,
+                   fnb_discount / NULLIF(fnb_gross_sales, 0) * 100 > 20 FROM kpi
+  UNION ALL SELECT date_key, property_id, 'void_rate_high', void_lines / NULLIF(CAST(fnb_lines AS DOUBLE), 0) * 100,
+                   void_lines / NULLIF(CAST(fnb_lines AS DOUBLE), 0) * 100 > 5 FROM kpi)
+SELECT date_key, property_id, rule, round(CAST(value AS DOUBLE), 6) AS value FROM r WHERE hit"""
+
+ORACLE["densify_ffill"] = """
+WITH d AS (SELECT user_id, CAST(ts AS DATE) AS ds, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY 1, 2),
+b AS (SELECT user_id, MIN(ds) AS lo, MAX(ds) AS hi FROM d GROUP BY 1),
+sp AS (SELECT user_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS ds FROM b)
+SELECT sp.user_id, sp.ds, d.value,
+       last_value(d.value IGNORE NULLS) OVER (PARTITION BY sp.user_id ORDER BY sp.ds
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value_ffill,
+       CASE WHEN d.value IS NULL THEN 1 ELSE 0 END AS is_filled
+FROM sp LEFT JOIN d ON d.user_id = sp.user_id AND d.ds = sp.ds"""
+
+ORACLE["stock_continuity"] = with_star("fact_inventory") + """
+SELECT store_id, item, stock_date, CAST(opening_stock AS DOUBLE) AS opening_stock,
+       CAST(closing_stock AS DOUBLE) AS closing_stock, CAST(prev AS DOUBLE) AS prev_closing,
+       CAST(opening_stock - prev AS DOUBLE) AS continuity_gap
+FROM (SELECT *, lag(closing_stock) OVER (PARTITION BY store_id, item ORDER BY stock_date) AS prev
+      FROM fact_inventory)"""
+
+ORACLE["stock_variance"] = with_star("fact_inventory") + """
+SELECT store_id, item, stock_date, CAST(opening_stock AS DOUBLE) AS opening_stock,
+       CAST(closing_stock AS DOUBLE) AS closing_stock, CAST(theo AS DOUBLE) AS theoretical_closing,
+       CAST(closing_stock - theo AS DOUBLE) AS inventory_variance
+FROM (SELECT *, opening_stock + purchase_qty - transfer_qty - consumption_qty - waste_qty AS theo
+      FROM fact_inventory)"""
+
+ORACLE["moving_unit_cost"] = f"""
+WITH d AS (SELECT l_partkey AS product_id, CAST(l_shipdate AS DATE) AS purchase_date,
+                  SUM(CAST(l_quantity AS {M})) AS qty, SUM(CAST(l_extendedprice AS {M})) AS total
+           FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey GROUP BY 1, 2)
+SELECT product_id, purchase_date, CAST(qty AS DOUBLE) AS qty, CAST(total AS DOUBLE) AS total,
+       round(CAST(SUM(total) OVER w AS DOUBLE) / NULLIF(CAST(SUM(qty) OVER w AS DOUBLE), 0), 6) AS moving_unit_cost
+FROM d WINDOW w AS (PARTITION BY product_id ORDER BY purchase_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+ORACLE["reorder_signal"] = with_star("fact_inventory") + """
+SELECT store_id, item, stock_date, CAST(opening_stock AS DOUBLE) AS opening_stock,
+       CAST(consumption_qty AS DOUBLE) AS consumption_qty
+FROM fact_inventory WHERE opening_stock < consumption_qty * 5"""
+
+WAVE = "level * (1 + 0.05 * sin(step / 7.0))"
+
+ORACLE["forecast_wave"] = with_star("fact_room_sales") + "," + ROOM_SERIES + f"""
+, lv AS (SELECT property_id, AVG(revenue) AS level, MAX(ds) + 1 AS start FROM rs GROUP BY 1)
+SELECT property_id, CAST(start + step - 1 AS DATE) AS forecast_date, step, round({WAVE}, 4) AS forecast
+FROM lv, (SELECT CAST(range AS INTEGER) AS step FROM range(1, 91))"""
+
+ORACLE["forecast_moving_avg"] = with_star("fact_room_sales") + "," + ROOM_SERIES + f"""
+, st AS (SELECT property_id, MAX(ds) + 1 AS start FROM rs GROUP BY 1),
+lv AS (SELECT property_id, AVG(revenue) AS level FROM (
+         SELECT *, row_number() OVER (PARTITION BY property_id ORDER BY ds DESC) AS rn FROM rs) WHERE rn <= 30
+       GROUP BY 1)
+SELECT property_id, CAST(start + step - 1 AS DATE) AS forecast_date, step, round({WAVE}, 4) AS forecast
+FROM lv JOIN st USING (property_id), (SELECT CAST(range AS INTEGER) AS step FROM range(1, 91))"""
+
+ORACLE["forecast_accuracy"] = with_star("fact_room_sales") + "," + ROOM_SERIES + f"""
+, cut AS (SELECT property_id, MAX(ds) - 89 AS cutoff FROM rs GROUP BY 1),
+s AS (SELECT rs.*, cut.cutoff FROM rs JOIN cut USING (property_id)),
+train AS (SELECT * FROM s WHERE ds < cutoff),
+test AS (SELECT property_id, ds AS forecast_date, revenue AS actual FROM s WHERE ds >= cutoff),
+lv AS (SELECT property_id, 'wave' AS model, AVG(revenue) AS level FROM train GROUP BY 1
+       UNION ALL
+       SELECT property_id, 'moving_avg', AVG(revenue) FROM (
+         SELECT *, row_number() OVER (PARTITION BY property_id ORDER BY ds DESC) AS rn FROM train)
+       WHERE rn <= 30 GROUP BY 1),
+fc AS (SELECT lv.property_id, lv.model, CAST(cut.cutoff + step - 1 AS DATE) AS forecast_date, {WAVE} AS forecast
+       FROM lv JOIN cut USING (property_id), (SELECT CAST(range AS INTEGER) AS step FROM range(1, 91)))
+SELECT fc.property_id, fc.model, COUNT(*) AS n,
+       round(AVG(CASE WHEN actual <> 0 THEN abs(forecast - actual) / abs(actual) END) * 100, 4) AS mape,
+       round(AVG(abs(forecast - actual)), 4) AS mae,
+       round(sqrt(AVG((forecast - actual) * (forecast - actual))), 4) AS rmse
+FROM fc JOIN test ON fc.property_id = test.property_id AND fc.forecast_date = test.forecast_date
+GROUP BY 1, 2"""
