@@ -753,3 +753,161 @@ def forecast_seasonal(spark, sf_dir):
     dense = (spine.join(s, ["property_id", "ds"], "left")
              .select("property_id", "ds", F.coalesce("revenue", F.lit(0.0)).alias("revenue")))
     return ts.seasonal_forecast(dense, "property_id", "ds", "revenue", HORIZON, HORIZON, 7)
+
+
+# ---------------------------------------------------------------- data quality
+from ..operators import quality as qa  # noqa: E402
+
+PROFILE_TABLES = ["orders", "customer"]
+
+
+@query("profile_columns")
+def profile_columns(spark, sf_dir):
+    out = None
+    for t in PROFILE_TABLES:
+        p = qa.profile(_t(spark, sf_dir, t), t)
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@query("findings")
+def findings(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    raw = li.select("l_quantity", "l_discount", raw_date_text(li).alias("raw_date"))
+    f1 = qa.findings(raw, "lineitem", {
+        "unparsable_date": parse_mixed_date("raw_date").isNull(),
+        "negative_quantity": F.col("l_quantity") < 0,
+        "zero_discount": F.col("l_discount") == 0})
+    f2 = qa.findings(_t(spark, sf_dir, "customer"), "customer",
+                     {"negative_balance": F.col("c_acctbal") < 0})
+    f3 = qa.findings(_t(spark, sf_dir, "supplier"), "supplier",
+                     {"negative_balance": F.col("s_acctbal") < 0})
+    p = clean.whitelist(_t(spark, sf_dir, "part"), "p_type", CATEGORY_WHITELIST, "Other", "cat")
+    f4 = qa.findings(p, "part", {"invalid_category": F.col("cat") == "Other"})
+    dup = qa.duplicate_rows(li, ["l_orderkey", "l_linenumber"]).select(
+        F.lit("duplicate_line_key").alias("rule"), F.lit("lineitem").alias("source"),
+        F.col("duplicate_rows").alias("records_affected"))
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    j = li.select("l_orderkey", "l_shipdate").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    f5 = qa.findings(j, "lineitem", {"ship_before_order": F.col("l_shipdate") < F.col("o_orderdate")})
+    return f1.unionByName(f2).unionByName(f3).unionByName(f4).unionByName(dup).unionByName(f5)
+
+
+def _gate(star):
+    g = qa.Gate()
+    r, f, e, inv = star.fact_room_sales, star.fact_fnb_sales, star.fact_expense, star.fact_inventory
+    g.rows(r, "fact_room_sales", {
+        "booking_id_not_null": F.col("booking_id").isNotNull(),
+        "check_out_after_check_in": F.col("check_out") >= F.col("check_in"),
+        "revenue_non_negative": F.col("room_revenue") >= 0})
+    g.unique(r, "fact_room_sales", "booking_id")
+    g.rows(f, "fact_fnb_sales", {
+        "product_not_null": F.col("product_id").isNotNull(),
+        "quantity_non_negative": F.col("quantity") >= 0,
+        "net_le_gross": F.col("net_sales") <= F.col("gross_sales") + F.lit(0.01)})
+    g.unique(f, "fact_fnb_sales", ["transaction_id", "line_no"])
+    g.references(r, "fact_room_sales", "property_id", star.dim_property, "property_id")
+    g.references(f, "fact_fnb_sales", "product_id", star.dim_product, "product_id")
+    g.references(e, "fact_expense", "account_id", star.dim_account, "account_id")
+    g.references(e, "fact_expense", "department_id", star.dim_department, "department_id")
+    g.rows(inv, "fact_inventory", {"closing_non_negative": F.col("closing_stock") >= 0})
+    return g
+
+
+@query("gate_checks")
+def gate_checks(spark, sf_dir):
+    return _gate(Star(spark, sf_dir)).result()
+
+
+def _with_flag(df, col, dim, key, flag):
+    d = dim.select(F.col(key).alias("__fk")).distinct().withColumn(flag, F.lit(True))
+    return df.join(F.broadcast(d), F.col(col) == F.col("__fk"), "left").drop("__fk") \
+        .withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+
+
+# The item domain of the stock series.
+STOCK_ITEMS = ["purchase", "view", "click", "error", "signup"]
+
+
+def _health_specs(star):
+    props = star.dim_property
+    r = _with_flag(star.fact_room_sales, "property_id", props, "property_id", "_ri")
+    f = _with_flag(star.fact_fnb_sales, "property_id", props, "property_id", "_ri")
+    e = _with_flag(star.fact_expense, "property_id", props, "property_id", "_ri")
+    inv = star.fact_inventory
+    return [
+        qa.SourceSpec("bookings", "orders", r, ["booking_id"], "check_in",
+                      ["booking_id", "property_id", "check_in"],
+                      (F.col("room_revenue") >= 0) & (F.col("los") >= 1),
+                      F.col("check_out") >= F.col("check_in"), F.col("_ri"),
+                      F.col("segment").isNotNull()),
+        qa.SourceSpec("pos", "lineitem", f, ["transaction_id", "line_no"], "sale_date",
+                      ["transaction_id", "product_id", "property_id"],
+                      F.col("quantity") >= 0, F.col("net_sales") <= F.col("gross_sales") + F.lit(0.01),
+                      F.col("_ri"), F.col("category").isNotNull()),
+        qa.SourceSpec("ledger", "orders", e, ["expense_id"], "expense_date",
+                      ["expense_id", "account_id", "property_id"],
+                      F.col("amount") >= 0,
+                      (F.col("transaction_type") == "Credit") | (F.col("transaction_type") == "Debit"),
+                      F.col("_ri"), F.col("department_id").isNotNull()),
+        qa.SourceSpec("inventory", "events", inv, ["stock_date", "store_id", "item"], "stock_date",
+                      ["store_id", "item"], F.col("closing_stock") >= 0, F.col("movements") >= 1,
+                      F.col("item").isin(STOCK_ITEMS), F.col("store_id").isNotNull()),
+    ]
+
+
+@query("source_health")
+def source_health(spark, sf_dir):
+    return qa.source_health(_health_specs(Star(spark, sf_dir)))
+
+
+RECONCILE_METRICS = ["room_revenue", "rooms_sold", "occupied_room_nights", "bookings",
+                     "fnb_gross_sales", "fnb_net_revenue", "fnb_cogs", "opex", "other_income"]
+
+
+@query("reconcile_kpis")
+def reconcile_kpis(spark, sf_dir):
+    star = Star(spark, sf_dir)
+    daily = marts.kpi_daily(star)
+    a = daily.agg(*[F.round(F.sum(m).cast("double"), 2).alias(m) for m in RECONCILE_METRICS])
+    r = marts.room_daily(star).agg(
+        F.sum("room_revenue").alias("room_revenue"), F.sum("rooms_sold").alias("rooms_sold"),
+        F.sum("occupied_room_nights").alias("occupied_room_nights"),
+        F.sum("bookings").alias("bookings"))
+    f = star.fact_fnb_sales
+    clean_ = (F.col("is_void") == 0) & (F.col("is_refund") == 0)
+    fa = f.agg(F.sum("gross_sales").alias("fnb_gross_sales"),
+               F.sum(F.when(clean_, F.col("net_sales")).otherwise(0)).alias("fnb_net_revenue"),
+               F.sum("cogs_amount").alias("fnb_cogs"))
+    ea = marts.expense_daily(star).agg(F.sum("opex").alias("opex"),
+                                       F.sum("other_income").alias("other_income"))
+    b = r.crossJoin(fa).crossJoin(ea).select(
+        *[F.round(F.col(m).cast("double"), 2).alias(m) for m in RECONCILE_METRICS])
+    return qa.reconcile(ds.long_kpis(a, RECONCILE_METRICS), ds.long_kpis(b, RECONCILE_METRICS))
+
+
+# Allowed domains per coded column.
+DOMAINS = {
+    "business_type": ["Hotel", "F&B"],
+    "account_type": ["Revenue", "COGS", "OPEX"],
+    "transaction_type": ["Debit", "Credit"],
+    "order_status": ["F", "O", "P"],
+    "return_flag": ["A", "N", "R"],
+}
+
+
+@query("domain_check")
+def domain_check(spark, sf_dir):
+    star = Star(spark, sf_dir)
+    parts = [
+        qa.domain_check(star.dim_property, "business_type", "business_type", DOMAINS["business_type"]),
+        qa.domain_check(star.dim_account, "account_type", "account_type", DOMAINS["account_type"]),
+        qa.domain_check(star.fact_expense, "transaction_type", "transaction_type",
+                        DOMAINS["transaction_type"]),
+        qa.domain_check(star.t("orders"), "order_status", "o_orderstatus", DOMAINS["order_status"]),
+        qa.domain_check(star.t("lineitem"), "return_flag", "l_returnflag", DOMAINS["return_flag"]),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -802,3 +802,158 @@ SELECT fc.property_id, fc.model, COUNT(*) AS n,
        round(sqrt(AVG((forecast - actual) * (forecast - actual))), 4) AS rmse
 FROM fc JOIN test ON fc.property_id = test.property_id AND fc.forecast_date = test.forecast_date
 GROUP BY 1, 2"""
+
+
+# ---------------------------------------------------------------- quality
+def _profile_sql(table: str, cols: list[tuple[str, bool]]) -> str:
+    parts = []
+    for c, num in cols:
+        if num:
+            x = f"CAST({c} AS DOUBLE)"
+            stats = (f"round(AVG({x}), 6), round(stddev_samp({x}), 6), round(MIN({x}), 6), "
+                     f"round(quantile_cont({x}, 0.25), 6), round(quantile_cont({x}, 0.5), 6), "
+                     f"round(quantile_cont({x}, 0.75), 6), round(MAX({x}), 6)")
+        else:
+            stats = ", ".join(["CAST(NULL AS DOUBLE)"] * 7)
+        parts.append(
+            f"SELECT '{table}' AS table_name, '{c}' AS column_name, COUNT(*) AS n_rows, "
+            f"COUNT(*) - COUNT({c}) AS null_count, "
+            f"round((COUNT(*) - COUNT({c})) / NULLIF(COUNT(*), 0) * 100, 6) AS null_pct, "
+            f"COUNT(DISTINCT {c}) AS n_distinct, {stats}, "
+            f"(SELECT CAST(COALESCE(SUM(c - 1), 0) AS BIGINT) FROM (SELECT COUNT(*) AS c FROM {table} GROUP BY ALL_COLS)) "
+            f"AS duplicate_rows FROM {table}")
+    return " UNION ALL ".join(parts)
+
+
+_PROFILE_COLS = {
+    "orders": [("o_orderkey", True), ("o_custkey", True), ("o_orderstatus", False),
+               ("o_totalprice", True), ("o_orderdate", False), ("o_orderpriority", False)],
+    "customer": [("c_custkey", True), ("c_name", False), ("c_nationkey", True),
+                 ("c_acctbal", True), ("c_mktsegment", False)],
+}
+
+# name the seven stats columns positionally via a wrapping select
+_stat_names = ["mean", "std", "min", "q1", "median", "q3", "max"]
+ORACLE["profile_columns"] = " UNION ALL ".join(
+    "SELECT * FROM (" + _profile_sql(t, cols).replace(
+        "GROUP BY ALL_COLS", "GROUP BY " + ", ".join(c for c, _ in cols)) + ") AS p(table_name, column_name, "
+    "n_rows, null_count, null_pct, n_distinct, " + ", ".join(_stat_names) + ", duplicate_rows)"
+    for t, cols in _PROFILE_COLS.items())
+
+ORACLE["findings"] = f"""
+SELECT 'unparsable_date' AS rule, 'lineitem' AS source,
+       COUNT(*) FILTER (WHERE {sql_parse_date(RAW_DATE_SQL)} IS NULL) AS records_affected FROM lineitem
+UNION ALL SELECT 'negative_quantity', 'lineitem', COUNT(*) FILTER (WHERE l_quantity < 0) FROM lineitem
+UNION ALL SELECT 'zero_discount', 'lineitem', COUNT(*) FILTER (WHERE l_discount = 0) FROM lineitem
+UNION ALL SELECT 'negative_balance', 'customer', COUNT(*) FILTER (WHERE c_acctbal < 0) FROM customer
+UNION ALL SELECT 'negative_balance', 'supplier', COUNT(*) FILTER (WHERE s_acctbal < 0) FROM supplier
+UNION ALL SELECT 'invalid_category', 'part', COUNT(*) FILTER (WHERE {sql_norm_key('p_type')}
+                 NOT IN ('STANDARD', 'MEDIUM', 'ECONOMY', 'LARGE')) FROM part
+UNION ALL SELECT 'duplicate_line_key', 'lineitem', CAST(COALESCE(SUM(c - 1), 0) AS BIGINT)
+          FROM (SELECT COUNT(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber)
+UNION ALL SELECT 'ship_before_order', 'lineitem', COUNT(*) FILTER (WHERE l.l_shipdate < o.o_orderdate)
+          FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
+
+ORACLE["gate_checks"] = with_star("dim_property", "dim_department", "fact_room_sales",
+                                  "fact_fnb_sales", "fact_expense", "fact_inventory") + """
+, g AS (
+  SELECT 'fact_room_sales.booking_id_not_null' AS check_name, COUNT(*) FILTER (WHERE booking_id IS NULL) AS failures FROM fact_room_sales
+  UNION ALL SELECT 'fact_room_sales.check_out_after_check_in', COUNT(*) FILTER (WHERE NOT COALESCE(check_out >= check_in, FALSE)) FROM fact_room_sales
+  UNION ALL SELECT 'fact_room_sales.revenue_non_negative', COUNT(*) FILTER (WHERE NOT COALESCE(room_revenue >= 0, FALSE)) FROM fact_room_sales
+  UNION ALL SELECT 'fact_room_sales.unique(booking_id)', (SELECT COUNT(*) FROM (SELECT booking_id FROM fact_room_sales GROUP BY 1 HAVING COUNT(*) > 1))
+  UNION ALL SELECT 'fact_fnb_sales.product_not_null', COUNT(*) FILTER (WHERE product_id IS NULL) FROM fact_fnb_sales
+  UNION ALL SELECT 'fact_fnb_sales.quantity_non_negative', COUNT(*) FILTER (WHERE NOT COALESCE(quantity >= 0, FALSE)) FROM fact_fnb_sales
+  UNION ALL SELECT 'fact_fnb_sales.net_le_gross', COUNT(*) FILTER (WHERE NOT COALESCE(net_sales <= gross_sales + 0.01, FALSE)) FROM fact_fnb_sales
+  UNION ALL SELECT 'fact_fnb_sales.unique(transaction_id,line_no)', (SELECT COUNT(*) FROM (SELECT 1 FROM fact_fnb_sales GROUP BY transaction_id, line_no HAVING COUNT(*) > 1))
+  UNION ALL SELECT 'fact_room_sales.property_id->dim', COUNT(*) FROM fact_room_sales r WHERE r.property_id IS NULL OR r.property_id NOT IN (SELECT property_id FROM dim_property)
+  UNION ALL SELECT 'fact_fnb_sales.product_id->dim', COUNT(*) FROM fact_fnb_sales f WHERE f.product_id IS NULL OR f.product_id NOT IN (SELECT product_id FROM dim_product)
+  UNION ALL SELECT 'fact_expense.account_id->dim', COUNT(*) FROM fact_expense e WHERE e.account_id IS NULL OR e.account_id NOT IN (SELECT account_id FROM dim_account)
+  UNION ALL SELECT 'fact_expense.department_id->dim', COUNT(*) FROM fact_expense e WHERE e.department_id IS NULL OR e.department_id NOT IN (SELECT department_id FROM dim_department)
+  UNION ALL SELECT 'fact_inventory.closing_non_negative', COUNT(*) FILTER (WHERE NOT COALESCE(closing_stock >= 0, FALSE)) FROM fact_inventory)
+SELECT check_name, CAST(failures AS BIGINT) AS failures, CASE WHEN failures = 0 THEN 1 ELSE 0 END AS ok FROM g"""
+
+
+def _health_sql(name, system, src, pk, date_col, mandatory, valid, consistent, integral, mapped):
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in mandatory)
+    good = f"({complete}) AND COALESCE({valid}, FALSE) AND COALESCE({consistent}, FALSE) " \
+           f"AND COALESCE({integral}, FALSE) AND COALESCE({mapped}, FALSE)"
+    return (f"SELECT '{name}' AS source, '{system}' AS source_system, COUNT(*) AS records_total, "
+            f"COUNT(*) FILTER (WHERE {good}) AS records_clean, "
+            f"COUNT(*) FILTER (WHERE {complete}) AS n_complete, "
+            f"COUNT(*) FILTER (WHERE COALESCE({valid}, FALSE)) AS n_valid, "
+            f"COUNT(*) FILTER (WHERE COALESCE({consistent}, FALSE)) AS n_consistent, "
+            f"COUNT(*) FILTER (WHERE COALESCE({integral}, FALSE)) AS n_integral, "
+            f"COUNT(*) FILTER (WHERE COALESCE({mapped}, FALSE)) AS n_mapped, "
+            f"CAST(MAX({date_col}) AS DATE) AS latest_record_date, "
+            f"(SELECT COUNT(*) FROM (SELECT 1 FROM {src} GROUP BY {pk})) AS n_keys FROM {src}")
+
+
+_RI = "property_id IN (SELECT property_id FROM dim_property)"
+_pct = "round({c} / NULLIF(records_total, 0) * 100, 6)"
+ORACLE["source_health"] = with_star("dim_property", "fact_room_sales", "fact_fnb_sales", "fact_expense",
+                                    "fact_inventory") + """
+, u AS (""" + " UNION ALL ".join([
+    _health_sql("bookings", "orders", "fact_room_sales", "booking_id", "check_in",
+                ["booking_id", "property_id", "check_in"], "room_revenue >= 0 AND los >= 1",
+                "check_out >= check_in", _RI, "segment IS NOT NULL"),
+    _health_sql("pos", "lineitem", "fact_fnb_sales", "transaction_id, line_no", "sale_date",
+                ["transaction_id", "product_id", "property_id"], "quantity >= 0",
+                "net_sales <= gross_sales + 0.01", _RI, "category IS NOT NULL"),
+    _health_sql("ledger", "orders", "fact_expense", "expense_id", "expense_date",
+                ["expense_id", "account_id", "property_id"], "amount >= 0",
+                "transaction_type = 'Credit' OR transaction_type = 'Debit'", _RI,
+                "department_id IS NOT NULL"),
+    _health_sql("inventory", "events", "fact_inventory", "stock_date, store_id, item", "stock_date",
+                ["store_id", "item"], "closing_stock >= 0", "movements >= 1",
+                "item IN ('purchase', 'view', 'click', 'error', 'signup')", "store_id IS NOT NULL"),
+]) + f"""),
+p AS (
+  SELECT source, source_system, records_total, records_clean,
+         {_pct.format(c='n_complete')} AS completeness_pct, {_pct.format(c='n_keys')} AS uniqueness_pct,
+         {_pct.format(c='n_valid')} AS validity_pct, {_pct.format(c='n_consistent')} AS consistency_pct,
+         {_pct.format(c='n_integral')} AS integrity_pct,
+         round((records_total - n_keys) / NULLIF(records_total, 0) * 100, 6) AS duplicate_rate_pct,
+         {_pct.format(c='n_mapped')} AS mapping_completion_pct,
+         records_total - records_clean AS failed_records, latest_record_date
+  FROM u),
+s AS (SELECT *, CAST(datediff('day', latest_record_date, (SELECT MAX(latest_record_date) FROM p)) AS INTEGER) AS freshness_days,
+             round((completeness_pct * 1.0 + uniqueness_pct * 1.0 + validity_pct * 1.0 + consistency_pct * 1.0
+                    + integrity_pct * 1.0 + mapping_completion_pct * 1.0) / 6.0, 6) AS quality_score
+      FROM p)
+SELECT *, CASE WHEN quality_score >= 98 THEN 'A' WHEN quality_score >= 95 THEN 'B'
+               WHEN quality_score >= 90 THEN 'C' ELSE 'D' END AS dq_tier,
+       CASE WHEN quality_score >= 95 THEN 'Healthy' WHEN quality_score >= 90 THEN 'Warning'
+            ELSE 'Critical' END AS status
+FROM s"""
+
+_RECON = ["room_revenue", "rooms_sold", "occupied_room_nights", "bookings", "fnb_gross_sales",
+          "fnb_net_revenue", "fnb_cogs", "opex", "other_income"]
+ORACLE["reconcile_kpis"] = kpi_with() + """
+, a AS (SELECT """ + ", ".join(f"round(CAST(SUM({m}) AS DOUBLE), 2) AS {m}" for m in _RECON) + """ FROM kpi),
+b AS (SELECT round(CAST((SELECT SUM(room_revenue) FROM fact_room_sales) AS DOUBLE), 2) AS room_revenue,
+             round(CAST((SELECT SUM(rooms_sold) FROM fact_room_sales) AS DOUBLE), 2) AS rooms_sold,
+             round(CAST((SELECT SUM(room_nights) FROM fact_room_sales) AS DOUBLE), 2) AS occupied_room_nights,
+             round(CAST((SELECT COUNT(*) FROM fact_room_sales) AS DOUBLE), 2) AS bookings,
+             round(CAST((SELECT SUM(gross_sales) FROM fact_fnb_sales) AS DOUBLE), 2) AS fnb_gross_sales,
+             round(CAST((SELECT SUM(CASE WHEN is_void = 0 AND is_refund = 0 THEN net_sales ELSE 0 END) FROM fact_fnb_sales) AS DOUBLE), 2) AS fnb_net_revenue,
+             round(CAST((SELECT SUM(cogs_amount) FROM fact_fnb_sales) AS DOUBLE), 2) AS fnb_cogs,
+             round(CAST((SELECT SUM(opex) FROM exp) AS DOUBLE), 2) AS opex,
+             round(CAST((SELECT SUM(other_income) FROM exp) AS DOUBLE), 2) AS other_income),
+la AS (""" + " UNION ALL ".join(f"SELECT '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM a" for m in _RECON) + """),
+lb AS (""" + " UNION ALL ".join(f"SELECT '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM b" for m in _RECON) + """)
+SELECT COALESCE(la.metric, lb.metric) AS metric, la.value AS value_a, lb.value AS value_b,
+       round(la.value - lb.value, 6) AS diff,
+       CASE WHEN abs(la.value - lb.value) <= 0.01 THEN 'match' ELSE 'mismatch' END AS status
+FROM la FULL OUTER JOIN lb ON la.metric = lb.metric"""
+
+ORACLE["domain_check"] = with_star("dim_property", "fact_expense") + """
+SELECT 'business_type' AS domain, business_type AS value, COUNT(*) AS n_rows,
+       CASE WHEN business_type IN ('Hotel', 'F&B') THEN 1 ELSE 0 END AS is_valid FROM dim_property GROUP BY 2
+UNION ALL SELECT 'account_type', account_type, COUNT(*), CASE WHEN account_type IN ('Revenue', 'COGS', 'OPEX') THEN 1 ELSE 0 END
+          FROM dim_account GROUP BY 2
+UNION ALL SELECT 'transaction_type', transaction_type, COUNT(*), CASE WHEN transaction_type IN ('Debit', 'Credit') THEN 1 ELSE 0 END
+          FROM fact_expense GROUP BY 2
+UNION ALL SELECT 'order_status', o_orderstatus, COUNT(*), CASE WHEN o_orderstatus IN ('F', 'O', 'P') THEN 1 ELSE 0 END
+          FROM orders GROUP BY 2
+UNION ALL SELECT 'return_flag', l_returnflag, COUNT(*), CASE WHEN l_returnflag IN ('A', 'N', 'R') THEN 1 ELSE 0 END
+          FROM lineitem GROUP BY 2"""
