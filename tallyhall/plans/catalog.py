@@ -911,3 +911,101 @@ def domain_check(spark, sf_dir):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# ---------------------------------------------------------------- measures
+from . import measures as ms  # noqa: E402
+
+ALL_MEASURES = [
+    "room_revenue", "rooms_sold", "room_nights", "bookings", "available_room_nights",
+    "occupancy_pct", "adr", "revpar", "cancellation_pct", "noshow_pct", "avg_los",
+    "fnb_gross_sales", "fnb_net_revenue", "fnb_cogs", "food_cost_pct", "gross_profit",
+    "gross_margin_pct", "fnb_transactions", "average_check", "discount_pct", "void_pct",
+    "opex", "ledger_cogs", "other_income", "total_revenue", "ebitda", "ebitda_margin_pct",
+    "net_profit", "budget_amount", "budget_achievement_pct", "revenue_variance", "variance_pct"]
+
+SEGMENT_MEASURES = ["room_revenue", "rooms_sold", "room_nights", "bookings", "adr",
+                    "cancellation_pct", "noshow_pct", "avg_los"]
+
+
+@query("measures_by_property")
+def measures_by_property(spark, sf_dir):
+    return ms.measures(Star(spark, sf_dir), ALL_MEASURES,
+                       ["property_id", "property_name", "business_type"])
+
+
+@query("measures_by_month")
+def measures_by_month(spark, sf_dir):
+    return ms.measures(Star(spark, sf_dir), ALL_MEASURES, ["year", "month"])
+
+
+@query("measures_by_segment")
+def measures_by_segment(spark, sf_dir):
+    return ms.measures(Star(spark, sf_dir), SEGMENT_MEASURES, ["segment"],
+                       filters={"business_type": "Hotel"})
+
+
+@query("yoy_mom")
+def yoy_mom(spark, sf_dir):
+    from ..functions.stats import safe_div
+    base = ["total_revenue", "room_revenue", "fnb_net_revenue", "ebitda", "room_nights",
+            "available_room_nights"]
+    m = ms.measures(Star(spark, sf_dir), base, ["month_start"])
+    ly = ms.with_prior(m, "month_start", [], base, 12, "_ly")
+    lm = m.select(F.add_months("month_start", 1).alias("month_start"),
+                  F.col("total_revenue").alias("total_revenue_lm"))
+    j = ly.join(lm, "month_start", "left")
+
+    def pct(a, b):
+        return F.round(safe_div(F.col(a) - F.col(b), b) * 100, 6)
+
+    return j.select(
+        "month_start", "total_revenue", "total_revenue_ly",
+        pct("total_revenue", "total_revenue_ly").alias("revenue_yoy_pct"),
+        "total_revenue_lm", pct("total_revenue", "total_revenue_lm").alias("revenue_mom_pct"),
+        "room_revenue_ly", "fnb_net_revenue_ly", "ebitda", "ebitda_ly",
+        pct("ebitda", "ebitda_ly").alias("ebitda_yoy_pct"),
+        F.round(safe_div("room_nights", "available_room_nights") * 100, 6).alias("occupancy_pct"),
+        F.round(safe_div("room_nights_ly", "available_room_nights_ly") * 100, 6)
+        .alias("occupancy_pct_ly"))
+
+
+@query("revenue_share")
+def revenue_share(spark, sf_dir):
+    from ..functions.stats import safe_div
+    m = ms.measures(Star(spark, sf_dir), ["total_revenue"], ["month_start", "business_type"])
+    g = m.groupBy("month_start").agg(
+        F.sum(F.when(F.col("business_type") == "Hotel", F.col("total_revenue")).otherwise(0.0))
+        .alias("hotel_revenue"),
+        F.sum(F.when(F.col("business_type") == "F&B", F.col("total_revenue")).otherwise(0.0))
+        .alias("fnb_revenue"))
+    tot = F.col("hotel_revenue") + F.col("fnb_revenue")
+    return g.select("month_start", F.round("hotel_revenue", 2).alias("hotel_revenue"),
+                    F.round("fnb_revenue", 2).alias("fnb_revenue"),
+                    F.round(safe_div("hotel_revenue", tot) * 100, 6).alias("hotel_share_pct"),
+                    F.round(safe_div("fnb_revenue", tot) * 100, 6).alias("fnb_share_pct"))
+
+
+# Healthy bands per KPI (lo, hi); None = open end.
+KPI_BANDS = [
+    ("occupancy_pct", 65.0, 85.0), ("food_cost_pct", None, 32.0),
+    ("gross_margin_pct", 65.0, None), ("ebitda_margin_pct", 28.0, None),
+    ("cancellation_pct", None, 8.0), ("noshow_pct", None, 2.0), ("avg_los", 2.0, 4.0),
+    ("discount_pct", None, 6.0), ("void_pct", None, 2.0),
+]
+
+
+@query("kpi_bands")
+def kpi_bands(spark, sf_dir):
+    names = [k for k, _, _ in KPI_BANDS]
+    m = ms.measures(Star(spark, sf_dir), names, ["property_id"])
+    long = m.select("property_id", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("kpi"), F.col(n).cast("double").alias("value")) for n in names]))
+        .alias("k")).select("property_id", "k.kpi", "k.value")
+    bands = spark.createDataFrame(KPI_BANDS, "kpi string, lo double, hi double")
+    j = long.join(F.broadcast(bands), "kpi")
+    status = (F.when(F.col("value").isNull(), "n/a")
+              .when(F.col("lo").isNotNull() & (F.col("value") < F.col("lo")), "low")
+              .when(F.col("hi").isNotNull() & (F.col("value") > F.col("hi")), "high")
+              .otherwise("ok"))
+    return j.select("property_id", "kpi", "value", "lo", "hi", status.alias("status"))

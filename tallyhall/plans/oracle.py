@@ -957,3 +957,201 @@ UNION ALL SELECT 'order_status', o_orderstatus, COUNT(*), CASE WHEN o_orderstatu
           FROM orders GROUP BY 2
 UNION ALL SELECT 'return_flag', l_returnflag, COUNT(*), CASE WHEN l_returnflag IN ('A', 'N', 'R') THEN 1 ELSE 0 END
           FROM lineitem GROUP BY 2"""
+
+
+# ---------------------------------------------------------------- measures
+def _conf(date: str) -> str:
+    return (f"CAST(year({date}) AS INTEGER) AS year, CAST(quarter({date}) AS INTEGER) AS quarter, "
+            f"CAST(month({date}) AS INTEGER) AS month, CAST(date_trunc('month', {date}) AS DATE) AS month_start, "
+            f"{date} AS full_date")
+
+
+_PATTRS = "p.property_name, p.business_type, p.city, p.region"
+MEASURE_CTES = f"""
+room_c AS (SELECT f.*, {_conf('f.check_in')}, {_PATTRS} FROM fact_room_sales f
+           LEFT JOIN dim_property p ON p.property_id = f.property_id),
+fnb_c AS (SELECT f.*, {_conf('f.sale_date')}, {_PATTRS} FROM fact_fnb_sales f
+          LEFT JOIN dim_property p ON p.property_id = f.property_id),
+exp_c AS (SELECT f.*, a.account_type, a.account_code, {_conf('f.expense_date')}, {_PATTRS} FROM fact_expense f
+          JOIN dim_account a ON a.account_id = f.account_id
+          LEFT JOIN dim_property p ON p.property_id = f.property_id),
+bud_c AS (SELECT f.*, a.account_type, a.account_code, {_conf('f.budget_date')}, {_PATTRS} FROM fact_budget f
+          JOIN dim_account a ON a.account_id = f.account_id
+          LEFT JOIN dim_property p ON p.property_id = f.property_id),
+cap_c AS (SELECT d.full_date, CAST(year(d.full_date) AS INTEGER) AS year, CAST(quarter(d.full_date) AS INTEGER) AS quarter,
+                 CAST(month(d.full_date) AS INTEGER) AS month, CAST(date_trunc('month', d.full_date) AS DATE) AS month_start,
+                 p.property_id, {_PATTRS}, p.rooms
+          FROM dim_date d CROSS JOIN dim_property p WHERE p.rooms IS NOT NULL)"""
+
+_BASE_SQL = {
+    "room": ("room_c", {
+        "room_revenue": "SUM(room_revenue)", "rooms_sold": "CAST(SUM(rooms_sold) AS BIGINT)",
+        "room_nights": "CAST(SUM(room_nights) AS BIGINT)", "bookings": "COUNT(*)",
+        "cancellations": "CAST(SUM(is_cancelled) AS BIGINT)", "no_shows": "CAST(SUM(is_no_show) AS BIGINT)"},
+        ["segment", "channel"]),
+    "capacity": ("cap_c", {"available_room_nights": "CAST(SUM(rooms) AS BIGINT)"}, []),
+    "fnb": ("fnb_c", {
+        "fnb_gross_sales": "SUM(gross_sales)",
+        "fnb_net_revenue": "SUM(CASE WHEN is_void = 0 AND is_refund = 0 THEN net_sales ELSE 0 END)",
+        "fnb_cogs": "SUM(cogs_amount)", "fnb_discount": "SUM(discount)", "fnb_lines": "COUNT(*)",
+        "void_lines": "CAST(SUM(is_void) AS BIGINT)", "fnb_transactions": "COUNT(DISTINCT transaction_id)"},
+        ["category", "product_id", "outlet_name"]),
+    "expense": ("exp_c", {
+        "opex": "SUM(CASE WHEN account_type = 'OPEX' THEN amount ELSE 0 END)",
+        "ledger_cogs": "SUM(CASE WHEN account_type = 'COGS' THEN amount ELSE 0 END)",
+        "other_income": f"SUM(CASE WHEN account_type = 'Revenue' AND account_code IN ({OTHER_INCOME_SQL}) "
+                        f"THEN amount ELSE 0 END)"},
+        ["department_id", "account_id", "account_type"]),
+    "budget": ("bud_c", {"budget_amount": "SUM(budget_amount)"},
+               ["department_id", "account_id", "account_type"]),
+}
+_COMMON = {"year", "quarter", "month", "month_start", "full_date", "property_id", "property_name",
+           "business_type", "city", "region"}
+_COUNTS = {"rooms_sold", "room_nights", "bookings", "cancellations", "no_shows",
+           "available_room_nights", "fnb_lines", "void_lines", "fnb_transactions"}
+
+
+def _bz(n):
+    return f"COALESCE({n}, 0)"
+
+
+def _pct_sql(n, d):
+    return f"round(CAST({n} AS DOUBLE) / NULLIF(CAST({d} AS DOUBLE), 0) * 100, 6)"
+
+
+def _ratio_sql(n, d):
+    return f"round(CAST({n} AS DOUBLE) / NULLIF(CAST({d} AS DOUBLE), 0), 6)"
+
+
+_TOT = f"({_bz('room_revenue')} + {_bz('fnb_net_revenue')} + {_bz('other_income')})"
+_EBITDA = f"({_TOT} - {_bz('ledger_cogs')} - {_bz('opex')})"
+_DERIVED_SQL = {
+    "occupancy_pct": (["room_nights", "available_room_nights"], _pct_sql(_bz("room_nights"), "available_room_nights")),
+    "adr": (["room_revenue", "rooms_sold"], _ratio_sql(_bz("room_revenue"), _bz("rooms_sold"))),
+    "revpar": (["room_revenue", "available_room_nights"], _ratio_sql(_bz("room_revenue"), "available_room_nights")),
+    "cancellation_pct": (["cancellations", "bookings"], _pct_sql(_bz("cancellations"), _bz("bookings"))),
+    "noshow_pct": (["no_shows", "bookings"], _pct_sql(_bz("no_shows"), _bz("bookings"))),
+    "avg_los": (["room_nights", "rooms_sold"], _ratio_sql(_bz("room_nights"), _bz("rooms_sold"))),
+    "food_cost_pct": (["fnb_cogs", "fnb_net_revenue"], _pct_sql(_bz("fnb_cogs"), _bz("fnb_net_revenue"))),
+    "gross_profit": (["fnb_net_revenue", "fnb_cogs"],
+                     f"CAST({_bz('fnb_net_revenue')} - {_bz('fnb_cogs')} AS DOUBLE)"),
+    "gross_margin_pct": (["fnb_net_revenue", "fnb_cogs"],
+                         _pct_sql(f"({_bz('fnb_net_revenue')} - {_bz('fnb_cogs')})", _bz("fnb_net_revenue"))),
+    "average_check": (["fnb_net_revenue", "fnb_transactions"],
+                      _ratio_sql(_bz("fnb_net_revenue"), _bz("fnb_transactions"))),
+    "discount_pct": (["fnb_discount", "fnb_gross_sales"], _pct_sql(_bz("fnb_discount"), _bz("fnb_gross_sales"))),
+    "void_pct": (["void_lines", "fnb_lines"], _pct_sql(_bz("void_lines"), _bz("fnb_lines"))),
+    "total_revenue": (["room_revenue", "fnb_net_revenue", "other_income"], f"CAST({_TOT} AS DOUBLE)"),
+    "ebitda": (["room_revenue", "fnb_net_revenue", "other_income", "ledger_cogs", "opex"],
+               f"CAST({_EBITDA} AS DOUBLE)"),
+    "ebitda_margin_pct": (["room_revenue", "fnb_net_revenue", "other_income", "ledger_cogs", "opex"],
+                          _pct_sql(_EBITDA, _TOT)),
+    "net_profit": (["room_revenue", "fnb_net_revenue", "other_income", "ledger_cogs", "opex"],
+                   f"CAST({_EBITDA} * 0.72 AS DOUBLE)"),
+    "budget_achievement_pct": (["room_revenue", "fnb_net_revenue", "other_income", "budget_amount"],
+                               _pct_sql(_TOT, _bz("budget_amount"))),
+    "revenue_variance": (["room_revenue", "fnb_net_revenue", "other_income", "budget_amount"],
+                         f"CAST({_TOT} - {_bz('budget_amount')} AS DOUBLE)"),
+    "variance_pct": (["room_revenue", "fnb_net_revenue", "other_income", "budget_amount"],
+                     _pct_sql(f"({_TOT} - {_bz('budget_amount')})", _bz("budget_amount"))),
+}
+
+
+def measures_sql(names, group_by, filters=None) -> tuple[str, str]:
+    """(extra CTEs, final SELECT) evaluating measures at the grain."""
+    base = []
+    for n in names:
+        for b in (_DERIVED_SQL[n][0] if n in _DERIVED_SQL else [n]):
+            if b not in base:
+                base.append(b)
+    ctes, aliases = [], []
+    for fname, (src, aggs, extra) in _BASE_SQL.items():
+        wanted = [b for b in base if b in aggs]
+        if not wanted or any(g not in _COMMON and g not in extra for g in group_by):
+            continue
+        where = []
+        for k, v in (filters or {}).items():
+            if k in _COMMON or k in extra:
+                where.append(f"{k} = '{v}'" if isinstance(v, str) else f"{k} = {v}")
+        g = ", ".join(group_by)
+        ctes.append(f"m_{fname} AS (SELECT {g}, " + ", ".join(f"{aggs[b]} AS {b}" for b in wanted)
+                    + f" FROM {src}" + (" WHERE " + " AND ".join(where) if where else "")
+                    + f" GROUP BY {g})")
+        aliases.append(f"m_{fname}")
+    frm = aliases[0] + "".join(f" FULL OUTER JOIN {a} USING ({', '.join(group_by)})" for a in aliases[1:])
+    cols = list(group_by)
+    for n in names:
+        if n in _DERIVED_SQL:
+            cols.append(f"{_DERIVED_SQL[n][1]} AS {n}")
+        elif n in _COUNTS:
+            cols.append(f"{_bz(n)} AS {n}")
+        else:
+            cols.append(f"CAST({_bz(n)} AS DOUBLE) AS {n}")
+    return ", ".join(ctes), f"SELECT {', '.join(cols)} FROM {frm}"
+
+
+_MSTAR = with_star("dim_property", "dim_date", "dim_account", "fact_room_sales", "fact_fnb_sales",
+                   "fact_budget") + "," + MEASURE_CTES
+
+_ALL_M = ["room_revenue", "rooms_sold", "room_nights", "bookings", "available_room_nights",
+          "occupancy_pct", "adr", "revpar", "cancellation_pct", "noshow_pct", "avg_los",
+          "fnb_gross_sales", "fnb_net_revenue", "fnb_cogs", "food_cost_pct", "gross_profit",
+          "gross_margin_pct", "fnb_transactions", "average_check", "discount_pct", "void_pct",
+          "opex", "ledger_cogs", "other_income", "total_revenue", "ebitda", "ebitda_margin_pct",
+          "net_profit", "budget_amount", "budget_achievement_pct", "revenue_variance", "variance_pct"]
+
+
+def _mq(names, group_by, filters=None):
+    c, sel = measures_sql(names, group_by, filters)
+    return _MSTAR + ", " + c + "\n" + sel
+
+
+ORACLE["measures_by_property"] = _mq(_ALL_M, ["property_id", "property_name", "business_type"])
+ORACLE["measures_by_month"] = _mq(_ALL_M, ["year", "month"])
+ORACLE["measures_by_segment"] = _mq(["room_revenue", "rooms_sold", "room_nights", "bookings", "adr",
+                                     "cancellation_pct", "noshow_pct", "avg_los"], ["segment"],
+                                    {"business_type": "Hotel"})
+
+_yb = ["total_revenue", "room_revenue", "fnb_net_revenue", "ebitda", "room_nights", "available_room_nights"]
+_yc, _ys = measures_sql(_yb, ["month_start"])
+ORACLE["yoy_mom"] = _MSTAR + ", " + _yc + f""",
+m AS ({_ys}),
+ly AS (SELECT CAST(month_start + INTERVAL 12 MONTH AS DATE) AS month_start, """ + ", ".join(
+    f"{b} AS {b}_ly" for b in _yb) + """ FROM m),
+lm AS (SELECT CAST(month_start + INTERVAL 1 MONTH AS DATE) AS month_start, total_revenue AS total_revenue_lm FROM m),
+j AS (SELECT * FROM m LEFT JOIN ly USING (month_start) LEFT JOIN lm USING (month_start))
+SELECT month_start, total_revenue, total_revenue_ly,
+       round((total_revenue - total_revenue_ly) / NULLIF(total_revenue_ly, 0) * 100, 6) AS revenue_yoy_pct,
+       total_revenue_lm, round((total_revenue - total_revenue_lm) / NULLIF(total_revenue_lm, 0) * 100, 6) AS revenue_mom_pct,
+       room_revenue_ly, fnb_net_revenue_ly, ebitda, ebitda_ly,
+       round((ebitda - ebitda_ly) / NULLIF(ebitda_ly, 0) * 100, 6) AS ebitda_yoy_pct,
+       round(CAST(room_nights AS DOUBLE) / NULLIF(CAST(available_room_nights AS DOUBLE), 0) * 100, 6) AS occupancy_pct,
+       round(CAST(room_nights_ly AS DOUBLE) / NULLIF(CAST(available_room_nights_ly AS DOUBLE), 0) * 100, 6) AS occupancy_pct_ly
+FROM j"""
+
+_rc, _rs = measures_sql(["total_revenue"], ["month_start", "business_type"])
+ORACLE["revenue_share"] = _MSTAR + ", " + _rc + f""",
+m AS ({_rs}),
+g AS (SELECT month_start, SUM(CASE WHEN business_type = 'Hotel' THEN total_revenue ELSE 0.0 END) AS hotel_revenue,
+             SUM(CASE WHEN business_type = 'F&B' THEN total_revenue ELSE 0.0 END) AS fnb_revenue
+      FROM m GROUP BY 1)
+SELECT month_start, round(hotel_revenue, 2) AS hotel_revenue, round(fnb_revenue, 2) AS fnb_revenue,
+       round(hotel_revenue / NULLIF(hotel_revenue + fnb_revenue, 0) * 100, 6) AS hotel_share_pct,
+       round(fnb_revenue / NULLIF(hotel_revenue + fnb_revenue, 0) * 100, 6) AS fnb_share_pct
+FROM g"""
+
+_bands = [("occupancy_pct", 65.0, 85.0), ("food_cost_pct", None, 32.0), ("gross_margin_pct", 65.0, None),
+          ("ebitda_margin_pct", 28.0, None), ("cancellation_pct", None, 8.0), ("noshow_pct", None, 2.0),
+          ("avg_los", 2.0, 4.0), ("discount_pct", None, 6.0), ("void_pct", None, 2.0)]
+_kc, _ks = measures_sql([b[0] for b in _bands], ["property_id"])
+ORACLE["kpi_bands"] = _MSTAR + ", " + _kc + f""",
+m AS ({_ks}),
+bands(kpi, lo, hi) AS (VALUES """ + ", ".join(
+    f"('{k}', {'NULL' if lo is None else lo}::DOUBLE, {'NULL' if hi is None else hi}::DOUBLE)"
+    for k, lo, hi in _bands) + """),
+l AS (""" + " UNION ALL ".join(f"SELECT property_id, '{k}' AS kpi, CAST({k} AS DOUBLE) AS value FROM m"
+                                for k, _, _ in _bands) + """)
+SELECT l.property_id, l.kpi, l.value, b.lo, b.hi,
+       CASE WHEN l.value IS NULL THEN 'n/a' WHEN b.lo IS NOT NULL AND l.value < b.lo THEN 'low'
+            WHEN b.hi IS NOT NULL AND l.value > b.hi THEN 'high' ELSE 'ok' END AS status
+FROM l JOIN bands b ON b.kpi = l.kpi"""
