@@ -15,9 +15,20 @@ def safe_div(num, den) -> Column:
     return F.try_divide(_c(num).cast("double"), F.nullif(_c(den).cast("double"), F.lit(0.0)))
 
 
-def money(c) -> Column:
-    """Money as exact decimal so sums do not depend on row order."""
-    return _c(c).cast("decimal(18,2)")
+def money(c, precision: int = 12) -> Column:
+    """Money as exact decimal so sums do not depend on row order.
+
+    Line-level amounts use ``decimal(12,2)`` so products with rates
+    (``decimal(3,2)`` / ``decimal(5,4)``) stay within 18 digits, Spark's
+    long-backed fast path; sums widen automatically.
+    """
+    return _c(c).cast(f"decimal({precision},2)")
+
+
+def rate(c, scale: int = 2) -> Column:
+    """A rate or ratio as a narrow exact decimal (``decimal(3,2)`` or
+    ``decimal(5,4)``)."""
+    return _c(c).cast("decimal(3,2)" if scale == 2 else "decimal(5,4)")
 
 
 def msum(c) -> Column:

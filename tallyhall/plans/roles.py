@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_key, month_start
-from ..functions.stats import money
+from ..functions.stats import money, rate
 from ..operators.calendar import calendar_between
 from ..operators.lookup import dim_join
 
@@ -82,7 +82,11 @@ class Star:
         self.cal_lo, self.cal_hi = cal_lo, cal_hi
 
     def t(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+        if not hasattr(self, "_tables"):
+            self._tables = {}
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+        return self._tables[name]
 
     # ------------------------------------------------------------ dimensions
     @cached_property
@@ -120,7 +124,7 @@ class Star:
                         F.col("p_brand").alias("brand"),
                         F.col("p_retailprice").alias("base_price"),
                         ((F.col("p_size") + 20) * F.lit(0.01).cast("decimal(3,2)"))
-                        .cast("decimal(6,4)").alias("unit_cost_ratio"))
+                        .cast("decimal(5,4)").alias("unit_cost_ratio"))
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -147,7 +151,8 @@ class Star:
             sold.alias("rooms_sold"),
             (sold * los).alias("room_nights"),
             money("o_totalprice").alias("room_rate"),
-            (money("o_totalprice") * sold).cast("decimal(18,2)").alias("room_revenue"),
+            F.when(sold == 1, money("o_totalprice")).otherwise(F.lit(0).cast("decimal(12,2)"))
+            .alias("room_revenue"),
             (status == "O").cast("int").alias("is_cancelled"),
             (status == "P").cast("int").alias("is_no_show"),
         )
@@ -160,9 +165,9 @@ class Star:
         j = dim_join(li, sup, li.l_suppkey == F.col("s_suppkey"), "inner")
         j = dim_join(j, prod, F.col("l_partkey") == F.col("product_id"), "inner")
         gross = money("l_extendedprice")
-        disc = F.round(gross * money("l_discount"), 2).cast("decimal(18,2)")
-        cogs = F.round(gross * F.col("unit_cost_ratio"), 2).cast("decimal(18,2)")
-        net = (gross - disc).cast("decimal(18,2)")
+        disc = F.round(gross * rate("l_discount"), 2).cast("decimal(12,2)")
+        cogs = F.round(gross * F.col("unit_cost_ratio"), 2).cast("decimal(12,2)")
+        net = (gross - disc).cast("decimal(12,2)")
         sale_date = F.to_date("l_shipdate")
         return j.select(
             F.col("l_orderkey").alias("transaction_id"),
@@ -178,7 +183,7 @@ class Star:
             disc.alias("discount"),
             net.alias("net_sales"),
             cogs.alias("cogs_amount"),
-            (net - cogs).cast("decimal(18,2)").alias("gross_profit"),
+            (net - cogs).cast("decimal(12,2)").alias("gross_profit"),
             (F.col("l_returnflag") == "A").cast("int").alias("is_void"),
             (F.col("l_returnflag") == "R").cast("int").alias("is_refund"),
         )
@@ -196,7 +201,7 @@ class Star:
             F.col("c_nationkey").alias("property_id"),
             "department_id", "account_id",
             F.round(money("o_totalprice") * F.lit(LEDGER_SHARE).cast("decimal(3,2)"), 2)
-            .cast("decimal(18,2)").alias("amount"),
+            .cast("decimal(12,2)").alias("amount"),
             F.when(F.col("account_type") == "Revenue", "Credit").otherwise("Debit")
             .alias("transaction_type"),
             (F.col("account_type") == "COGS").cast("int").alias("is_cogs"),
@@ -243,7 +248,7 @@ class Star:
         et = F.col("event_type")
 
         def s(types):
-            return F.sum(F.when(et.isin(types), money("value")).otherwise(F.lit(0).cast("decimal(18,2)")))
+            return F.sum(F.when(et.isin(types), money("value")).otherwise(F.lit(0).cast("decimal(12,2)")))
 
         return (ev.groupBy(d.alias("stock_date"), F.col("user_id").alias("store_id"),
                            et.alias("item"))
