@@ -32,11 +32,14 @@ def describe_series(df: DataFrame, col: str, by=None, approx: bool = False,
     by = [] if by is None else ([by] if isinstance(by, str) else list(by))
     x = F.col(col).cast("double")
     d = df.select(*by, x.alias("__x")).filter(F.col("__x").isNotNull())
+    probs = [p for _, p in QUANTILES]
     aggs = [F.count("__x").alias("count"), F.avg("__x").alias("mean"),
-            F.stddev_samp("__x").alias("std"), F.min("__x").alias("min")]
-    aggs += [_q("__x", p, approx, accuracy).alias(n) for n, p in QUANTILES]
-    aggs += [F.max("__x").alias("max"), corrected_skew("__x").alias("skew")]
+            F.stddev_samp("__x").alias("std"), F.min("__x").alias("min"),
+            _q("__x", probs, approx, accuracy).alias("__qs"),  # one buffer for all quantiles
+            F.max("__x").alias("max"), corrected_skew("__x").alias("skew")]
     g = (d.groupBy(*by) if by else d).agg(*aggs)
+    g = g.select(*by, "count", "mean", "std", "min",
+                 *[F.col("__qs")[i].alias(n) for i, (n, _) in enumerate(QUANTILES)], "max", "skew")
     return g.select(*by, "count", *[F.round(c, places).alias(c) for c in g.columns
                                     if c not in by and c != "count"])
 

@@ -36,12 +36,13 @@ def profile(df: DataFrame, table: str, approx_distinct: bool = False,
                     .alias(f"nd{i}"))
         if c in numeric:
             xd = x.cast("double")
-            q = (lambda p: F.percentile_approx(xd, p, 10000)) if approx_quantiles else \
-                (lambda p: F.percentile(xd, p))
+            qs = (F.percentile_approx(xd, [0.25, 0.5, 0.75], 10000) if approx_quantiles
+                  else F.percentile(xd, [0.25, 0.5, 0.75]))
             aggs += [F.avg(xd).alias(f"mean{i}"), F.stddev_samp(xd).alias(f"std{i}"),
-                     F.min(xd).alias(f"min{i}"), q(0.25).alias(f"q1{i}"),
-                     q(0.5).alias(f"med{i}"), q(0.75).alias(f"q3{i}"), F.max(xd).alias(f"max{i}")]
+                     F.min(xd).alias(f"min{i}"), qs.alias(f"qs{i}"), F.max(xd).alias(f"max{i}")]
     wide = df.agg(*aggs)
+    wide = wide.select("*", *[F.col(f"qs{i}")[j].alias(f"{n}{i}") for i, c in enumerate(cols)
+                              if c in numeric for j, n in enumerate(["q1", "med", "q3"])])
     dup = duplicate_rows(df).withColumnRenamed("duplicate_rows", "__dup")
     wide = wide.crossJoin(dup)
     structs = []
