@@ -15,11 +15,12 @@ from ..functions.stats import dbl, safe_div
 from ..operators.lookup import dim_join
 from .roles import OTHER_INCOME_CODES, Star
 
-ZERO = F.lit(0).cast("decimal(18,2)")
+def _zero():
+    return F.lit(0).cast("decimal(18,2)")
 
 
 def _z(c):
-    return F.coalesce(F.col(c), ZERO)
+    return F.coalesce(F.col(c), _zero())
 
 
 def _zi(c):
@@ -46,7 +47,7 @@ def per_transaction(f: DataFrame, keys) -> DataFrame:
     clean = (F.col("is_void") == 0) & (F.col("is_refund") == 0)
     return f.groupBy(*keys, "transaction_id").agg(
         F.sum("gross_sales").alias("gross"),
-        F.sum(F.when(clean, F.col("net_sales")).otherwise(ZERO)).alias("net_clean"),
+        F.sum(F.when(clean, F.col("net_sales")).otherwise(_zero())).alias("net_clean"),
         F.sum("net_sales").alias("net_all"),
         F.sum("cogs_amount").alias("cogs"),
         F.sum("discount").alias("disc"),
@@ -73,10 +74,10 @@ def expense_daily(star: Star) -> DataFrame:
     e = star.fact_expense.join(F.broadcast(star.dim_account.drop("department_id")), "account_id")
     t = F.col("account_type")
     return e.groupBy("date_id", "property_id").agg(
-        F.sum(F.when(t == "OPEX", F.col("amount")).otherwise(ZERO)).alias("opex"),
-        F.sum(F.when(t == "COGS", F.col("amount")).otherwise(ZERO)).alias("other_cogs"),
+        F.sum(F.when(t == "OPEX", F.col("amount")).otherwise(_zero())).alias("opex"),
+        F.sum(F.when(t == "COGS", F.col("amount")).otherwise(_zero())).alias("other_cogs"),
         F.sum(F.when((t == "Revenue") & F.col("account_code").isin(OTHER_INCOME_CODES),
-                     F.col("amount")).otherwise(ZERO)).alias("other_income"))
+                     F.col("amount")).otherwise(_zero())).alias("other_income"))
 
 
 def spine(star: Star, business_types=None) -> DataFrame:
@@ -217,14 +218,14 @@ def budget_vs_actual(star: Star) -> DataFrame:
          .join(F.broadcast(star.dim_account.select("account_id", "account_name", "account_type")),
                "account_id"))
     t = F.col("account_type")
-    a = F.coalesce(F.col("actual"), ZERO)
+    a = F.coalesce(F.col("actual"), _zero())
     g = b.groupBy(F.col("budget_year").alias("year"), F.col("budget_month").alias("month"),
                   "property_id", "property_name", "department_name", "account_name",
                   "account_type").agg(
         F.sum("budget_amount").alias("budget_amount"),
-        F.sum(F.when(t == "Revenue", a).otherwise(ZERO)).alias("actual_revenue"),
-        F.sum(F.when(t == "OPEX", a).otherwise(ZERO)).alias("actual_opex"),
-        F.sum(F.when(t == "COGS", a).otherwise(ZERO)).alias("actual_cogs"),
+        F.sum(F.when(t == "Revenue", a).otherwise(_zero())).alias("actual_revenue"),
+        F.sum(F.when(t == "OPEX", a).otherwise(_zero())).alias("actual_opex"),
+        F.sum(F.when(t == "COGS", a).otherwise(_zero())).alias("actual_cogs"),
         F.sum(a).alias("actual_amount"))
     return g.select(
         "year", "month", "property_id", "property_name", "department_name", "account_name",

@@ -21,7 +21,8 @@ from .roles import OTHER_INCOME_CODES, Star
 
 DATE_ATTRS = ["year", "quarter", "month", "month_start", "full_date"]
 PROPERTY_ATTRS = ["property_id", "property_name", "business_type", "city", "region"]
-ZERO = F.lit(0).cast("decimal(18,2)")
+def _zero():
+    return F.lit(0).cast("decimal(18,2)")
 
 # EBITDA -> net profit factor.
 NET_PROFIT_FACTOR = "0.72"
@@ -97,19 +98,19 @@ FACTS = {
         F.sum("rooms").cast("bigint").alias("available_room_nights"))),
     "fnb": FactSpec("fnb", _fnb, lambda: _named(
         F.sum("gross_sales").alias("fnb_gross_sales"),
-        F.sum(F.when(_clean(), F.col("net_sales")).otherwise(ZERO)).alias("fnb_net_revenue"),
+        F.sum(F.when(_clean(), F.col("net_sales")).otherwise(_zero())).alias("fnb_net_revenue"),
         F.sum("cogs_amount").alias("fnb_cogs"),
         F.sum("discount").alias("fnb_discount"),
         F.count("*").alias("fnb_lines"),
         F.sum("is_void").cast("bigint").alias("void_lines"),
         F.countDistinct("transaction_id").alias("fnb_transactions"))),
     "expense": FactSpec("expense", _expense, lambda: _named(
-        F.sum(F.when(F.col("account_type") == "OPEX", F.col("amount")).otherwise(ZERO)).alias("opex"),
-        F.sum(F.when(F.col("account_type") == "COGS", F.col("amount")).otherwise(ZERO))
+        F.sum(F.when(F.col("account_type") == "OPEX", F.col("amount")).otherwise(_zero())).alias("opex"),
+        F.sum(F.when(F.col("account_type") == "COGS", F.col("amount")).otherwise(_zero()))
         .alias("ledger_cogs"),
         F.sum(F.when((F.col("account_type") == "Revenue")
                      & F.col("account_code").isin(OTHER_INCOME_CODES), F.col("amount"))
-              .otherwise(ZERO)).alias("other_income"))),
+              .otherwise(_zero())).alias("other_income"))),
     "budget": FactSpec("budget", _budget, lambda: _named(
         F.sum("budget_amount").alias("budget_amount"))),
 }
@@ -126,7 +127,7 @@ COUNTS = {"rooms_sold", "room_nights", "bookings", "cancellations", "no_shows",
 
 
 def _b(name):
-    z = F.lit(0).cast("bigint") if name in COUNTS else ZERO
+    z = F.lit(0).cast("bigint") if name in COUNTS else _zero()
     return F.coalesce(F.col(name), z)
 
 
