@@ -135,6 +135,9 @@ def yn_flags(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- dedup / numbering
+# Groups (orders) above this many lines are numbered by the split path.
+HOT_GROUP_ROWS = 1_000_000
+
 LINE_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
               "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
@@ -156,7 +159,8 @@ def dedup_exact(spark, sf_dir):
 @query("line_numbers")
 def line_numbers(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
-    r = clean.line_numbers(li, "l_orderkey", LINE_ORDER, "line_no", base=1)
+    r = clean.line_numbers(li, "l_orderkey", LINE_ORDER, "line_no", base=1,
+                           hot_threshold=HOT_GROUP_ROWS)
     return r.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                     F.to_date("l_shipdate").alias("ship_date"), "line_no")
 
@@ -164,7 +168,8 @@ def line_numbers(spark, sf_dir):
 @query("composite_keys")
 def composite_keys(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
-    r = clean.line_numbers(li, "l_orderkey", LINE_ORDER, "n", base=0)
+    r = clean.line_numbers(li, "l_orderkey", LINE_ORDER, "n", base=0,
+                           hot_threshold=HOT_GROUP_ROWS)
     return r.select(clean.composite_key("l_orderkey", "n").alias("purchase_line_id"),
                     "l_partkey", "l_suppkey",
                     F.col("l_extendedprice").cast("decimal(18,2)").cast("double").alias("total_amount"))

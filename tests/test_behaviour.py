@@ -145,3 +145,13 @@ def test_seasonal_forecast_picks_a_model(spark):
     chosen = out.filter("chosen = 1").collect()
     assert len(chosen) == 14
     assert chosen[0]["forecast_date"] == D("2025-07-20")
+
+
+def test_line_numbers_split_hot_group_matches_window(spark):
+    rows = [(0, i) for i in range(3000)] + [(k, i) for k in range(1, 50) for i in range(3)]
+    df = spark.createDataFrame(rows, "g int, o int").repartition(7)
+    plain = {(r["g"], r["o"]): r["n"] for r in clean.line_numbers(df, "g", "o", "n").collect()}
+    split = clean.line_numbers(df, "g", "o", "n", hot_threshold=100, hot_ranges=6)
+    got = {(r["g"], r["o"]): r["n"] for r in split.collect()}
+    assert got == plain
+    assert got[(0, 2999)] == 3000
