@@ -1014,3 +1014,46 @@ def kpi_bands(spark, sf_dir):
               .when(F.col("hi").isNotNull() & (F.col("value") > F.col("hi")), "high")
               .otherwise("ok"))
     return j.select("property_id", "kpi", "value", "lo", "hi", status.alias("status"))
+
+
+# ---------------------------------------------------------------- trends, DQ summary, insights
+@query("daily_trend")
+def daily_trend(spark, sf_dir):
+    """Daily revenue, average occupancy and average ADR across properties
+    (``avg`` skips nulls)."""
+    k = marts.kpi_daily(Star(spark, sf_dir))
+    return k.groupBy("full_date").agg(
+        F.round(F.sum("total_revenue"), 2).alias("revenue"),
+        F.round(F.avg("occupancy_pct"), 6).alias("avg_occupancy_pct"),
+        F.round(F.avg("adr"), 4).alias("avg_adr"))
+
+
+@query("dq_summary")
+def dq_summary(spark, sf_dir):
+    """DQ score, completeness, duplicate rate (averages) and
+    failed records (sum) over the source-health table."""
+    h = qa.source_health(_health_specs(Star(spark, sf_dir)))
+    return h.agg(F.round(F.avg("quality_score"), 6).alias("dq_score"),
+                  F.round(F.avg("completeness_pct"), 6).alias("completeness_pct"),
+                  F.round(F.avg("duplicate_rate_pct"), 6).alias("duplicate_rate_pct"),
+                  F.sum("failed_records").cast("bigint").alias("failed_records"))
+
+
+INSIGHT_METRICS = [("total_revenue", "total_revenue_ly"), ("ebitda", "ebitda_ly"),
+                   ("occupancy_pct", "occupancy_pct_ly")]
+
+
+@query("insight_evidence")
+def insight_evidence(spark, sf_dir):
+    """Evidence rows (metric, value, baseline = same month last year,
+    delta, delta %, direction) for the monthly headline measures."""
+    y = yoy_mom(spark, sf_dir)
+    arr = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"),
+                             F.col(b).cast("double").alias("baseline")) for m, b in INSIGHT_METRICS])
+    e = y.select("month_start", F.explode(arr).alias("e")).select("month_start", "e.*")
+    e = e.filter(F.col("baseline").isNotNull() & F.col("value").isNotNull())
+    delta = F.col("value") - F.col("baseline")
+    return e.select("month_start", "metric", "value", "baseline", F.round(delta, 6).alias("delta"),
+                    F.round(F.try_divide(delta, F.nullif(F.abs("baseline"), F.lit(0.0))) * 100, 6)
+                    .alias("delta_pct"),
+                    F.when(delta > 0, "up").when(delta < 0, "down").otherwise("flat").alias("direction"))

@@ -1155,3 +1155,26 @@ SELECT l.property_id, l.kpi, l.value, b.lo, b.hi,
        CASE WHEN l.value IS NULL THEN 'n/a' WHEN b.lo IS NOT NULL AND l.value < b.lo THEN 'low'
             WHEN b.hi IS NOT NULL AND l.value > b.hi THEN 'high' ELSE 'ok' END AS status
 FROM l JOIN bands b ON b.kpi = l.kpi"""
+
+
+# ---------------------------------------------------------------- trends, DQ summary, insights
+ORACLE["daily_trend"] = kpi_with() + """
+SELECT full_date, round(SUM(total_revenue), 2) AS revenue, round(AVG(occupancy_pct), 6) AS avg_occupancy_pct,
+       round(AVG(adr), 4) AS avg_adr
+FROM kpi GROUP BY full_date"""
+
+ORACLE["dq_summary"] = """
+SELECT round(AVG(quality_score), 6) AS dq_score, round(AVG(completeness_pct), 6) AS completeness_pct,
+       round(AVG(duplicate_rate_pct), 6) AS duplicate_rate_pct, CAST(SUM(failed_records) AS BIGINT) AS failed_records
+FROM (""" + ORACLE["source_health"] + ")"
+
+ORACLE["insight_evidence"] = """
+WITH y AS (""" + ORACLE["yoy_mom"] + """),
+e AS (SELECT month_start, 'total_revenue' AS metric, CAST(total_revenue AS DOUBLE) AS value,
+             CAST(total_revenue_ly AS DOUBLE) AS baseline FROM y
+      UNION ALL SELECT month_start, 'ebitda', ebitda, ebitda_ly FROM y
+      UNION ALL SELECT month_start, 'occupancy_pct', occupancy_pct, occupancy_pct_ly FROM y)
+SELECT month_start, metric, value, baseline, round(value - baseline, 6) AS delta,
+       round((value - baseline) / NULLIF(abs(baseline), 0) * 100, 6) AS delta_pct,
+       CASE WHEN value - baseline > 0 THEN 'up' WHEN value - baseline < 0 THEN 'down' ELSE 'flat' END AS direction
+FROM e WHERE baseline IS NOT NULL AND value IS NOT NULL"""
