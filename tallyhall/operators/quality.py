@@ -227,3 +227,15 @@ def domain_check(df: DataFrame, domain: str, col: str, allowed) -> DataFrame:
             .select(F.lit(domain).alias("domain"), "value", "n_rows",
                     F.coalesce(F.col("value").isin(list(allowed)), F.lit(False)).cast("int")
                     .alias("is_valid")))
+
+
+def evidence(df: DataFrame, bad: Column, value, rule: str, source: str, k: int = 10) -> DataFrame:
+    """The first ``k`` sorted distinct offending values of a rule, as rows
+    (rule, source, rank, value). ``row_number() <= k`` lets Spark apply the
+    group limit inside each task before the shuffle."""
+    from pyspark.sql import Window
+    v = (F.col(value) if isinstance(value, str) else value).cast("string")
+    d = df.filter(F.coalesce(bad, F.lit(False))).select(v.alias("value")).distinct()
+    w = Window.partitionBy(F.lit(rule)).orderBy("value")
+    return (d.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+            .select(F.lit(rule).alias("rule"), F.lit(source).alias("source"), "rank", "value"))

@@ -1057,3 +1057,20 @@ def insight_evidence(spark, sf_dir):
                     F.round(F.try_divide(delta, F.nullif(F.abs("baseline"), F.lit(0.0))) * 100, 6)
                     .alias("delta_pct"),
                     F.when(delta > 0, "up").when(delta < 0, "down").otherwise("flat").alias("direction"))
+
+
+@query("finding_evidence")
+def finding_evidence(spark, sf_dir):
+    """Sorted distinct offending values (first 10) per finding."""
+    li = _t(spark, sf_dir, "lineitem")
+    raw = li.select(raw_date_text(li).alias("raw_date"))
+    e1 = qa.evidence(raw, parse_mixed_date("raw_date").isNull(), "raw_date", "unparsable_date", "lineitem")
+    p = _t(spark, sf_dir, "part")
+    k = F.col("p_partkey") % 3
+    rt = p.select((F.when(k == 0, F.lower("p_type")).when(k == 1, F.concat(F.lit(" "), "p_type", F.lit(" ")))
+                   .otherwise(F.col("p_type"))).alias("raw_type"))
+    rt = clean.whitelist(rt, "raw_type", CATEGORY_WHITELIST, "Other", "cat")
+    e2 = qa.evidence(rt, F.col("cat") == "Other", "raw_type", "invalid_category", "part")
+    c = _t(spark, sf_dir, "customer")
+    e3 = qa.evidence(c, F.col("c_acctbal") < 0, "c_name", "negative_balance", "customer")
+    return e1.unionByName(e2).unionByName(e3)

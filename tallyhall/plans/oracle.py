@@ -1178,3 +1178,17 @@ SELECT month_start, metric, value, baseline, round(value - baseline, 6) AS delta
        round((value - baseline) / NULLIF(abs(baseline), 0) * 100, 6) AS delta_pct,
        CASE WHEN value - baseline > 0 THEN 'up' WHEN value - baseline < 0 THEN 'down' ELSE 'flat' END AS direction
 FROM e WHERE baseline IS NOT NULL AND value IS NOT NULL"""
+
+ORACLE["finding_evidence"] = f"""
+WITH v AS (
+  SELECT DISTINCT 'unparsable_date' AS rule, 'lineitem' AS source, raw_date AS value
+  FROM (SELECT {RAW_DATE_SQL} AS raw_date FROM lineitem) WHERE {sql_parse_date('raw_date')} IS NULL
+  UNION ALL
+  SELECT DISTINCT 'invalid_category', 'part', raw_type FROM (
+    SELECT CASE p_partkey % 3 WHEN 0 THEN lower(p_type) WHEN 1 THEN ' ' || p_type || ' ' ELSE p_type END AS raw_type
+    FROM part) WHERE {sql_norm_key('raw_type')} NOT IN ('STANDARD', 'MEDIUM', 'ECONOMY', 'LARGE')
+  UNION ALL
+  SELECT DISTINCT 'negative_balance', 'customer', c_name FROM customer WHERE c_acctbal < 0)
+SELECT rule, source, rank, value FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY rule ORDER BY value) AS INTEGER) AS rank FROM v)
+WHERE rank <= 10"""
