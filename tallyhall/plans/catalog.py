@@ -1074,3 +1074,40 @@ def finding_evidence(spark, sf_dir):
     c = _t(spark, sf_dir, "customer")
     e3 = qa.evidence(c, F.col("c_acctbal") < 0, "c_name", "negative_balance", "customer")
     return e1.unionByName(e2).unionByName(e3)
+
+
+# ---------------------------------------------------------------- raw ingest
+def _raw_lineitem_csv(spark, sf_dir) -> str:
+    """Write lineitem as a dirty text extract (mixed date shapes, locale
+    numbers, padded flags, an always-blank column, all-blank rows) into a
+    fresh folder under the session's shared checkpoint folder."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    li = _t(spark, sf_dir, "lineitem")
+    cols = ["l_orderkey", "l_linenumber", "ship_date", "amount", "return_flag", "prop_code"]
+    rows = li.select(F.col("l_orderkey").cast("string").alias("l_orderkey"),
+                     F.col("l_linenumber").cast("string").alias("l_linenumber"),
+                     raw_date_text(li).alias("ship_date"), raw_number_text().alias("amount"),
+                     F.concat(F.lit(" "), "l_returnflag").alias("return_flag"),
+                     F.lit(None).cast("string").alias("prop_code"))
+    blanks = li.filter(F.col("l_linenumber") == 7).select(*[F.lit(" ").alias(c) for c in cols])
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tallyhall-raw/{uuid.uuid4().hex}/lineitem"
+    (rows.unionByName(blanks).write.mode("overwrite").option("header", True)
+     .option("ignoreTrailingWhiteSpace", False).option("ignoreLeadingWhiteSpace", False).csv(path))
+    return path
+
+
+@query("raw_csv_ingest")
+def raw_csv_ingest(spark, sf_dir):
+    from ..sources import io
+    path = _raw_lineitem_csv(spark, sf_dir)
+    job = io.SourceJob("pos_lines", path, date_cols=["ship_date"], num_cols=["amount"])
+    staged = io.stage(io.read_raw(spark, path), job)
+    return staged.select(
+        F.col("l_orderkey").cast("bigint").alias("l_orderkey"),
+        F.col("l_linenumber").cast("int").alias("l_linenumber"),
+        "ship_date", "amount", "return_flag",
+        ((F.col("_raw_row") >= 2) & F.col("_source_file").isNotNull()).cast("int").alias("lineage_ok"),
+        F.lit(",".join(staged.columns)).alias("staged_columns"))

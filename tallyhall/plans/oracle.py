@@ -1192,3 +1192,9 @@ WITH v AS (
 SELECT rule, source, rank, value FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY rule ORDER BY value) AS INTEGER) AS rank FROM v)
 WHERE rank <= 10"""
+
+ORACLE["raw_csv_ingest"] = f"""
+SELECT l_orderkey, l_linenumber, {sql_parse_date(RAW_DATE_SQL)} AS ship_date,
+       {sql_parse_number(RAW_NUMBER_SQL)} AS amount, l_returnflag AS return_flag, 1 AS lineage_ok,
+       'l_orderkey,l_linenumber,ship_date,amount,return_flag,_source_file,_raw_row' AS staged_columns
+FROM lineitem"""

@@ -58,7 +58,7 @@ def read_raw(spark: SparkSession, path: str, columns: list[str] | None = None,
     df = (df.join(F.broadcast(splits.drop("__n")), ["_source_file", "__blk"])
           .withColumn("_raw_row", (F.col("__off") + F.col("__mid") - F.col("__first") + 2)
                       .cast("long"))
-          .drop("__blk", "__mid", "__first", "__off"))
+          .select(*cols, "_source_file", "_raw_row"))
     tokens = list(na_tokens)
     return df.withColumns({c: F.when(trim_ws(c).isin(tokens), F.lit(None).cast("string"))
                            .otherwise(F.col(c)) for c in cols})
