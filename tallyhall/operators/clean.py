@@ -190,6 +190,8 @@ def line_numbers(df: DataFrame, group, order, out: str = "line_no", base: int =
     from .lookup import maybe_broadcast
     hot_keys = (df.groupBy(*group).agg(F.count("*").alias("__gn"))
                 .filter(F.col("__gn") > hot_threshold).drop("__gn"))
+    if hot_keys.limit(1).count() == 0:  # one small aggregate decides the plan
+        return df.withColumn(out, F.row_number().over(w) - 1 + base)
     # at most rows / hot_threshold keys: a bounded set, broadcast behind the size check
     hk = maybe_broadcast(hot_keys)
     cold = df.join(hk, group, "left_anti").withColumn(out, F.row_number().over(w) - 1 + base)
@@ -207,6 +209,10 @@ def _split_numbers(df: DataFrame, group, order, out, base, n_ranges=None) -> Dat
          .withColumn("__pid", F.spark_partition_id()))
     local = Window.partitionBy("__pid", *group).orderBy(*order)
     r = r.withColumn("__local", F.row_number().over(local))
+    # pin range ids (shared checkpoint folder): every branch and any retry
+    # sees the same assignment
+    from ..session import cut_lineage
+    r = cut_lineage(r)
     counts = r.groupBy(*group, "__pid").agg(F.count("*").alias("__n"))
     before = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")

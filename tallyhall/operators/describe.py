@@ -19,25 +19,63 @@ QUANTILES = [("p01", 0.01), ("p05", 0.05), ("q1", 0.25), ("median", 0.5), ("q3",
              ("p95", 0.95), ("p99", 0.99)]
 
 
+# Inputs whose estimated plan size is at most this are small enough for Spark's
+# exact ``percentile`` buffer (value -> count map, never larger than the input).
+PERCENTILE_BUFFER_BYTES = 64 * 1024 * 1024
+
+
+def quantile_method(df: DataFrame, method: str = "auto") -> str:
+    """Resolve ``'auto'``: ``'percentile'`` when the input is provably small
+    (Catalyst size estimate within the bound), else ``'distributed'``."""
+    if method != "auto":
+        return method
+    from .lookup import estimated_bytes
+    n = estimated_bytes(df)
+    return "percentile" if n is not None and n <= PERCENTILE_BUFFER_BYTES else "distributed"
+
+
+def quantiles(df: DataFrame, value: str, probs, by=None, method: str = "auto") -> DataFrame:
+    """``by`` columns plus ``quantiles`` (exact, aligned with ``probs``)."""
+    by = [] if by is None else ([by] if isinstance(by, str) else list(by))
+    m = quantile_method(df, method)
+    if m == "distributed":
+        return exact_quantiles(df, value, probs, by)
+    x = F.col(value).cast("double")
+    d = df.select(*by, x.alias("__x")).filter(F.col("__x").isNotNull() & ~F.isnan("__x"))
+    agg = F.percentile_approx("__x", list(probs), 10000) if m == "approx" else \
+        F.percentile("__x", list(probs))
+    return (d.groupBy(*by) if by else d).agg(agg.alias("quantiles"))
+
+
 def _q(c, p, approx, accuracy):
     if approx:
         return F.percentile_approx(c, p, accuracy)
     return F.percentile(c, p)
 
 
-def describe_series(df: DataFrame, col: str, by=None, approx: bool = False,
+def describe_series(df: DataFrame, col: str, by=None, method: str = "auto",
                     accuracy: int = 10000, places: int = 6) -> DataFrame:
     """Count, mean, std, min, p01, p05, q1, median, q3, p95, p99, max,
-    skew (bias-corrected) per ``by`` group (or globally); nulls skipped."""
+    skew (bias-corrected) per ``by`` group (or globally); nulls skipped.
+
+    ``method``: ``'distributed'`` (exact, :func:`exact_quantiles`, no group
+    in one task), ``'percentile'`` (Spark's exact buffer), ``'approx'``
+    (bounded sketch) or ``'auto'`` (size-checked choice of the first two).
+    """
     by = [] if by is None else ([by] if isinstance(by, str) else list(by))
     x = F.col(col).cast("double")
     d = df.select(*by, x.alias("__x")).filter(F.col("__x").isNotNull())
+    method = quantile_method(d, method)
     probs = [p for _, p in QUANTILES]
     aggs = [F.count("__x").alias("count"), F.avg("__x").alias("mean"),
             F.stddev_samp("__x").alias("std"), F.min("__x").alias("min"),
-            _q("__x", probs, approx, accuracy).alias("__qs"),  # one buffer for all quantiles
             F.max("__x").alias("max"), corrected_skew("__x").alias("skew")]
+    if method != "distributed":
+        aggs.append(_q("__x", probs, method == "approx", accuracy).alias("__qs"))
     g = (d.groupBy(*by) if by else d).agg(*aggs)
+    if method == "distributed":
+        qs = exact_quantiles(d, "__x", probs, by).withColumnRenamed("quantiles", "__qs")
+        g = g.join(qs, by, "left") if by else g.crossJoin(qs)
     g = g.select(*by, "count", "mean", "std", "min",
                  *[F.col("__qs")[i].alias(n) for i, (n, _) in enumerate(QUANTILES)], "max", "skew")
     return g.select(*by, "count", *[F.round(c, places).alias(c) for c in g.columns
@@ -45,12 +83,13 @@ def describe_series(df: DataFrame, col: str, by=None, approx: bool = False,
 
 
 def histogram(df: DataFrame, col: str, bins: int = 40, clip_q: float = 0.99,
-              places: int = 6) -> DataFrame:
+              places: int = 6, method: str = "auto") -> DataFrame:
     """Equal-width histogram after clipping at the ``clip_q`` quantile;
     every bin is reported, empty ones with count 0."""
     x = F.col(col).cast("double")
     d = df.select(x.alias("__x")).filter(F.col("__x").isNotNull())
-    stats = d.agg(F.min("__x").alias("__lo"), F.percentile("__x", clip_q).alias("__hi"))
+    clip = quantiles(d, "__x", [clip_q], None, method).select(F.col("quantiles")[0].alias("__hi"))
+    stats = d.agg(F.min("__x").alias("__lo")).crossJoin(clip)
     w = (F.col("__hi") - F.col("__lo"))
     clipped = F.least(F.col("__x"), F.col("__hi"))
     b = F.when(w > 0, F.least(F.floor((clipped - F.col("__lo")) / w * bins), F.lit(bins - 1))) \
@@ -84,3 +123,67 @@ def long_kpis(row: DataFrame, metrics, context: str | None = None) -> DataFrame:
     if context:
         out = out.withColumn("context", F.lit(context))
     return out
+
+
+def exact_quantiles(df: DataFrame, value: str, probs, by=None, n_ranges: int | None = None
+                    ) -> DataFrame:
+    """Exact linearly-interpolated quantiles without putting a group in one task.
+
+    1. value histogram ``(by, x) -> count`` (partial aggregation map-side);
+    2. range-partition the histogram on ``(by, x)`` so a large group spreads
+       over many tasks in value order, and take running counts per range;
+    3. a small (group, range) table gives each range's rank offset;
+    4. each target order statistic is routed to the range that holds it and
+       joined on (group, range) only, so no task sees more than one range.
+
+    Returns ``by`` columns plus ``quantiles`` (array aligned with ``probs``).
+    """
+    from pyspark.sql import Window
+    from .lookup import maybe_broadcast
+    by = [] if by is None else ([by] if isinstance(by, str) else list(by))
+    probs = list(probs)
+    n = n_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = (df.select(*by, F.col(value).cast("double").alias("__x"))
+         .filter(F.col("__x").isNotNull() & ~F.isnan("__x")))
+    h = (x.groupBy(*by, "__x").agg(F.count("*").alias("__c"))
+         .repartitionByRange(n, *by, "__x").withColumn("__pid", F.spark_partition_id()))
+    local = Window.partitionBy("__pid", *by).orderBy("__x").rowsBetween(Window.unboundedPreceding, 0)
+    h = h.withColumn("__cum", F.sum("__c").over(local))
+    # pin the ranged histogram (shared checkpoint folder) so every branch
+    # below sees the same range ids, also after executor loss
+    from ..session import cut_lineage
+    h = cut_lineage(h)
+    tot = h.groupBy(*by, "__pid").agg(F.sum("__c").alias("__t"))
+    before = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*by)
+    tot = (tot.withColumn("__off", F.coalesce(F.sum("__t").over(before), F.lit(0)))
+           .withColumn("__n", F.sum("__t").over(whole)))
+    # target order statistics (0-based ranks) per group
+    pa = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"))
+                   for i, p in enumerate(probs)])
+    groups = tot.select(*by, "__n").distinct()
+    t = (groups.select(*by, "__n", F.explode(pa).alias("q"))
+         .select(*by, "__n", "q.i", "q.p", ((F.col("__n") - 1) * F.col("q.p")).alias("pos")))
+    t = t.select(*by, "i", "pos",
+                 F.explode(F.array(F.struct(F.floor("pos").alias("k"), F.lit(0).alias("side")),
+                                   F.struct(F.ceil("pos").alias("k"), F.lit(1).alias("side"))))
+                 .alias("kk")).select(*by, "i", "pos", "kk.k", "kk.side")
+    # route each rank to its range: (group, range) table is groups × ranges rows
+    tr = t.join(maybe_broadcast(tot.select(*by, "__pid", "__off", "__t")), by) if by else \
+        t.crossJoin(F.broadcast(tot.select("__pid", "__off", "__t")))
+    tr = tr.filter((F.col("k") >= F.col("__off")) & (F.col("k") < F.col("__off") + F.col("__t")))
+    hv = h.join(tot.select(*by, "__pid", "__off"), [*by, "__pid"])
+    hv = hv.withColumn("__hi", F.col("__off") + F.col("__cum")).withColumn(
+        "__lo", F.col("__hi") - F.col("__c"))
+    picked = (hv.join(tr.drop("__off", "__t"), [*by, "__pid"])
+              .filter((F.col("k") >= F.col("__lo")) & (F.col("k") < F.col("__hi"))))
+    per_q = picked.groupBy(*by, "i", "pos").agg(
+        F.max(F.when(F.col("side") == 0, F.col("__x"))).alias("vlo"),
+        F.max(F.when(F.col("side") == 1, F.col("__x"))).alias("vhi"))
+    lo_k, hi_k = F.floor("pos"), F.ceil("pos")
+    qv = F.when(lo_k == hi_k, F.col("vlo")).otherwise(
+        (hi_k - F.col("pos")) * F.col("vlo") + (F.col("pos") - lo_k) * F.col("vhi"))
+    per_q = per_q.withColumn("qv", qv)
+    agg = (per_q.groupBy(*by) if by else per_q).agg(
+        F.sort_array(F.collect_list(F.struct("i", "qv"))).alias("__qs"))
+    return agg.select(*by, F.transform("__qs", lambda s: s["qv"]).alias("quantiles"))

@@ -23,7 +23,7 @@ class GateFailed(RuntimeError):
 
 
 def profile(df: DataFrame, table: str, approx_distinct: bool = False,
-            approx_quantiles: bool = False) -> DataFrame:
+            approx_quantiles: bool = False, quantile_method: str = "auto") -> DataFrame:
     """One row per column with null count and %, distinct count,
     numeric summary, plus the table's duplicate-row count (null-equal)."""
     cols = df.columns
@@ -36,13 +36,25 @@ def profile(df: DataFrame, table: str, approx_distinct: bool = False,
                     .alias(f"nd{i}"))
         if c in numeric:
             xd = x.cast("double")
-            qs = (F.percentile_approx(xd, [0.25, 0.5, 0.75], 10000) if approx_quantiles
-                  else F.percentile(xd, [0.25, 0.5, 0.75]))
             aggs += [F.avg(xd).alias(f"mean{i}"), F.stddev_samp(xd).alias(f"std{i}"),
-                     F.min(xd).alias(f"min{i}"), qs.alias(f"qs{i}"), F.max(xd).alias(f"max{i}")]
+                     F.min(xd).alias(f"min{i}"), F.max(xd).alias(f"max{i}")]
+            if approx_quantiles:
+                aggs.append(F.percentile_approx(xd, [0.25, 0.5, 0.75], 10000).alias(f"qs{i}"))
     wide = df.agg(*aggs)
-    wide = wide.select("*", *[F.col(f"qs{i}")[j].alias(f"{n}{i}") for i, c in enumerate(cols)
-                              if c in numeric for j, n in enumerate(["q1", "med", "q3"])])
+    num_idx = [i for i, c in enumerate(cols) if c in numeric]
+    if num_idx and not approx_quantiles:
+        # exact quartiles of every numeric column in one distributed job:
+        # stack (column, value) and group the quantiles by column
+        from .describe import quantiles
+        long = df.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("ci"), F.col(f"`{cols[i]}`").cast("double").alias("v"))
+            for i in num_idx])).alias("s")).select("s.ci", "s.v")
+        q = quantiles(long, "v", [0.25, 0.5, 0.75], "ci", quantile_method)
+        qrow = q.agg(*[F.max(F.when(F.col("ci") == i, F.col("quantiles"))).alias(f"qs{i}")
+                       for i in num_idx])
+        wide = wide.crossJoin(qrow)
+    wide = wide.select("*", *[F.col(f"qs{i}")[j].alias(f"{n}{i}") for i in num_idx
+                              for j, n in enumerate(["q1", "med", "q3"])])
     dup = duplicate_rows(df).withColumnRenamed("duplicate_rows", "__dup")
     wide = wide.crossJoin(dup)
     structs = []

@@ -55,12 +55,16 @@ def zscores(df: DataFrame, value: str, by=None, out: str = "z") -> DataFrame:
         .drop("_mean", "_std")
 
 
-def iqr_fences(df: DataFrame, value: str, by=None, k: float = 1.5) -> DataFrame:
+def iqr_fences(df: DataFrame, value: str, by=None, k: float = 1.5,
+               method: str = "auto") -> DataFrame:
     """Rows outside [q1 - k·IQR, q3 + k·IQR] of their series."""
+    from .describe import quantiles
     by = _list(by)
-    q = (df.groupBy(*by) if by else df).agg(F.percentile(value, 0.25).alias("_q1"),
-                                             F.percentile(value, 0.75).alias("_q3"))
-    j = df.join(F.broadcast(q), by) if by else df.crossJoin(F.broadcast(q))
+    q = quantiles(df, value, [0.25, 0.75], by, method).select(
+        *by, F.col("quantiles")[0].alias("_q1"), F.col("quantiles")[1].alias("_q3"))
+    # one row per series: bounded by the number of series, size-checked
+    from .lookup import maybe_broadcast
+    j = df.join(maybe_broadcast(q), by) if by else df.crossJoin(F.broadcast(q))
     lo = F.col("_q1") - k * (F.col("_q3") - F.col("_q1"))
     hi = F.col("_q3") + k * (F.col("_q3") - F.col("_q1"))
     return (j.withColumn("lower_fence", lo).withColumn("upper_fence", hi)

@@ -155,3 +155,21 @@ def test_line_numbers_split_hot_group_matches_window(spark):
     got = {(r["g"], r["o"]): r["n"] for r in split.collect()}
     assert got == plain
     assert got[(0, 2999)] == 3000
+
+
+def test_distributed_quantiles_match_percentile(spark):
+    import random
+    from tallyhall.operators.describe import describe_series, exact_quantiles
+    rnd = random.Random(7)
+    rows = [("hot", float(rnd.randint(0, 5000))) for _ in range(20000)]
+    rows += [(f"g{k}", rnd.random() * 10) for k in range(30) for _ in range(7)] + [("one", 3.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
+    a = {r["g"]: r["quantiles"] for r in exact_quantiles(df, "v", probs, "g", n_ranges=6).collect()}
+    b = {r["g"]: r["q"] for r in df.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()}
+    assert a.keys() == b.keys()
+    for g in b:
+        assert a[g] == pytest.approx(b[g], rel=1e-12, abs=1e-12)
+    d1 = describe_series(df, "v", "g", method="distributed").orderBy("g").collect()
+    d2 = describe_series(df, "v", "g", method="percentile").orderBy("g").collect()
+    assert [r.asDict() for r in d1] == [r.asDict() for r in d2]
