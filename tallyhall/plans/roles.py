@@ -72,6 +72,37 @@ def read_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             if os.path.exists(os.path.join(sf_dir, f"{t}.parquet"))}
 
 
+# DataFrames are immutable plans: a scan (file listing + footer) or the
+# generated calendar is planned once per session and reused by every query.
+_FRAMES: dict[tuple, DataFrame] = {}
+
+
+# A scan with fewer splits than the cluster's cores (e.g. one large row group)
+# is rebalanced when it is at least this big; well-split inputs are untouched.
+REBALANCE_MIN_BYTES = 4 * 1024 * 1024
+
+
+def read_cached(spark: SparkSession, path: str, rebalance: bool = True) -> DataFrame:
+    key = (id(spark), path, rebalance)
+    if key not in _FRAMES:
+        df = spark.read.parquet(path)
+        if rebalance:
+            df = _rebalance_if_undersplit(df)
+        _FRAMES[key] = df
+    return _FRAMES[key]
+
+
+def _rebalance_if_undersplit(df: DataFrame) -> DataFrame:
+    from ..operators.lookup import estimated_bytes
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = estimated_bytes(df) or 0
+    if size < REBALANCE_MIN_BYTES:
+        return df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 class Star:
     """Lazily built dimensions and facts over one data folder."""
 
@@ -82,11 +113,7 @@ class Star:
         self.cal_lo, self.cal_hi = cal_lo, cal_hi
 
     def t(self, name: str) -> DataFrame:
-        if not hasattr(self, "_tables"):
-            self._tables = {}
-        if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
-        return self._tables[name]
+        return read_cached(self.spark, os.path.join(self.sf_dir, f"{name}.parquet"))
 
     # ------------------------------------------------------------ dimensions
     @cached_property
@@ -105,7 +132,10 @@ class Star:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return calendar_between(self.spark, self.cal_lo, self.cal_hi)
+        key = (id(self.spark), "calendar", self.cal_lo, self.cal_hi)
+        if key not in _FRAMES:
+            _FRAMES[key] = calendar_between(self.spark, self.cal_lo, self.cal_hi)
+        return _FRAMES[key]
 
     @cached_property
     def dim_account(self) -> DataFrame:

@@ -24,6 +24,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Python call-site capture for error messages costs several JVM round
+    # trips per column function while plans are built; off for batch jobs.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -53,7 +56,8 @@ def get_session(master: str | None = None, app: str = "tallyhall",
 def configure(spark: SparkSession) -> SparkSession:
     """Apply runtime SQL settings that are safe to set on a live session."""
     for k, v in DEFAULT_CONF.items():
-        if k.startswith("spark.sql.") and k != "spark.sql.session.timeZone":
+        if (k.startswith("spark.sql.") or k.startswith("spark.python.sql.")) \
+                and k != "spark.sql.session.timeZone":
             try:
                 if spark.conf.get(k, None) is None:
                     spark.conf.set(k, v)

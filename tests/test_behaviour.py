@@ -173,3 +173,12 @@ def test_distributed_quantiles_match_percentile(spark):
     d1 = describe_series(df, "v", "g", method="distributed").orderBy("g").collect()
     d2 = describe_series(df, "v", "g", method="percentile").orderBy("g").collect()
     assert [r.asDict() for r in d1] == [r.asDict() for r in d2]
+
+
+def test_size_checked_broadcast(spark):
+    small = spark.range(10)
+    assert lk.estimated_bytes(small) is not None
+    j = spark.range(1000).join(lk.maybe_broadcast(small), "id")
+    assert "BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString()
+    j2 = spark.range(1000).join(lk.maybe_broadcast(small, max_bytes=1), "id")
+    assert lk.maybe_broadcast(small, max_bytes=1) is small
