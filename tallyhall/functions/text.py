@@ -11,7 +11,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_WS_EDGES = r"^\s+|\s+$"
+# The whitespace characters stripped by trim_ws (Java ``\s``).
+WS_CHARS = " \t\n\x0b\f\r"
 
 
 def _c(c) -> Column:
@@ -21,7 +22,7 @@ def _c(c) -> Column:
 def trim_ws(c) -> Column:
     """Strip leading/trailing whitespace including tabs and newlines (SQL
     ``trim`` strips spaces only)."""
-    return F.regexp_replace(_c(c), _WS_EDGES, "")
+    return F.btrim(_c(c), F.lit(WS_CHARS))
 
 
 def is_blank(c) -> Column:
