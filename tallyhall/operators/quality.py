@@ -243,11 +243,13 @@ def domain_check(df: DataFrame, domain: str, col: str, allowed) -> DataFrame:
 
 def evidence(df: DataFrame, bad: Column, value, rule: str, source: str, k: int = 10) -> DataFrame:
     """The first ``k`` sorted distinct offending values of a rule, as rows
-    (rule, source, rank, value). ``row_number() <= k`` lets Spark apply the
-    group limit inside each task before the shuffle."""
+    (rule, source, rank, value). ``orderBy(...).limit(k)`` runs as a top-k
+    inside every task before the merge, so no task sees all values; the rank
+    is then numbered over the at most ``k`` survivors."""
     from pyspark.sql import Window
     v = (F.col(value) if isinstance(value, str) else value).cast("string")
-    d = df.filter(F.coalesce(bad, F.lit(False))).select(v.alias("value")).distinct()
-    w = Window.partitionBy(F.lit(rule)).orderBy("value")
-    return (d.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select(F.lit(rule).alias("rule"), F.lit(source).alias("source"), "rank", "value"))
+    d = (df.filter(F.coalesce(bad, F.lit(False))).select(v.alias("value")).distinct()
+         .orderBy("value").limit(k))
+    w = Window.orderBy("value")  # over <= k rows
+    return d.select(F.lit(rule).alias("rule"), F.lit(source).alias("source"),
+                    F.row_number().over(w).alias("rank"), "value")
