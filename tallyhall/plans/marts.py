@@ -66,7 +66,7 @@ def fnb_daily(star: Star) -> DataFrame:
         F.sum("disc").alias("fnb_discount"),
         F.sum("voids").cast("bigint").alias("void_lines"),
         F.sum("lines").cast("bigint").alias("fnb_lines"),
-        F.count("*").alias("fnb_transactions"))
+        F.count("transaction_id").alias("fnb_transactions"))
 
 
 def expense_daily(star: Star) -> DataFrame:
@@ -177,7 +177,7 @@ def fnb_monthly(star: Star) -> DataFrame:
         F.sum("voids").cast("bigint").alias("void_lines"),
         F.sum("refunds").cast("bigint").alias("refund_lines"),
         F.sum("lines").cast("bigint").alias("lines"),
-        F.count("*").alias("transactions"))
+        F.count("transaction_id").alias("transactions"))
     g = g.join(F.broadcast(star.dim_property.select("property_id", "property_name")),
                "property_id")
     return g.select(

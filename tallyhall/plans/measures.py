@@ -186,6 +186,19 @@ DERIVED: dict[str, tuple[list[str], Callable[[], Column]]] = {
 }
 
 
+def _fnb_two_level(df: DataFrame, group_by, wanted) -> DataFrame:
+    """POS base measures via per-transaction partials (no countDistinct row
+    expansion; a hot group is pre-aggregated map-side)."""
+    from .marts import per_transaction
+    t = per_transaction(df, group_by)
+    second = {"fnb_gross_sales": F.sum("gross"), "fnb_net_revenue": F.sum("net_clean"),
+              "fnb_cogs": F.sum("cogs"), "fnb_discount": F.sum("disc"),
+              "fnb_lines": F.sum("lines").cast("bigint"), "void_lines": F.sum("voids").cast("bigint"),
+              "fnb_transactions": F.count("transaction_id")}
+    g = t.groupBy(*group_by) if group_by else t
+    return g.agg(*[second[b].alias(b) for b in wanted])
+
+
 def _apply_filters(df: DataFrame, filters) -> DataFrame:
     """Apply each filter the fact can see; a fact without the filtered
     attribute is unaffected (single-direction dim -> fact filtering)."""
@@ -217,6 +230,9 @@ def measures(star: Star, names, group_by, filters=None) -> DataFrame:
         if any(g not in df.columns for g in group_by):
             continue  # the fact cannot be split by this grain
         df = _apply_filters(df, filters)
+        if fname == "fnb":
+            frames.append(_fnb_two_level(df, group_by, wanted))
+            continue
         named = spec.base()
         frames.append(df.groupBy(*group_by).agg(*[named[b] for b in wanted]))
     out = frames[0]
