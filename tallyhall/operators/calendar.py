@@ -35,10 +35,11 @@ HOLIDAY_WINDOW_DAYS = 1
 def holiday_dates(spark: SparkSession, years: DataFrame, explicit=None) -> DataFrame:
     """Holiday rows (holiday_date, holiday_name) for every year in ``years``
     (a frame with an int column ``year``) plus explicit ``{date: name}``."""
-    fixed = spark.createDataFrame(FIXED_DATE_HOLIDAYS, "h_month int, h_day int, holiday_name string")
-    per_year = (F.broadcast(years).crossJoin(F.broadcast(fixed))
-                .select(F.make_date("year", "h_month", "h_day").alias("holiday_date"),
-                        F.concat_ws(" ", "holiday_name", F.col("year").cast("string"))
+    fixed = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(d).alias("d"), F.lit(n).alias("name"))
+                      for m, d, n in FIXED_DATE_HOLIDAYS])
+    per_year = (years.select("year", F.explode(fixed).alias("h"))
+                .select(F.make_date("year", "h.m", "h.d").alias("holiday_date"),
+                        F.concat_ws(" ", "h.name", F.col("year").cast("string"))
                         .alias("holiday_name")))
     if explicit:
         rows = [(d if isinstance(d, dt.date) else dt.date.fromisoformat(d), n)

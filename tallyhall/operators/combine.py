@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 from .lookup import maybe_broadcast
 
 
+def with_scalars(df: DataFrame, one_row: DataFrame, cols=None) -> DataFrame:
+    """Attach the columns of a one-row frame (a global aggregate) to every row
+    of ``df`` as scalar subqueries. Each is computed once and the optimizer
+    merges subqueries over the same aggregate into one; no join, no pairing."""
+    cols = list(cols or one_row.columns)
+    return df.withColumns({c: one_row.select(F.col(f"`{c}`")).scalar() for c in cols})
+
+
 def outer_merge(left: DataFrame, right: DataFrame, keys, fill=0) -> DataFrame:
     """Full outer merge of two aggregates on ``keys``; missing measures
     become ``fill``."""
@@ -49,7 +57,7 @@ def attach_global_stats(df: DataFrame, col: str, by=None) -> DataFrame:
                                                 F.stddev_samp(col).alias("_std"))
     if by:
         return df.join(maybe_broadcast(stats), by, "left")
-    return df.crossJoin(F.broadcast(stats))
+    return with_scalars(df, stats)
 
 
 def union_distinct(frames, col: str) -> DataFrame:

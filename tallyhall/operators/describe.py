@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import corrected_skew
+from .combine import with_scalars
 
 # The quantiles reported by describe_series, with their names.
 QUANTILES = [("p01", 0.01), ("p05", 0.05), ("q1", 0.25), ("median", 0.5), ("q3", 0.75),
@@ -75,7 +76,7 @@ def describe_series(df: DataFrame, col: str, by=None, method: str = "auto",
     g = (d.groupBy(*by) if by else d).agg(*aggs)
     if method == "distributed":
         qs = exact_quantiles(d, "__x", probs, by).withColumnRenamed("quantiles", "__qs")
-        g = g.join(qs, by, "left") if by else g.crossJoin(qs)
+        g = g.join(qs, by, "left") if by else with_scalars(g, qs)
     g = g.select(*by, "count", "mean", "std", "min",
                  *[F.col("__qs")[i].alias(n) for i, (n, _) in enumerate(QUANTILES)], "max", "skew")
     return g.select(*by, "count", *[F.round(c, places).alias(c) for c in g.columns
@@ -89,12 +90,12 @@ def histogram(df: DataFrame, col: str, bins: int = 40, clip_q: float = 0.99,
     x = F.col(col).cast("double")
     d = df.select(x.alias("__x")).filter(F.col("__x").isNotNull())
     clip = quantiles(d, "__x", [clip_q], None, method).select(F.col("quantiles")[0].alias("__hi"))
-    stats = d.agg(F.min("__x").alias("__lo")).crossJoin(clip)
+    stats = with_scalars(d.agg(F.min("__x").alias("__lo")), clip)
     w = (F.col("__hi") - F.col("__lo"))
     clipped = F.least(F.col("__x"), F.col("__hi"))
     b = F.when(w > 0, F.least(F.floor((clipped - F.col("__lo")) / w * bins), F.lit(bins - 1))) \
         .otherwise(F.lit(0)).cast("int")
-    counts = d.crossJoin(F.broadcast(stats)).groupBy(b.alias("bin")).agg(F.count("*").alias("n"))
+    counts = with_scalars(d, stats).groupBy(b.alias("bin")).agg(F.count("*").alias("n"))
     edges = stats.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
                          "__lo", "__hi")
     ww = (F.col("__hi") - F.col("__lo")) / bins
@@ -141,6 +142,9 @@ def exact_quantiles(df: DataFrame, value: str, probs, by=None, n_ranges: int | N
     from pyspark.sql import Window
     from .lookup import maybe_broadcast
     by = [] if by is None else ([by] if isinstance(by, str) else list(by))
+    whole_input = not by
+    if whole_input:  # one constant group: every step below joins on keys
+        df, by = df.withColumn("__all", F.lit(0)), ["__all"]
     probs = list(probs)
     n = n_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     x = (df.select(*by, F.col(value).cast("double").alias("__x"))
@@ -169,8 +173,7 @@ def exact_quantiles(df: DataFrame, value: str, probs, by=None, n_ranges: int | N
                                    F.struct(F.ceil("pos").alias("k"), F.lit(1).alias("side"))))
                  .alias("kk")).select(*by, "i", "pos", "kk.k", "kk.side")
     # route each rank to its range: (group, range) table is groups × ranges rows
-    tr = t.join(maybe_broadcast(tot.select(*by, "__pid", "__off", "__t")), by) if by else \
-        t.crossJoin(F.broadcast(tot.select("__pid", "__off", "__t")))
+    tr = t.join(maybe_broadcast(tot.select(*by, "__pid", "__off", "__t")), by)
     tr = tr.filter((F.col("k") >= F.col("__off")) & (F.col("k") < F.col("__off") + F.col("__t")))
     hv = h.join(tot.select(*by, "__pid", "__off"), [*by, "__pid"])
     hv = hv.withColumn("__hi", F.col("__off") + F.col("__cum")).withColumn(
@@ -184,6 +187,7 @@ def exact_quantiles(df: DataFrame, value: str, probs, by=None, n_ranges: int | N
     qv = F.when(lo_k == hi_k, F.col("vlo")).otherwise(
         (hi_k - F.col("pos")) * F.col("vlo") + (F.col("pos") - lo_k) * F.col("vhi"))
     per_q = per_q.withColumn("qv", qv)
-    agg = (per_q.groupBy(*by) if by else per_q).agg(
+    agg = per_q.groupBy(*by).agg(
         F.sort_array(F.collect_list(F.struct("i", "qv"))).alias("__qs"))
-    return agg.select(*by, F.transform("__qs", lambda s: s["qv"]).alias("quantiles"))
+    out = agg.select(*by, F.transform("__qs", lambda s: s["qv"]).alias("quantiles"))
+    return out.drop("__all") if whole_input else out

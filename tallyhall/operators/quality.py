@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ..functions.stats import dq_tier
+from .combine import with_scalars
 from .lookup import maybe_broadcast
 
 
@@ -52,11 +53,11 @@ def profile(df: DataFrame, table: str, approx_distinct: bool = False,
         q = quantiles(long, "v", [0.25, 0.5, 0.75], "ci", quantile_method)
         qrow = q.agg(*[F.max(F.when(F.col("ci") == i, F.col("quantiles"))).alias(f"qs{i}")
                        for i in num_idx])
-        wide = wide.crossJoin(qrow)
+        wide = with_scalars(wide, qrow)
     wide = wide.select("*", *[F.col(f"qs{i}")[j].alias(f"{n}{i}") for i in num_idx
                               for j, n in enumerate(["q1", "med", "q3"])])
     dup = duplicate_rows(df).withColumnRenamed("duplicate_rows", "__dup")
-    wide = wide.crossJoin(dup)
+    wide = with_scalars(wide, dup)
     structs = []
     for i, c in enumerate(cols):
         num = c in numeric
@@ -192,7 +193,7 @@ def source_health(specs: list[SourceSpec], weights=None) -> DataFrame:
             F.count_if(good).alias("records_clean"),
             F.max(s.date_col).alias("latest_record_date"))
         keys = s.df.groupBy(*s.pk).count().agg(F.count("*").alias("n_keys"))
-        frames.append(rows.crossJoin(keys).select(
+        frames.append(with_scalars(rows, keys).select(
             F.lit(s.name).alias("source"), F.lit(s.system).alias("source_system"), "*"))
     u = frames[0]
     for f in frames[1:]:
@@ -215,7 +216,7 @@ def source_health(specs: list[SourceSpec], weights=None) -> DataFrame:
     dims = ["completeness_pct", "uniqueness_pct", "validity_pct", "consistency_pct",
             "integrity_pct", "mapping_completion_pct"]
     score = sum(F.col(d) * wt for d, wt in zip(dims, w)) / float(sum(w))
-    return (u.crossJoin(F.broadcast(latest))
+    return (with_scalars(u, latest)
             .withColumn("freshness_days", F.datediff("__asof", "latest_record_date"))
             .withColumn("quality_score", F.round(score, 6))
             .withColumn("dq_tier", dq_tier("quality_score"))

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .combine import attach_global_stats
+from .combine import attach_global_stats, with_scalars
 
 
 def _list(x):
@@ -25,7 +25,9 @@ def _list(x):
 
 def _w(by, order):
     by = _list(by)
-    return (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(*_list(order))
+    if not by:  # an unpartitioned window puts the whole input in one task
+        raise ValueError("series windows need partition columns (by=...)")
+    return Window.partitionBy(*by).orderBy(*_list(order))
 
 
 def rolling_mean(df: DataFrame, value: str, order: str, by=None, n: int = 7,
@@ -64,7 +66,7 @@ def iqr_fences(df: DataFrame, value: str, by=None, k: float = 1.5,
         *by, F.col("quantiles")[0].alias("_q1"), F.col("quantiles")[1].alias("_q3"))
     # one row per series: bounded by the number of series, size-checked
     from .lookup import maybe_broadcast
-    j = df.join(maybe_broadcast(q), by) if by else df.crossJoin(F.broadcast(q))
+    j = df.join(maybe_broadcast(q), by) if by else with_scalars(df, q)
     lo = F.col("_q1") - k * (F.col("_q3") - F.col("_q1"))
     hi = F.col("_q3") + k * (F.col("_q3") - F.col("_q1"))
     return (j.withColumn("lower_fence", lo).withColumn("upper_fence", hi)

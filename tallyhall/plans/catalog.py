@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import marts
+from ..operators.combine import with_scalars
 from .roles import Star
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -452,7 +453,7 @@ def set_difference(spark, sf_dir):
 def _data_bounds(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").agg(F.min(F.to_date("o_orderdate")).alias("lo"))
     li = _t(spark, sf_dir, "lineitem").agg(F.max(F.to_date("l_shipdate")).alias("hi"))
-    return o.crossJoin(li)
+    return with_scalars(o, li)
 
 
 @query("calendar_dim")
@@ -545,7 +546,7 @@ def kpi_long(spark, sf_dir):
     f = star.fact_fnb_sales.agg(
         F.sum(F.when(clean_, F.col("net_sales")).otherwise(0)).alias("fnb_net_revenue"),
         F.sum("cogs_amount").alias("fnb_cogs"))
-    row = r.crossJoin(f).select(
+    row = with_scalars(r, f).select(
         "*", (F.col("fnb_net_revenue") - F.col("fnb_cogs")).alias("gross_profit"),
         (F.col("fnb_cogs").cast("double") / F.nullif(F.col("fnb_net_revenue").cast("double"), F.lit(0.0))
          * 100).alias("food_cost_pct"),
@@ -886,7 +887,7 @@ def reconcile_kpis(spark, sf_dir):
                F.sum("cogs_amount").alias("fnb_cogs"))
     ea = marts.expense_daily(star).agg(F.sum("opex").alias("opex"),
                                        F.sum("other_income").alias("other_income"))
-    b = r.crossJoin(fa).crossJoin(ea).select(
+    b = with_scalars(with_scalars(r, fa), ea).select(
         *[F.round(F.col(m).cast("double"), 2).alias(m) for m in RECONCILE_METRICS])
     return qa.reconcile(ds.long_kpis(a, RECONCILE_METRICS), ds.long_kpis(b, RECONCILE_METRICS))
 

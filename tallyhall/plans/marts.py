@@ -80,15 +80,25 @@ def expense_daily(star: Star) -> DataFrame:
                      F.col("amount")).otherwise(_zero())).alias("other_income"))
 
 
+def property_days(star: Star, p: DataFrame) -> DataFrame:
+    """Each property row once per day of the reporting window: a generator
+    on the property dim, not a pairing join. Size = properties × days."""
+    days = F.sequence(F.to_date(F.lit(star.cal_lo)), F.to_date(F.lit(star.cal_hi)))
+    return p.select("*", F.explode(days).alias("full_date"))
+
+
 def spine(star: Star, business_types=None) -> DataFrame:
-    """Calendar × properties (both bounded, broadcast)."""
+    """Calendar × properties. Properties are expanded over the window's
+    days, then the calendar attributes come by an equi-join on the date
+    against the broadcast calendar (days in the window: bounded)."""
     p = star.dim_property
     if business_types:
         p = p.filter(F.col("business_type").isin(list(business_types)))
     d = star.dim_date.select("date_key", "full_date", "year", "month", "quarter",
                              "is_weekend", "is_holiday_flag")
-    return d.crossJoin(F.broadcast(p.select("property_id", "property_name",
-                                            "business_type", "rooms")))
+    pd = property_days(star, p.select("property_id", "property_name", "business_type", "rooms"))
+    return pd.join(F.broadcast(d), "full_date").select(*d.columns, "property_id",
+                                                       "property_name", "business_type", "rooms")
 
 
 def kpi_daily(star: Star, business_types=None) -> DataFrame:

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import safe_div
-from ..operators.combine import prior_period
+from ..operators.combine import prior_period, with_scalars
+from .marts import property_days
 from .roles import OTHER_INCOME_CODES, Star
 
 DATE_ATTRS = ["year", "quarter", "month", "month_start", "full_date"]
@@ -68,7 +69,7 @@ def _capacity(star):
     """Calendar × hotel properties: available room nights per day."""
     d = star.dim_date.select("full_date")
     p = star.dim_property.filter(F.col("rooms").isNotNull())
-    return (d.crossJoin(F.broadcast(p))
+    return (property_days(star, p).join(F.broadcast(d), "full_date")
             .withColumns({k: v for k, v in _date_attrs(F.col("full_date")).items()
                           if k != "full_date"}))
 
@@ -237,7 +238,7 @@ def measures(star: Star, names, group_by, filters=None) -> DataFrame:
         frames.append(df.groupBy(*group_by).agg(*[named[b] for b in wanted]))
     out = frames[0]
     for f in frames[1:]:
-        out = out.join(f, group_by, "full") if group_by else out.crossJoin(f)
+        out = out.join(f, group_by, "full") if group_by else with_scalars(out, f)
     cols = [F.col(g) for g in group_by]
     for n in names:
         if n in DERIVED:
