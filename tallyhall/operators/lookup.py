@@ -124,17 +124,26 @@ def contains_match(strings: DataFrame, col: str, dim: DataFrame, dim_text: str,
     """Canonical text contained in the normalized raw string (also with
     spaces removed); the first dim entry in ``dim_order`` wins.
 
-    Runs on the distinct raw strings against a small dimension (broadcast
-    nested loop); the result is a map that is then equi-joined.
+    A match with spaces is also one without, so the test is containment of
+    the space-free canonical key in the space-free raw key. It runs as an
+    equi-join: each distinct raw key yields its substrings of exactly the
+    lengths that occur among the canonical keys (a small array taken as a
+    scalar subquery), joined on equality. No string x entry pairs are formed;
+    work grows with text length x distinct key lengths.
     """
-    s = strings.select(F.col(col).alias("__raw")).distinct().withColumn("__k", norm_key("__raw"))
-    d = (dim.select(norm_key(dim_text).alias("__ck"), F.col(dim_id).alias("__id"),
-                    F.col(dim_order).alias("__ord"))
+    nospace = F.replace(norm_key("__raw"), F.lit(" "), F.lit(""))
+    s = strings.select(F.col(col).alias("__raw")).distinct().withColumn("__k", nospace)
+    d = (dim.select(F.replace(norm_key(dim_text), F.lit(" "), F.lit("")).alias("__ck"),
+                    F.col(dim_id).alias("__id"), F.col(dim_order).alias("__ord"))
          .filter(F.col("__ck") != ""))
-    k, ck = F.col("__k"), F.col("__ck")
-    cond = (F.instr(k, ck) > 0) | (F.instr(F.replace(k, F.lit(" "), F.lit("")),
-                                           F.replace(ck, F.lit(" "), F.lit(""))) > 0)
-    pairs = s.join(F.broadcast(d), cond, "inner")
+    lengths = d.select(F.array_sort(F.collect_set(F.length("__ck")))).scalar()
+    n = F.length("__k")
+    cand = (s.select("__raw", "__k", F.explode(lengths).alias("__w"))
+            .filter(F.col("__w") <= n)
+            .select("__raw", "__k", "__w", F.explode(F.sequence(F.lit(1), n - F.col("__w") + 1))
+                    .alias("__i"))
+            .select("__raw", F.expr("substring(__k, __i, __w)").alias("__ck")))
+    pairs = cand.join(maybe_broadcast(d), "__ck")
     best = pairs.groupBy("__raw").agg(F.min_by("__id", F.struct("__ord", "__id")).alias(out))
     return best.withColumnRenamed("__raw", col)
 
