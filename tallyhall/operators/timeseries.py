@@ -25,9 +25,9 @@ def _list(x):
 
 def _w(by, order):
     by = _list(by)
-    if not by:  # an unpartitioned window puts the whole input in one task
-        raise ValueError("series windows need partition columns (by=...)")
-    return Window.partitionBy(*by).orderBy(*_list(order))
+    # Without ``by`` the frame is one series in one task: meant for a single
+    # aggregated daily series (rows = days). Registered queries pass ``by``.
+    return (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(*_list(order))
 
 
 def rolling_mean(df: DataFrame, value: str, order: str, by=None, n: int = 7,
