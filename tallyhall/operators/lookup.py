@@ -49,11 +49,27 @@ def _dedup_map(mp: DataFrame, key: str, value_cols: list[str]) -> DataFrame:
     return mp.groupBy(key).agg(*aggs)
 
 
+# Ids listed per colliding key in collision reports (evidence, not the count).
+EVIDENCE_IDS = 10
+
+
+def id_collisions(mp: DataFrame, key: str, value: str, k: int = EVIDENCE_IDS) -> DataFrame:
+    """Keys claimed by more than one id: ``n_ids`` (exact) and ``ids``, the
+    first ``k`` ids in sorted order. The ``row_number() <= k`` filter is
+    applied inside each task before the shuffle (window group limit), so a
+    key claimed by a huge number of ids never lands whole in one task."""
+    from pyspark.sql import Window
+    pairs = mp.select(key, value).filter(F.col(value).isNotNull()).distinct()
+    n = pairs.groupBy(key).agg(F.count("*").alias("n_ids")).filter("n_ids > 1")
+    w = Window.partitionBy(key).orderBy(value)
+    first = (pairs.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= k)
+             .groupBy(key).agg(F.array_sort(F.collect_list(value)).alias("ids")))
+    return n.join(first, key)
+
+
 def ambiguous_keys(mp: DataFrame, key: str, value: str) -> DataFrame:
     """Keys that map to more than one id."""
-    return (mp.groupBy(key).agg(F.countDistinct(value).alias("n_ids"),
-                                F.array_sort(F.collect_set(value)).alias("ids"))
-            .filter("n_ids > 1"))
+    return id_collisions(mp, key, value)
 
 
 def lookup(df: DataFrame, col, mp: DataFrame, key: str, value, out=None,
@@ -203,10 +219,7 @@ def alias_seeds(dim: DataFrame, id_col: str, name_col: str, extra_cols=(),
 def resolve_seeds(seeds: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split seeded aliases into a one-id-per-key map (lowest priority, then
     lowest id wins) and a collision report of keys claimed by several ids."""
-    collisions = (seeds.groupBy("alias_key")
-                  .agg(F.countDistinct("id").alias("n_ids"),
-                       F.array_sort(F.collect_set("id")).alias("ids"))
-                  .filter("n_ids > 1"))
+    collisions = id_collisions(seeds, "alias_key", "id")
     resolved = (seeds.groupBy("alias_key")
                 .agg(F.min_by("id", F.struct("priority", "id")).alias("id")))
     return resolved, collisions
