@@ -41,6 +41,12 @@ def dbl(c, places: int = 6) -> Column:
     return F.round(_c(c).cast("double"), places)
 
 
+def round_half_even(c, places: int = 2) -> Column:
+    """Round half to even (the feed's 2-place money rounding); exact on
+    decimals, differs from ``round`` only at exact ties."""
+    return F.bround(_c(c), places)
+
+
 def corrected_skew(c) -> Column:
     """Bias-corrected sample skewness G1 (pandas ``Series.skew``); null for n < 3.
 

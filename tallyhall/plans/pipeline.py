@@ -13,6 +13,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.stats import round_half_even
 from ..operators import quality as qa
 from ..sources import io
 from . import marts
@@ -83,9 +84,9 @@ def build_warehouse(spark: SparkSession, sf_dir: str, out_dir: str,
         out[name] = io.read_table(spark, os.path.join(mdir, name))
     feed = os.path.join(out_dir, "feed")
     monthly = (daily.groupBy("year", "month")
-               .agg(F.round(F.sum("total_revenue"), 2).alias("total_revenue"),
-                    F.round(F.sum("room_revenue"), 2).alias("room_revenue"),
-                    F.round(F.sum("fnb_net_revenue"), 2).alias("fnb_net_revenue")))
+               .agg(round_half_even(F.sum("total_revenue")).alias("total_revenue"),
+                    round_half_even(F.sum("room_revenue")).alias("room_revenue"),
+                    round_half_even(F.sum("fnb_net_revenue")).alias("fnb_net_revenue")))
     io.publish(monthly, feed, "monthly")
     io.publish(out["mart_hotel_monthly"], feed, "hotel_monthly")
     io.write_table(log.frame(), os.path.join(out_dir, "reports", "run_log"))

@@ -84,3 +84,12 @@ def test_skew_and_tier(spark):
     assert r["p"] == pytest.approx(1.75)
     t = spark.createDataFrame([(98.0,), (97.99,), (95.0,), (90.0,), (89.9,)], "s double")
     assert [r[0] for r in t.select(dq_tier("s")).collect()] == ["A", "B", "B", "C", "D"]
+
+
+def test_round_half_even_on_exact_ties(spark):
+    from pyspark.sql import functions as F
+    from tallyhall.functions import round_half_even
+    df = spark.createDataFrame([("0.125",), ("0.135",), ("2.675",), ("-0.125",)], "s string")
+    got = [r[0] for r in df.select(round_half_even(F.col("s").cast("decimal(12,3)")).cast("string"))
+           .collect()]
+    assert got == ["0.12", "0.14", "2.68", "-0.12"]
