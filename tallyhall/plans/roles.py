@@ -80,6 +80,11 @@ _FRAMES: dict[tuple, DataFrame] = {}
 # A scan with fewer splits than the cluster's cores (e.g. one large row group)
 # is rebalanced when it is at least this big; well-split inputs are untouched.
 REBALANCE_MIN_BYTES = 4 * 1024 * 1024
+# An under-split input up to this size is also kept cached once rebalanced:
+# the optimizer pushes filters below a repartition, so without the cache a
+# costly filter (e.g. parsing every raw date) would run in the one scan task.
+# The bound keeps the cache to what a few row groups can hold.
+CACHE_UNDERSPLIT_MAX_BYTES = 1024 * 1024 * 1024
 
 
 def read_cached(spark: SparkSession, path: str, rebalance: bool = True) -> DataFrame:
@@ -100,7 +105,8 @@ def _rebalance_if_undersplit(df: DataFrame) -> DataFrame:
         return df
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores)
+    r = df.repartition(cores)
+    return r.cache() if size <= CACHE_UNDERSPLIT_MAX_BYTES else r
 
 
 class Star:
