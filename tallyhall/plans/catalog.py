@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import marts
 from ..operators.combine import with_scalars
+from ..session import cut_lineage
 from .roles import Star
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -956,7 +957,9 @@ def yoy_mom(spark, sf_dir):
     from ..functions.stats import safe_div
     base = ["total_revenue", "room_revenue", "fnb_net_revenue", "ebitda", "room_nights",
             "available_room_nights"]
-    m = ms.measures(Star(spark, sf_dir), base, ["month_start"])
+    # the monthly frame (months rows at any scale) feeds three branches:
+    # written once to the shared checkpoint folder instead of recomputed
+    m = cut_lineage(ms.measures(Star(spark, sf_dir), base, ["month_start"]))
     ly = ms.with_prior(m, "month_start", [], base, 12, "_ly")
     lm = m.select(F.add_months("month_start", 1).alias("month_start"),
                   F.col("total_revenue").alias("total_revenue_lm"))
