@@ -611,7 +611,9 @@ def kpi_series_long(daily):
 
 @query("outliers_hi_lo")
 def outliers_hi_lo(spark, sf_dir):
-    long = kpi_series_long(marts.kpi_daily(Star(spark, sf_dir)))
+    # days x 4 rows at any scale, read by the stats and by the rows they
+    # are joined back to: written once to the shared checkpoint folder
+    long = cut_lineage(kpi_series_long(marts.kpi_daily(Star(spark, sf_dir))))
     z = ts.zscores(long, "v", by="series")
     return (z.filter(F.abs("z") > 3)
             .select("series", "full_date", F.round("v", 6).alias("v"), F.round("z", 6).alias("z"),
