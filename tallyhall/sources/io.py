@@ -55,6 +55,8 @@ def read_raw(spark: SparkSession, path: str, columns: list[str] | None = None,
     before = Window.partitionBy("_source_file").orderBy("__blk").rowsBetween(
         Window.unboundedPreceding, -1)
     splits = splits.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    # one row per input split: the same list the driver already plans and
+    # holds, so broadcasting it adds no size the driver does not carry
     df = (df.join(F.broadcast(splits.drop("__n")), ["_source_file", "__blk"])
           .withColumn("_raw_row", (F.col("__off") + F.col("__mid") - F.col("__first") + 2)
                       .cast("long"))
