@@ -2,12 +2,35 @@
 
 from __future__ import annotations
 
-from tallyhall.llm.common import read_table
+from pyspark.sql import functions as F
+
+from tallyhall.llm.common import fold, read_table
 from tallyhall.llm.tokens import public_path
 
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op1_quality_classifier(spark, sf_dir):
+    """Every document scored by the factorisation machine; 1 from 0.3 on."""
+    from tallyhall.llm import quality
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    return _scored(quality.score(docs, model, "score"), 0.3)
+
+
+def op8_toxicity(spark, sf_dir):
+    """Every document scored by the calibrated trees; 1 from 0.5 on."""
+    from tallyhall.llm import toxicity
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    return _scored(toxicity.score(docs, model, "score"), 0.5)
+
+
+def _scored(df, least):
+    return df.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score",
+                     (F.col("score") >= least).cast("int").alias("predicted"))
+
+
 def op7_best_fit_packing(spark, sf_dir):
     """All documents in sequences of at most 2048 tokens."""
     from tallyhall.llm.packing import document_pieces, pack
@@ -22,6 +45,8 @@ def op9_token_id_files(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_quality_classifier,
+    op8_toxicity,
     op7_best_fit_packing,
     op9_token_id_files,
 )}
