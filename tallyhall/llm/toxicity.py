@@ -2,9 +2,13 @@
 
 A document's features are lexicon densities, how close insults stand to a
 second-person word, rates of capitals and punctuation, and rates of disguised
-words (``1d10t``, ``st*pid``, ``l o s e r``, ``stuuupid``). Trees are fitted
-with the logistic loss; held-back rows of the sample calibrate the margin by
-isotonic regression.
+words (``1d10t``, ``st*pid``, ``l o s e r``, ``stuuupid``). Beside the listed
+lexicons one is learned: words, and stems of 4 to 7 bytes, that toxic
+documents of the sample use and others hardly do. The trees see, for each
+part of the sample, the lexicon that the other parts teach; a document and
+its near copies fall in one part and count once, so that a much copied text
+does not make its words look toxic. Trees are fitted with the logistic loss;
+isotonic regression on rows held back from them calibrates their margin.
 
 Nulls: a null text is an empty one, which scores like any other. Repeated
 rows get equal scores. An empty table gives no rows; without labels of both
@@ -16,6 +20,8 @@ adds one column whose name the caller chooses.
 from __future__ import annotations
 
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +33,7 @@ from tallyhall.llm.sample import labelled_sample
 from tallyhall.llm.trees import fit_boosted, fit_isotonic
 
 #: Labelled documents that the model is fitted on, at most.
-MAX_DOCS = 12_000
+MAX_DOCS = 16_000
 
 LEXICON = {
     "insult": """idiot idiots moron morons loser losers clown clowns scum trash garbage imbecile fool fools
@@ -66,19 +72,68 @@ _RUN = re.compile(rb"([a-z])\1{2,}")
 
 FEATURES = ["words", "insult", "contempt", "threat", "vulgar", "second", "bad_any", "bad_distinct", "bad_count",
             "near_second", "near_share", "capitals", "shouted", "digits", "bangs", "asks", "stops", "symbols",
-            "repeated_marks", "mixed", "disguised", "spelled_out", "stretched", "word_length"]
-
-
-def _starred(word: bytes) -> bool:
-    """``st*pid``: a listed word with letters starred out."""
-    for bad in _LONG_BAD:
-        if len(bad) == len(word) and bad[0] == word[0] and \
-                all(a == b or b == 42 for a, b in zip(bad, word)):
-            return True
-    return False
-
-
-def features(text: str) -> list[float]:
+            "repeated_marks", "mixed", "disguised", "spelled_out", "stretched", "word_length",
+            "learned_words", "learned_weight", "learned_density"]
+
+#: Parts of the sample; stems for one are learned from the others.
+FOLDS = 5
+#: Lengths, in bytes, of the stems that may be learned.
+STEMS = (4, 5, 6, 7)
+
+
+class Stems(dict):
+    """Learned lexicon: word or stem -> log odds of its documents' labels."""
+
+    def of(self, distinct) -> list[float]:
+        if not self:
+            return [0.0, 0.0, 0.0]
+        n, weight = 0, 0.0
+        for k in STEMS:
+            for stem in {w[:k] for w in distinct} & self.keys():
+                n += 1
+                weight += self[stem]
+        return [float(n), weight, 100 * n / max(len(distinct), 1)]
+
+
+def stem_counts(rows: list[tuple[int, int, set[bytes]]], least: int = 6) -> list[tuple[Counter, Counter, int, int]]:
+    """From (fold, label, distinct words): for each fold the toxic and the
+    other documents that have a stem, and how many of either there are.
+    Only stems of ``least`` toxic documents or more are kept."""
+    folds = [(Counter(), Counter(), [0, 0]) for _ in range(FOLDS)]
+    for f, y, words in rows:
+        folds[f][2][y > 0] += 1
+        if y:
+            folds[f][0].update({w[:k] for w in words for k in STEMS})
+    kept = Counter()
+    for toxic, _, _ in folds:
+        kept.update(toxic)
+    kept = {s for s, n in kept.items() if n >= least and len(s) >= STEMS[0]}
+    for f, y, words in rows:
+        if not y:
+            folds[f][1].update({w[:k] for w in words for k in STEMS} & kept)
+    return [(Counter({s: t[s] for s in kept & t.keys()}), c, n[1], n[0]) for t, c, n in folds]
+
+
+def learn_stems(counts, least: int = 6, odds: float = 2.0) -> Stems:
+    """Stems whose log odds of a toxic document exceed those of all documents
+    by ``odds``, with one and a half standard errors to spare."""
+    toxic, clean, n1, n0 = Counter(), Counter(), 0, 0
+    for t, c, a, b in counts:
+        toxic.update(t)
+        clean.update(c)
+        n1, n0 = n1 + a, n0 + b
+    base = np.log((n1 + 0.5) / (n0 + 0.5))
+    out = Stems()
+    for stem, n in toxic.items():
+        a, b = n + 0.5, clean[stem] + 0.5
+        weight = float(np.log(a / b) - base)
+        if n >= least and weight - 1.5 * np.sqrt(1 / a + 1 / b) >= odds:
+            out[stem] = weight
+    return out
+
+
+def features(text: str) -> tuple[list[float], set[bytes]]:
+    """The features that need no fitting, and the distinct words."""
     raw = text.encode("utf-8", "replace")
     low = raw.lower()
     words = low.translate(_SPACED).split()
@@ -123,11 +178,25 @@ def features(text: str) -> list[float]:
     return [np.log1p(len(words)), *(100 * hits[k] / n for k in ("insult", "contempt", "threat", "vulgar", "second")),
             100 * bad / n, n_bad, bad, near, near / max(bad, 1), count["upper"] / letters, shouted / n,
             count["digit"] / size, count["bang"] / n, count["ask"] / n, count["stop"] / n, count["symbol"] / n,
-            raw.count(b"!!") / n, mixed / n, disguised, spelled, stretched, (size - len(words)) / n]
+            raw.count(b"!!") / n, mixed / n, disguised, spelled, stretched, (size - len(words)) / n], distinct
+
+
+def feature_rows(batch_texts: list[str], stems: Stems) -> np.ndarray:
+    rows = []
+    for t in batch_texts:
+        x, distinct = features(t)
+        rows.append(x + stems.of(distinct))
+    return np.array(rows, np.float64).reshape(-1, len(FEATURES))
+
+
+class Model:
+    """Learned stems, trees and calibration."""
 
+    def __init__(self, stems: Stems, calibrated):
+        self.stems, self.calibrated = stems, calibrated
 
-def feature_rows(batch_texts: list[str]) -> np.ndarray:
-    return np.array([features(t) for t in batch_texts], np.float64).reshape(-1, len(FEATURES))
+    def predict(self, batch_texts: list[str]) -> np.ndarray:
+        return self.calibrated.predict(feature_rows(batch_texts, self.stems))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: int = MAX_DOCS):
@@ -136,20 +205,34 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: int
     driver."""
     def run(batches):
         for b in batches:
-            x = feature_rows(texts(b))
-            yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), b.column("__label"),
-                                              b.column("__id")], names=["x", "y", "id"])
-
-    rows = labelled_sample(docs, labels, label, max_docs).mapInArrow(run, "x array<double>, y int, id bigint").collect()
-    rows.sort(key=lambda r: (r["id"], r["x"]))
-    if not rows:
-        return fit_isotonic(np.zeros(0), np.zeros(0), 0.0).of(None)
-    x, y = np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows], np.float64)
-    back = np.arange(len(y)) % 4 == 0  # calibrates what the other rows fit
-    if min(y[~back].sum(), (1 - y[~back]).sum()) < 1:
-        return fit_isotonic(np.zeros(0), np.zeros(0), float(y.mean())).of(None)
+            x, words = zip(*map(features, texts(b))) if b.num_rows else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.list_(pa.float64())), pa.array([b" ".join(sorted(w)) for w in words], pa.binary()),
+                 b.column("__label"), b.column("__id")], names=["x", "words", "y", "id"])
+
+    rows = (labelled_sample(docs, labels, label, max_docs)
+            .mapInArrow(run, "x array<double>, words binary, y int, id bigint").collect())
+    rows.sort(key=lambda r: (r["id"], r["words"]))
+    kept, seen = [], set()
+    for r in rows:
+        words = set(bytes(r["words"]).split())
+        sign = min(map(zlib.crc32, words), default=0)  # near copies mostly share their least hash
+        if (sign, r["y"]) not in seen:
+            seen.add((sign, r["y"]))
+            kept.append((zlib.crc32(b"%d" % sign), r["y"], r["x"], words))
+    del rows
+    y = np.array([t for _, t, _, _ in kept], np.float64)
+    counts = stem_counts([(h % FOLDS, t, w) for h, t, _, w in kept])
+    stems = learn_stems(counts)
+    if not len(y) or y.min() == y.max():
+        return Model(stems, fit_isotonic(np.zeros(0), np.zeros(0), float(y.mean()) if len(y) else 0.0).of(None))
+    others = [learn_stems(counts[:f] + counts[f + 1:]) for f in range(FOLDS)]
+    x = np.array([v + others[h % FOLDS].of(w) for h, _, v, w in kept])
+    back = np.array([h // FOLDS % 4 == 0 for h, _, _, _ in kept])
+    if back.all() or not back.any() or y[~back].min() == y[~back].max():
+        return Model(stems, fit_isotonic(np.zeros(0), np.zeros(0), float(y.mean())).of(None))
     trees = fit_boosted(x[~back], y[~back], rounds=60, depth=3, rate=0.2)
-    return fit_isotonic(trees.margin(x[back]), y[back], float(y.mean())).of(trees)
+    return Model(stems, fit_isotonic(trees.margin(x[back]), y[back], float(y.mean())).of(trees))
 
 
 def score(docs: DataFrame, model, name: str = "score", text_col: str = "text") -> DataFrame:
@@ -159,6 +242,6 @@ def score(docs: DataFrame, model, name: str = "score", text_col: str = "text") -
 
     def run(batches):
         for b in batches:
-            yield with_columns(b, {name: pa.array(model.predict(feature_rows(texts(b, text_col))), pa.float64())})
+            yield with_columns(b, {name: pa.array(model.predict(texts(b, text_col)), pa.float64())})
 
     return docs.mapInArrow(run, out)
