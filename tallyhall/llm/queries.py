@@ -18,6 +18,13 @@ def op1_quality_classifier(spark, sf_dir):
     return _scored(quality.score(docs, model, "score"), 0.3)
 
 
+def op2_simhash_near_dedup(spark, sf_dir):
+    """Every document's fingerprint and component."""
+    from tallyhall.llm.neardup import near_duplicates
+    found = near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, distance=3)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op8_toxicity(spark, sf_dir):
     """Every document scored by the calibrated trees; 1 from 0.5 on."""
     from tallyhall.llm import toxicity
@@ -46,6 +53,7 @@ def op9_token_id_files(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier,
+    op2_simhash_near_dedup,
     op8_toxicity,
     op7_best_fit_packing,
     op9_token_id_files,
