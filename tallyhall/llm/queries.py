@@ -25,6 +25,12 @@ def op2_simhash_near_dedup(spark, sf_dir):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_substring_dedup(spark, sf_dir):
+    """Every passage of 50 words or more that an earlier document has too."""
+    from tallyhall.llm.passages import passages
+    return passages(read_table(spark, sf_dir, "documents")).drop("tag")
+
+
 def op8_toxicity(spark, sf_dir):
     """Every document scored by the calibrated trees; 1 from 0.5 on."""
     from tallyhall.llm import toxicity
@@ -54,6 +60,7 @@ def op9_token_id_files(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier,
     op2_simhash_near_dedup,
+    op3_substring_dedup,
     op8_toxicity,
     op7_best_fit_packing,
     op9_token_id_files,
