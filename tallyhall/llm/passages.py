@@ -58,7 +58,10 @@ def word_hashes(raw: bytes) -> np.ndarray:
 
 
 def minimizers(words: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the k-mers kept."""
+    """Places and hashes of the k-mers kept. In periodic text the same k-mer
+    is kept again and again; how often it was just before is then part of the
+    hash, so that two such runs are matched from their starts on. (Where two runs of
+    single repeated words meet by chance, each run is a passage of its own.)"""
     n = len(words) - K + 1
     if n < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -74,7 +77,12 @@ def minimizers(words: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.
     else:
         least = np.lib.stride_tricks.sliding_window_view(h, window).argmin(axis=1)
         at = np.unique(least + np.arange(len(least)))
-    return at, h[at]
+    h = h[at]
+    fresh = np.append(True, (h[1:] != h[:-1]) | (np.diff(at) > window))
+    i = np.arange(len(h))
+    run = i - np.maximum.accumulate(np.where(fresh, i, 0))
+    some = run % 8 == 0  # in a run of one k-mer every eighth will do
+    return at[some], (h ^ run.astype(np.uint64) * _C[4])[some]
 
 
 def seeds(docs: DataFrame) -> DataFrame:
