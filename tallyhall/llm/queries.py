@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyhall.llm.common import fold, read_table
+from tallyhall.llm.rules_sql import QUALITY_RULES_SQL
 from tallyhall.llm.tokens import public_path
+from tallyhall.session import checkpoint_dir
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -31,6 +33,13 @@ def op3_substring_dedup(spark, sf_dir):
     return passages(read_table(spark, sf_dir, "documents")).drop("tag")
 
 
+def op4_quality_rules(spark, sf_dir):
+    """Every document's counts and verdict."""
+    from tallyhall.llm.rules import quality_rules
+    checkpoint_dir(spark)
+    return quality_rules(read_table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark, sf_dir):
     """Every document scored by the calibrated trees; 1 from 0.5 on."""
     from tallyhall.llm import toxicity
@@ -61,9 +70,12 @@ QUERIES = {f.__name__: f for f in (
     op1_quality_classifier,
     op2_simhash_near_dedup,
     op3_substring_dedup,
+    op4_quality_rules,
     op8_toxicity,
     op7_best_fit_packing,
     op9_token_id_files,
 )}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_quality_rules": QUALITY_RULES_SQL,
+}
