@@ -24,7 +24,7 @@ def op2_simhash_near_dedup(spark, sf_dir):
     """Every document's fingerprint and component."""
     from tallyhall.llm.neardup import near_duplicates
     found = near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, distance=3)
-    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return found.select("doc_id", _hex("fp").alias("fingerprint"), "component_id")
 
 
 def op3_substring_dedup(spark, sf_dir):
@@ -66,6 +66,19 @@ def op9_token_id_files(spark, sf_dir):
     return token_files(read_table(spark, sf_dir, "documents"), public_path(WORD_BPE), 2)
 
 
+def op10_document_fingerprints(spark, sf_dir):
+    """Every document's fingerprint, that of its edited text, likenesses."""
+    from tallyhall.llm.fingerprint import fingerprints
+    checkpoint_dir(spark)
+    f = fingerprints(read_table(spark, sf_dir, "documents"))
+    return f.select("doc_id", "n_chars", "edited_sha256", _hex("fp").alias("fingerprint"),
+                    _hex("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next", "n_near")
+
+
+def _hex(fp):
+    return F.lpad(F.lower(F.hex(fp)), 16, "0")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier,
     op2_simhash_near_dedup,
@@ -74,6 +87,7 @@ QUERIES = {f.__name__: f for f in (
     op8_toxicity,
     op7_best_fit_packing,
     op9_token_id_files,
+    op10_document_fingerprints,
 )}
 
 ORACLE: dict[str, str] = {
