@@ -40,6 +40,12 @@ def op4_quality_rules(spark, sf_dir):
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op6_lm_scores(spark, sf_dir):
+    """Every document's base and interpolated log probability."""
+    from tallyhall.llm.interpolation import score
+    return score(read_table(spark, sf_dir, "documents"), order=2, held=1, tuned=2)
+
+
 def op8_toxicity(spark, sf_dir):
     """Every document scored by the calibrated trees; 1 from 0.5 on."""
     from tallyhall.llm import toxicity
@@ -84,6 +90,7 @@ QUERIES = {f.__name__: f for f in (
     op2_simhash_near_dedup,
     op3_substring_dedup,
     op4_quality_rules,
+    op6_lm_scores,
     op8_toxicity,
     op7_best_fit_packing,
     op9_token_id_files,
