@@ -40,6 +40,13 @@ def op4_quality_rules(spark, sf_dir):
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op5_sentencepiece(spark, sf_dir):
+    """Every document's ids, as a digest, and the digest of what they decode to."""
+    from tallyhall.llm.pieces import encode
+    got = encode(read_table(spark, sf_dir, "documents"), public_path("piece_bpe_32k.model"))
+    return got.select("doc_id", F.floor(F.length("ids") / 4).alias("n_tokens"), F.crc32("ids").alias("ids_crc32"), "text_crc32")
+
+
 def op6_lm_scores(spark, sf_dir):
     """Every document's base and interpolated log probability."""
     from tallyhall.llm.interpolation import score
@@ -90,6 +97,7 @@ QUERIES = {f.__name__: f for f in (
     op2_simhash_near_dedup,
     op3_substring_dedup,
     op4_quality_rules,
+    op5_sentencepiece,
     op6_lm_scores,
     op8_toxicity,
     op7_best_fit_packing,
