@@ -240,7 +240,9 @@ def read_token_files(files: DataFrame) -> DataFrame:
                          pa.array(f.counts, pa.int64()), pa.array(crc, pa.int64())],
                         names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return listed.repartition(F.col("path")).mapInArrow(run, ROWS)
+    # a row stands for a whole file, so the few rows are not gathered by size
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return listed.repartition(tasks, "path").mapInArrow(run, ROWS)
 
 
 def token_files(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
