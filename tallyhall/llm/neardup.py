@@ -122,7 +122,9 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     connect just those that links of at most ``distance`` <= 3 bits connect."""
     if not 0 <= distance <= 3:
         raise ValueError("two segments and one left-out bit reach 3 bits")
-    v = variants(fps)
+    # 64 rows a fingerprint follow: a small table is spread out first
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    v = variants(fps.repartition(tasks))
     shared = (v.groupBy("v", "key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
               .where("n > 1").checkpoint())
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
