@@ -95,22 +95,23 @@ class Stems(dict):
         return [float(n), weight, 100 * n / max(len(distinct), 1)]
 
 
-def stem_counts(rows: list[tuple[int, int, set[bytes]]], least: int = 6) -> list[tuple[Counter, Counter, int, int]]:
-    """From (fold, label, distinct words): for each fold the toxic and the
-    other documents that have a stem, and how many of either there are.
-    Only stems of ``least`` toxic documents or more are kept."""
+def stem_counts(rows: list[tuple[int, int, bytes]], least: int = 6) -> list[tuple[Counter, Counter, int, int]]:
+    """From (fold, label, distinct words with spaces between): for each fold
+    the toxic and the other documents that have a stem, and how many of
+    either there are. Only stems of ``least`` toxic documents or more are
+    kept."""
     folds = [(Counter(), Counter(), [0, 0]) for _ in range(FOLDS)]
     for f, y, words in rows:
         folds[f][2][y > 0] += 1
         if y:
-            folds[f][0].update({w[:k] for w in words for k in STEMS})
+            folds[f][0].update({w[:k] for w in words.split() for k in STEMS})
     kept = Counter()
     for toxic, _, _ in folds:
         kept.update(toxic)
     kept = {s for s, n in kept.items() if n >= least and len(s) >= STEMS[0]}
     for f, y, words in rows:
         if not y:
-            folds[f][1].update({w[:k] for w in words for k in STEMS} & kept)
+            folds[f][1].update({w[:k] for w in words.split() for k in STEMS} & kept)
     return [(Counter({s: t[s] for s in kept & t.keys()}), c, n[1], n[0]) for t, c, n in folds]
 
 
@@ -215,8 +216,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: int
     rows.sort(key=lambda r: (r["id"], r["words"]))
     kept, seen = [], set()
     for r in rows:
-        words = set(bytes(r["words"]).split())
-        sign = min(map(zlib.crc32, words), default=0)  # near copies mostly share their least hash
+        words = bytes(r["words"])  # sets of words would take ten times the memory
+        sign = min(map(zlib.crc32, words.split()), default=0)  # near copies mostly share their least hash
         if (sign, r["y"]) not in seen:
             seen.add((sign, r["y"]))
             kept.append((zlib.crc32(b"%d" % sign), r["y"], r["x"], words))
@@ -227,7 +228,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: int
     if not len(y) or y.min() == y.max():
         return Model(stems, fit_isotonic(np.zeros(0), np.zeros(0), float(y.mean()) if len(y) else 0.0).of(None))
     others = [learn_stems(counts[:f] + counts[f + 1:]) for f in range(FOLDS)]
-    x = np.array([v + others[h % FOLDS].of(w) for h, _, v, w in kept])
+    x = np.array([v + others[h % FOLDS].of(set(w.split())) for h, _, v, w in kept])
     back = np.array([h // FOLDS % 4 == 0 for h, _, _, _ in kept])
     if back.all() or not back.any() or y[~back].min() == y[~back].max():
         return Model(stems, fit_isotonic(np.zeros(0), np.zeros(0), float(y.mean())).of(None))
