@@ -29,6 +29,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,9 @@ from tallyhall.llm.blobs import pack_counts, unpack_counts
 from tallyhall.llm.common import scratch_table, texts
 
 MARK = "▁"
-CHUNK = 2_000_000
+CHUNK = 1_000_000
+#: Letters of a unit whose joins are simply looked through.
+SHORT = 24
 #: Units that one range holds, about.
 RANGE_UNITS = 200_000
 _UNIT = re.compile(rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
@@ -78,7 +81,7 @@ class Pieces:
 
     def decode(self, ids) -> bytes:
         """UTF-8 of the ids' pieces, word marks still in it."""
-        return b"".join(self.text.get(i, b"") for i in ids)
+        return b"".join([self.text.get(i, b"") for i in ids])
 
 
 _LOADED: dict[str, Pieces] = {}
@@ -133,36 +136,45 @@ def viterbi(grouped: DataFrame, unknown: float = -1e6) -> DataFrame:
     return grouped.withColumn("best", F.expr(best)).select("unit", F.expr(path).alias("path"))
 
 
-def merge(unit: str, edges: dict[tuple[int, int], tuple[float, int]]) -> list[tuple[int, int, int]]:
-    """(start, end, id) of the segments; id -1 for a letter of its own.
-    ``edges``: (start, end) -> (score, id)."""
-    n = len(unit)
-    left, right = list(range(-1, n - 1)), list(range(1, n + 1))  # neighbouring segments, by their starts
-    end = list(range(1, n + 1))
-    ids = [-1] * n
-    todo: list[tuple[float, int, int]] = []
+def merge(n: int, edges: dict[tuple[int, int], float]) -> list[int]:
+    """Where the segments of a unit of ``n`` letters end. ``edges``: (start,
+    end) -> score. Of the joins at hand the best is made, the leftmost of
+    equals."""
+    if n <= SHORT:
+        at = list(range(n + 1))
+        while True:
+            best, k = None, 0
+            for i in range(len(at) - 2):
+                score = edges.get((at[i], at[i + 2]))
+                if score is not None and (best is None or score > best):
+                    best, k = score, i
+            if best is None:
+                return at[1:]
+            del at[k + 1]
+    # the same by a queue, for long units
+    left, right, end = list(range(-1, n - 1)), list(range(1, n + 1)), list(range(1, n + 1))
+    alive, todo = [True] * n, []
 
     def offer(a: int):
         b = right[a]
         if b < n and (a, end[b]) in edges:
-            heapq.heappush(todo, (-edges[a, end[b]][0], a, end[b]))
+            heapq.heappush(todo, (-edges[a, end[b]], a, end[b]))
 
     for a in range(n - 1):
         offer(a)
-    alive = [True] * n
     while todo:
         _, a, e = heapq.heappop(todo)
-        b = right[a] if alive[a] else n
+        b = right[a]
         if not alive[a] or b >= n or end[b] != e:
             continue
         alive[b] = False
-        ids[a], end[a], right[a] = edges[a, e][1], e, right[b]
+        end[a], right[a] = e, right[b]
         if right[a] < n:
             left[right[a]] = a
         offer(a)
         if left[a] >= 0:
             offer(left[a])
-    return [(a, end[a], ids[a]) for a in range(n) if alive[a]]
+    return [end[a] for a in range(n) if alive[a]]
 
 
 def merged(grouped: DataFrame, path: str) -> DataFrame:
@@ -173,14 +185,16 @@ def merged(grouped: DataFrame, path: str) -> DataFrame:
             column = b.column("edges")
             flat = column.flatten().to_numpy()
             start, ids = flat >> 32, flat & 0xFFFFFF
-            spans = list(zip(zip(start.tolist(), (start + (flat >> 24 & 0xFF)).tolist()), zip(p.score[ids].tolist(), ids.tolist())))
+            spans = list(zip(start.tolist(), (start + (flat >> 24 & 0xFF)).tolist()))
+            scores = p.score[ids].tolist()
             ends = np.cumsum(column.value_lengths().to_numpy()).tolist()
             out = []
             for unit, a, z in zip(b.column("unit").to_pylist(), [0, *ends], ends):
-                got: list[int] = []
-                for s, _, i in merge(unit, dict(spans[a:z])):
-                    got += [i] if i >= 0 else p.spell(unit[s])
-                out.append(np.array(got, "<i4").tobytes())
+                got, s = [], 0
+                for e in merge(len(unit), dict(zip(spans[a:z], scores[a:z]))):
+                    got += [p.id[unit[s:e]]] if e > s + 1 else p.spell(unit[s])
+                    s = e
+                out.append(array("i", got).tobytes())
             yield pa.RecordBatch.from_arrays([b.column("range"), b.column("unit"), pa.array(out, pa.binary())],
                                              names=["range", "unit", "ids"])
 
@@ -224,15 +238,18 @@ def chunks(docs: DataFrame, ranges: int) -> DataFrame:
     def run(batches):
         part, made, held, n = TaskContext.get().partitionId() << 32, 0, [], 0
 
+        place: dict[str, int] = {}
+
         def flush():
             nonlocal made
             made += 1
             by: dict[int, list[str]] = {}
-            for u in sorted(set().union(*(w for _, w in held))):
+            for u in sorted(place):
                 by.setdefault(_range(u, ranges), []).append(u)
-            ordered = [u for r in sorted(by) for u in by[r]]
-            place = {u: k for k, u in enumerate(ordered)}
-            tokens = np.array([place[u] for _, w in held for u in w], np.int64)
+            new = np.empty(len(place), np.int64)  # first seen -> place in order of range
+            new[np.fromiter((place[u] for r in sorted(by) for u in by[r]), np.int64, len(place))] = np.arange(len(place))
+            tokens = new[np.concatenate([w for _, w in held])]
+            place.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array([part + made], pa.int64()), pa.array([[d for d, _ in held]], pa.list_(pa.int64())),
                  pa.array([[len(w) for _, w in held]], pa.list_(pa.int32())), pa.array([pack_counts(tokens)], pa.binary()),
@@ -242,7 +259,7 @@ def chunks(docs: DataFrame, ranges: int) -> DataFrame:
 
         for b in batches:
             for doc_id, text in zip(b.column("doc_id").to_pylist(), texts(b)):
-                held.append((doc_id, units(text)))
+                held.append((doc_id, np.array([place.setdefault(u, len(place)) for u in units(text)], np.int32)))
                 n += len(held[-1][1])
                 if n >= CHUNK:
                     yield flush()
