@@ -46,7 +46,7 @@ def weighted_votes(texts: DataFrame, keys: list[str], text: str, carry: dict[str
     words = F.array_remove(F.split(F.col(text), _SPACE), "")
     w = texts.select(*keys, *[c.alias(k) for k, c in carry.items()], words.alias("__w"))
     w = w.select(*keys, *carry, F.posexplode_outer("__w").alias("__at", "__word"))
-    weight = F.least(F.length("__word"), F.lit(WEIGHT)).cast("long")
+    weight = F.least(F.length(F.coalesce("__word", F.lit(""))), F.lit(WEIGHT)).cast("long")
     w = w.select(*keys, *carry, F.floor(F.col("__at") / PIECE).alias("__piece"), weight.alias("__n"),
                  F.xxhash64("__word").alias("__h"))
     lanes = [F.sum(F.shiftrightunsigned("__h", i).bitwiseAND(F.lit(_LANES)) * F.col("__n")).alias(f"__s{i}")

@@ -202,7 +202,7 @@ def chained(found: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, CHAINS)
 
 
-def _extend(a: np.ndarray, b: np.ndarray, edits: int = 3, after: int = 4) -> tuple[int, int, int, int]:
+def _extend(a: np.ndarray, b: np.ndarray, edits: int = 8, after: int = 4) -> tuple[int, int, int, int]:
     """Words taken of ``a`` and of ``b`` from their starts, equal words and
     aligned places. A difference of up to ``edits`` words on either side is
     passed if ``after`` equal words follow it."""

@@ -104,8 +104,10 @@ class Machine:
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, epochs: int = 8, batch: int = 128,
-          rate: float = 0.08, l2: float = 2e-5, seed: int = 7) -> Machine:
-    """Minimises the logistic loss by AdaGrad over small batches."""
+          rate: float = 0.08, l2: float = 2e-5, seed: int = 7, steps: int = 400) -> Machine:
+    """Minimises the logistic loss by AdaGrad over small batches; a small
+    sample is gone through more often, for ``steps`` batches at least."""
+    epochs = max(epochs, -(-steps * batch // max(len(rows), batch)))
     rng = np.random.default_rng(seed)
     p = float(np.clip(y.mean(), 1e-3, 1 - 1e-3))
     w0 = np.log(p / (1 - p))

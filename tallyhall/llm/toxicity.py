@@ -133,6 +133,12 @@ def learn_stems(counts, least: int = 6, odds: float = 2.0) -> Stems:
     return out
 
 
+def _starred(word: bytes) -> bool:
+    """``st*pid``: a listed word with letters starred out."""
+    return any(len(bad) == len(word) and bad[0] == word[0] and all(a == b or b == 42 for a, b in zip(bad, word))
+               for bad in _LONG_BAD)
+
+
 def features(text: str) -> tuple[list[float], set[bytes]]:
     """The features that need no fitting, and the distinct words."""
     raw = text.encode("utf-8", "replace")
