@@ -57,7 +57,7 @@ def _q(c, p, approx, accuracy):
 def describe_series(df: DataFrame, col: str, by=None, method: str = "auto",
                     accuracy: int = 10000, places: int = 6) -> DataFrame:
     """Count, mean, std, min, p01, p05, q1, median, q3, p95, p99, max,
-    skew (bias-corrected) per ``by`` group (or globally); nulls skipped.
+    skew (bias-corrected) per ``by`` group (or globally); nulls and NaN skipped.
 
     ``method``: ``'distributed'`` (exact, :func:`exact_quantiles`, no group
     in one task), ``'percentile'`` (Spark's exact buffer), ``'approx'``
@@ -65,7 +65,7 @@ def describe_series(df: DataFrame, col: str, by=None, method: str = "auto",
     """
     by = [] if by is None else ([by] if isinstance(by, str) else list(by))
     x = F.col(col).cast("double")
-    d = df.select(*by, x.alias("__x")).filter(F.col("__x").isNotNull())
+    d = df.select(*by, x.alias("__x")).filter(F.col("__x").isNotNull() & ~F.isnan("__x"))
     method = quantile_method(d, method)
     probs = [p for _, p in QUANTILES]
     aggs = [F.count("__x").alias("count"), F.avg("__x").alias("mean"),
@@ -88,7 +88,7 @@ def histogram(df: DataFrame, col: str, bins: int = 40, clip_q: float = 0.99,
     """Equal-width histogram after clipping at the ``clip_q`` quantile;
     every bin is reported, empty ones with count 0."""
     x = F.col(col).cast("double")
-    d = df.select(x.alias("__x")).filter(F.col("__x").isNotNull())
+    d = df.select(x.alias("__x")).filter(F.col("__x").isNotNull() & ~F.isnan("__x"))
     clip = quantiles(d, "__x", [clip_q], None, method).select(F.col("quantiles")[0].alias("__hi"))
     stats = with_scalars(d.agg(F.min("__x").alias("__lo")), clip)
     w = (F.col("__hi") - F.col("__lo"))

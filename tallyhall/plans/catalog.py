@@ -54,6 +54,7 @@ def budget_vs_actual(spark, sf_dir):
 from pyspark.sql import functions as F  # noqa: E402
 
 from ..functions.dates import period_to_month  # noqa: E402
+from ..functions.stats import money  # noqa: E402
 from ..functions.text import (norm_key, parse_mixed_date, parse_mixed_number,  # noqa: E402
                               yn_flag)
 from ..operators import clean  # noqa: E402
@@ -288,7 +289,7 @@ def _supplier_raw_property(spark, sf_dir):
     n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
     k = F.col("s_suppkey") % 4
-    raw = (F.when(k == 0, F.col("n_name")).when(k == 1, F.concat(F.lit("MG "), "n_name"))
+    raw = (F.when(k == 0, F.col("n_name")).when(k == 1, F.concat(F.lit("HQ "), "n_name"))
            .when(k == 2, F.lower("n_name")).otherwise(F.regexp_replace("n_name", "_", "-")))
     return j.select("s_suppkey", raw.alias("raw_property"))
 
@@ -296,7 +297,7 @@ def _supplier_raw_property(spark, sf_dir):
 def _property_alias_map(spark, sf_dir):
     n = _t(spark, sf_dir, "nation")
     return (n.select(F.col("n_name").alias("alias"), F.col("n_nationkey").alias("pid"))
-            .unionByName(n.select(F.concat(F.lit("MG "), "n_name").alias("alias"),
+            .unionByName(n.select(F.concat(F.lit("HQ "), "n_name").alias("alias"),
                                   F.col("n_nationkey").alias("pid"))))
 
 
@@ -598,11 +599,24 @@ def zscore_anomalies(spark, sf_dir):
             .select("ds", "revenue", F.round("z", 6).alias("z")))
 
 
+def _exact_sum(c, kind="decimal(18,2)"):
+    """Sum of a rounded measure, the same whatever the order of the rows."""
+    return F.sum(F.col(c).cast(kind)).cast("double")
+
+
+def _exact_avg(c, places=6):
+    """Average of a measure of six places, rounded half up in whole numbers:
+    neither the order of the rows nor a binary fraction decides a tie."""
+    total = (F.sum(F.col(c).cast("decimal(18,6)")) * 1_000_000).cast("decimal(28,0)")
+    unit = F.count(c) * 10 ** (6 - places)
+    return (F.floor((2 * total + unit) / F.nullif(2 * unit, F.lit(0))).cast("double") / 10 ** places)
+
+
 def kpi_series_long(daily):
     g = daily.groupBy("full_date").agg(
-        F.sum("total_revenue").alias("daily_revenue"),
-        F.avg("occupancy_pct").alias("occupancy"),
-        (F.sum("fnb_cogs") / F.nullif(F.sum("fnb_net_revenue"), F.lit(0.0)) * 100).alias("food_cost"),
+        _exact_sum("total_revenue").alias("daily_revenue"),
+        _exact_avg("occupancy_pct").alias("occupancy"),
+        (_exact_sum("fnb_cogs") / F.nullif(_exact_sum("fnb_net_revenue"), F.lit(0.0)) * 100).alias("food_cost"),
         F.sum("fnb_transactions").cast("double").alias("fnb_transactions"))
     return (g.selectExpr("full_date", "stack(4, 'daily_revenue', daily_revenue, 'occupancy', occupancy, "
                          "'food_cost', food_cost, 'fnb_transactions', fnb_transactions) AS (series, v)")
@@ -984,17 +998,10 @@ def yoy_mom(spark, sf_dir):
 @query("revenue_share")
 def revenue_share(spark, sf_dir):
     from ..functions.stats import safe_div
-    m = ms.measures(Star(spark, sf_dir), ["total_revenue"], ["month_start", "business_type"])
-    g = m.groupBy("month_start").agg(
-        F.sum(F.when(F.col("business_type") == "Hotel", F.col("total_revenue")).otherwise(0.0))
-        .alias("hotel_revenue"),
-        F.sum(F.when(F.col("business_type") == "F&B", F.col("total_revenue")).otherwise(0.0))
-        .alias("fnb_revenue"))
-    tot = F.col("hotel_revenue") + F.col("fnb_revenue")
-    return g.select("month_start", F.round("hotel_revenue", 2).alias("hotel_revenue"),
-                    F.round("fnb_revenue", 2).alias("fnb_revenue"),
-                    F.round(safe_div("hotel_revenue", tot) * 100, 6).alias("hotel_share_pct"),
-                    F.round(safe_div("fnb_revenue", tot) * 100, 6).alias("fnb_share_pct"))
+    m = ms.measures(Star(spark, sf_dir), ["room_revenue", "fnb_net_revenue", "total_revenue"], ["month_start"])
+    return m.select("month_start", *[F.round(c, 2).alias(c) for c in ("room_revenue", "fnb_net_revenue", "total_revenue")],
+                    F.round(safe_div("room_revenue", "total_revenue") * 100, 6).alias("hotel_share_pct"),
+                    F.round(safe_div("fnb_net_revenue", "total_revenue") * 100, 6).alias("fnb_share_pct"))
 
 
 # Healthy bands per KPI (lo, hi); None = open end.
@@ -1029,9 +1036,32 @@ def daily_trend(spark, sf_dir):
     (``avg`` skips nulls)."""
     k = marts.kpi_daily(Star(spark, sf_dir))
     return k.groupBy("full_date").agg(
-        F.round(F.sum("total_revenue"), 2).alias("revenue"),
-        F.round(F.avg("occupancy_pct"), 6).alias("avg_occupancy_pct"),
-        F.round(F.avg("adr"), 4).alias("avg_adr"))
+        _exact_sum("total_revenue").alias("revenue"),
+        _exact_avg("occupancy_pct").alias("avg_occupancy_pct"),
+        _exact_avg("adr", 4).alias("avg_adr"))
+
+
+@query("quarantine_by_rule")
+def quarantine_by_rule(spark, sf_dir):
+    """P5: rows and amounts of every source, kept by its fact or left out, by
+    the first rule broken; the rows of a source add up."""
+    star = Star(spark, sf_dir)
+    out = star.quarantine.groupBy("source", "rule").agg(F.count("*").alias("n_rows"), F.sum("amount").alias("amount"))
+    kept = None
+    for source, table, col, fact, key in (
+            ("bookings", "orders", "o_totalprice", star.fact_room_sales, "room_rate"),
+            ("ledger", "orders", "o_totalprice", star.fact_expense, None),
+            ("pos", "lineitem", "l_extendedprice", star.fact_fnb_sales, "gross_sales"),
+            ("purchases", "lineitem", "l_extendedprice", star.fact_purchase, "total_amount")):
+        n = fact.agg(F.count("*").alias("n_rows"), *([F.sum(key).alias("amount")] if key else []))
+        if key is None:  # the ledger keeps a share of the amount: what is not left out
+            bad = star.quarantine.where(F.col("source") == source).agg(F.coalesce(F.sum("amount"), F.lit(0)).alias("bad"))
+            total = star.t(table).agg(F.sum(money(col)).alias("total"))
+            n = with_scalars(n, total)
+            n = with_scalars(n, bad).select("n_rows", (F.col("total") - F.col("bad")).alias("amount"))
+        n = n.where("n_rows > 0").select(F.lit(source).alias("source"), F.lit("kept").alias("rule"), "n_rows", "amount")
+        kept = n if kept is None else kept.unionByName(n)
+    return out.unionByName(kept).select("source", "rule", "n_rows", F.col("amount").cast("double").alias("amount"))
 
 
 @query("dq_summary")

@@ -92,6 +92,7 @@ FACTS = {
         F.sum("room_revenue").alias("room_revenue"),
         F.sum("rooms_sold").cast("bigint").alias("rooms_sold"),
         F.sum("room_nights").cast("bigint").alias("room_nights"),
+        F.sum("los").cast("bigint").alias("los_nights"),
         F.count("*").alias("bookings"),
         F.sum("is_cancelled").cast("bigint").alias("cancellations"),
         F.sum("is_no_show").cast("bigint").alias("no_shows"))),
@@ -116,14 +117,14 @@ FACTS = {
         F.sum("budget_amount").alias("budget_amount"))),
 }
 
-BASE_OF = {"room_revenue": "room", "rooms_sold": "room", "room_nights": "room", "bookings": "room",
+BASE_OF = {"room_revenue": "room", "rooms_sold": "room", "room_nights": "room", "los_nights": "room", "bookings": "room",
            "cancellations": "room", "no_shows": "room", "available_room_nights": "capacity",
            "fnb_gross_sales": "fnb", "fnb_net_revenue": "fnb", "fnb_cogs": "fnb",
            "fnb_discount": "fnb", "fnb_lines": "fnb", "void_lines": "fnb",
            "fnb_transactions": "fnb", "opex": "expense", "ledger_cogs": "expense",
            "other_income": "expense", "budget_amount": "budget"}
 
-COUNTS = {"rooms_sold", "room_nights", "bookings", "cancellations", "no_shows",
+COUNTS = {"rooms_sold", "room_nights", "los_nights", "bookings", "cancellations", "no_shows",
           "available_room_nights", "fnb_lines", "void_lines", "fnb_transactions"}
 
 
@@ -158,7 +159,7 @@ DERIVED: dict[str, tuple[list[str], Callable[[], Column]]] = {
     "cancellation_pct": (["cancellations", "bookings"],
                          lambda: _pct(_b("cancellations"), _b("bookings"))),
     "noshow_pct": (["no_shows", "bookings"], lambda: _pct(_b("no_shows"), _b("bookings"))),
-    "avg_los": (["room_nights", "rooms_sold"], lambda: _ratio(_b("room_nights"), _b("rooms_sold"))),
+    "avg_los": (["los_nights", "rooms_sold"], lambda: _ratio(_b("los_nights"), _b("rooms_sold"))),
     "food_cost_pct": (["fnb_cogs", "fnb_net_revenue"],
                       lambda: _pct(_b("fnb_cogs"), _b("fnb_net_revenue"))),
     "gross_profit": (["fnb_net_revenue", "fnb_cogs"],
@@ -215,8 +216,16 @@ def _apply_filters(df: DataFrame, filters) -> DataFrame:
 
 
 def measures(star: Star, names, group_by, filters=None) -> DataFrame:
-    """Evaluate base and derived measures ``names`` at the ``group_by`` grain."""
+    """Evaluate base and derived measures ``names`` at the ``group_by`` grain.
+
+    Facts are aggregated to the grain one by one and their rows united and
+    merged by one more aggregation, in which null keys are a group like any
+    other. An unknown measure, a filter that no fact of the request has, and
+    a measure whose fact the grain cannot split are errors."""
     group_by = [group_by] if isinstance(group_by, str) else list(group_by)
+    if unknown := [n for n in names if n not in DERIVED and n not in BASE_OF]:
+        raise ValueError(f"unknown measures: {unknown}")
+    unused = set(filters or {})
     base: list[str] = []
     for n in names:
         for b in (DERIVED[n][0] if n in DERIVED else [n]):
@@ -228,22 +237,27 @@ def measures(star: Star, names, group_by, filters=None) -> DataFrame:
         if not wanted:
             continue
         df = spec.build(star)
-        if any(g not in df.columns for g in group_by):
-            continue  # the fact cannot be split by this grain
+        if missing := [g for g in group_by if g not in df.columns]:
+            raise ValueError(f"{wanted} cannot be split by {missing}")
+        unused -= {k for k in unused if k in df.columns or (k in ("date_from", "date_to") and "full_date" in df.columns)}
         df = _apply_filters(df, filters)
         if fname == "fnb":
             frames.append(_fnb_two_level(df, group_by, wanted))
             continue
         named = spec.base()
         frames.append(df.groupBy(*group_by).agg(*[named[b] for b in wanted]))
+    if unused:
+        raise ValueError(f"no fact of these measures has {sorted(unused)}")
     out = frames[0]
     for f in frames[1:]:
-        out = out.join(f, group_by, "full") if group_by else with_scalars(out, f)
+        out = out.unionByName(f, allowMissingColumns=True)
+    # a measure stands in one row of its group at most: max picks it
+    out = out.groupBy(*group_by).agg(*[F.max(b).alias(b) for b in base])
     cols = [F.col(g) for g in group_by]
     for n in names:
         if n in DERIVED:
             cols.append(DERIVED[n][1]().alias(n))
-        elif n in out.columns:
+        else:
             c = _b(n)
             cols.append((c if n in COUNTS else c.cast("double")).alias(n))
     return out.select(*cols)

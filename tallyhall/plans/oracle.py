@@ -7,7 +7,7 @@ re-derives the star roles (``STAR_CTES``) with the same fixed rules as
 
 from __future__ import annotations
 
-from .roles import ACCOUNTS, CAL_HI, CAL_LO, DEPARTMENTS, FNB_REGION, OTHER_INCOME_CODES
+from .roles import ACCOUNTS, DEPARTMENTS, FNB_REGION, OTHER_INCOME_CODES
 
 
 def _values(rows) -> str:
@@ -23,6 +23,10 @@ def dkey(e: str) -> str:
 
 M = "DECIMAL(18,2)"
 
+# Whole years from the first to the last date that any fact has.
+BOUNDS = """(SELECT CAST(min(year(d)) AS INTEGER) AS y0, CAST(max(year(d)) AS INTEGER) AS y1
+        FROM (SELECT o_orderdate AS d FROM orders UNION ALL SELECT l_shipdate FROM lineitem))"""
+
 STAR_CTES: dict[str, tuple[list[str], str]] = {
     "dim_property": ([], f"""
 dim_property AS (
@@ -40,7 +44,7 @@ dim_department(department_id, department_name) AS (VALUES {_values(DEPARTMENTS)}
     "hol": ([], f"""
 hol AS (
   SELECT make_date(CAST(y AS INTEGER), m, d) AS hd
-  FROM range(year(DATE '{CAL_LO}') - 1, year(DATE '{CAL_HI}') + 2) t(y),
+  FROM (SELECT unnest(range(y0 - 1, y1 + 2)) AS y FROM {BOUNDS}),
        (VALUES (1, 1), (5, 1), (6, 1), (8, 17), (12, 25)) h(m, d))"""),
     "dim_date": (["hol"], f"""
 dim_date AS (
@@ -50,7 +54,7 @@ dim_date AS (
          CASE WHEN isodow(g) >= 6 THEN 1 ELSE 0 END AS is_weekend,
          CASE WHEN EXISTS (SELECT 1 FROM hol WHERE CAST(g AS DATE) BETWEEN hol.hd - 1 AND hol.hd + 1)
               THEN 1 ELSE 0 END AS is_holiday_flag
-  FROM generate_series(DATE '{CAL_LO}', DATE '{CAL_HI}', INTERVAL 1 DAY) t(g))"""),
+  FROM (SELECT unnest(generate_series(make_date(y0, 1, 1), make_date(y1, 12, 31), INTERVAL 1 DAY)) AS g FROM {BOUNDS}))"""),
     "fact_room_sales": ([], f"""
 fact_room_sales AS (
   SELECT o.o_orderkey AS booking_id, {dkey('o.o_orderdate')} AS date_id,
@@ -463,12 +467,12 @@ FROM (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN lower(p_type) WHEN 1 THEN
 # ---------------------------------------------------------------- lookups
 SUP_RAW_SQL = """
 sup_raw AS (
-  SELECT s.s_suppkey, CASE s.s_suppkey % 4 WHEN 0 THEN n.n_name WHEN 1 THEN 'MG ' || n.n_name
+  SELECT s.s_suppkey, CASE s.s_suppkey % 4 WHEN 0 THEN n.n_name WHEN 1 THEN 'HQ ' || n.n_name
                            WHEN 2 THEN lower(n.n_name) ELSE replace(n.n_name, '_', '-') END AS raw_property
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey),
 amap AS (
   SELECT n_name AS alias, n_nationkey AS pid FROM nation
-  UNION ALL SELECT 'MG ' || n_name, n_nationkey FROM nation)"""
+  UNION ALL SELECT 'HQ ' || n_name, n_nationkey FROM nation)"""
 
 ORACLE["alias_lookup"] = f"""WITH {SUP_RAW_SQL}
 SELECT r.s_suppkey, r.raw_property, m.pid AS property_id
@@ -700,8 +704,10 @@ z AS (SELECT ds, revenue, (revenue - AVG(revenue) OVER ()) / NULLIF(stddev_samp(
 SELECT ds, revenue, round(z, 6) AS z FROM z WHERE abs(z) > 2 ORDER BY abs(z) DESC, ds LIMIT 10"""
 
 ORACLE["outliers_hi_lo"] = kpi_with() + """
-, g AS (SELECT full_date, SUM(total_revenue) AS daily_revenue, AVG(occupancy_pct) AS occupancy,
-               SUM(fnb_cogs) / NULLIF(SUM(fnb_net_revenue), 0) * 100 AS food_cost,
+, g AS (SELECT full_date, CAST(SUM(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS daily_revenue,
+               CAST((2 * CAST(SUM(CAST(occupancy_pct AS DECIMAL(18,6))) * 1000000 AS HUGEINT) + 1 * COUNT(occupancy_pct)) // NULLIF(2 * COUNT(occupancy_pct), 0) AS DOUBLE) / 1000000 AS occupancy,
+               CAST(SUM(CAST(fnb_cogs AS DECIMAL(18,2))) AS DOUBLE)
+                 / NULLIF(CAST(SUM(CAST(fnb_net_revenue AS DECIMAL(18,2))) AS DOUBLE), 0) * 100 AS food_cost,
                CAST(SUM(fnb_transactions) AS DOUBLE) AS fnb_transactions FROM kpi GROUP BY 1),
 l AS (SELECT full_date, 'daily_revenue' AS series, daily_revenue AS v FROM g
       UNION ALL SELECT full_date, 'occupancy', occupancy FROM g
@@ -986,7 +992,7 @@ cap_c AS (SELECT d.full_date, CAST(year(d.full_date) AS INTEGER) AS year, CAST(q
 _BASE_SQL = {
     "room": ("room_c", {
         "room_revenue": "SUM(room_revenue)", "rooms_sold": "CAST(SUM(rooms_sold) AS BIGINT)",
-        "room_nights": "CAST(SUM(room_nights) AS BIGINT)", "bookings": "COUNT(*)",
+        "room_nights": "CAST(SUM(room_nights) AS BIGINT)", "los_nights": "CAST(SUM(los) AS BIGINT)", "bookings": "COUNT(*)",
         "cancellations": "CAST(SUM(is_cancelled) AS BIGINT)", "no_shows": "CAST(SUM(is_no_show) AS BIGINT)"},
         ["segment", "channel"]),
     "capacity": ("cap_c", {"available_room_nights": "CAST(SUM(rooms) AS BIGINT)"}, []),
@@ -1007,7 +1013,7 @@ _BASE_SQL = {
 }
 _COMMON = {"year", "quarter", "month", "month_start", "full_date", "property_id", "property_name",
            "business_type", "city", "region"}
-_COUNTS = {"rooms_sold", "room_nights", "bookings", "cancellations", "no_shows",
+_COUNTS = {"rooms_sold", "room_nights", "los_nights", "bookings", "cancellations", "no_shows",
            "available_room_nights", "fnb_lines", "void_lines", "fnb_transactions"}
 
 
@@ -1031,7 +1037,7 @@ _DERIVED_SQL = {
     "revpar": (["room_revenue", "available_room_nights"], _ratio_sql(_bz("room_revenue"), "available_room_nights")),
     "cancellation_pct": (["cancellations", "bookings"], _pct_sql(_bz("cancellations"), _bz("bookings"))),
     "noshow_pct": (["no_shows", "bookings"], _pct_sql(_bz("no_shows"), _bz("bookings"))),
-    "avg_los": (["room_nights", "rooms_sold"], _ratio_sql(_bz("room_nights"), _bz("rooms_sold"))),
+    "avg_los": (["los_nights", "rooms_sold"], _ratio_sql(_bz("los_nights"), _bz("rooms_sold"))),
     "food_cost_pct": (["fnb_cogs", "fnb_net_revenue"], _pct_sql(_bz("fnb_cogs"), _bz("fnb_net_revenue"))),
     "gross_profit": (["fnb_net_revenue", "fnb_cogs"],
                      f"CAST({_bz('fnb_net_revenue')} - {_bz('fnb_cogs')} AS DOUBLE)"),
@@ -1129,16 +1135,14 @@ SELECT month_start, total_revenue, total_revenue_ly,
        round(CAST(room_nights_ly AS DOUBLE) / NULLIF(CAST(available_room_nights_ly AS DOUBLE), 0) * 100, 6) AS occupancy_pct_ly
 FROM j"""
 
-_rc, _rs = measures_sql(["total_revenue"], ["month_start", "business_type"])
+_rc, _rs = measures_sql(["room_revenue", "fnb_net_revenue", "total_revenue"], ["month_start"])
 ORACLE["revenue_share"] = _MSTAR + ", " + _rc + f""",
-m AS ({_rs}),
-g AS (SELECT month_start, SUM(CASE WHEN business_type = 'Hotel' THEN total_revenue ELSE 0.0 END) AS hotel_revenue,
-             SUM(CASE WHEN business_type = 'F&B' THEN total_revenue ELSE 0.0 END) AS fnb_revenue
-      FROM m GROUP BY 1)
-SELECT month_start, round(hotel_revenue, 2) AS hotel_revenue, round(fnb_revenue, 2) AS fnb_revenue,
-       round(hotel_revenue / NULLIF(hotel_revenue + fnb_revenue, 0) * 100, 6) AS hotel_share_pct,
-       round(fnb_revenue / NULLIF(hotel_revenue + fnb_revenue, 0) * 100, 6) AS fnb_share_pct
-FROM g"""
+m AS ({_rs})
+SELECT month_start, round(room_revenue, 2) AS room_revenue, round(fnb_net_revenue, 2) AS fnb_net_revenue,
+       round(total_revenue, 2) AS total_revenue,
+       round(room_revenue / NULLIF(total_revenue, 0) * 100, 6) AS hotel_share_pct,
+       round(fnb_net_revenue / NULLIF(total_revenue, 0) * 100, 6) AS fnb_share_pct
+FROM m"""
 
 _bands = [("occupancy_pct", 65.0, 85.0), ("food_cost_pct", None, 32.0), ("gross_margin_pct", 65.0, None),
           ("ebitda_margin_pct", 28.0, None), ("cancellation_pct", None, 8.0), ("noshow_pct", None, 2.0),
@@ -1159,8 +1163,9 @@ FROM l JOIN bands b ON b.kpi = l.kpi"""
 
 # ---------------------------------------------------------------- trends, DQ summary, insights
 ORACLE["daily_trend"] = kpi_with() + """
-SELECT full_date, round(SUM(total_revenue), 2) AS revenue, round(AVG(occupancy_pct), 6) AS avg_occupancy_pct,
-       round(AVG(adr), 4) AS avg_adr
+SELECT full_date, CAST(SUM(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+       CAST((2 * CAST(SUM(CAST(occupancy_pct AS DECIMAL(18,6))) * 1000000 AS HUGEINT) + 1 * COUNT(occupancy_pct)) // NULLIF(2 * COUNT(occupancy_pct), 0) AS DOUBLE) / 1000000 AS avg_occupancy_pct,
+       CAST((2 * CAST(SUM(CAST(adr AS DECIMAL(18,6))) * 1000000 AS HUGEINT) + 100 * COUNT(adr)) // NULLIF(200 * COUNT(adr), 0) AS DOUBLE) / 10000 AS avg_adr
 FROM kpi GROUP BY full_date"""
 
 ORACLE["dq_summary"] = """
@@ -1198,3 +1203,17 @@ SELECT l_orderkey, l_linenumber, {sql_parse_date(RAW_DATE_SQL)} AS ship_date,
        {sql_parse_number(RAW_NUMBER_SQL)} AS amount, l_returnflag AS return_flag, 1 AS lineage_ok,
        'l_orderkey,l_linenumber,ship_date,amount,return_flag,_source_file,_raw_row' AS staged_columns
 FROM lineitem"""
+
+# ---------------------------------------------------------------- rows that facts leave out
+ORACLE["quarantine_by_rule"] = f"""
+WITH priorities(priority) AS (VALUES {", ".join(f"('{a[0]}')" for a in ACCOUNTS)}),
+o AS (SELECT *, NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey) AS c0,
+             NOT EXISTS (SELECT 1 FROM priorities WHERE priority = o_orderpriority) AS a0, o_orderdate IS NULL AS d0 FROM orders),
+l AS (SELECT *, NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey) AS s0,
+             NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey) AS p0, l_shipdate IS NULL AS d0 FROM lineitem),
+r AS (
+  SELECT 'bookings' AS source, CASE WHEN c0 THEN 'unknown_customer' WHEN d0 THEN 'missing_date' ELSE 'kept' END AS rule, o_totalprice AS v FROM o
+  UNION ALL SELECT 'ledger', CASE WHEN c0 THEN 'unknown_customer' WHEN a0 THEN 'unknown_account' WHEN d0 THEN 'missing_date' ELSE 'kept' END, o_totalprice FROM o
+  UNION ALL SELECT 'pos', CASE WHEN s0 THEN 'unknown_supplier' WHEN p0 THEN 'unknown_part' WHEN d0 THEN 'missing_date' ELSE 'kept' END, l_extendedprice FROM l
+  UNION ALL SELECT 'purchases', CASE WHEN s0 THEN 'unknown_supplier' WHEN d0 THEN 'missing_date' ELSE 'kept' END, l_extendedprice FROM l)
+SELECT source, rule, COUNT(*) AS n_rows, CAST(SUM(CAST(v AS {M})) AS DOUBLE) AS amount FROM r GROUP BY source, rule"""

@@ -31,10 +31,6 @@ from ..functions.stats import money, rate
 from ..operators.calendar import calendar_between
 from ..operators.lookup import dim_join
 
-# Reporting window of the marts (inclusive); covers every order and ship date.
-CAL_LO = "1995-01-01"
-CAL_HI = "2001-12-31"
-
 # The region whose nations are F&B units (no rooms).
 FNB_REGION = "EUROPE"
 
@@ -72,54 +68,39 @@ def read_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             if os.path.exists(os.path.join(sf_dir, f"{t}.parquet"))}
 
 
-# DataFrames are immutable plans: a scan (file listing + footer) or the
-# generated calendar is planned once per session and reused by every query.
-_FRAMES: dict[tuple, DataFrame] = {}
-
-
-# A scan with fewer splits than the cluster's cores (e.g. one large row group)
-# is rebalanced when it is at least this big; well-split inputs are untouched.
-REBALANCE_MIN_BYTES = 4 * 1024 * 1024
-# An under-split input up to this size is also kept cached once rebalanced:
-# the optimizer pushes filters below a repartition, so without the cache a
-# costly filter (e.g. parsing every raw date) would run in the one scan task.
-# The bound keeps the cache to what a few row groups can hold.
-CACHE_UNDERSPLIT_MAX_BYTES = 1024 * 1024 * 1024
-
-
-def read_cached(spark: SparkSession, path: str, rebalance: bool = True) -> DataFrame:
-    key = (id(spark), path, rebalance)
-    if key not in _FRAMES:
-        df = spark.read.parquet(path)
-        if rebalance:
-            df = _rebalance_if_undersplit(df)
-        _FRAMES[key] = df
-    return _FRAMES[key]
-
-
-def _rebalance_if_undersplit(df: DataFrame) -> DataFrame:
-    from ..operators.lookup import estimated_bytes
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = estimated_bytes(df) or 0
-    if size < REBALANCE_MIN_BYTES:
-        return df
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    r = df.repartition(cores)
-    return r.cache() if size <= CACHE_UNDERSPLIT_MAX_BYTES else r
-
-
 class Star:
     """Lazily built dimensions and facts over one data folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, cal_lo: str = CAL_LO,
-                 cal_hi: str = CAL_HI):
+    def __init__(self, spark: SparkSession, sf_dir: str, cal_lo: str | None = None,
+                 cal_hi: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.cal_lo, self.cal_hi = cal_lo, cal_hi
+        self._window = (cal_lo, cal_hi)
 
     def t(self, name: str) -> DataFrame:
-        return read_cached(self.spark, os.path.join(self.sf_dir, f"{name}.parquet"))
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    @cached_property
+    def window(self) -> tuple[str, str]:
+        """Reporting window (inclusive): the whole years from the first to the
+        last date of any fact, so no dated row falls outside the spine. One
+        pass over two date columns; one row comes back."""
+        lo, hi = self._window
+        if lo is None or hi is None:
+            dates = (self.t("orders").select(F.col("o_orderdate").alias("d"))
+                     .unionByName(self.t("lineitem").select(F.col("l_shipdate").alias("d"))))
+            first, last = dates.agg(F.min(F.year("d")), F.max(F.year("d"))).first()
+            lo = lo or f"{first or 2000:04d}-01-01"
+            hi = hi or f"{last or 2000:04d}-12-31"
+        return lo, hi
+
+    @property
+    def cal_lo(self) -> str:
+        return self.window[0]
+
+    @property
+    def cal_hi(self) -> str:
+        return self.window[1]
 
     # ------------------------------------------------------------ dimensions
     @cached_property
@@ -138,10 +119,7 @@ class Star:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        key = (id(self.spark), "calendar", self.cal_lo, self.cal_hi)
-        if key not in _FRAMES:
-            _FRAMES[key] = calendar_between(self.spark, self.cal_lo, self.cal_hi)
-        return _FRAMES[key]
+        return calendar_between(self.spark, self.cal_lo, self.cal_hi)
 
     @cached_property
     def dim_account(self) -> DataFrame:
@@ -170,6 +148,7 @@ class Star:
     @cached_property
     def fact_room_sales(self) -> DataFrame:
         o = self.t("orders")
+        o = o.where(F.col("o_orderdate").isNotNull())
         j = dim_join(o, self.customers, o.o_custkey == F.col("c_custkey"), "inner")
         status = F.col("o_orderstatus")
         sold = (status == "F").cast("int")
@@ -198,6 +177,7 @@ class Star:
         li = self.t("lineitem")
         sup = self.t("supplier").select("s_suppkey", "s_nationkey", "s_name")
         prod = self.dim_product.select("product_id", "category", "unit_cost_ratio")
+        li = li.where(F.col("l_shipdate").isNotNull())
         j = dim_join(li, sup, li.l_suppkey == F.col("s_suppkey"), "inner")
         j = dim_join(j, prod, F.col("l_partkey") == F.col("product_id"), "inner")
         gross = money("l_extendedprice")
@@ -227,6 +207,7 @@ class Star:
     @cached_property
     def fact_expense(self) -> DataFrame:
         o = self.t("orders")
+        o = o.where(F.col("o_orderdate").isNotNull())
         j = dim_join(o, self.customers, o.o_custkey == F.col("c_custkey"), "inner")
         j = j.join(F.broadcast(self.dim_account), F.col("o_orderpriority") == F.col("priority"))
         d = F.to_date("o_orderdate")
@@ -243,6 +224,38 @@ class Star:
             (F.col("account_type") == "COGS").cast("int").alias("is_cogs"),
         )
 
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        """(source, rule, key, amount): every source row that a fact leaves
+        out, under the first rule it breaks. The facts' joins are inner, so
+        rows of a fact and its quarantined rows add up to the source."""
+        o, li = self.t("orders"), self.t("lineitem")
+        c = self.customers.select("c_custkey", F.lit(True).alias("has_customer"))
+        a = F.broadcast(self.dim_account.select(F.col("priority"), F.lit(True).alias("has_account")))
+        s = self.t("supplier").select("s_suppkey", F.lit(True).alias("has_supplier"))
+        p = self.t("part").select("p_partkey", F.lit(True).alias("has_part"))
+        j = (dim_join(o, c, o.o_custkey == F.col("c_custkey"), "left")
+             .join(a, F.col("o_orderpriority") == F.col("priority"), "left"))
+        k = dim_join(li, s, li.l_suppkey == F.col("s_suppkey"), "left")
+        k = dim_join(k, p, F.col("l_partkey") == F.col("p_partkey"), "left")
+
+        def broken(df, source, key, amount, rules):
+            rule = F.coalesce(*[F.when(test, F.lit(name)) for name, test in rules])
+            return (df.select(F.lit(source).alias("source"), rule.alias("rule"),
+                              F.col(key).alias("key"), money(amount).alias("amount"))
+                    .where(F.col("rule").isNotNull()))
+
+        no_customer = ("unknown_customer", F.col("has_customer").isNull())
+        no_order_date = ("missing_date", F.col("o_orderdate").isNull())
+        no_supplier = ("unknown_supplier", F.col("has_supplier").isNull())
+        no_ship_date = ("missing_date", F.col("l_shipdate").isNull())
+        return (broken(j, "bookings", "o_orderkey", "o_totalprice", [no_customer, no_order_date])
+                .unionByName(broken(j, "ledger", "o_orderkey", "o_totalprice", [
+                    no_customer, ("unknown_account", F.col("has_account").isNull()), no_order_date]))
+                .unionByName(broken(k, "pos", "l_orderkey", "l_extendedprice", [
+                    no_supplier, ("unknown_part", F.col("has_part").isNull()), no_ship_date]))
+                .unionByName(broken(k, "purchases", "l_orderkey", "l_extendedprice", [no_supplier, no_ship_date])))
+
     @cached_property
     def fact_budget(self) -> DataFrame:
         """Budget per (month, property, department, account) = the same month
@@ -263,6 +276,7 @@ class Star:
     def fact_purchase(self) -> DataFrame:
         li = self.t("lineitem")
         sup = self.t("supplier").select("s_suppkey", "s_nationkey")
+        li = li.where(F.col("l_shipdate").isNotNull())
         j = dim_join(li, sup, li.l_suppkey == F.col("s_suppkey"), "inner")
         d = F.to_date("l_shipdate")
         return j.select(

@@ -8,6 +8,7 @@ as in local tests.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,14 +65,31 @@ def configure(spark: SparkSession) -> SparkSession:
             except Exception:  # static conf on a shared session
                 pass
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application: functions
+    that run in Python workers import it there."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local[") or sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="tallyhall-zip-"), "tallyhall")
+    sc.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package)))
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
     Only when the session leaves it unset (local tests) is a fresh scratch
-    folder created and registered.
+    folder created and registered; on a cluster an unset folder is an error,
+    as executors do not share a machine's folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -79,6 +97,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
+    if not conf and not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not conf:
         conf = tempfile.mkdtemp(prefix="tallyhall-ckpt-")
     sc.setCheckpointDir(conf)

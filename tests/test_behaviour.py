@@ -29,14 +29,14 @@ def test_dedup_first_keeps_first_by_order(spark):
 
 
 def test_ambiguous_map_errors_or_quarantines(spark):
-    mp = spark.createDataFrame([("The Grand Table", "H001"), ("The Grand Table", "H007"),
+    mp = spark.createDataFrame([("The Long Table", "H001"), ("The Long Table", "H007"),
                                 ("Lobby", "H003")], "alias string, id string")
-    df = spark.createDataFrame([("The Grand Table",), ("Lobby",)], "outlet string")
+    df = spark.createDataFrame([("The Long Table",), ("Lobby",)], "outlet string")
     with pytest.raises(lk.AmbiguousKeyError):
         lk.lookup(df, "outlet", mp, "alias", "id", "property_id")
     q = lk.lookup(df, "outlet", mp, "alias", "id", "property_id", on_ambiguous="quarantine")
     ok, bad = clean.quarantine(q, F.col("_ambiguous") == 1, "ambiguous_outlet")
-    assert [r["outlet"] for r in bad.collect()] == ["The Grand Table"]
+    assert [r["outlet"] for r in bad.collect()] == ["The Long Table"]
     assert [r["property_id"] for r in ok.collect()] == ["H003"]
     assert ok.count() + bad.count() == df.count()
 
@@ -54,8 +54,8 @@ def test_normalized_department_lookup(spark):
 
 
 def test_unknown_supplier_default_member_passes_ri(spark):
-    dim = spark.createDataFrame([("S001", "Sentosa"), ("S999", "Unknown")], "id string, name string")
-    df = spark.createDataFrame([("Sentosa",), ("Nobody",)], "supplier string")
+    dim = spark.createDataFrame([("S001", "Acme"), ("S999", "Unknown")], "id string, name string")
+    df = spark.createDataFrame([("Acme",), ("Nobody",)], "supplier string")
     m = lk.default_bucket(lk.normalized_lookup(df, "supplier", dim, "name", "id", "supplier_id"),
                           "supplier_id", "S999")
     assert sorted(r["supplier_id"] for r in m.collect()) == ["S001", "S999"]
@@ -83,12 +83,12 @@ def test_top_anomalies_ordered_by_abs_z(spark):
 def test_alias_collision_reported_and_resolved_by_priority(spark):
     dim = spark.createDataFrame([("H001", "Grand Jakarta", "Jakarta", 1), ("F001", "Food Hall", "Jakarta", 2)],
                                 "id string, name string, city string, prio int")
-    seeds = lk.alias_seeds(dim, "id", "name", ["city"], prefix="MG", priority_col="prio")
+    seeds = lk.alias_seeds(dim, "id", "name", ["city"], prefix="HQ", priority_col="prio")
     resolved, collisions = lk.resolve_seeds(seeds)
     col = {r["alias_key"]: r["ids"] for r in collisions.collect()}
-    assert col["MG JAKARTA"] == ["F001", "H001"]
+    assert col["HQ JAKARTA"] == ["F001", "H001"]
     res = {r["alias_key"]: r["id"] for r in resolved.collect()}
-    assert res["MG JAKARTA"] == "H001"
+    assert res["HQ JAKARTA"] == "H001"
 
 
 def test_null_date_key_quarantined(spark):

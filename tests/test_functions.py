@@ -55,9 +55,9 @@ def test_parse_mixed_number(spark):
 
 
 def test_norm_key(spark):
-    vals = [" Coffee - Latte ", "coffee  latte", "Rice & Noodles", "F&B", "MG-Jakarta", None]
+    vals = [" Coffee - Latte ", "coffee  latte", "Rice & Noodles", "F&B", "HQ-Jakarta", None]
     assert _eval(spark, vals, norm_key) == [
-        "COFFEE LATTE", "COFFEE LATTE", "RICE NOODLES", "F B", "MG JAKARTA", ""]
+        "COFFEE LATTE", "COFFEE LATTE", "RICE NOODLES", "F B", "HQ JAKARTA", ""]
 
 
 def test_period_and_week(spark):
