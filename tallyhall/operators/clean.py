@@ -173,38 +173,18 @@ def dedup_exact(df: DataFrame, ignore=LINEAGE, order=None) -> DataFrame:
 
 
 def line_numbers(df: DataFrame, group, order, out: str = "line_no", base: int = 1,
-                 hot_threshold: int | None = None, hot_ranges: int | None = None) -> DataFrame:
+                 ranges: int | None = None) -> DataFrame:
     """Running number within ``group`` in ``order`` (1-based by default;
     ``base=0`` for the suffix style).
 
-    A window puts each group in one task. With ``hot_threshold`` set, groups
-    larger than that many rows are numbered by :func:`_split_numbers`
-    instead (range-partitioned across tasks), so one group holding a third
-    of the table cannot pin a single task; the rest use the plain window.
+    Rows are range-partitioned on (group, order), so a group of any size
+    spreads over many tasks in order; they are numbered inside each range, and
+    the row counts of the group's earlier ranges (one row per group and range)
+    are added.
     """
     group = [group] if isinstance(group, str) else list(group)
     order = [order] if isinstance(order, str) else list(order)
-    w = Window.partitionBy(*group).orderBy(*order)
-    if hot_threshold is None:
-        return df.withColumn(out, F.row_number().over(w) - 1 + base)
-    from .lookup import maybe_broadcast
-    hot_keys = (df.groupBy(*group).agg(F.count("*").alias("__gn"))
-                .filter(F.col("__gn") > hot_threshold).drop("__gn"))
-    if hot_keys.limit(1).count() == 0:  # one small aggregate decides the plan
-        return df.withColumn(out, F.row_number().over(w) - 1 + base)
-    # at most rows / hot_threshold keys: a bounded set, broadcast behind the size check
-    hk = maybe_broadcast(hot_keys)
-    cold = df.join(hk, group, "left_anti").withColumn(out, F.row_number().over(w) - 1 + base)
-    hot = _split_numbers(df.join(hk, group, "left_semi"), group, order, out, base, hot_ranges)
-    return cold.unionByName(hot.select(*cold.columns))
-
-
-def _split_numbers(df: DataFrame, group, order, out, base, n_ranges=None) -> DataFrame:
-    """Running numbers for very large groups: range-partition on
-    (group, order) so a group's rows spread over many tasks in order, number
-    rows inside each range, then add the row count of the group's earlier
-    ranges (a table with one row per (group, range))."""
-    n = n_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     r = (df.repartitionByRange(n, *group, *order)
          .withColumn("__pid", F.spark_partition_id()))
     local = Window.partitionBy("__pid", *group).orderBy(*order)
@@ -215,10 +195,16 @@ def _split_numbers(df: DataFrame, group, order, out, base, n_ranges=None) -> Dat
     r = cut_lineage(r)
     counts = r.groupBy(*group, "__pid").agg(F.count("*").alias("__n"))
     before = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    return (r.join(offs, [*group, "__pid"])
-            .withColumn(out, (F.col("__off") + F.col("__local") - 1 + base).cast("int"))
-            .drop("__pid", "__local", "__off"))
+    # only groups that reach into a second range have anything to add
+    offs = (counts.withColumn("__off", F.sum("__n").over(before)).where("__off > 0")
+            .select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)],
+                    F.col("__pid").alias("__p"), "__off"))
+    same = F.col("__pid") == F.col("__p")
+    for i, g in enumerate(group):
+        same &= F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    return (r.join(offs, same, "left")
+            .withColumn(out, (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local") - 1 + base).cast("int"))
+            .select(*df.columns, out))
 
 
 def composite_key(id_col, n_col, sep: str = "-") -> Column:

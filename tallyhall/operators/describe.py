@@ -1,10 +1,8 @@
 """Distribution summaries, histograms and counts.
 
-Quantiles default to Spark's exact ``percentile`` (linear interpolation, the
-same definition as pandas and DuckDB ``quantile_cont``); its buffer is a
-value -> count map combined map-side, so memory follows the number of
-distinct values, not rows. ``approx=True`` switches to the bounded-memory
-``percentile_approx`` sketch for very wide groups.
+Quantiles are exact (linear interpolation, the same definition as pandas and
+DuckDB ``quantile_cont``) and distributed: no group is held in one task. Spark's
+``percentile`` and the bounded ``percentile_approx`` sketch are there by name.
 """
 
 from __future__ import annotations
@@ -20,30 +18,15 @@ QUANTILES = [("p01", 0.01), ("p05", 0.05), ("q1", 0.25), ("median", 0.5), ("q3",
              ("p95", 0.95), ("p99", 0.99)]
 
 
-# Inputs whose estimated plan size is at most this are small enough for Spark's
-# exact ``percentile`` buffer (value -> count map, never larger than the input).
-PERCENTILE_BUFFER_BYTES = 64 * 1024 * 1024
-
-
-def quantile_method(df: DataFrame, method: str = "auto") -> str:
-    """Resolve ``'auto'``: ``'percentile'`` when the input is provably small
-    (Catalyst size estimate within the bound), else ``'distributed'``."""
-    if method != "auto":
-        return method
-    from .lookup import estimated_bytes
-    n = estimated_bytes(df)
-    return "percentile" if n is not None and n <= PERCENTILE_BUFFER_BYTES else "distributed"
-
-
-def quantiles(df: DataFrame, value: str, probs, by=None, method: str = "auto") -> DataFrame:
-    """``by`` columns plus ``quantiles`` (exact, aligned with ``probs``)."""
+def quantiles(df: DataFrame, value: str, probs, by=None, method: str = "distributed") -> DataFrame:
+    """``by`` columns plus ``quantiles`` (aligned with ``probs``); null and NaN
+    are left out. ``method``: as in :func:`describe_series`."""
     by = [] if by is None else ([by] if isinstance(by, str) else list(by))
-    m = quantile_method(df, method)
-    if m == "distributed":
+    if method == "distributed":
         return exact_quantiles(df, value, probs, by)
     x = F.col(value).cast("double")
     d = df.select(*by, x.alias("__x")).filter(F.col("__x").isNotNull() & ~F.isnan("__x"))
-    agg = F.percentile_approx("__x", list(probs), 10000) if m == "approx" else \
+    agg = F.percentile_approx("__x", list(probs), 10000) if method == "approx" else \
         F.percentile("__x", list(probs))
     return (d.groupBy(*by) if by else d).agg(agg.alias("quantiles"))
 
@@ -54,19 +37,18 @@ def _q(c, p, approx, accuracy):
     return F.percentile(c, p)
 
 
-def describe_series(df: DataFrame, col: str, by=None, method: str = "auto",
+def describe_series(df: DataFrame, col: str, by=None, method: str = "distributed",
                     accuracy: int = 10000, places: int = 6) -> DataFrame:
     """Count, mean, std, min, p01, p05, q1, median, q3, p95, p99, max,
     skew (bias-corrected) per ``by`` group (or globally); nulls and NaN skipped.
 
     ``method``: ``'distributed'`` (exact, :func:`exact_quantiles`, no group
-    in one task), ``'percentile'`` (Spark's exact buffer), ``'approx'``
-    (bounded sketch) or ``'auto'`` (size-checked choice of the first two).
+    in one task), ``'percentile'`` (Spark's exact buffer, a group in one task)
+    or ``'approx'`` (bounded sketch).
     """
     by = [] if by is None else ([by] if isinstance(by, str) else list(by))
     x = F.col(col).cast("double")
     d = df.select(*by, x.alias("__x")).filter(F.col("__x").isNotNull() & ~F.isnan("__x"))
-    method = quantile_method(d, method)
     probs = [p for _, p in QUANTILES]
     aggs = [F.count("__x").alias("count"), F.avg("__x").alias("mean"),
             F.stddev_samp("__x").alias("std"), F.min("__x").alias("min"),
@@ -84,7 +66,7 @@ def describe_series(df: DataFrame, col: str, by=None, method: str = "auto",
 
 
 def histogram(df: DataFrame, col: str, bins: int = 40, clip_q: float = 0.99,
-              places: int = 6, method: str = "auto") -> DataFrame:
+              places: int = 6, method: str = "distributed") -> DataFrame:
     """Equal-width histogram after clipping at the ``clip_q`` quantile;
     every bin is reported, empty ones with count 0."""
     x = F.col(col).cast("double")

@@ -24,7 +24,7 @@ class GateFailed(RuntimeError):
 
 
 def profile(df: DataFrame, table: str, approx_distinct: bool = False,
-            approx_quantiles: bool = False, quantile_method: str = "auto") -> DataFrame:
+            approx_quantiles: bool = False, quantile_method: str = "distributed") -> DataFrame:
     """One row per column with null count and %, distinct count,
     numeric summary, plus the table's duplicate-row count (null-equal)."""
     cols = df.columns

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import marts
 from ..operators.combine import with_scalars
 from ..session import cut_lineage
-from .roles import Star
+from .roles import OTHER_INCOME_CODES, Star
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -138,9 +138,6 @@ def yn_flags(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- dedup / numbering
-# Groups (orders) above this many lines are numbered by the split path.
-HOT_GROUP_ROWS = 1_000_000
-
 LINE_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
               "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
@@ -162,8 +159,7 @@ def dedup_exact(spark, sf_dir):
 @query("line_numbers")
 def line_numbers(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
-    r = clean.line_numbers(li, "l_orderkey", LINE_ORDER, "line_no", base=1,
-                           hot_threshold=HOT_GROUP_ROWS)
+    r = clean.line_numbers(li, "l_orderkey", LINE_ORDER, "line_no", base=1)
     return r.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                     F.to_date("l_shipdate").alias("ship_date"), "line_no")
 
@@ -171,8 +167,7 @@ def line_numbers(spark, sf_dir):
 @query("composite_keys")
 def composite_keys(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
-    r = clean.line_numbers(li, "l_orderkey", LINE_ORDER, "n", base=0,
-                           hot_threshold=HOT_GROUP_ROWS)
+    r = clean.line_numbers(li, "l_orderkey", LINE_ORDER, "n", base=0)
     return r.select(clean.composite_key("l_orderkey", "n").alias("purchase_line_id"),
                     "l_partkey", "l_suppkey",
                     F.col("l_extendedprice").cast("decimal(18,2)").cast("double").alias("total_amount"))
@@ -893,20 +888,27 @@ def reconcile_kpis(spark, sf_dir):
     star = Star(spark, sf_dir)
     daily = marts.kpi_daily(star)
     a = daily.agg(*[F.round(F.sum(m).cast("double"), 2).alias(m) for m in RECONCILE_METRICS])
-    r = marts.room_daily(star).agg(
-        F.sum("room_revenue").alias("room_revenue"), F.sum("rooms_sold").alias("rooms_sold"),
-        F.sum("occupied_room_nights").alias("occupied_room_nights"),
-        F.sum("bookings").alias("bookings"))
-    f = star.fact_fnb_sales
-    clean_ = (F.col("is_void") == 0) & (F.col("is_refund") == 0)
-    fa = f.agg(F.sum("gross_sales").alias("fnb_gross_sales"),
-               F.sum(F.when(clean_, F.col("net_sales")).otherwise(0)).alias("fnb_net_revenue"),
-               F.sum("cogs_amount").alias("fnb_cogs"))
-    ea = marts.expense_daily(star).agg(F.sum("opex").alias("opex"),
-                                       F.sum("other_income").alias("other_income"))
-    b = with_scalars(with_scalars(r, fa), ea).select(
-        *[F.round(F.col(m).cast("double"), 2).alias(m) for m in RECONCILE_METRICS])
-    return qa.reconcile(ds.long_kpis(a, RECONCILE_METRICS), ds.long_kpis(b, RECONCILE_METRICS))
+    # the other side: the facts' rows, added up without the mart's builders
+    sold = F.col("is_void") + F.col("is_refund") == 0
+    kind = F.col("account_type")
+    sides = [
+        (star.fact_room_sales, {
+            "room_revenue": F.sum("room_revenue"), "rooms_sold": F.sum("rooms_sold"),
+            "occupied_room_nights": F.sum("room_nights"), "bookings": F.count("*")}),
+        (star.fact_fnb_sales, {
+            "fnb_gross_sales": F.sum("gross_sales"), "fnb_net_revenue": F.sum(F.when(sold, F.col("net_sales"))),
+            "fnb_cogs": F.sum("cogs_amount")}),
+        (star.fact_expense.join(F.broadcast(star.dim_account.select("account_id", "account_type", "account_code")),
+                                "account_id"), {
+            "opex": F.sum(F.when(kind == "OPEX", F.col("amount"))),
+            "other_income": F.sum(F.when((kind == "Revenue") & F.col("account_code").isin(*OTHER_INCOME_CODES),
+                                         F.col("amount")))}),
+    ]
+    b = None
+    for fact, sums in sides:
+        part = ds.long_kpis(fact.agg(*[F.round(c.cast("double"), 2).alias(m) for m, c in sums.items()]), list(sums))
+        b = part if b is None else b.unionByName(part)
+    return qa.reconcile(ds.long_kpis(a, RECONCILE_METRICS), b)
 
 
 # Allowed domains per coded column.

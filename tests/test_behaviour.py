@@ -150,13 +150,28 @@ def test_seasonal_forecast_picks_a_model(spark):
 def test_line_numbers_split_hot_group_matches_window(spark):
     rows = [(0, i) for i in range(3000)] + [(k, i) for k in range(1, 50) for i in range(3)]
     df = spark.createDataFrame(rows, "g int, o int").repartition(7)
-    plain = {(r["g"], r["o"]): r["n"] for r in clean.line_numbers(df, "g", "o", "n").collect()}
-    split = clean.line_numbers(df, "g", "o", "n", hot_threshold=100, hot_ranges=6)
+    plain = {(g, o): o + 1 for g, o in rows}
+    split = clean.line_numbers(df, "g", "o", "n", ranges=6)
     got = {(r["g"], r["o"]): r["n"] for r in split.collect()}
     assert got == plain
     assert got[(0, 2999)] == 3000
 
 
+def test_line_numbers_of_a_null_group_in_several_ranges(spark):
+    df = spark.createDataFrame([(None, i) for i in range(500)] + [(1, 7)], "g int, o int").repartition(5)
+    got = clean.line_numbers(df, "g", "o", "n", ranges=4).collect()
+    assert sorted(r["n"] for r in got if r["g"] is None) == list(range(1, 501))
+    assert [r["n"] for r in got if r["g"] == 1] == [1]
+
+
+def test_quantiles_leave_nan_out_by_either_method(spark):
+    from tallyhall.operators.describe import describe_series
+    df = spark.createDataFrame([(float(i),) for i in range(1, 11)] + [(float("nan"),)] * 3 + [(None,)], "v double")
+    got = [describe_series(df, "v", method=m).first() for m in ("distributed", "percentile")]
+    assert got[0] == got[1]
+    assert (got[0]["median"], got[0]["p95"]) == (5.5, 9.55)
+
+
 def test_distributed_quantiles_match_percentile(spark):
     import random
     from tallyhall.operators.describe import describe_series, exact_quantiles
