@@ -38,6 +38,18 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed_table(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Like ``scratch_table``, in as many buckets of ``key`` as the session
+    shuffles to: joins on ``key`` read it where it lies, without an exchange."""
+    spark = df.sparkSession
+    table, path = f"{name}_{uuid.uuid4().hex}", scratch_path(spark, name)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(n, key).option("path", path).format("parquet").saveAsTable(table)
+    found = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the name only: the files lie in the shared folder
+    return found
+
+
 def bounded_broadcast(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """Broadcast ``df`` if ``rows`` (counted by the caller) times
     ``row_bytes`` stays small; otherwise leave the join to shuffle."""

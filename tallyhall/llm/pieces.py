@@ -39,10 +39,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhall.llm.blobs import pack_counts, unpack_counts
-from tallyhall.llm.common import scratch_table, texts
+from tallyhall.llm.common import bucketed_table, scratch_table
 
 MARK = "▁"
-CHUNK = 1_000_000
+#: Units that one chunk holds, about.
+CHUNK = 2_000_000
 #: Letters of a unit whose joins are simply looked through.
 SHORT = 24
 #: Units that one range holds, about.
@@ -98,6 +99,38 @@ def units(text: str) -> list[str]:
     return _UNIT.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
+class Places(dict):
+    """Units by the text they come from, numbered as first seen: ``x`` is the
+    unit of a word with its mark, a line end followed by ``x`` that of a word
+    at the start of a line, without one. The latter's numbers are held as
+    -1 - n, for they stand for a line end too."""
+
+    def __missing__(self, key: str) -> int:
+        n = len(self)
+        self[key] = got = -1 - n if key[:1] == "\n" and len(key) > 1 else n
+        return got
+
+    def units(self) -> list[str]:
+        return [MARK + k if k[:1] != "\n" else k[1:] or k for k in self]
+
+    def of(self, text: str) -> np.ndarray:
+        """The numbers of a text's ``units``."""
+        lines = text.replace("\n", " \n")
+        if not text or "  " in lines or lines[0] == " " or lines[-1] == " " or MARK in lines:
+            found = [self[u[1:] if u[0] == MARK else u if u == "\n" else "\n" + u] for u in units(text)]
+            return np.array([n if n >= 0 else -1 - n for n in found], np.int32)
+        words = lines.split(" ")
+        n = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        starts = n < 0
+        if not starts.any():
+            return n
+        end = np.cumsum(1 + starts)
+        out = np.empty(end[-1], np.int32)
+        out[end - 1] = np.where(starts, -1 - n, n)
+        out[end[starts] - 2] = self["\n"]
+        return out
+
+
 def lattice(vocabulary: DataFrame, table: DataFrame, max_piece: int, least: int = 2, packed: bool = False) -> DataFrame:
     """(range, unit, edges) of the distinct units with an edge, partitioned by
     unit; an edge is a struct (start, size, id, score) for a substring of
@@ -204,7 +237,7 @@ def merged(grouped: DataFrame, path: str) -> DataFrame:
 def _pack_units(words: list[str]) -> bytes:
     raw = [w.encode("utf-8", "surrogatepass") for w in words]
     head = pack_counts(np.array([len(r) for r in raw]))
-    return len(head).to_bytes(4, "little") + head + zstandard.compress(b"".join(raw), 1)
+    return len(head).to_bytes(4, "little") + head + zstandard.compress(b"".join(raw), 3)
 
 
 def _unpack_units(data: bytes) -> list[str]:
@@ -237,29 +270,29 @@ def chunks(docs: DataFrame, ranges: int) -> DataFrame:
     are places among them."""
     def run(batches):
         part, made, held, n = TaskContext.get().partitionId() << 32, 0, [], 0
-
-        place: dict[str, int] = {}
+        place = Places()
 
         def flush():
             nonlocal made
             made += 1
-            by: dict[int, list[str]] = {}
-            for u in sorted(place):
-                by.setdefault(_range(u, ranges), []).append(u)
-            new = np.empty(len(place), np.int64)  # first seen -> place in order of range
-            new[np.fromiter((place[u] for r in sorted(by) for u in by[r]), np.int64, len(place))] = np.arange(len(place))
-            tokens = new[np.concatenate([w for _, w in held])]
+            seen = place.units()
             place.clear()
+            by: dict[int, list[int]] = {}
+            for k in sorted(range(len(seen)), key=seen.__getitem__):
+                by.setdefault(_range(seen[k], ranges), []).append(k)
+            new = np.empty(len(seen), np.int32)  # first seen -> place in order of range
+            new[np.fromiter((k for r in sorted(by) for k in by[r]), np.int32, len(seen))] = np.arange(len(seen))
+            tokens = new[np.concatenate([w for _, w in held])]
             return pa.RecordBatch.from_arrays(
                 [pa.array([part + made], pa.int64()), pa.array([[d for d, _ in held]], pa.list_(pa.int64())),
                  pa.array([[len(w) for _, w in held]], pa.list_(pa.int32())), pa.array([pack_counts(tokens)], pa.binary()),
                  pa.array([sorted(by)], pa.list_(pa.int32())),
-                 pa.array([[_pack_units(by[r]) for r in sorted(by)]], pa.list_(pa.binary()))],
+                 pa.array([[_pack_units([seen[k] for k in by[r]]) for r in sorted(by)]], pa.list_(pa.binary()))],
                 names=["chunk", "ids", "sizes", "tokens", "ranges", "units"])
 
         for b in batches:
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), texts(b)):
-                held.append((doc_id, np.array([place.setdefault(u, len(place)) for u in units(text)], np.int32)))
+            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text")):  # one text at a time
+                held.append((doc_id, place.of(text.as_py() or "")))
                 n += len(held[-1][1])
                 if n >= CHUNK:
                     yield flush()
@@ -309,7 +342,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     p = pieces(model)
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     ranges = max(1, -(-size // (40 * RANGE_UNITS)))
-    chunked = scratch_table(chunks(docs, ranges), "unit-chunks")
+    chunked = bucketed_table(chunks(docs, ranges), "unit_chunks", "chunk")
     asked = chunked.select("chunk", F.explode(F.arrays_zip("ranges", "units")).alias("r")).select(
         F.col("r.ranges").alias("range"), "chunk", F.col("r.units").alias("units"))
     known = vocabulary(asked)
