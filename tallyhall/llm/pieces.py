@@ -44,10 +44,12 @@ from tallyhall.llm.common import bucketed_table, scratch_table
 MARK = "▁"
 #: Units that one chunk holds, about.
 CHUNK = 2_000_000
+#: Units of a chunk that are written as small numbers.
+HEAD = 16_384
 #: Letters of a unit whose joins are simply looked through.
 SHORT = 24
 #: Units that one range holds, about.
-RANGE_UNITS = 200_000
+RANGE_UNITS = 400_000
 _UNIT = re.compile(rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 _CUT = re.compile("\n")
 
@@ -66,6 +68,8 @@ class Pieces:
         self.score = np.array([sp.get_score(i) for i in range(sp.vocab_size())])
         self.max_piece = max((len(p) for p, _, _ in self.rows), default=1)
         self.text = {i: p.encode() for p, i, _ in self.rows} | {i: bytes([b]) for b, i in self.bytes.items()}
+        self.spelt = np.empty(sp.vocab_size(), object)  # by id
+        self.spelt[:] = [self.text.get(i, b"") for i in range(sp.vocab_size())]
         if any(MARK in p.lstrip(MARK) or len(p) > 1 and _CUT.search(p) for p, _, _ in self.rows):
             raise ValueError("a piece reaches across the places where texts are cut")
 
@@ -234,18 +238,19 @@ def merged(grouped: DataFrame, path: str) -> DataFrame:
     return grouped.mapInArrow(run, "range int, unit string, ids binary")
 
 
-def _pack_units(words: list[str]) -> bytes:
-    raw = [w.encode("utf-8", "surrogatepass") for w in words]
+def _pack_units(raw: list[bytes]) -> bytes:
     head = pack_counts(np.array([len(r) for r in raw]))
     return len(head).to_bytes(4, "little") + head + zstandard.compress(b"".join(raw), 3)
 
 
-def _unpack_units(data: bytes) -> list[str]:
+def _slices(raw: bytes, sizes: np.ndarray) -> list[bytes]:
+    ends = np.cumsum(sizes).tolist()
+    return [raw[a:z] for a, z in zip([0, *ends], ends)]
+
+
+def _unpack_units(data: bytes) -> list[bytes]:
     n = int.from_bytes(data[:4], "little")
-    size = unpack_counts(data[4:4 + n])
-    raw = zstandard.decompress(data[4 + n:])
-    ends = np.cumsum(size).tolist()
-    return [raw[a:z].decode("utf-8", "surrogatepass") for a, z in zip([0, *ends], ends)]
+    return _slices(zstandard.decompress(data[4 + n:]), unpack_counts(data[4:4 + n]))
 
 
 def _pack_ids(ids: list[bytes]) -> bytes:
@@ -253,21 +258,33 @@ def _pack_ids(ids: list[bytes]) -> bytes:
     return len(head).to_bytes(4, "little") + head + pack_counts(np.frombuffer(b"".join(ids), "<i4"))
 
 
-def _unpack_ids(data: bytes) -> list[bytes]:
+def _unpack_ids(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """How many ids each unit has, and all ids."""
     n = int.from_bytes(data[:4], "little")
-    ends = (4 * np.cumsum(unpack_counts(data[4:4 + n]))).tolist()
-    raw = unpack_counts(data[4 + n:]).astype("<i4").tobytes()
-    return [raw[a:z] for a, z in zip([0, *ends], ends)]
+    return unpack_counts(data[4:4 + n]), unpack_counts(data[4 + n:])
+
+
+def _tokens(places: np.ndarray, n: int) -> tuple[bytes, bytes]:
+    """Places, the ``HEAD`` most frequent of them written as small numbers,
+    and what these stand for."""
+    head = np.argsort(-np.bincount(places, minlength=n), kind="stable")[:HEAD]
+    code = np.arange(n) + len(head)
+    code[head] = np.arange(len(head))
+    return pack_counts(code[places]), pack_counts(head)
 
 
-def _range(unit: str, ranges: int) -> int:
-    return zlib.crc32(unit.encode("utf-8", "surrogatepass")) * ranges >> 32
+def _places(tokens: bytes, head: bytes) -> np.ndarray:
+    code, first = unpack_counts(tokens), unpack_counts(head)
+    small = code < len(first)
+    code[small] = first[code[small]]
+    code[~small] -= len(first)
+    return code
 
 
 def chunks(docs: DataFrame, ranges: int) -> DataFrame:
-    """(chunk, ids, sizes, tokens, ranges, units): documents gathered with
-    their distinct units, in order of range, packed range by range; tokens
-    are places among them."""
+    """(chunk, ids, sizes, tokens, head, ranges, units): documents gathered
+    with their distinct units, in order of range, packed range by range;
+    tokens and head are places among them."""
     def run(batches):
         part, made, held, n = TaskContext.get().partitionId() << 32, 0, [], 0
         place = Places()
@@ -275,20 +292,23 @@ def chunks(docs: DataFrame, ranges: int) -> DataFrame:
         def flush():
             nonlocal made
             made += 1
-            seen = place.units()
+            raw = [u.encode() for u in place.units()]
             place.clear()
-            by: dict[int, list[int]] = {}
-            for k in sorted(range(len(seen)), key=seen.__getitem__):
-                by.setdefault(_range(seen[k], ranges), []).append(k)
-            new = np.empty(len(seen), np.int32)  # first seen -> place in order of range
-            new[np.fromiter((k for r in sorted(by) for k in by[r]), np.int32, len(seen))] = np.arange(len(seen))
-            tokens = new[np.concatenate([w for _, w in held])]
+            # by range, sorted within it
+            of = np.fromiter((zlib.crc32(u) for u in raw), np.int64, len(raw)) * ranges >> 32
+            order = np.fromiter(sorted(range(len(raw)), key=raw.__getitem__), np.int64, len(raw))
+            order = order[np.argsort(of[order], kind="stable")]
+            new = np.empty(len(raw), np.int64)  # first seen -> place in that order
+            new[order] = np.arange(len(raw))
+            tokens, head = _tokens(new[np.concatenate([w for _, w in held])], len(raw))
+            present, first = np.unique(of[order], return_index=True)
+            parts = [_pack_units([raw[k] for k in g.tolist()]) for g in np.split(order, first[1:])] if raw else []
             return pa.RecordBatch.from_arrays(
                 [pa.array([part + made], pa.int64()), pa.array([[d for d, _ in held]], pa.list_(pa.int64())),
-                 pa.array([[len(w) for _, w in held]], pa.list_(pa.int32())), pa.array([pack_counts(tokens)], pa.binary()),
-                 pa.array([sorted(by)], pa.list_(pa.int32())),
-                 pa.array([[_pack_units([seen[k] for k in by[r]]) for r in sorted(by)]], pa.list_(pa.binary()))],
-                names=["chunk", "ids", "sizes", "tokens", "ranges", "units"])
+                 pa.array([[len(w) for _, w in held]], pa.list_(pa.int32())), pa.array([tokens], pa.binary()),
+                 pa.array([head], pa.binary()), pa.array([present.tolist()], pa.list_(pa.int32())),
+                 pa.array([parts], pa.list_(pa.binary()))],
+                names=["chunk", "ids", "sizes", "tokens", "head", "ranges", "units"])
 
         for b in batches:
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text")):  # one text at a time
@@ -301,14 +321,14 @@ def chunks(docs: DataFrame, ranges: int) -> DataFrame:
             yield flush()
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        run, "chunk bigint, ids array<bigint>, sizes array<int>, tokens binary, ranges array<int>, units array<binary>")
+        run, "chunk bigint, ids array<bigint>, sizes array<int>, tokens binary, head binary, ranges array<int>, units array<binary>")
 
 
 def vocabulary(asked: DataFrame) -> DataFrame:
     """(range, unit): the distinct units of all requests."""
     def run(table: pa.Table) -> pa.Table:
         found = sorted(set().union(*map(_unpack_units, table.column("units").to_pylist())))
-        return pa.table([pa.array([table.column("range")[0].as_py()] * len(found), pa.int32()), pa.array(found, pa.string())],
+        return pa.table([pa.array([table.column("range")[0].as_py()] * len(found), pa.int32()), pa.array(found, pa.binary()).cast(pa.string())],
                         names=["range", "unit"])
 
     return asked.groupBy("range").applyInArrow(run, "range int, unit string")
@@ -320,10 +340,10 @@ def answers(asked: DataFrame, dictionary: DataFrame, path: str) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         p = pieces(path)
 
-        def spelt(unit: str) -> bytes:
-            return np.array([i for c in unit for i in p.spell(c)], "<i4").tobytes()
+        def spelt(unit: bytes) -> bytes:
+            return np.array([i for c in unit.decode() for i in p.spell(c)], "<i4").tobytes()
 
-        of = dict(zip(right.column("unit").to_pylist(), right.column("ids").to_pylist()))
+        of = dict(zip(right.column("unit").cast(pa.binary()).to_pylist(), right.column("ids").to_pylist()))
         got = [_pack_ids([of.get(u) or spelt(u) for u in _unpack_units(x)]) for x in left.column("units").to_pylist()]
         return pa.table([left.column("range").cast(pa.int32()), left.column("chunk").cast(pa.int64()), pa.array(got, pa.binary())],
                         names=["range", "chunk", "ids"])
@@ -347,24 +367,34 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
         F.col("r.ranges").alias("range"), "chunk", F.col("r.units").alias("units"))
     known = vocabulary(asked)
     # edges of a unit stand together already: group them by hash, not by sorting
-    conf = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
-    before = spark.conf.get(conf)
-    spark.conf.set(conf, str(1 << 20))
+    # and once the dictionary is written, what was exchanged for it can go
+    confs = {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": str(1 << 20),
+             "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    before = {c: spark.conf.get(c) for c in confs}
+    for c, v in confs.items():
+        spark.conf.set(c, v)
     try:
         grouped = lattice(known, p.table(spark), p.max_piece, packed=True)
         dictionary = scratch_table(merged(grouped, model), "unit-ids")
     finally:
-        spark.conf.set(conf, before)
+        for c, v in before.items():
+            spark.conf.set(c, v)
     got = (answers(asked, dictionary, model).groupBy("chunk")
            .agg(F.array_sort(F.collect_list(F.struct("range", "ids"))).alias("got")))  # as many as the ranges
 
     def run(batches):
-        table = pieces(model)
+        spelt = pieces(model).spelt
         for b in batches:
-            for ids, sizes, tokens, answer in zip(*(b.column(c).to_pylist() for c in ("ids", "sizes", "tokens", "got"))):
-                of = [x for g in answer or () for x in _unpack_ids(g["ids"])]
-                plain = [table.decode(np.frombuffer(x, "<i4").tolist()) for x in of]
-                places = unpack_counts(tokens).tolist()
+            for ids, sizes, tokens, head, answer in zip(*(b.column(c) for c in ("ids", "sizes", "tokens", "head", "got"))):
+                ids, sizes = ids.as_py(), sizes.as_py()  # one chunk at a time
+                parts = [_unpack_ids(g["ids"]) for g in answer.as_py() or ()]
+                n = np.concatenate([x for x, _ in parts] or [np.empty(0, np.int64)])
+                flat = np.concatenate([x for _, x in parts] or [np.empty(0, np.int64)])
+                of = _slices(flat.astype("<i4").tobytes(), 4 * n)
+                texts, ends = spelt[flat].tolist(), np.cumsum(n).tolist()
+                plain = [b"".join(texts[a:z]) for a, z in zip([0, *ends], ends)]
+                del texts, parts, flat
+                places = _places(tokens.as_py(), head.as_py()).tolist()
                 out, crc, at = [], [], 0
                 for n in sizes:
                     mine = places[at:at + n]
@@ -374,7 +404,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary()), pa.array(crc, pa.int64())],
                                                  names=["doc_id", "ids", "text_crc32"])
 
-    return chunked.select("chunk", "ids", "sizes", "tokens").join(got, "chunk", "left").mapInArrow(run, ENCODED)
+    return chunked.select("chunk", "ids", "sizes", "tokens", "head").join(got, "chunk", "left").mapInArrow(run, ENCODED)
 
 
 def decode(ids: list[int], model: str) -> str:
