@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhall.llm.blobs import pack_counts, unpack_counts
-from tallyhall.llm.common import bucketed_table, scratch_table
+from tallyhall.llm.common import bucketed_table
 
 MARK = "▁"
 #: Units that one chunk holds, about.
@@ -136,12 +136,12 @@ class Places(dict):
 
 
 def lattice(vocabulary: DataFrame, table: DataFrame, max_piece: int, least: int = 2, packed: bool = False) -> DataFrame:
-    """(range, unit, edges) of the distinct units with an edge, partitioned by
-    unit; an edge is a struct (start, size, id, score) for a substring of
+    """(range, unit, edges) of the distinct units with an edge; a vocabulary
+    partitioned by range or unit stays so, else the edges are. An edge is a struct (start, size, id, score) for a substring of
     ``least`` letters or more that is a piece. Packed, it is one long: start,
     8 bits of size, 24 bits of id."""
     size = F.length("unit")
-    s = (vocabulary.where(size >= least).repartition("unit")
+    s = (vocabulary.where(size >= least)
          .select("range", "unit", F.explode(F.sequence(F.lit(0), size - least)).alias("start"))
          .select("range", "unit", "start",
                  F.explode(F.sequence(F.lit(least), F.least(F.lit(max_piece), size - F.col("start")))).alias("size"))
@@ -178,16 +178,17 @@ def merge(n: int, edges: dict[tuple[int, int], float]) -> list[int]:
     end) -> score. Of the joins at hand the best is made, the leftmost of
     equals."""
     if n <= SHORT:
+        none = float("-inf")
         at = list(range(n + 1))
-        while True:
-            best, k = None, 0
-            for i in range(len(at) - 2):
-                score = edges.get((at[i], at[i + 2]))
-                if score is not None and (best is None or score > best):
-                    best, k = score, i
-            if best is None:
-                return at[1:]
-            del at[k + 1]
+        joins = [edges.get((i, i + 2), none) for i in range(n - 1)]
+        while joins and (best := max(joins)) > none:
+            k = joins.index(best)
+            del at[k + 1], joins[k]
+            if k:
+                joins[k - 1] = edges.get((at[k - 1], at[k + 1]), none)
+            if k < len(joins):
+                joins[k] = edges.get((at[k], at[k + 2]), none)
+        return at[1:]
     # the same by a queue, for long units
     left, right, end = list(range(-1, n - 1)), list(range(1, n + 1)), list(range(1, n + 1))
     alive, todo = [True] * n, []
@@ -374,8 +375,9 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     for c, v in confs.items():
         spark.conf.set(c, v)
     try:
-        grouped = lattice(known, p.table(spark), p.max_piece, packed=True)
-        dictionary = scratch_table(merged(grouped, model), "unit-ids")
+        # a task folds about one range, and writes it where the answers look it up
+        grouped = lattice(known.repartition(ranges, "range"), p.table(spark), p.max_piece, packed=True)
+        dictionary = bucketed_table(merged(grouped, model), "unit_ids", "range")
     finally:
         for c, v in before.items():
             spark.conf.set(c, v)
