@@ -295,10 +295,10 @@ def chunks(docs: DataFrame, ranges: int) -> DataFrame:
             made += 1
             raw = [u.encode() for u in place.units()]
             place.clear()
-            # by range, sorted within it
-            of = np.fromiter((zlib.crc32(u) for u in raw), np.int64, len(raw)) * ranges >> 32
-            order = np.fromiter(sorted(range(len(raw)), key=raw.__getitem__), np.int64, len(raw))
-            order = order[np.argsort(of[order], kind="stable")]
+            # by range, units that begin alike together
+            of = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw)) * ranges >> 32
+            start = np.array(raw, "S11").view(np.uint8).reshape(-1, 11)[:, 3:]  # less the mark
+            order = np.lexsort((np.ascontiguousarray(start).view(">u8").ravel().astype("<u8"), of))
             new = np.empty(len(raw), np.int64)  # first seen -> place in that order
             new[order] = np.arange(len(raw))
             tokens, head = _tokens(new[np.concatenate([w for _, w in held])], len(raw))
@@ -390,19 +390,20 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
             for ids, sizes, tokens, head, answer in zip(*(b.column(c) for c in ("ids", "sizes", "tokens", "head", "got"))):
                 ids, sizes = ids.as_py(), sizes.as_py()  # one chunk at a time
                 parts = [_unpack_ids(g["ids"]) for g in answer.as_py() or ()]
-                n = np.concatenate([x for x, _ in parts] or [np.empty(0, np.int64)])
+                n_ids = np.concatenate([x for x, _ in parts] or [np.empty(0, np.int64)])
                 flat = np.concatenate([x for _, x in parts] or [np.empty(0, np.int64)])
-                of = _slices(flat.astype("<i4").tobytes(), 4 * n)
-                texts, ends = spelt[flat].tolist(), np.cumsum(n).tolist()
+                texts, ends = spelt[flat].tolist(), np.cumsum(n_ids).tolist()
                 plain = [b"".join(texts[a:z]) for a, z in zip([0, *ends], ends)]
-                del texts, parts, flat
-                places = _places(tokens.as_py(), head.as_py()).tolist()
+                del texts, parts
+                flat, first = flat.astype("<i4"), np.cumsum(n_ids) - n_ids
+                places = _places(tokens.as_py(), head.as_py())
                 out, crc, at = [], [], 0
                 for n in sizes:
                     mine = places[at:at + n]
                     at += n
-                    out.append(b"".join([of[k] for k in mine]))
-                    crc.append(zlib.crc32(b"".join([plain[k] for k in mine]).replace(MARK.encode(), b" ")[1:]))
+                    long = n_ids[mine]
+                    out.append(flat[np.repeat(first[mine] - np.cumsum(long) + long, long) + np.arange(long.sum())].tobytes())
+                    crc.append(zlib.crc32(b"".join(map(plain.__getitem__, mine.tolist())).replace(MARK.encode(), b" ")[1:]))
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary()), pa.array(crc, pa.int64())],
                                                  names=["doc_id", "ids", "text_crc32"])
 
