@@ -81,10 +81,19 @@ def minimizers(words: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.
     fresh = np.append(True, (h[1:] != h[:-1]) | (np.diff(at) > window))
     i = np.arange(len(h))
     run = i - np.maximum.accumulate(np.where(fresh, i, 0))
-    some = run % 8 == 0  # in a run of one k-mer every eighth will do
+    # in a run of one k-mer, one in WINDOW words will do: the next is near enough to chain with
+    some = run % np.maximum(1, window // np.maximum(1, _step(at, fresh))) == 0
     return at[some], (h ^ run.astype(np.uint64) * _C[4])[some]
 
 
+def _step(at: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+    """Words from the first to the second k-mer of the run that each k-mer is in; ``WINDOW`` in a run of one."""
+    starts = np.flatnonzero(fresh)
+    second = np.minimum(starts + 1, len(at) - 1)
+    step = np.where(fresh[second], WINDOW, at[second] - at[starts])
+    return step[np.cumsum(fresh) - 1]
+
+
 def seeds(docs: DataFrame) -> DataFrame:
     """(h, id, loc) of every minimizer; ``loc`` holds the text's tag above
     32 bits and the place below."""

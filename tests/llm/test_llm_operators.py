@@ -321,6 +321,21 @@ def test_exact_repeats_are_covered(docs, rows):
     assert not any(covered.values())
 
 
+def test_repeated_lines_are_found(spark):
+    checkpoint_dir(spark)
+    rnd = random.Random(12)
+    texts = []
+    for p in (1, 2, 3, 4, 5, 8, 10, 13, 16, 24):
+        line = _prose(rnd, p)
+        for k in range(2):
+            texts.append((2 * p + k, " ".join(_prose(rnd, 40) + (line * 200)[:200] + _prose(rnd, 40))))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    covered = {}
+    for r in passages.passages(df).collect():
+        covered.setdefault(r["doc_id"], set()).update(range(r["start"], r["end"]))
+    assert {d: 200 - len(c & set(range(40, 240))) for d, c in covered.items()} == {d: 0 for d, _ in texts if d % 2}
+
+
 def test_chains_by_brute_force():
     rnd = random.Random(4)
     for _ in range(40):
