@@ -22,24 +22,27 @@ ignored.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhall.llm.common import bounded_broadcast, free_name, scratch_table, texts
 
 K = 5
-WINDOW = 16
 MIN_WORDS = 50
 SIMILARITY = 0.8
 #: Cost of a word between two seeds, in seeds' words; longest gap in words.
 GAP_COST = 0.1
 MAX_GAP = 64
+#: Words of the documents that are packed together.
+CHUNK = 1 << 21
 
 NO_ID = (1 << 63) - 1
 _C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63],
@@ -57,14 +60,11 @@ def word_hashes(raw: bytes) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
 
 
-def minimizers(words: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the k-mers kept. In periodic text the same k-mer
-    is kept again and again; how often it was just before is then part of the
-    hash, so that two such runs are matched from their starts on. (Where two runs of
-    single repeated words meet by chance, each run is a passage of its own.)"""
+def kmer_hashes(words: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every ``K`` successive words."""
     n = len(words) - K + 1
     if n < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64)
     w = words.astype(np.uint64)
     h = w[:n] * _C[0]
     for j in range(1, K):
@@ -72,61 +72,163 @@ def minimizers(words: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.
     h ^= h >> np.uint64(32)
     h *= _C[2]
     h ^= h >> np.uint64(29)
-    if n <= window:
-        at = np.array([int(h.argmin())])
-    else:
-        least = np.lib.stride_tricks.sliding_window_view(h, window).argmin(axis=1)
-        at = np.unique(least + np.arange(len(least)))
-    h = h[at]
-    fresh = np.append(True, (h[1:] != h[:-1]) | (np.diff(at) > window))
-    i = np.arange(len(h))
-    run = i - np.maximum.accumulate(np.where(fresh, i, 0))
-    # in a run of one k-mer, one in WINDOW words will do: the next is near enough to chain with
-    some = run % np.maximum(1, window // np.maximum(1, _step(at, fresh))) == 0
-    return at[some], (h ^ run.astype(np.uint64) * _C[4])[some]
-
-
-def _step(at: np.ndarray, fresh: np.ndarray) -> np.ndarray:
-    """Words from the first to the second k-mer of the run that each k-mer is in; ``WINDOW`` in a run of one."""
-    starts = np.flatnonzero(fresh)
-    second = np.minimum(starts + 1, len(at) - 1)
-    step = np.where(fresh[second], WINDOW, at[second] - at[starts])
-    return step[np.cumsum(fresh) - 1]
-
-
-def seeds(docs: DataFrame) -> DataFrame:
-    """(h, id, loc) of every minimizer; ``loc`` holds the text's tag above
-    32 bits and the place below."""
+    return h
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Whole numbers from 0 on as byte planes, each column as wide as its
+    greatest number."""
+    cols = [c.astype(np.uint64) for c in columns]
+    widths = [(int(c.max()).bit_length() + 7) // 8 for c in cols]
+    planes = [np.ascontiguousarray(c.view(np.uint8).reshape(-1, 8)[:, :w].T).tobytes() for c, w in zip(cols, widths)]
+    head = b"".join(struct.pack("<IB", len(c), w) for c, w in zip(cols, widths))
+    return bytes([len(cols)]) + head + zstandard.compress(b"".join(planes), 1)
+
+
+def _unpack(data: bytes) -> list[np.ndarray]:
+    heads = [struct.unpack_from("<IB", data, 1 + 5 * k) for k in range(data[0])]
+    raw = np.frombuffer(zstandard.decompress(data[1 + 5 * data[0]:]), np.uint8)
+    cols, at = [], 0
+    for size, width in heads:
+        c = np.zeros((size, 8), np.uint8)
+        c[:, :width] = raw[at:at + size * width].reshape(width, size).T
+        at += size * width
+        cols.append(c.view(np.int64).ravel())
+    return cols
+
+
+def _dealt(bucket: np.ndarray, ids: np.ndarray, tags: np.ndarray, docs: list[np.ndarray], rest: list[np.ndarray]) -> list[tuple[int, bytes]]:
+    """(bucket, blob) of rows sorted by bucket: the documents that occur, the
+    columns that number them (``docs``), the other columns."""
+    out = []
+    for s, e in pairwise(np.flatnonzero(np.diff(bucket, prepend=-1, append=-1)).tolist()):
+        used, at = np.unique(np.concatenate([d[s:e] for d in docs]), return_inverse=True)
+        out.append((int(bucket[s]), _pack(ids[used], tags[used], *at.reshape(len(docs), -1), *(r[s:e] for r in rest))))
+    return out
+
+
+def _gathered(blobs: list[bytes], docs: int) -> list[np.ndarray]:
+    """All documents of the blobs, each once and in order, and the columns
+    of ``_dealt``."""
+    parts = [_unpack(b) for b in blobs]
+    ids, tags = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+    order = np.lexsort((tags, ids))
+    new = np.append(True, (np.diff(ids[order]) != 0) | (np.diff(tags[order]) != 0))
+    rank = np.empty(len(ids), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    size = np.array([len(p[0]) for p in parts])
+    base = np.cumsum(size) - size
+    cols = [np.concatenate([rank[p[k] + o] if k < 2 + docs else p[k] for p, o in zip(parts, base)]) for k in range(2, len(parts[0]))]
+    return [ids[order][new], tags[order][new], *cols]
+
+
+def _table(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of ``BLOBS``."""
+    kinds = [pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["bucket", "data"])
+
+
+BLOBS = "bucket int, data binary"
+
+
+def _by_hash(h: np.ndarray, doc: np.ndarray, place: np.ndarray, ids: np.ndarray, tags: np.ndarray,
+             buckets: int) -> list[tuple[int, bytes]]:
+    """Places packed by 48 bits of their hash. (The few places alike in these
+    only are told apart when their words are aligned.)"""
+    h = (h >> np.uint64(16)).astype(np.int64)
+    order = np.argsort(h)
+    h = h[order]
+    bucket = h // ((1 << 48) // buckets + 1)
+    step = np.diff(h, prepend=0)
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    step[starts] = h[starts]
+    return _dealt(bucket, ids, tags, [doc[order]], [step, place[order]])
+
+
+def seeds(docs: DataFrame, buckets: int) -> DataFrame:
+    """Every k-mer of every document, packed by its hash."""
+    def blobs(part):
+        ids, tags, words = zip(*part)
+        size = np.array([len(w) for w in words])
+        start = np.cumsum(size) - size
+        h = kmer_hashes(np.concatenate(words))
+        doc = np.repeat(np.arange(len(size)), size)[:len(h)]
+        place = np.arange(len(h)) - start[doc]
+        own = place <= size[doc] - K
+        return _table(_by_hash(h[own], doc[own], place[own], np.array(ids), np.array(tags), buckets))
+
     def run(batches):
+        part, total = [], 0
         for b in batches:
-            out = []
             for doc_id, text in zip(b.column("id").to_pylist(), texts(b)):
                 raw = text.encode("utf-8", "replace")
                 words = word_hashes(raw)
                 if len(words) >= MIN_WORDS:
-                    at, h = minimizers(words)
-                    out.append((h.view(np.int64), np.full(len(at), doc_id), (tag(raw) << 32) + at))
-            cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["h", "id", "loc"])
+                    part.append((doc_id, tag(raw), words))
+                    total += len(words)
+                    if total >= CHUNK:
+                        yield blobs(part)
+                        part, total = [], 0
+        if part:
+            yield blobs(part)
 
-    return _plain(docs).mapInArrow(run, "h bigint, id bigint, loc bigint")
+    return _plain(docs).mapInArrow(run, BLOBS)
 
 
 def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), F.col("text").cast("string"))
 
 
-def matches(found: DataFrame) -> DataFrame:
-    """(id, tag, first_id, first_tag, x, y): a seed and its first occurrence
-    in another document."""
-    place = F.struct("id", "loc")
-    first = (found.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("z")).where("a <> z")
-             .select("h", F.col("a.id").alias("first_id"), F.col("a.loc").alias("first_loc")))
-    low = F.lit(0xFFFFFFFF).cast("bigint")
-    return (found.join(first, "h").select(
-        "id", F.shiftright("loc", 32).alias("tag"), "first_id", F.shiftright("first_loc", 32).alias("first_tag"),
-        F.col("loc").bitwiseAND(low).cast("int").alias("x"), F.col("first_loc").bitwiseAND(low).cast("int").alias("y"))
-        .where("id <> first_id or tag <> first_tag"))
+def repeats(found: DataFrame, buckets: int) -> DataFrame:
+    """Every place whose hash two documents have, with the first of all
+    places that have it (by document, then place), packed by the document."""
+    def run(table: pa.Table) -> pa.Table:
+        blobs = table.column("data").to_pylist()
+        ids, tags, doc, _, place = _gathered(blobs, 1)
+        h = np.concatenate([np.cumsum(_unpack(b)[3]) for b in blobs])
+        order = np.argsort(h)
+        same = h[order][1:] == h[order][:-1]
+        order = order[np.append(False, same) | np.append(same, False)]
+        order = order[np.lexsort((place[order], doc[order], h[order]))]
+        h, doc, place = h[order], doc[order], place[order]
+        start = np.flatnonzero(np.diff(h, prepend=-1))
+        size = np.diff(np.append(start, len(h)))
+        two = np.repeat(doc[start] != doc[start + size - 1], size)
+        first = np.repeat(start, size)[two]
+        bucket = ((((ids ^ tags).astype(np.uint64) * _C[0]) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)[doc[two]]
+        order = np.lexsort((place[two], doc[two], bucket))
+        rows = _dealt(bucket[order], ids, tags, [doc[two][order], doc[first][order]], [place[two][order], place[first][order]])
+        return pa.Table.from_batches([_table(rows)])
+
+    return found.groupBy("bucket").applyInArrow(run, BLOBS)
+
+
+def _matches(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """(ids, tags, doc, first_doc, x, y) of a bucket of ``repeats``, by
+    document and place, each place once."""
+    ids, tags, doc, first, x, y = _gathered(table.column("data").to_pylist(), 2)
+    order = np.lexsort((x, doc))
+    doc, first, x, y = doc[order], first[order], x[order], y[order]
+    new = (np.diff(doc, prepend=-1) != 0) | (np.diff(x, prepend=-1) != 0)
+    return ids, tags, doc[new], first[new], x[new], y[new]
+
+
+def _diagonals(doc: np.ndarray, first: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The matches with another document, by documents and diagonal, and
+    whether each starts and ends a run of neighbours. Of a place that matches
+    again and again within ``MIN_WORDS`` words (a periodic text) one is kept,
+    and the last: each is extended over all that is equal around it."""
+    other = np.flatnonzero(doc != first)
+    order = other[np.lexsort((x[other], y[other], first[other], doc[other]))]
+    d, f, x, y = doc[order], first[order], x[order], y[order]
+    same = (d[1:] == d[:-1]) & (f[1:] == f[:-1]) & (y[1:] == y[:-1])
+    near = same & (x[1:] - x[:-1] <= MIN_WORDS)
+    keep = np.append(True, ~(near & (x[1:] // MIN_WORDS == x[:-1] // MIN_WORDS)))[:len(x)] | np.append(~near, True)[:len(x)]
+    d, f, x, y = d[keep], f[keep], x[keep], y[keep]
+    order = np.lexsort((x, x - y, f, d))
+    d, f, x, y = d[order], f[order], x[order], y[order]
+    on = (d[1:] == d[:-1]) & (f[1:] == f[:-1]) & (x[1:] - x[:-1] == 1) & (y[1:] - y[:-1] == 1)
+    return d, f, x, y, np.append(True, ~on)[:len(x)], np.append(~on, True)[:len(x)]
 
 
 class Fenwick:
@@ -188,49 +290,69 @@ def chains(x: list[int], y: list[int], least: int = 2) -> list[tuple[list[int],
     return [([x[i] for i in p], [y[i] for i in p]) for p in out if len(p) >= least]
 
 
-CHAINS = "id bigint, tag bigint, first_id bigint, first_tag bigint, xs array<int>, ys array<int>"
-
+PAIR = "id bigint, tag bigint, first_id bigint, first_tag bigint, xs array<int>, ys array<int>, sizes array<int>"
 
-def chained(found: DataFrame) -> DataFrame:
-    """Chains of the matches of every two documents. What is gathered in one
-    row is bounded by the seeds of one document."""
-    pairs = (found.groupBy("id", "tag", "first_id", "first_tag")
-             .agg(F.collect_list("x").alias("xs"), F.collect_list("y").alias("ys"))
-             .where(F.size("xs") >= 2))
 
-    def run(batches):
-        for b in batches:
-            rows = [(i, t, fi, ft, cx, cy)
-                    for i, t, fi, ft, xs, ys in zip(*(c.to_pylist() for c in b.columns))
-                    for cx, cy in chains(xs, ys)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], kind) for k, kind in
-                 enumerate([pa.int64()] * 4 + [pa.list_(pa.int32())] * 2)],
-                names=["id", "tag", "first_id", "first_tag", "xs", "ys"])
+def _pair_rows(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of ``PAIR``."""
+    kinds = [pa.int64()] * 4 + [pa.list_(pa.int32())] * 3
+    names = ["id", "tag", "first_id", "first_tag", "xs", "ys", "sizes"]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
 
-    return pairs.mapInArrow(run, CHAINS)
 
-
-def _extend(a: np.ndarray, b: np.ndarray, edits: int = 8, after: int = 4) -> tuple[int, int, int, int]:
-    """Words taken of ``a`` and of ``b`` from their starts, equal words and
-    aligned places. A difference of up to ``edits`` words on either side is
-    passed if ``after`` equal words follow it."""
-    i = j = same = places = 0
+def chained(found: DataFrame) -> DataFrame:
+    """Chains of the matches of every two documents, one row for a pair;
+    ``sizes`` has the seeds of each. Of a run of neighbours the ends and
+    every sixteenth are chained."""
+    def run(table: pa.Table) -> pa.Table:
+        ids, tags, *cols = _matches(table)
+        d, f, x, y, starts, ends = _diagonals(*cols)
+        at = np.arange(len(x))
+        since = at - np.maximum.accumulate(np.where(starts, at, 0))
+        keep = starts | ends | (since % 16 == 0)
+        d, f, x, y = d[keep], f[keep], x[keep], y[keep]
+        edges = np.flatnonzero((np.diff(d, prepend=-1, append=-1) != 0) | (np.diff(f, prepend=-1, append=-1) != 0)).tolist()
+        rows = []
+        for s, e in pairwise(edges):
+            if e - s >= 2:
+                got = chains(x[s:e].tolist(), y[s:e].tolist())
+                if got:
+                    a, b = d[s], f[s]
+                    rows.append((ids[a], tags[a], ids[b], tags[b], [v for c, _ in got for v in c], [v for _, c in got for v in c],
+                                 [len(c) for c, _ in got]))
+        return pa.Table.from_batches([_pair_rows(rows)])
+
+    return found.groupBy("bucket").applyInArrow(run, PAIR)
+
+
+def _extend(a: np.ndarray, b: np.ndarray, edits: int = 8, after: int = 2) -> list[tuple[int, int, int, int]]:
+    """Stretches of ``a`` and ``b`` from their starts: words of either, equal
+    words and aligned places, in turn equal and not. A difference of up to
+    ``edits`` words on either side is passed if ``after`` equal words follow
+    it, as long as 0.8 of all that comes after some stretch is equal, less
+    ``MIN_WORDS`` / 5 words."""
+    out, i, j, score, best = [], 0, 0, 0.0, 0.0
     while True:
         n = min(len(a) - i, len(b) - j)
         eq = a[i:i + n] == b[j:j + n]
         run = n if eq.all() else int(eq.argmin())
-        i, j, same, places = i + run, j + run, same + run, places + run
-        best = None
-        for da in range(edits + 1):
-            for db in range(edits + 1):
-                if (da or db) and (best is None or max(da, db) < max(best)):
-                    u, v = a[i + da:i + da + after], b[j + db:j + db + after]
-                    if len(u) == len(v) == after and (u == v).all():
-                        best = (da, db)
-        if best is None:
-            return i, j, same, places
-        i, j, places = i + best[0], j + best[1], places + max(best)
+        out.append((run, run, run, run))
+        i, j, score = i + run, j + run, score + run * (1 - SIMILARITY)
+        best = max(best, score)
+        u, v = a[i:i + edits + after], b[j:j + edits + after]
+        jump = None
+        if len(u) >= after and len(v) >= after and best - score <= MIN_WORDS * (1 - SIMILARITY):
+            like = u[:, None] == v
+            follow = like[:-1, :-1] & like[1:, 1:]
+            da, db = np.nonzero(follow)
+            if len(da):
+                k = int(np.lexsort((da + db, np.maximum(da, db)))[0])
+                jump = int(da[k]), int(db[k])
+        if jump is None:
+            return out
+        same, places = _between(u[:jump[0]], v[:jump[1]])
+        out.append((*jump, same, places))
+        i, j, score = i + jump[0], j + jump[1], score + same - SIMILARITY * places
 
 
 def _between(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
@@ -251,29 +373,91 @@ def _between(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return -same, edits - same
 
 
-def align(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int]) -> tuple[int, int, int, int, float]:
+def _alike(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int]) -> bool:
+    """Whether ``MIN_WORDS`` words either side of a chain share words enough
+    for a passage."""
+    u, v = (w[max(0, at[0] - MIN_WORDS):at[-1] + K + MIN_WORDS] for w, at in ((a, xs), (b, ys)))
+    return np.isin(u, v).sum() >= MIN_WORDS * SIMILARITY
+
+
+def align(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int]) -> list[tuple[int, int, int, int, float]]:
     """(start, end) in ``a``, (start, end) in ``b`` and the similarity of the
-    passage around a chain."""
-    at, bt = xs[0], ys[0]
-    u, v, same, places = _extend(a[:at][::-1], b[:bt][::-1])
-    left = (at - u, bt - v)
+    passages around a chain: the longest stretch from equal words to equal
+    words that is long and alike enough, then the same on either side of it."""
+    parts = _extend(a[:xs[0]][::-1], b[:ys[0]][::-1])[::-1]
+    at, bt = xs[0] - sum(p[0] for p in parts), ys[0] - sum(p[1] for p in parts)
     for (x, y), (x1, y1) in pairwise(zip(xs, ys)):
-        if x1 - x == y1 - y and np.array_equal(a[x:x1], b[y:y1]):
-            same, places = same + x1 - x, places + x1 - x
-        else:
-            s, p = _between(a[x:x1], b[y:y1])
-            same, places = same + s, places + p
-    u, v, s, p = _extend(a[xs[-1]:], b[ys[-1]:])
-    same, places = same + s, places + p
-    return left[0], xs[-1] + u, left[1], ys[-1] + v, same / max(places, 1)
+        n = min(x1 - x, y1 - y)
+        eq = a[x:x + n] == b[y:y + n]
+        run = n if eq.all() else int(eq.argmin())
+        parts.append((run, run, run, run))
+        if x + run < x1 or y + run < y1:
+            parts.append((x1 - x - run, y1 - y - run, *_between(a[x + run:x1], b[y + run:y1])))
+    parts += _extend(a[xs[-1]:], b[ys[-1]:])
+    sums = np.cumsum([(0, 0, 0, 0), *parts], axis=0)
+    equal = np.array([p[0] > 0 and p[0] == p[1] == p[2] == p[3] for p in parts])
+    slack = sums[:, 2] - SIMILARITY * sums[:, 3]
+    out, todo = [], [(0, len(parts))]
+    while todo:
+        s, e = todo.pop()
+        start = s + np.flatnonzero(equal[s:e])
+        best = None
+        if len(start) and sums[e, 0] - sums[s, 0] >= MIN_WORDS:
+            stop = start[::-1] + 1
+            for i in start.tolist():
+                if sums[stop[0], 0] - sums[i, 0] < max(MIN_WORDS, best[0] + 1 if best else 0):
+                    break
+                good = stop[(slack[stop] - slack[i] >= -1e-9) & (sums[stop, 0] - sums[i, 0] >= MIN_WORDS)]
+                if len(good) and (best is None or sums[good[0], 0] - sums[i, 0] > best[0]):
+                    best = int(sums[good[0], 0] - sums[i, 0]), i, int(good[0])
+        if best:
+            _, i, j = best
+            like = (sums[j, 2] - sums[i, 2]) / (sums[j, 3] - sums[i, 3])
+            out.append((int(at + sums[i, 0]), int(at + sums[j, 0]), int(bt + sums[i, 1]), int(bt + sums[j, 1]), float(like)))
+            todo += [(s, i), (j, e)]
+    return out
+
+
+SPAN = "id bigint, tag bigint, start int, `end` int, first_id bigint, first_start int, first_end int, similarity double"
+
+
+def _span_rows(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of ``SPAN``."""
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
+    names = ["id", "tag", "start", "end", "first_id", "first_start", "first_end", "similarity"]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
 
 
 def passages(docs: DataFrame) -> DataFrame:
     """Every passage that an earlier document has too: (doc_id, tag, start,
     end, first_doc_id, first_start, first_end, similarity); start and end
-    count words, end excluded."""
-    found = scratch_table(seeds(docs), "seeds")
-    chain = scratch_table(chained(matches(found)), "chains")
+    count words, end excluded. A passage of several earlier documents is
+    given with the first of them: one that adds fewer than ``K`` words to
+    those of documents before its own is left out."""
+    found = aligned(docs).groupBy("id", "tag").agg(F.collect_list(F.struct("first_id", "start", "end", "first_start", "first_end", "similarity")).alias("s"))
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for i, t, spans in zip(*(c.to_pylist() for c in b.columns)):
+                seen = np.zeros(max(s["end"] for s in spans), bool)
+                for s in sorted(spans, key=lambda s: (s["first_id"], s["start"] - s["end"], s["start"], s["first_start"])):
+                    own = seen[s["start"]:s["end"]]
+                    if len(own) - own.sum() >= K:
+                        rows.append((i, t, s["start"], s["end"], s["first_id"], s["first_start"], s["first_end"], s["similarity"]))
+                        own[:] = True
+            yield _span_rows(rows)
+
+    return found.mapInArrow(run, SPAN).select(
+        F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "tag", "start", "end",
+        F.nullif("first_id", F.lit(NO_ID)).alias("first_doc_id"), "first_start", "first_end", "similarity")
+
+
+def aligned(docs: DataFrame) -> DataFrame:
+    """The passages of every two documents that are chained, as ``SPAN``."""
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = scratch_table(repeats(seeds(docs, buckets), buckets), "repeats")
+    chain = scratch_table(chained(found), "chains")
     needed = chain.select("id").union(chain.select("first_id")).distinct()
     needed = bounded_broadcast(needed, needed.count(), 16)
 
@@ -289,25 +473,20 @@ def passages(docs: DataFrame) -> DataFrame:
     both = (chain.join(words, ["id", "tag"])
             .join(words.select(F.col("id").alias("first_id"), F.col("tag").alias("first_tag"),
                                F.col("words").alias("first_words")), ["first_id", "first_tag"])
-            .select("id", "tag", "first_id", "xs", "ys", "words", "first_words"))
+            .select("id", "tag", "first_id", "xs", "ys", "sizes", "words", "first_words"))
 
     def run(batches):
         for b in batches:
             out = set()
-            for i, t, fi, xs, ys, a, f in zip(*(c.to_pylist() for c in b.columns)):
+            for i, t, fi, xs, ys, sizes, a, f in zip(*(c.to_pylist() for c in b.columns)):
                 a, f = np.frombuffer(a, np.uint32), np.frombuffer(f, np.uint32)
-                s, e, fs, fe, like = align(a, f, xs, ys)
-                if e - s >= MIN_WORDS and like >= SIMILARITY:
-                    out.add((i, t, s, e, fi, fs, fe, like))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in sorted(out)], kind) for k, kind in
-                 enumerate([pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64()])],
-                names=["id", "tag", "start", "end", "first_id", "first_start", "first_end", "similarity"])
+                ends = np.cumsum(sizes).tolist()
+                for k, e in zip([0, *ends], ends):
+                    if _alike(a, f, xs[k:e], ys[k:e]):
+                        out.update((i, t, s, e, fi, fs, fe, like) for s, e, fs, fe, like in align(a, f, xs[k:e], ys[k:e]))
+            yield _span_rows(sorted(out))
 
-    spans = both.mapInArrow(run, "id bigint, tag bigint, start int, `end` int, first_id bigint, first_start int, "
-                                 "first_end int, similarity double").distinct()
-    return spans.select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "tag", "start", "end",
-                        F.nullif("first_id", F.lit(NO_ID)).alias("first_doc_id"), "first_start", "first_end", "similarity")
+    return both.mapInArrow(run, SPAN).distinct()
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -326,8 +505,7 @@ def remove_passages(docs: DataFrame) -> DataFrame:
     """``docs`` with every passage left in its first document only. A column
     n_chars follows the text. Documents of which nothing is left are dropped;
     a document without words stays as it is."""
-    spans = passages(docs)
-    by_doc = scratch_table(spans.groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("k"))
+    by_doc = scratch_table(aligned(docs).groupBy(F.col("id").alias("k"))
                            .agg(F.collect_list(F.struct("tag", "start", "end")).alias("s")), "spans")
     size = by_doc.agg(F.count("*"), F.sum(F.size("s"))).first()
     key, has = free_name(docs.columns, "__key"), free_name(docs.columns, "__spans")
