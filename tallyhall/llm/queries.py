@@ -88,6 +88,12 @@ def op10_document_fingerprints(spark, sf_dir):
                     _hex("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next", "n_near")
 
 
+def op13_conversation_repair(spark, sf_dir):
+    """Every conversation's damage, cheapest repair and its digest."""
+    from tallyhall.llm.conversations import damage_and_repair
+    return damage_and_repair(read_table(spark, sf_dir, "conversations"))
+
+
 def _hex(fp):
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
@@ -103,6 +109,7 @@ QUERIES = {f.__name__: f for f in (
     op7_best_fit_packing,
     op9_token_id_files,
     op10_document_fingerprints,
+    op13_conversation_repair,
 )}
 
 ORACLE: dict[str, str] = {
