@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyhall.llm.common import fold, read_table
+from tallyhall.llm.lexical import SEARCH_SQL
 from tallyhall.llm.rules_sql import QUALITY_RULES_SQL
 from tallyhall.llm.tokens import public_path
 from tallyhall.session import checkpoint_dir
@@ -88,6 +89,12 @@ def op10_document_fingerprints(spark, sf_dir):
                     _hex("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next", "n_near")
 
 
+def op12_lexical_search(spark, sf_dir):
+    """Every benchmark item's 50 best documents."""
+    from tallyhall.llm.lexical import lexical_search
+    return lexical_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_conversation_repair(spark, sf_dir):
     """Every conversation's damage, cheapest repair and its digest."""
     from tallyhall.llm.conversations import damage_and_repair
@@ -109,9 +116,11 @@ QUERIES = {f.__name__: f for f in (
     op7_best_fit_packing,
     op9_token_id_files,
     op10_document_fingerprints,
+    op12_lexical_search,
     op13_conversation_repair,
 )}
 
 ORACLE: dict[str, str] = {
     "op4_quality_rules": QUALITY_RULES_SQL,
+    "op12_lexical_search": SEARCH_SQL,
 }
