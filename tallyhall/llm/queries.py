@@ -89,6 +89,12 @@ def op10_document_fingerprints(spark, sf_dir):
                     _hex("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next", "n_near")
 
 
+def op11_secret_scan(spark, sf_dir):
+    """Every document's secrets, by patterns and by Markov models."""
+    from tallyhall.llm.secrets import scan
+    return scan(read_table(spark, sf_dir, "documents"))
+
+
 def op12_lexical_search(spark, sf_dir):
     """Every benchmark item's 50 best documents."""
     from tallyhall.llm.lexical import lexical_search
@@ -116,6 +122,7 @@ QUERIES = {f.__name__: f for f in (
     op7_best_fit_packing,
     op9_token_id_files,
     op10_document_fingerprints,
+    op11_secret_scan,
     op12_lexical_search,
     op13_conversation_repair,
 )}
