@@ -1,16 +1,21 @@
 """Passages that repeat across documents, by collinear chaining.
 
-Seeds are five-word k-mers, thinned to minimizers: of every ``WINDOW``
-successive k-mers the one with the least hash. The choice depends on the
-words alone, so two documents that share ``K + WINDOW - 1`` = 20 words in a
-row share a seed. A seed is joined to its first occurrence (smallest doc_id,
-then place), not to all others, so a k-mer that a third of all documents
-have makes one match for each of them. The matches of two documents are
-chained: the best ordered chain by number of seeds less a cost for gaps,
-through a Fenwick tree over the places in the earlier document. Chains are
-aligned word by word between and beyond their seeds; an alignment of at
-least ``MIN_WORDS`` words and a similarity (equal words by aligned places)
-of 0.8 or more is a passage.
+Seeds are all five-word k-mers, and some ``LONG``-word ones (of every nine
+successive ones that with the least hash, so two documents that share 50
+words in a row share one). A seed is joined to its first occurrence (smallest
+doc_id, then place), not to all others, so a k-mer that a third of all
+documents have makes one match for each of them; a long seed finds the first
+document of the longer stretch where its short seeds lie scattered over
+others. The matches of two documents are chained: the best ordered chain by
+number of seeds less a cost for gaps, through a Fenwick tree over the places
+in the earlier document. Chains are aligned word by word between and beyond
+their seeds; an alignment of at least ``MIN_WORDS`` words and a similarity
+(equal words by aligned places) of 0.8 or more is a passage.
+
+Seeds meet in buckets of about ``BUCKET_WORDS`` places, their number taken
+from the data. Texts move once, compressed; a chain takes only a window
+around it along, and is aligned anew in a wider one if it reaches the window's
+end.
 
 Words are separated by ASCII white space and compared with A-Z in lower
 case. Nulls: a null text has no passages; a null doc_id counts as the
@@ -33,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhall.llm.common import bounded_broadcast, free_name, scratch_table, texts
+from tallyhall.llm.common import BROADCAST_BYTES, bounded_broadcast, free_name, scratch_table, texts
 
 K = 5
 MIN_WORDS = 50
@@ -41,8 +46,15 @@ SIMILARITY = 0.8
 #: Cost of a word between two seeds, in seeds' words; longest gap in words.
 GAP_COST = 0.1
 MAX_GAP = 64
-#: Words of the documents that are packed together.
+#: Words of the documents that are packed together; places of a bucket.
 CHUNK = 1 << 21
+BUCKET_WORDS = 1 << 21
+#: Words of a long seed; successive ones of which one is taken.
+LONG, WINDOW = 42, 9
+#: Places that two documents share, at least, if no long seed does.
+LEAST_PLACES = 4
+#: Words taken along before and after a chain, at first.
+AROUND = 64
 
 NO_ID = (1 << 63) - 1
 _C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63],
@@ -75,6 +87,31 @@ def kmer_hashes(words: np.ndarray) -> np.ndarray:
     return h
 
 
+def long_seeds(words: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places in ``words``, hashes) of the long seeds of the documents that
+    follow one another in ``words``."""
+    n = len(words) - LONG + 1
+    if n < WINDOW:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    # a polynomial in an odd base, whose powers have inverses
+    base = np.full(len(words), _C[0])
+    base[0] = 1
+    power = np.multiply.accumulate(base)
+    inverse = np.full(n, np.uint64(pow(int(_C[0]), -1, 1 << 64)))
+    inverse[0] = 1
+    w = (words.astype(np.uint64) + np.uint64(1)) * _C[3]
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((w ^ (w >> np.uint64(31))) * power)])
+    h = (sums[LONG:] - sums[:n]) * np.multiply.accumulate(inverse)
+    h ^= h >> np.uint64(32)
+    h *= _C[2]
+    h ^= h >> np.uint64(29)
+    first = np.arange(n - WINDOW + 1)
+    least = first + np.lib.stride_tricks.sliding_window_view(h, WINDOW).argmin(axis=1)
+    doc = np.searchsorted(start, first, "right") - 1
+    at = np.unique(least[first + (WINDOW - 1) + LONG <= start[doc] + size[doc]])
+    return at, h[at]
+
+
 def _pack(*columns: np.ndarray) -> bytes:
     """Whole numbers from 0 on as byte planes, each column as wide as its
     greatest number."""
@@ -146,16 +183,21 @@ def _by_hash(h: np.ndarray, doc: np.ndarray, place: np.ndarray, ids: np.ndarray,
 
 
 def seeds(docs: DataFrame, buckets: int) -> DataFrame:
-    """Every k-mer of every document, packed by its hash."""
+    """Every seed of every document, packed by its hash; a place is doubled,
+    and one more for a long seed."""
     def blobs(part):
         ids, tags, words = zip(*part)
         size = np.array([len(w) for w in words])
         start = np.cumsum(size) - size
-        h = kmer_hashes(np.concatenate(words))
-        doc = np.repeat(np.arange(len(size)), size)[:len(h)]
-        place = np.arange(len(h)) - start[doc]
-        own = place <= size[doc] - K
-        return _table(_by_hash(h[own], doc[own], place[own], np.array(ids), np.array(tags), buckets))
+        words = np.concatenate(words)
+        h = kmer_hashes(words)
+        doc = np.repeat(np.arange(len(size)), size)
+        place = np.arange(len(words)) - start[doc]
+        own = np.flatnonzero(place[:len(h)] <= size[doc[:len(h)]] - K)
+        far, far_h = long_seeds(words, start, size)
+        at = np.append(own, far)
+        strong = np.arange(len(at)) >= len(own)
+        return _table(_by_hash(np.append(h[own], far_h), doc[at], 2 * place[at] + strong, np.array(ids), np.array(tags), buckets))
 
     def run(batches):
         part, total = [], 0
@@ -214,21 +256,32 @@ def _matches(table: pa.Table) -> tuple[np.ndarray, ...]:
 
 
 def _diagonals(doc: np.ndarray, first: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The matches with another document, by documents and diagonal, and
-    whether each starts and ends a run of neighbours. Of a place that matches
-    again and again within ``MIN_WORDS`` words (a periodic text) one is kept,
-    and the last: each is extended over all that is equal around it."""
+    """The matches with another document, by documents and diagonal, whether
+    each is of a long seed, and whether each starts and ends a run of
+    neighbours. Documents that share few places and no long seed are left
+    out. Of a place that matches again and again within ``MIN_WORDS`` words
+    (a periodic text) one is kept, and the last: each is extended over all
+    that is equal around it."""
     other = np.flatnonzero(doc != first)
-    order = other[np.lexsort((x[other], y[other], first[other], doc[other]))]
-    d, f, x, y = doc[order], first[order], x[order], y[order]
+    strong = x[other] & 1
+    d, f, x, y = doc[other], first[other], x[other] >> 1, y[other] >> 1
+    order = np.lexsort((1 - strong, x, y, f, d))
+    d, f, x, y, strong = d[order], f[order], x[order], y[order], strong[order]
+    once = np.append(True, (d[1:] != d[:-1]) | (f[1:] != f[:-1]) | (y[1:] != y[:-1]) | (x[1:] != x[:-1]))[:len(x)]
+    d, f, x, y, strong = d[once], f[once], x[once], y[once], strong[once]
+    if len(x):
+        pair = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (f[1:] != f[:-1])))
+        size = np.diff(np.append(pair, len(x)))
+        enough = np.repeat((size >= LEAST_PLACES) | (np.add.reduceat(strong, pair) > 0), size)
+        d, f, x, y, strong = d[enough], f[enough], x[enough], y[enough], strong[enough]
     same = (d[1:] == d[:-1]) & (f[1:] == f[:-1]) & (y[1:] == y[:-1])
     near = same & (x[1:] - x[:-1] <= MIN_WORDS)
     keep = np.append(True, ~(near & (x[1:] // MIN_WORDS == x[:-1] // MIN_WORDS)))[:len(x)] | np.append(~near, True)[:len(x)]
-    d, f, x, y = d[keep], f[keep], x[keep], y[keep]
+    d, f, x, y, strong = d[keep], f[keep], x[keep], y[keep], strong[keep]
     order = np.lexsort((x, x - y, f, d))
-    d, f, x, y = d[order], f[order], x[order], y[order]
+    d, f, x, y, strong = d[order], f[order], x[order], y[order], strong[order]
     on = (d[1:] == d[:-1]) & (f[1:] == f[:-1]) & (x[1:] - x[:-1] == 1) & (y[1:] - y[:-1] == 1)
-    return d, f, x, y, np.append(True, ~on)[:len(x)], np.append(~on, True)[:len(x)]
+    return d, f, x, y, strong, np.append(True, ~on)[:len(x)], np.append(~on, True)[:len(x)]
 
 
 class Fenwick:
@@ -290,39 +343,36 @@ def chains(x: list[int], y: list[int], least: int = 2) -> list[tuple[list[int],
     return [([x[i] for i in p], [y[i] for i in p]) for p in out if len(p) >= least]
 
 
-PAIR = "id bigint, tag bigint, first_id bigint, first_tag bigint, xs array<int>, ys array<int>, sizes array<int>"
+CHAIN = "id bigint, tag bigint, first_id bigint, first_tag bigint, xs array<int>, ys array<int>"
+_KINDS = {"id": pa.int64(), "tag": pa.int64(), "first_id": pa.int64(), "first_tag": pa.int64(),
+          "xs": pa.list_(pa.int32()), "ys": pa.list_(pa.int32()), "start": pa.int32(), "end": pa.int32(), "first_start": pa.int32(), "first_end": pa.int32(), "similarity": pa.float64()}
 
 
-def _pair_rows(rows: list[tuple]) -> pa.RecordBatch:
-    """Rows of ``PAIR``."""
-    kinds = [pa.int64()] * 4 + [pa.list_(pa.int32())] * 3
-    names = ["id", "tag", "first_id", "first_tag", "xs", "ys", "sizes"]
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
+def _rows(rows: list[tuple], *names: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], _KINDS[n]) for k, n in enumerate(names)], names=names)
 
 
 def chained(found: DataFrame) -> DataFrame:
-    """Chains of the matches of every two documents, one row for a pair;
-    ``sizes`` has the seeds of each. Of a run of neighbours the ends and
-    every sixteenth are chained."""
+    """Chains of the matches of every two documents, one row each. Of a run
+    of neighbours the ends and every sixteenth are chained."""
     def run(table: pa.Table) -> pa.Table:
         ids, tags, *cols = _matches(table)
-        d, f, x, y, starts, ends = _diagonals(*cols)
+        d, f, x, y, strong, starts, ends = _diagonals(*cols)
         at = np.arange(len(x))
         since = at - np.maximum.accumulate(np.where(starts, at, 0))
         keep = starts | ends | (since % 16 == 0)
-        d, f, x, y = d[keep], f[keep], x[keep], y[keep]
+        d, f, x, y, strong = d[keep], f[keep], x[keep], y[keep], strong[keep]
         edges = np.flatnonzero((np.diff(d, prepend=-1, append=-1) != 0) | (np.diff(f, prepend=-1, append=-1) != 0)).tolist()
         rows = []
         for s, e in pairwise(edges):
-            if e - s >= 2:
-                got = chains(x[s:e].tolist(), y[s:e].tolist())
-                if got:
-                    a, b = d[s], f[s]
-                    rows.append((ids[a], tags[a], ids[b], tags[b], [v for c, _ in got for v in c], [v for _, c in got for v in c],
-                                 [len(c) for c, _ in got]))
-        return pa.Table.from_batches([_pair_rows(rows)])
+            sure = set(zip(x[s:e][strong[s:e] > 0].tolist(), y[s:e][strong[s:e] > 0].tolist()))
+            if e - s >= 2 or sure:
+                a, b = d[s], f[s]
+                rows += [(ids[a], tags[a], ids[b], tags[b], xs, ys) for xs, ys in chains(x[s:e].tolist(), y[s:e].tolist(), least=1)
+                         if len(xs) >= 2 or (xs[0], ys[0]) in sure]
+        return pa.Table.from_batches([_rows(rows, "id", "tag", "first_id", "first_tag", "xs", "ys")])
 
-    return found.groupBy("bucket").applyInArrow(run, PAIR)
+    return found.groupBy("bucket").applyInArrow(run, CHAIN)
 
 
 def _extend(a: np.ndarray, b: np.ndarray, edits: int = 8, after: int = 2) -> list[tuple[int, int, int, int]]:
@@ -380,10 +430,11 @@ def _alike(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int]) -> bool:
     return np.isin(u, v).sum() >= MIN_WORDS * SIMILARITY
 
 
-def align(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int]) -> list[tuple[int, int, int, int, float]]:
+def align(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int]) -> tuple[list[tuple[int, int, int, int, float]], int, int]:
     """(start, end) in ``a``, (start, end) in ``b`` and the similarity of the
     passages around a chain: the longest stretch from equal words to equal
-    words that is long and alike enough, then the same on either side of it."""
+    words that is long and alike enough, then the same on either side of it.
+    Also the words of ``a`` that the alignment goes from and to."""
     parts = _extend(a[:xs[0]][::-1], b[:ys[0]][::-1])[::-1]
     at, bt = xs[0] - sum(p[0] for p in parts), ys[0] - sum(p[1] for p in parts)
     for (x, y), (x1, y1) in pairwise(zip(xs, ys)):
@@ -415,19 +466,12 @@ def align(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int]) -> list[tu
             like = (sums[j, 2] - sums[i, 2]) / (sums[j, 3] - sums[i, 3])
             out.append((int(at + sums[i, 0]), int(at + sums[j, 0]), int(bt + sums[i, 1]), int(bt + sums[j, 1]), float(like)))
             todo += [(s, i), (j, e)]
-    return out
+    return out, int(at), int(at + sums[-1, 0])
 
 
 SPAN = "id bigint, tag bigint, start int, `end` int, first_id bigint, first_start int, first_end int, similarity double"
 
 
-def _span_rows(rows: list[tuple]) -> pa.RecordBatch:
-    """Rows of ``SPAN``."""
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
-    names = ["id", "tag", "start", "end", "first_id", "first_start", "first_end", "similarity"]
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
-
-
 def passages(docs: DataFrame) -> DataFrame:
     """Every passage that an earlier document has too: (doc_id, tag, start,
     end, first_doc_id, first_start, first_end, similarity); start and end
@@ -446,47 +490,111 @@ def passages(docs: DataFrame) -> DataFrame:
                     if len(own) - own.sum() >= K:
                         rows.append((i, t, s["start"], s["end"], s["first_id"], s["first_start"], s["first_end"], s["similarity"]))
                         own[:] = True
-            yield _span_rows(rows)
+            yield _rows(rows, "id", "tag", "start", "end", "first_id", "first_start", "first_end", "similarity")
 
     return found.mapInArrow(run, SPAN).select(
         F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "tag", "start", "end",
         F.nullif("first_id", F.lit(NO_ID)).alias("first_doc_id"), "first_start", "first_end", "similarity")
 
 
-def aligned(docs: DataFrame) -> DataFrame:
-    """The passages of every two documents that are chained, as ``SPAN``."""
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = scratch_table(repeats(seeds(docs, buckets), buckets), "repeats")
-    chain = scratch_table(chained(found), "chains")
-    needed = chain.select("id").union(chain.select("first_id")).distinct()
-    needed = bounded_broadcast(needed, needed.count(), 16)
+def packed_texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """(id, tag, data): the words of each different text that has an id of
+    ``needed``, compressed. Where these are too many to be broadcast, all."""
+    n = needed.count()
+    d = _plain(docs)
+    if n * 16 <= BROADCAST_BYTES:
+        d = d.join(F.broadcast(needed), "id", "left_semi")
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for i, t in zip(b.column("id").to_pylist(), texts(b)):
+                raw = t.encode("utf-8", "replace")
+                words = raw.lower().split()
+                if len(words) >= MIN_WORDS:
+                    rows.append((i, tag(raw), zstandard.compress(b" ".join(words), 6)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in
+                                              enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["id", "tag", "data"])
+
+    return d.mapInArrow(run, "id bigint, tag bigint, data binary").dropDuplicates(["id", "tag"])
+
 
-    def hashed(batches):
+def _unpacked(keys: list, data: list[bytes]):
+    """The words of each row; successive rows of one document are read once."""
+    last, words = None, []
+    for key, raw in zip(keys, data):
+        if key != last:
+            last, words = key, zstandard.decompress(raw).split()
+        yield words
+
+
+def windows(chain: DataFrame, packed: DataFrame, around: int) -> DataFrame:
+    """``chain`` with the words from ``around`` before to ``around`` after
+    each chain: which is the first, whether they are all, the words."""
+    def run(batches):
         for b in batches:
-            raws = [t.encode("utf-8", "replace") for t in texts(b)]
+            rows = []
+            cols = [b.column(c).to_pylist() for c in ("id", "tag", "first_id", "first_tag", "xs", "ys", "data")]
+            for (*row, _), words in zip(zip(*cols), _unpacked(list(zip(*cols[:2])), cols[-1])):
+                xs = row[4]
+                lo, hi = max(0, xs[0] - around), min(len(words), xs[-1] + K + around)
+                rows.append((*row, lo, lo == 0, hi == len(words), zstandard.compress(b" ".join(words[lo:hi]), 6)))
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array(map(tag, raws), pa.int64()),
-                 pa.array([word_hashes(r).tobytes() for r in raws], pa.binary())], names=["id", "tag", "words"])
+                [pa.array([r[k] for r in rows], kind) for k, kind in enumerate([*(pa.int64(),) * 4, *(pa.list_(pa.int32()),) * 2,
+                                                                                pa.int32(), pa.bool_(), pa.bool_(), pa.binary()])],
+                names=["id", "tag", "first_id", "first_tag", "xs", "ys", "from", "starts", "ends", "window"])
+
+    return chain.join(packed, ["id", "tag"]).mapInArrow(run, f"{CHAIN}, `from` int, starts boolean, ends boolean, window binary")
+
 
-    words = scratch_table(_plain(docs).join(needed, "id", "left_semi")
-                          .mapInArrow(hashed, "id bigint, tag bigint, words binary").dropDuplicates(["id", "tag"]), "words")
-    both = (chain.join(words, ["id", "tag"])
-            .join(words.select(F.col("id").alias("first_id"), F.col("tag").alias("first_tag"),
-                               F.col("words").alias("first_words")), ["first_id", "first_tag"])
-            .select("id", "tag", "first_id", "xs", "ys", "sizes", "words", "first_words"))
+def aligned(docs: DataFrame) -> DataFrame:
+    """The passages of every two documents that are chained, as ``SPAN``."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chars = docs.agg(F.sum(F.length(F.col("text").cast("string")))).first()[0] or 0
+    buckets = max(parts, -(-chars // (6 * BUCKET_WORDS)))
+    chain = scratch_table(chained(repeats(seeds(docs, buckets), buckets)), "chains")
+    around, found = AROUND, None
+    while True:
+        packed = packed_texts(docs, chain.select("id").union(chain.select("first_id")).distinct())
+        first = packed.select(F.col("id").alias("first_id"), F.col("tag").alias("first_tag"), "data")
+        made = scratch_table(_aligned(windows(chain, packed, around).join(first, ["first_id", "first_tag"])), "passages")
+        spans = made.where(F.col("xs").isNull()).select("id", "tag", "start", "end", "first_id", "first_start", "first_end", "similarity")
+        found = spans if found is None else found.unionByName(spans)
+        chain = made.where(F.col("xs").isNotNull()).select("id", "tag", "first_id", "first_tag", "xs", "ys")
+        if chain.isEmpty():
+            return found.distinct()
+        around *= 16
+
+
+def _aligned(both: DataFrame) -> DataFrame:
+    """Passages as ``SPAN``; a chain that comes near an end of its window is
+    given back instead, with its seeds."""
+    near = 16  # more words than a step beyond a difference looks at
 
     def run(batches):
         for b in batches:
-            out = set()
-            for i, t, fi, xs, ys, sizes, a, f in zip(*(c.to_pylist() for c in b.columns)):
-                a, f = np.frombuffer(a, np.uint32), np.frombuffer(f, np.uint32)
-                ends = np.cumsum(sizes).tolist()
-                for k, e in zip([0, *ends], ends):
-                    if _alike(a, f, xs[k:e], ys[k:e]):
-                        out.update((i, t, s, e, fi, fs, fe, like) for s, e, fs, fe, like in align(a, f, xs[k:e], ys[k:e]))
-            yield _span_rows(sorted(out))
-
-    return both.mapInArrow(run, SPAN).distinct()
+            out, again = set(), []
+            cols = [b.column(c).to_pylist() for c in ("id", "tag", "first_id", "first_tag", "xs", "ys", "from", "starts", "ends", "window")]
+            keys = list(zip(*cols[2:4]))
+            last, words = None, None
+            for row, key, data in zip(zip(*cols), keys, b.column("data").to_pylist()):
+                i, t, fi, ft, xs, ys, lo, starts, ends, window = row
+                if key != last:
+                    last, words = key, word_hashes(zstandard.decompress(data))
+                a = word_hashes(zstandard.decompress(window))
+                own = [x - lo for x in xs]
+                if not _alike(a, words, own, ys):
+                    continue
+                got, low, high = align(a, words, own, ys)
+                if (low < near and not starts) or (high > len(a) - near and not ends):
+                    again.append((i, t, fi, ft, xs, ys))
+                else:
+                    out.update((i, t, s + lo, e + lo, fi, fs, fe, like) for s, e, fs, fe, like in got)
+            rows = [(i, t, fi, None, None, None, s, e, fs, fe, like) for i, t, s, e, fi, fs, fe, like in sorted(out)]
+            rows += [(*r, *(None,) * 5) for r in again]
+            yield _rows(rows, "id", "tag", "first_id", "first_tag", "xs", "ys", "start", "end", "first_start", "first_end", "similarity")
+
+    return both.mapInArrow(run, f"{CHAIN}, start int, `end` int, first_start int, first_end int, similarity double")
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
