@@ -23,7 +23,6 @@ CACHE_WORDS = 600_000
 #: Longer words are encoded but not kept.
 CACHE_CHARS = 48
 
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
@@ -44,9 +43,10 @@ class WordIds(dict):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.letters = {i: c for i, c in enumerate(_byte_letters())}
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.by_whole = re.compile("|".join(["[\x1c-\x1f]", *added]), re.I)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
@@ -60,7 +60,7 @@ class WordIds(dict):
         if word.isascii():
             parts = (low,) if low.isalpha() else _PARTS.findall(low)
             if len(parts) == 1 and parts[0] == word:
-                ids = self.by_model(word)
+                ids = self.by_model(word if word.isprintable() else word.translate(self.letters))
             else:  # pre-tokens are encoded independently
                 ids = b"".join(map(self.__getitem__, parts))
         elif word.isalpha() and max(word) < "ɐ" and "İ" not in word \
@@ -75,7 +75,7 @@ class WordIds(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        if _ODD_SPACE.search(text):
+        if self.by_whole.search(text):
             return self.whole(text)
         return b"".join(map(self.__getitem__, text.split()))
 

@@ -69,8 +69,19 @@ def test_registered_queries_cover_all_operators():
 # -- tokens, packing, files ------------------------------------------------
 
 def _library_ids(texts):
+    """By a tokenizer of its own, as it is loaded."""
+    from tokenizers import Tokenizer
+    return [x.ids for x in Tokenizer.from_file(BPE).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_control_characters_added_tokens_and_marks():
+    rnd = random.Random(7)
+    some = [*map(chr, range(0, 33)), "\x7f", "\x80", "\x85", "\xa0", "\xad", "\u0301", "\u0308", "e", "E", "n", "\u200b", "\u2028", "\u3000", "\ufeff",
+            "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "|>", "'s", "'LL", "9", "ß", "ẞ", "Ⅷ", "ﬁ", "İ", "中", "🙂", " ", "word", "."]
+    texts = ["".join(rnd.choices(some, k=rnd.randint(0, 14))) for _ in range(20_000)] + some
     e = tokens.encoder(BPE)
-    return [x.ids for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    wrong = [(t, w) for t, w in zip(texts, _library_ids(texts)) if np.frombuffer(e.encode(t), "<i4").tolist() != w]
+    assert not wrong, wrong[:5]
 
 
 def test_cached_encoder_equals_the_library(rows):
@@ -336,6 +347,72 @@ def test_repeated_lines_are_found(spark):
     assert {d: 200 - len(c & set(range(40, 240))) for d, c in covered.items()} == {d: 0 for d, _ in texts if d % 2}
 
 
+def _covered(spark, texts):
+    checkpoint_dir(spark)
+    out = {}
+    for r in passages.passages(spark.createDataFrame(texts, "doc_id long, text string")).collect():
+        out.setdefault(r["doc_id"], set()).update(range(r["start"], r["end"]))
+    return out
+
+
+def test_passages_whose_parts_lie_scattered_are_found(spark):
+    """Twins share 80 words, whose parts stand in earlier documents as
+    overlapping pieces too short for a passage, or in the first twin itself."""
+    rnd = random.Random(21)
+    texts, at = [], {}
+    for g in range(40):
+        p, base = _prose(rnd, 80), 10 * g
+        texts += [(base, " ".join(_prose(rnd, 30) + p[:45] + _prose(rnd, 30))), (base + 1, " ".join(_prose(rnd, 30) + p[35:] + _prose(rnd, 30)))]
+        texts += [(base + 5 + k, " ".join(_prose(rnd, 20 + k) + p + _prose(rnd, 20))) for k in range(2)]
+        at[base + 6] = set(range(21, 101))
+    for g in range(40, 60):
+        p, base = _prose(rnd, 80), 10 * g
+        first = _prose(rnd, 10) + p[40:] + _prose(rnd, 30) + p[:40] + _prose(rnd, 30) + p
+        texts += [(base, " ".join(first)), (base + 1, " ".join(_prose(rnd, 15) + p + _prose(rnd, 15)))]
+        at[base + 1] = set(range(15, 95))
+    got = _covered(spark, texts)
+    assert [d for d, want in at.items() if want - got.get(d, set())] == []
+
+
+def test_fuzzy_recall_and_long_stretches(spark):
+    """Passages of 60 words with up to 12 edits, each in 20 pairs; a long copy
+    whose seeds lie in short earlier documents is followed to its end."""
+    rnd = random.Random(22)
+    texts, pairs = [], []
+    for edits in (0, 3, 6, 9, 12):
+        for _ in range(20):
+            p, base = _prose(rnd, 60), 2 * len(pairs)
+            q = list(p)
+            for i in rnd.sample(range(60), edits):
+                q[i] = f"edit{i}"
+            texts += [(base, " ".join(_prose(rnd, 40) + p + _prose(rnd, 40))), (base + 1, " ".join(_prose(rnd, 25) + q + _prose(rnd, 25)))]
+            pairs.append(base + 1)
+    long = _prose(rnd, 3000)
+    texts += [(1000 + k, " ".join(long[k:k + 30] + _prose(rnd, 30))) for k in range(0, 3000, 25)]
+    texts += [(8000, " ".join(long)), (8001, " ".join(_prose(rnd, 5) + long))]
+    got = _covered(spark, texts)
+    found = sum(len(got.get(d, set()) & set(range(25, 85))) >= 45 for d in pairs)
+    assert found >= 0.9 * len(pairs)
+    assert set(range(5, 3005)) <= got[8001] and 8000 not in got
+
+
+def test_long_seeds_are_shared_and_a_bucket_stays_small(spark):
+    rnd = np.random.default_rng(3)
+    words = [rnd.integers(0, 1 << 32, n, dtype=np.uint64).astype(np.uint32) for n in (50, 51, 120, 300)]
+    same = rnd.integers(0, 1 << 32, 50, dtype=np.uint64).astype(np.uint32)
+    for w in words[2:]:
+        w[30:80] = same
+    size = np.array([len(w) for w in words])
+    start = np.cumsum(size) - size
+    at, h = passages.long_seeds(np.concatenate(words), start, size)
+    doc = np.searchsorted(start, at, "right") - 1
+    assert (at - start[doc] + passages.LONG <= size[doc]).all() and set(doc) == {0, 1, 2, 3}
+    assert set(h[doc == 2]) & set(h[doc == 3])
+    for k, w in enumerate(words):  # the same alone as among others
+        alone, hashes = passages.long_seeds(w, np.array([0]), np.array([len(w)]))
+        assert hashes.tolist() == h[doc == k].tolist() and alone.tolist() == (at - start[doc])[doc == k].tolist()
+
+
 def test_chains_by_brute_force():
     rnd = random.Random(4)
     for _ in range(40):
