@@ -105,10 +105,17 @@ def long_seeds(words: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[
     h ^= h >> np.uint64(32)
     h *= _C[2]
     h ^= h >> np.uint64(29)
+    least = h
+    for reach in (1, 2, 4):
+        least = np.minimum(least[:-reach], least[reach:])
+    least = np.minimum(least[:-1], h[WINDOW - 1:])  # of every WINDOW = 1 + 2 * 4 successive ones
     first = np.arange(n - WINDOW + 1)
-    least = first + np.lib.stride_tricks.sliding_window_view(h, WINDOW).argmin(axis=1)
     doc = np.searchsorted(start, first, "right") - 1
-    at = np.unique(least[first + (WINDOW - 1) + LONG <= start[doc] + size[doc]])
+    inside = first + (WINDOW - 1) + LONG <= start[doc] + size[doc]
+    taken = np.zeros(n, bool)
+    for k in range(WINDOW):
+        taken[k:k + len(least)] |= inside & (h[k:k + len(least)] == least)
+    at = np.flatnonzero(taken)
     return at, h[at]
 
 
@@ -497,13 +504,15 @@ def passages(docs: DataFrame) -> DataFrame:
         F.nullif("first_id", F.lit(NO_ID)).alias("first_doc_id"), "first_start", "first_end", "similarity")
 
 
-def packed_texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """(id, tag, data): the words of each different text that has an id of
-    ``needed``, compressed. Where these are too many to be broadcast, all."""
-    n = needed.count()
-    d = _plain(docs)
-    if n * 16 <= BROADCAST_BYTES:
-        d = d.join(F.broadcast(needed), "id", "left_semi")
+def _only(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose id is in ``ids`` (column id); all, where these
+    are too many to be broadcast: they do no harm."""
+    ids = ids.distinct()
+    return df.join(F.broadcast(ids), "id", "left_semi") if ids.count() * 16 <= BROADCAST_BYTES else df
+
+
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """(id, tag, data): the words of each different text, compressed."""
 
     def run(batches):
         for b in batches:
@@ -516,7 +525,7 @@ def packed_texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in
                                               enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["id", "tag", "data"])
 
-    return d.mapInArrow(run, "id bigint, tag bigint, data binary").dropDuplicates(["id", "tag"])
+    return docs.mapInArrow(run, "id bigint, tag bigint, data binary").dropDuplicates(["id", "tag"])
 
 
 def _unpacked(keys: list, data: list[bytes]):
@@ -553,11 +562,14 @@ def aligned(docs: DataFrame) -> DataFrame:
     chars = docs.agg(F.sum(F.length(F.col("text").cast("string")))).first()[0] or 0
     buckets = max(parts, -(-chars // (6 * BUCKET_WORDS)))
     chain = scratch_table(chained(repeats(seeds(docs, buckets), buckets)), "chains")
+    needed = chain.select("id").union(chain.select("first_id"))
+    packed = scratch_table(packed_texts(_only(_plain(docs), needed)), "texts")
     around, found = AROUND, None
     while True:
-        packed = packed_texts(docs, chain.select("id").union(chain.select("first_id")).distinct())
-        first = packed.select(F.col("id").alias("first_id"), F.col("tag").alias("first_tag"), "data")
-        made = scratch_table(_aligned(windows(chain, packed, around).join(first, ["first_id", "first_tag"])), "passages")
+        # (plain exchanges on both sides, so that a first document of very many chains is split)
+        first = _only(packed, chain.select(F.col("first_id").alias("id"))).toDF("first_id", "first_tag", "data")
+        both = windows(chain, _only(packed, chain.select("id")), around).join(first, ["first_id", "first_tag"])
+        made = scratch_table(_aligned(both), "passages")
         spans = made.where(F.col("xs").isNull()).select("id", "tag", "start", "end", "first_id", "first_start", "first_end", "similarity")
         found = spans if found is None else found.unionByName(spans)
         chain = made.where(F.col("xs").isNotNull()).select("id", "tag", "first_id", "first_tag", "xs", "ys")
@@ -575,12 +587,15 @@ def _aligned(both: DataFrame) -> DataFrame:
         for b in batches:
             out, again = set(), []
             cols = [b.column(c).to_pylist() for c in ("id", "tag", "first_id", "first_tag", "xs", "ys", "from", "starts", "ends", "window")]
-            keys = list(zip(*cols[2:4]))
-            last, words = None, None
-            for row, key, data in zip(zip(*cols), keys, b.column("data").to_pylist()):
+            last, words, done = None, None, {}
+            for row, data in zip(zip(*cols), b.column("data").to_pylist()):
                 i, t, fi, ft, xs, ys, lo, starts, ends, window = row
-                if key != last:
-                    last, words = key, word_hashes(zstandard.decompress(data))
+                if (fi, ft) != last:
+                    last, words, done = (fi, ft), word_hashes(zstandard.decompress(data)), {}
+                # within a passage of the two that is found already, at about the same shift
+                if any(s <= xs[0] and xs[-1] + K <= e and fs <= ys[0] and ys[-1] + K <= fe
+                       and abs((xs[0] - s) - (ys[0] - fs)) <= near for s, e, fs, fe in done.get((i, t), ())):
+                    continue
                 a = word_hashes(zstandard.decompress(window))
                 own = [x - lo for x in xs]
                 if not _alike(a, words, own, ys):
@@ -590,6 +605,7 @@ def _aligned(both: DataFrame) -> DataFrame:
                     again.append((i, t, fi, ft, xs, ys))
                 else:
                     out.update((i, t, s + lo, e + lo, fi, fs, fe, like) for s, e, fs, fe, like in got)
+                    done.setdefault((i, t), []).extend((s + lo, e + lo, fs, fe) for s, e, fs, fe, _ in got)
             rows = [(i, t, fi, None, None, None, s, e, fs, fe, like) for i, t, s, e, fi, fs, fe, like in sorted(out)]
             rows += [(*r, *(None,) * 5) for r in again]
             yield _rows(rows, "id", "tag", "first_id", "first_tag", "xs", "ys", "start", "end", "first_start", "first_end", "similarity")
