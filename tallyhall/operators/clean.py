@@ -177,32 +177,29 @@ def line_numbers(df: DataFrame, group, order, out: str = "line_no", base: int =
     """Running number within ``group`` in ``order`` (1-based by default;
     ``base=0`` for the suffix style).
 
-    Rows are range-partitioned on (group, order), so a group of any size
-    spreads over many tasks in order; they are numbered inside each range, and
-    the row counts of the group's earlier ranges (one row per group and range)
-    are added.
+    Rows are split by ranges of (group, order), so a group of any size spreads
+    over many tasks in order; they are numbered inside each range, and the row
+    counts of the group's earlier ranges are added. Only the groups of range
+    bounds have any, and only their rows are counted.
     """
+    from .ranges import RANGE, bounds, split_groups, with_range
     group = [group] if isinstance(group, str) else list(group)
     order = [order] if isinstance(order, str) else list(order)
     n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = (df.repartitionByRange(n, *group, *order)
-         .withColumn("__pid", F.spark_partition_id()))
-    local = Window.partitionBy("__pid", *group).orderBy(*order)
-    r = r.withColumn("__local", F.row_number().over(local))
-    # pin range ids (shared checkpoint folder): every branch and any retry
-    # sees the same assignment
-    from ..session import cut_lineage
-    r = cut_lineage(r)
-    counts = r.groupBy(*group, "__pid").agg(F.count("*").alias("__n"))
-    before = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    # only groups that reach into a second range have anything to add
-    offs = (counts.withColumn("__off", F.sum("__n").over(before)).where("__off > 0")
-            .select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)],
-                    F.col("__pid").alias("__p"), "__off"))
-    same = F.col("__pid") == F.col("__p")
+    keys = [*group, *order]
+    at = bounds(df, keys, n)
+    long = F.broadcast(split_groups(at, group))  # at most n rows
+    same = F.lit(True)
     for i, g in enumerate(group):
         same &= F.col(g).eqNullSafe(F.col(f"__g{i}"))
-    return (r.join(offs, same, "left")
+    counts = (with_range(df.select(*keys).join(long, same, "left_semi"), keys, n, at)
+              .groupBy(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], F.col(RANGE).alias("__p")).agg(F.count("*").alias("__n")))
+    before = (Window.partitionBy(*[f"__g{i}" for i in range(len(group))]).orderBy("__p")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offs = counts.withColumn("__off", F.sum("__n").over(before)).where("__off > 0")
+    local = Window.partitionBy(RANGE, *group).orderBy(*order)
+    return (with_range(df, keys, n, at).withColumn("__local", F.row_number().over(local))
+            .join(F.broadcast(offs), same & (F.col(RANGE) == F.col("__p")), "left")  # at most 2 n rows
             .withColumn(out, (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local") - 1 + base).cast("int"))
             .select(*df.columns, out))
 

@@ -113,8 +113,9 @@ def exact_quantiles(df: DataFrame, value: str, probs, by=None, n_ranges: int | N
     """Exact linearly-interpolated quantiles without putting a group in one task.
 
     1. value histogram ``(by, x) -> count`` (partial aggregation map-side);
-    2. range-partition the histogram on ``(by, x)`` so a large group spreads
-       over many tasks in value order, and take running counts per range;
+    2. split the histogram by ranges of ``(by, x)`` (``ranges.with_range``) so
+       a large group spreads over many tasks in value order, and take running
+       counts per range;
     3. a small (group, range) table gives each range's rank offset;
     4. each target order statistic is routed to the range that holds it and
        joined on (group, range) only, so no task sees more than one range.
@@ -131,14 +132,13 @@ def exact_quantiles(df: DataFrame, value: str, probs, by=None, n_ranges: int | N
     n = n_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     x = (df.select(*by, F.col(value).cast("double").alias("__x"))
          .filter(F.col("__x").isNotNull() & ~F.isnan("__x")))
-    h = (x.groupBy(*by, "__x").agg(F.count("*").alias("__c"))
-         .repartitionByRange(n, *by, "__x").withColumn("__pid", F.spark_partition_id()))
+    # the range of a value is a function of it, so every branch below sees the
+    # same ranges, also after executor loss
+    from .ranges import RANGE, with_range
+    h = (with_range(x.groupBy(*by, "__x").agg(F.count("*").alias("__c")), [*by, "__x"], n)
+         .withColumnRenamed(RANGE, "__pid"))
     local = Window.partitionBy("__pid", *by).orderBy("__x").rowsBetween(Window.unboundedPreceding, 0)
     h = h.withColumn("__cum", F.sum("__c").over(local))
-    # pin the ranged histogram (shared checkpoint folder) so every branch
-    # below sees the same range ids, also after executor loss
-    from ..session import cut_lineage
-    h = cut_lineage(h)
     tot = h.groupBy(*by, "__pid").agg(F.sum("__c").alias("__t"))
     before = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)

@@ -1149,3 +1149,29 @@ def raw_csv_ingest(spark, sf_dir):
         "ship_date", "amount", "return_flag",
         ((F.col("_raw_row") >= 2) & F.col("_source_file").isNotNull()).cast("int").alias("lineage_ok"),
         F.lit(",".join(staged.columns)).alias("staged_columns"))
+
+
+# ---------------------------------------------------------------- cleaning stage
+from . import cleaning  # noqa: E402
+
+
+def _doubles(df):
+    """Decimals as doubles, at the edge."""
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def _clean_query(name):
+    def run(spark, sf_dir):
+        return _doubles(cleaning.cleaned(spark, Star(spark, sf_dir), name))
+    run.__name__, run.__doc__ = f"clean_{name}", f"The cleaned {name} extract."
+    return run
+
+
+for _source in cleaning.CLEANERS:
+    QUERIES[f"clean_{_source}"] = _clean_query(_source)
+
+
+@query("cleansing_log")
+def cleansing_log(spark, sf_dir):
+    return cleaning.log(spark, Star(spark, sf_dir))
