@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import marts
 from ..operators.combine import with_scalars
-from ..session import cut_lineage
+from ..session import cut_lineage, written_table
 from .roles import OTHER_INCOME_CODES, Star
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1175,3 +1175,12 @@ for _source in cleaning.CLEANERS:
 @query("cleansing_log")
 def cleansing_log(spark, sf_dir):
     return cleaning.log(spark, Star(spark, sf_dir))
+
+
+@query("gate_full")
+def gate_full(spark, sf_dir):
+    """Every check of the gate on the six cleaned tables, one pass over each."""
+    from ..operators import gate
+    star = Star(spark, sf_dir)
+    tables = {n: written_table(cleaning.cleaned(spark, star, n), f"gate-{n}") for n in cleaning.CLEANERS}
+    return gate.run(cleaning.checks(star, tables))

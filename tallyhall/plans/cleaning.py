@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from ..functions.dates import date_key, period_to_month
 from ..functions.text import norm_key, parse_mixed_date, trim_ws, yn_flag
 from ..operators import clean, lookup
+from ..operators.calendar import calendar_between
 from ..operators.cleanse import Cleanse, cleansing_log
+from ..operators.gate import Checks
+from ..session import written_table
 from .extracts import extract
 from .roles import Star
 
@@ -178,7 +181,8 @@ _LINE_ORDER = {"pos": ["till_line", "outlet", "product_name", "category", "trans
 
 def numbered(name: str, df: DataFrame) -> DataFrame:
     """Cleaned rows with their running number in the transaction (POS, from
-    1) or the purchase (from 0, as part of a key)."""
+    1) or the purchase (from 0, as part of a key). Numbering reads them three
+    times."""
     if name == "pos":
         return clean.line_numbers(df, "transaction_id", _LINE_ORDER["pos"], "line_no")
     if name == "purchases":
@@ -189,9 +193,61 @@ def numbered(name: str, df: DataFrame) -> DataFrame:
 
 def cleaned(spark: SparkSession, star: Star, name: str) -> DataFrame:
     """The cleaned table of a source, amounts as declared decimals."""
-    return numbered(name, CLEANERS[name](spark, star).clean()).select(*COLUMNS[name])
+    df = CLEANERS[name](spark, star).clean()
+    return numbered(name, written_table(df, f"clean-{name}") if name in _LINE_ORDER else df).select(*COLUMNS[name])
 
 
 def log(spark: SparkSession, star: Star) -> DataFrame:
     """Every rule of every source: rows affected, before and after."""
     return cleansing_log([make(spark, star).log() for make in CLEANERS.values()])
+
+
+#: Days that the warehouse's calendar has, inclusive.
+CALENDAR = ("1995-01-01", "2025-12-31")
+
+
+def checks(star: Star, tables: dict[str, DataFrame], only=None) -> list[Checks]:
+    """Every check of the gate on the cleaned tables (those of ``only``):
+    keys, rules, and the references to property, product, date, account,
+    department, supplier."""
+    day = calendar_between(star.spark, *CALENDAR).select("date_key")
+    all_of = {n: Checks(df, n).refers("property_id", star.dim_property, "property_id").refers("date_id", day, "date_key")
+              for n, df in tables.items() if not only or n in only}
+    for name, add in _CHECKS.items():
+        if name in all_of:
+            add(all_of[name], star)
+    return list(all_of.values())
+
+
+def _booking_checks(c: Checks, star: Star) -> None:
+    c.unique("booking_id").not_null("booking_id")
+    c.rule(departure_after_arrival=F.col("departure") >= F.col("arrival"), revenue_not_negative=F.col("room_revenue") >= 0)
+
+
+def _pos_checks(c: Checks, star: Star) -> None:
+    c.unique("transaction_id", "line_no").not_null("product_id", "property_id").refers("product_id", star.dim_product, "product_id")
+    c.rule(quantity_not_negative=F.col("quantity") >= 0, net_at_most_gross=F.col("net_sales") <= F.col("gross_sales") + F.lit("0.01").cast("decimal(3,2)"))
+
+
+def _ledger_checks(c: Checks, star: Star) -> None:
+    c.not_null("account_id").refers("account_id", star.dim_account, "account_id")
+
+
+def _inventory_checks(c: Checks, star: Star) -> None:
+    stock = star.spark.createDataFrame([(p,) for p in STOCK_PRODUCTS], "product_id string")
+    c.unique("date_id", "property_id", "product_id").rule(closing_not_negative=F.col("closing_stock") >= 0).refers("product_id", stock, "product_id")
+
+
+def _purchase_checks(c: Checks, star: Star) -> None:
+    supplier = star.t("supplier").select(F.format_string("S%03d", "s_suppkey").alias("supplier_id"))
+    supplier = supplier.unionByName(star.spark.createDataFrame([(UNKNOWN_SUPPLIER,)], "supplier_id string"))
+    c.refers("product_id", star.dim_product, "product_id").refers("supplier_id", supplier, "supplier_id")
+    c.rule(total_is_quantity_x_price=F.abs(F.col("total_amount") - F.col("quantity") * F.col("unit_price")) < F.lit("0.02").cast("decimal(3,2)"))
+
+
+def _budget_checks(c: Checks, star: Star) -> None:
+    c.unique("date_id", "property_id", "department_id", "account_id").refers("department_id", star.dim_department, "department_id")
+
+
+_CHECKS = {"bookings": _booking_checks, "pos": _pos_checks, "ledger": _ledger_checks, "inventory": _inventory_checks,
+           "purchases": _purchase_checks, "budget": _budget_checks}

@@ -8,7 +8,7 @@ it holds.
 
 from __future__ import annotations
 
-from .cleaning import CATEGORIES, OTHER, SEGMENTS, STOCK_PRODUCTS, UNKNOWN_SUPPLIER, WINDOW
+from .cleaning import CALENDAR, CATEGORIES, OTHER, SEGMENTS, STOCK_PRODUCTS, UNKNOWN_SUPPLIER, WINDOW
 from .extracts import EXTRACTS, TABLES
 from .oracle import STAR_CTES
 
@@ -178,4 +178,38 @@ def log_sql() -> str:
     return " UNION ALL ".join(f"SELECT * FROM {o}" for o in out)
 
 
-CLEAN_ORACLE = {f"clean_{name}": clean_sql(name) for name in SOURCES} | {"cleansing_log": log_sql()}
+def gate_sql() -> str:
+    """Every check, each stated on its own."""
+    days = (f"(SELECT {_dkey('g')} FROM (SELECT unnest(generate_series(DATE '{CALENDAR[0]}', DATE '{CALENDAR[1]}', INTERVAL 1 DAY)) AS g))")
+    dims = {"property_id": ("property_id", "(SELECT n_nationkey FROM nation)"), "date_id": ("date_key", days),
+            "product_id": ("product_id", "(SELECT p_partkey FROM part)"), "account_id": ("account_id", "(SELECT account_id FROM accounts)"),
+            "department_id": ("department_id", "(SELECT department_id FROM dim_department)"),
+            "supplier_id": ("supplier_id", f"(SELECT printf('S%03d', s_suppkey) FROM supplier UNION ALL SELECT '{UNKNOWN_SUPPLIER}')")}
+    stock = ", ".join(f"('{p}')" for p in STOCK_PRODUCTS)
+    refs = {"bookings": [], "pos": ["product_id"], "ledger": ["account_id"], "inventory": ["product_id"], "purchases": ["product_id", "supplier_id"],
+            "budget": ["department_id"]}
+    keys = {"bookings": "booking_id", "pos": "transaction_id,line_no", "inventory": "date_id,property_id,product_id",
+            "budget": "date_id,property_id,department_id,account_id"}
+    rules = {"bookings": {"booking_id_not_null": "booking_id IS NOT NULL", "departure_after_arrival": "departure >= arrival",
+                          "revenue_not_negative": "room_revenue >= 0"},
+             "pos": {"product_id_not_null": "product_id IS NOT NULL", "property_id_not_null": "property_id IS NOT NULL",
+                     "quantity_not_negative": "quantity >= 0", "net_at_most_gross": "net_sales <= gross_sales + 0.01"},
+             "ledger": {"account_id_not_null": "account_id IS NOT NULL"}, "inventory": {"closing_not_negative": "closing_stock >= 0"},
+             "purchases": {"total_is_quantity_x_price": "abs(total_amount - quantity * unit_price) < 0.02"}}
+    out = []
+    for name in SOURCES:
+        rows = []
+        for col in ["property_id", "date_id", *refs[name]]:
+            key, dim = dims[col]
+            dim = f"(VALUES {stock})" if (name, col) == ("inventory", "product_id") else dim
+            rows.append((f"{name}.{col}->{key}", f"SELECT count(*) FROM t WHERE {col} IS NULL OR {col} NOT IN (SELECT * FROM {dim})"))
+        if name in keys:
+            rows.append((f"{name}.unique({keys[name]})", f"SELECT count(*) FROM (SELECT 1 FROM t GROUP BY {keys[name]} HAVING count(*) > 1)"))
+        rows += [(f"{name}.{r}", f"SELECT count(*) FROM t WHERE NOT coalesce({c}, false)") for r, c in rules.get(name, {}).items()]
+        each = " UNION ALL ".join(f"SELECT '{n}' AS check_name, ({q}) AS failures" for n, q in rows)
+        out.append(f"(WITH {_ctes(name)}, {STAR_CTES['dim_department'][1]}, t AS (SELECT {SOURCES[name]['columns']} FROM judged "
+                   f"WHERE {_none(SOURCES[name]['rules'])}) {each})")
+    return "SELECT *, CASE WHEN failures = 0 THEN 1 ELSE 0 END AS ok FROM (" + " UNION ALL ".join(f"SELECT * FROM {o}" for o in out) + ")"
+
+
+CLEAN_ORACLE = {f"clean_{name}": clean_sql(name) for name in SOURCES} | {"cleansing_log": log_sql(), "gate_full": gate_sql()}

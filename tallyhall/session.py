@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,7 +77,7 @@ def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once an application: functions
     that run in Python workers import it there."""
     sc = spark.sparkContext
-    if sc.master.startswith("local[") or sc.applicationId in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     package = os.path.dirname(os.path.abspath(__file__))
     base = os.path.join(tempfile.mkdtemp(prefix="tallyhall-zip-"), "tallyhall")
@@ -122,5 +123,13 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
         cached.unpersist(blocking=False)
 
 
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back: a stage
+    boundary for rows that several later steps read."""
+    path = os.path.join(checkpoint_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -142,6 +142,16 @@ def with_month_partition(df: DataFrame, date_key: str = "date_id") -> DataFrame:
     return df.withColumn("month_key", (F.col(date_key) / 100).cast("int"))
 
 
+def load_partitions(df: DataFrame, path: str, partition: str, measure: str) -> DataFrame:
+    """Idempotent load. Only the partitions that ``df`` has are replaced
+    (a rerun of one month touches that month), in one write; returns their
+    manifest (partition, rows, total), read back from what was written."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    touched = df.select(F.col(partition).alias("__p")).distinct()
+    return (df.sparkSession.read.parquet(path).join(touched, F.col(partition) == F.col("__p"), "left_semi")
+            .groupBy(F.col(partition).cast("int").alias("partition")).agg(F.count("*").alias("rows"), F.sum(measure).alias("total")))
+
+
 def load_csv_table(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, int]:
     """CSV with a declared schema and its row count."""
     df = spark.read.schema(schema).option("header", True).csv(path)
