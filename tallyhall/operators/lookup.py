@@ -169,26 +169,66 @@ def tokens(c) -> Column:
     return F.array_distinct(F.split(norm_key(c), " "))
 
 
+#: Most frequent tokens of a text that pair it with no one.
+HOT_TOKENS = 2
+
+
+def _ranked_tokens(texts: DataFrame, keys: list[str], freq: DataFrame) -> DataFrame:
+    """``keys`` and ``t``, the text's tokens that the dimension has, the
+    rarest first."""
+    t = texts.select(*keys, F.explode(tokens("__text")).alias("__tok")).join(maybe_broadcast(freq), "__tok")
+    return (t.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("__f", "__tok"))).alias("t"))
+            .select(*keys, F.transform("t", lambda x: x["__tok"]).alias("t")))
+
+
+def _rare(t: str) -> Column:
+    return F.explode(F.slice(t, F.lit(1), F.greatest(F.size(t) - HOT_TOKENS, F.lit(0))))
+
+
+def _few(t: str) -> Column:
+    """Every token alone and every two of them, in their order."""
+    ones = F.transform(t, lambda x: F.array(x))
+    twos = F.flatten(F.transform(t, lambda x, i: F.transform(F.slice(t, i + 2, F.size(t)), lambda y: F.array(x, y))))
+    return F.explode(F.concat(ones, twos))
+
+
+def overlap_candidates(strings: DataFrame, dim: DataFrame) -> DataFrame:
+    """(__raw, t, __id, __ord, dt): for each string (``__raw``, ``__text``)
+    dimension entries (``__id``, ``__ord``, ``__text``) among which is its
+    best by shared tokens; ties by (__ord, __id).
+
+    A prefix filter: tokens are ordered by how many entries have them. Who
+    shares more than ``HOT_TOKENS`` tokens shares one that is not among the
+    ``HOT_TOKENS`` most frequent of either, so only the others are joined.
+    Who shares fewer is, at best, the first entry that has that one token, or
+    those two: one row for each, found by an aggregate. So a token that every
+    name has is never a join key, and no pairs are formed for it.
+    """
+    freq = (dim.select("__id", F.explode(tokens("__text")).alias("__tok")).where("__tok != ''")
+            .groupBy("__tok").agg(F.count("*").alias("__f")))
+    s = _ranked_tokens(strings, ["__raw"], freq)
+    d = _ranked_tokens(dim, ["__id", "__ord"], freq)
+    rare = (s.select("__raw", "t", _rare("t").alias("__k"))
+            .join(maybe_broadcast(d.select("__id", "__ord", F.col("t").alias("dt"), _rare("t").alias("__k"))), "__k")
+            .select("__raw", "t", "__id", "__ord", "dt"))
+    first = (d.select("__id", "__ord", "t", _few("t").alias("__k")).groupBy("__k")
+             .agg(F.min_by(F.struct("__id", "__ord", F.col("t").alias("dt")), F.struct("__ord", "__id")).alias("__e")))
+    few = s.select("__raw", "t", _few("t").alias("__k")).join(maybe_broadcast(first), "__k").select("__raw", "t", "__e.*")
+    return rare.unionByName(few)
+
+
 def token_overlap_match(strings: DataFrame, col: str, dim: DataFrame, dim_text: str,
                         dim_id: str, dim_order: str, min_overlap: int = 1,
                         out: str = "matched_id") -> DataFrame:
     """Best dimension entry by number of shared tokens (>= ``min_overlap``);
-    ties go to the first entry in ``dim_order``.
-
-    Token sets are exploded and equi-joined on the token, so the work is a
-    shuffle join that scales past any broadcast limit; only pairs that share
-    at least one token are ever formed.
+    ties go to the first entry in ``dim_order``. A shuffle join on rare
+    tokens (:func:`overlap_candidates`) that scales past any broadcast limit.
     """
-    s = (strings.select(F.col(col).alias("__raw")).distinct()
-         .select("__raw", F.explode(tokens("__raw")).alias("__tok"))
-         .filter(F.col("__tok") != ""))
-    d = (dim.select(F.col(dim_id).alias("__id"), F.col(dim_order).alias("__ord"),
-                    F.explode(tokens(dim_text)).alias("__tok"))
-         .filter(F.col("__tok") != "").distinct())
-    shared = (s.join(maybe_broadcast(d), "__tok")
-              .groupBy("__raw", "__id", "__ord").agg(F.count("*").alias("__n"))
-              .filter(F.col("__n") >= min_overlap))
-    best = shared.groupBy("__raw").agg(
+    s = strings.select(F.col(col).alias("__raw")).where(F.col(col).isNotNull()).distinct().withColumn("__text", F.col("__raw"))
+    d = dim.select(F.col(dim_id).alias("__id"), F.col(dim_order).alias("__ord"), F.col(dim_text).alias("__text")).distinct()
+    found = (overlap_candidates(s, d).withColumn("__n", F.size(F.array_intersect("t", "dt")).cast("bigint"))
+             .where(F.col("__n") >= min_overlap))
+    best = found.groupBy("__raw").agg(
         F.min_by(F.struct("__id", "__n"),
                  F.struct((-F.col("__n")).alias("a"), F.col("__ord").alias("b"),
                           F.col("__id").alias("c"))).alias("__b"))
