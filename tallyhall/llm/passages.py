@@ -47,8 +47,8 @@ SIMILARITY = 0.8
 GAP_COST = 0.1
 MAX_GAP = 64
 #: Words of the documents that are packed together; places of a bucket.
-CHUNK = 1 << 21
-BUCKET_WORDS = 1 << 21
+CHUNK = 1 << 20
+BUCKET_WORDS = 1 << 20
 #: Words of a long seed; successive ones of which one is taken.
 LONG, WINDOW = 42, 9
 #: Places that two documents share, at least, if no long seed does.
