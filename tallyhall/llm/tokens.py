@@ -23,6 +23,7 @@ CACHE_WORDS = 600_000
 #: Longer words are encoded but not kept.
 CACHE_CHARS = 48
 
+_ODD_SPACE = re.compile("[\x1c-\x1f]")
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
@@ -45,8 +46,10 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = {i: c for i, c in enumerate(_byte_letters())}
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.by_whole = re.compile("|".join(["[\x1c-\x1f]", *added]), re.I)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)", re.I)
+        # most texts have no beginning of one, which is soon seen where case does not matter
+        self.starts = {a[:2] if a[:2].upper() == a[:2].lower() else "" for a in added}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
@@ -75,7 +78,7 @@ class WordIds(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        if self.by_whole.search(text):
+        if _ODD_SPACE.search(text) or any(s in text for s in self.starts) and self.added.search(text):
             return self.whole(text)
         return b"".join(map(self.__getitem__, text.split()))
 
