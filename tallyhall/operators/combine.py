@@ -20,12 +20,16 @@ def with_scalars(df: DataFrame, one_row: DataFrame, cols=None) -> DataFrame:
 
 
 def outer_merge(left: DataFrame, right: DataFrame, keys, fill=0) -> DataFrame:
-    """Full outer merge of two aggregates on ``keys``; missing measures
-    become ``fill``."""
+    """Full outer merge of two aggregates (one row per key each) on
+    ``keys``; missing measures become ``fill``. Rows are united and merged by
+    one aggregation, in which null keys are a group like any other."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    j = left.join(right, keys, "full")
-    measures = [c for c in j.columns if c not in keys]
-    return j.select(*keys, *[F.coalesce(F.col(c), F.lit(fill)).alias(c) for c in measures])
+    if shared := sorted(set(left.columns) & set(right.columns) - set(keys)):
+        raise ValueError(f"measures of both sides: {shared}")
+    both = left.unionByName(right, allowMissingColumns=True)
+    measures = [c for c in both.columns if c not in keys]
+    merged = both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in measures])
+    return merged.select(*keys, *[F.coalesce(F.col(c), F.lit(fill)).alias(c) for c in measures])
 
 
 def drill_across(spine: DataFrame, facts: list[DataFrame], keys, fill=0) -> DataFrame:

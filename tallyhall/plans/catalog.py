@@ -974,7 +974,7 @@ def measures_by_segment(spark, sf_dir):
 def yoy_mom(spark, sf_dir):
     from ..functions.stats import safe_div
     base = ["total_revenue", "room_revenue", "fnb_net_revenue", "ebitda", "room_nights",
-            "available_room_nights"]
+            "available_room_nights", "fnb_cogs"]
     # the monthly frame (months rows at any scale) feeds three branches:
     # written once to the shared checkpoint folder instead of recomputed
     m = cut_lineage(ms.measures(Star(spark, sf_dir), base, ["month_start"]))
@@ -994,7 +994,9 @@ def yoy_mom(spark, sf_dir):
         pct("ebitda", "ebitda_ly").alias("ebitda_yoy_pct"),
         F.round(safe_div("room_nights", "available_room_nights") * 100, 6).alias("occupancy_pct"),
         F.round(safe_div("room_nights_ly", "available_room_nights_ly") * 100, 6)
-        .alias("occupancy_pct_ly"))
+        .alias("occupancy_pct_ly"),
+        F.round(safe_div("fnb_cogs", "fnb_net_revenue") * 100, 6).alias("food_cost_pct"),
+        F.round(safe_div("fnb_cogs_ly", "fnb_net_revenue_ly") * 100, 6).alias("food_cost_pct_ly"))
 
 
 @query("revenue_share")
@@ -1184,3 +1186,28 @@ def gate_full(spark, sf_dir):
     star = Star(spark, sf_dir)
     tables = {n: written_table(cleaning.cleaned(spark, star, n), f"gate-{n}") for n in cleaning.CLEANERS}
     return gate.run(cleaning.checks(star, tables))
+
+
+# ---------------------------------------------------------------- master data maps
+from . import master  # noqa: E402
+
+
+@query("property_dim")
+def property_dim(spark, sf_dir):
+    return master.property_dim(Star(spark, sf_dir))
+
+
+def _map_query(name):
+    def run(spark, sf_dir):
+        return master.MAPS[name](Star(spark, sf_dir)).withColumnRenamed("id", f"{name}_id")
+    run.__name__, run.__doc__ = f"{name}_map", master.MAPS[name].__doc__
+    return run
+
+
+for _name in master.MAPS:
+    QUERIES[f"{_name}_map"] = _map_query(_name)
+
+
+@query("map_coverage")
+def map_coverage(spark, sf_dir):
+    return master.map_coverage(Star(spark, sf_dir))

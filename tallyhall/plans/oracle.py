@@ -1103,7 +1103,7 @@ ORACLE["measures_by_segment"] = _mq(["room_revenue", "rooms_sold", "room_nights"
                                      "cancellation_pct", "noshow_pct", "avg_los"], ["segment"],
                                     {"business_type": "Hotel"})
 
-_yb = ["total_revenue", "room_revenue", "fnb_net_revenue", "ebitda", "room_nights", "available_room_nights"]
+_yb = ["total_revenue", "room_revenue", "fnb_net_revenue", "ebitda", "room_nights", "available_room_nights", "fnb_cogs"]
 _yc, _ys = measures_sql(_yb, ["month_start"])
 ORACLE["yoy_mom"] = _MSTAR + ", " + _yc + f""",
 m AS ({_ys}),
@@ -1117,7 +1117,9 @@ SELECT month_start, total_revenue, total_revenue_ly,
        room_revenue_ly, fnb_net_revenue_ly, ebitda, ebitda_ly,
        round((ebitda - ebitda_ly) / NULLIF(ebitda_ly, 0) * 100, 6) AS ebitda_yoy_pct,
        round(CAST(room_nights AS DOUBLE) / NULLIF(CAST(available_room_nights AS DOUBLE), 0) * 100, 6) AS occupancy_pct,
-       round(CAST(room_nights_ly AS DOUBLE) / NULLIF(CAST(available_room_nights_ly AS DOUBLE), 0) * 100, 6) AS occupancy_pct_ly
+       round(CAST(room_nights_ly AS DOUBLE) / NULLIF(CAST(available_room_nights_ly AS DOUBLE), 0) * 100, 6) AS occupancy_pct_ly,
+       round(fnb_cogs / NULLIF(fnb_net_revenue, 0) * 100, 6) AS food_cost_pct,
+       round(fnb_cogs_ly / NULLIF(fnb_net_revenue_ly, 0) * 100, 6) AS food_cost_pct_ly
 FROM j"""
 
 _rc, _rs = measures_sql(["room_revenue", "fnb_net_revenue", "total_revenue"], ["month_start"])
