@@ -18,8 +18,8 @@ from array import array
 
 import numpy as np
 
-#: Words kept per Python worker before the cache starts anew (about 150 MB).
-CACHE_WORDS = 600_000
+#: Words kept per Python worker before the cache starts anew (about 125 MB).
+CACHE_WORDS = 200_000
 #: Longer words are encoded but not kept.
 CACHE_CHARS = 48
 
