@@ -9,61 +9,107 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import trim_ws
 from ..operators.clean import drop_blank_columns, drop_blank_rows, parse_dates, parse_numbers, trim_all
+from ..operators.lookup import maybe_broadcast
 
 # Text tokens read as missing (pandas' default NA strings).
 NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
              "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the header line (one small read of the first line)."""
-    first = spark.read.text(path).limit(1).collect()
-    if not first:
-        return []
-    import csv
-    return next(csv.reader([first[0][0]]))
+_AT = ["__path", "__blk"]
+_MARK = "\x01"
 
 
-def read_raw(spark: SparkSession, path: str, columns: list[str] | None = None,
+def _named(fields: Column) -> Column:
+    """Column names of a header: trimmed, ``column_<n>`` where blank, a repeated
+    name with the number of its earlier uses."""
+    names = F.transform(fields, lambda x, i: F.coalesce(F.nullif(trim_ws(x), F.lit("")),
+                                                        F.concat(F.lit("column_"), (i + 1).cast("string"))))
+    earlier = lambda x, i: F.size(F.filter(F.slice(names, 1, i), lambda y: y == x))
+    return F.transform(names, lambda x, i: F.when(earlier(x, i) > 0, F.concat(x, F.lit("."), earlier(x, i).cast("string")))
+                       .otherwise(x))
+
+
+def _fields(value: str | Column, width: int) -> Column:
+    """A CSV line as an array of ``width`` texts (null where it has fewer)."""
+    record = F.from_csv(value, ", ".join(f"c{i} string" for i in range(width)))
+    return F.array(*[record[f"c{i}"] for i in range(width)])
+
+
+def raw_index(lines: DataFrame) -> DataFrame:
+    """One row for each split of the files: its position in the tasks
+    (``__first``), the lines of its file before it (``__off``) and the file's
+    header line, which its first split begins with."""
+    splits = lines.groupBy(*_AT).agg(F.min("__mid").alias("__first"), F.count("*").alias("__n"),
+                                     F.min_by("value", "__mid").alias("__line"))
+    file = Window.partitionBy("__path").orderBy("__blk")
+    before = file.rowsBetween(Window.unboundedPreceding, -1)
+    return splits.select(*_AT, "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
+                         F.first("__line").over(file).alias("__header"))
+
+
+def read_raw(spark: SparkSession, path: str | list[str], columns: list[str] | None = None,
              na_tokens=NA_TOKENS, multiline: bool = False) -> DataFrame:
     """Raw CSV, every column text, NA tokens -> null, plus lineage.
 
-    ``_raw_row`` is the 1-based file line of the record (header = 1, first
-    data row = 2). It is computed from the file name and the byte offset of
-    the split each row comes from, so it stays exact when a file is split
-    across many tasks. ``multiline=True`` keeps quoted newlines (then a file
-    is read unsplit).
+    Files may have different headers: a column is matched by its name in each
+    file's own header, never by its place, and is null where a file lacks it.
+    The columns are those of all headers, in the order in which they are first
+    named. ``columns`` replaces every header by these names, by place.
+
+    ``_raw_row`` is the 1-based row of the file, blank lines left out (header =
+    1, first data row = 2). It comes from the full path of the file and from
+    the split in which a line stands, so files of one name do not mix and a
+    file may be split across many tasks. Lines are indexed as text and parsed
+    once. ``multiline=True`` keeps quoted newlines (then a file is read
+    unsplit); a header itself is one line. No file, or only empty ones: no rows.
     """
-    cols = columns or _header(spark, path)
-    schema = StructType([StructField(c, StringType(), True) for c in cols])
-    df = (spark.read.schema(schema).option("header", True).option("multiLine", multiline)
-          .option("mode", "PERMISSIVE").csv(path))
-    df = df.select("*", F.col("_metadata.file_name").alias("_source_file"),
-                   F.col("_metadata.file_block_start").alias("__blk"),
-                   F.monotonically_increasing_id().alias("__mid"))
-    # Rows of one split are contiguous inside a task, so the position inside
-    # the split is ``__mid - min(__mid)``; a split's offset is the row count of
-    # the file's earlier splits (a table with one row per split).
-    splits = (df.groupBy("_source_file", "__blk")
-              .agg(F.min("__mid").alias("__first"), F.count("*").alias("__n")))
-    before = Window.partitionBy("_source_file").orderBy("__blk").rowsBetween(
-        Window.unboundedPreceding, -1)
-    splits = splits.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    # one row per input split: the same list the driver already plans and
-    # holds, so broadcasting it adds no size the driver does not carry
-    df = (df.join(F.broadcast(splits.drop("__n")), ["_source_file", "__blk"])
-          .withColumn("_raw_row", (F.col("__off") + F.col("__mid") - F.col("__first") + 2)
-                      .cast("long"))
-          .select(*cols, "_source_file", "_raw_row"))
+    at = [F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__blk"),
+          F.col("_metadata.file_name").alias("_source_file")]
+    lines = (spark.read.text(path).where(F.trim("value") != "")
+             .select("value", *at, F.monotonically_increasing_id().alias("__mid")))
+    index = raw_index(lines)
+    heads = index.select("__path", "__header").distinct()
+    # the widest header bounds the fields of a line; so few names go to the driver as a schema has
+    width = heads.select(F.max(F.size(F.split("__header", ",", -1)))).first()[0]
+    if width is None:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns or [])
+                                     + (", " if columns else "") + "_source_file string, _raw_row bigint")
+    if columns:
+        names, cols = F.array(*map(F.lit, columns)), list(columns)
+    else:
+        # a mark behind the last field tells how many there are, quoted commas or not
+        marked = _fields(F.concat("__header", F.lit("," + _MARK)), width + 1)
+        names = _named(F.slice(marked, 1, F.greatest(F.array_position(marked, _MARK) - 1, F.lit(0)).cast("int")))
+        cols = [r[0] for r in heads.select("__path", F.posexplode(names).alias("i", "c"))
+                .groupBy("c").agg(F.min(F.struct("i", "__path")).alias("at")).orderBy("at").collect()]
+    width = max(width, len(cols))
+    place = F.array(*[F.array_position(names, c) for c in cols])
+    index = index.select(*_AT, "__first", "__off", place.alias("__place"))
+    if multiline:
+        rows = (spark.read.schema(", ".join(f"c{i} string" for i in range(width))).option("multiLine", True).csv(path)
+                .select(F.array(*[f"c{i}" for i in range(width)]).alias("__f"), *at, F.monotonically_increasing_id().alias("__mid")))
+        # a file is one split here, with its own positions
+        own = rows.groupBy("__path").agg(F.min("__mid").alias("__first"), F.lit(0).alias("__off"))
+        index = own.join(index.groupBy("__path").agg(F.first("__place").alias("__place")), "__path")
+        rows = rows.join(maybe_broadcast(index), "__path")
+    else:
+        rows = lines.join(maybe_broadcast(index), _AT)
+    number = (F.col("__off") + F.col("__mid") - F.col("__first") + 1).cast("long")
+    rows = rows.withColumn("_raw_row", number).where("_raw_row > 1")
+    if not multiline:
+        rows = rows.withColumn("__f", _fields("value", width))
+    # place 0: the file has no such column
+    field = [F.get("__f", F.nullif(F.get("__place", F.lit(k)), F.lit(0)).cast("int") - 1) for k in range(len(cols))]
     tokens = list(na_tokens)
-    return df.withColumns({c: F.when(trim_ws(c).isin(tokens), F.lit(None).cast("string"))
-                           .otherwise(F.col(c)) for c in cols})
+    return rows.select(*[F.when(~trim_ws(x).isin(tokens), x).alias(c) for x, c in zip(field, cols)],
+                       "_source_file", "_raw_row")
 
 
 @dataclass

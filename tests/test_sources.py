@@ -31,6 +31,30 @@ def test_read_raw_lineage_exact_over_many_splits(spark):
     assert {r["_source_file"] for r in rows} == {"raw.csv"}
 
 
+def test_files_of_one_name_and_with_other_headers(spark):
+    root = tempfile.mkdtemp(prefix="tallyhall-test-")
+    for folder, lines in {"a": ["x,y", "1,2", "", "3,4"], "b": ["y,x,z", "20,10,\"p,q\""], "c": ["z,,x,x", "n,b,5,6"]}.items():
+        os.makedirs(f"{root}/{folder}")
+        with open(f"{root}/{folder}/data.csv", "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+    for multiline in (False, True):
+        df = io.read_raw(spark, f"{root}/*/data.csv", multiline=multiline)
+        assert sorted(df.columns) == ["_raw_row", "_source_file", "column_2", "x", "x.1", "y", "z"]
+        got = df.select("x", "y", "z", "column_2", "`x.1`", "_source_file", "_raw_row").collect()
+        assert sorted(map(tuple, got), key=str) == sorted([
+            ("1", "2", None, None, None, "data.csv", 2), ("3", "4", None, None, None, "data.csv", 3),
+            ("10", "20", "p,q", None, None, "data.csv", 2), ("5", None, "n", "b", "6", "data.csv", 2)], key=str)
+
+
+def test_quoted_newlines_quoted_header_and_empty_files(spark):
+    _, p = _write_csv(['a,"b,c",d', '1,"two', 'lines",3', '4,5'])
+    rows = io.read_raw(spark, p, multiline=True).collect()
+    assert [tuple(r) for r in rows] == [("1", "two\nlines", "3", "raw.csv", 2), ("4", "5", None, "raw.csv", 3)]
+    assert io.read_raw(spark, p).columns == ["a", "b,c", "d", "_source_file", "_raw_row"]
+    _, p = _write_csv(["", ""])
+    assert io.read_raw(spark, p).count() == 0 and io.read_raw(spark, p, columns=["k"]).columns[0] == "k"
+
+
 def test_stage_drops_blank_rows_and_columns_and_parses(spark):
     lines = ["booking_id,check_in,room_rate,prop_code",
              "B1,04/03/2025,\"1.234,56\",", "  ,  ,  ,  ", "B2,2025-03-05,NA,"]
