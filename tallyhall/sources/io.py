@@ -7,15 +7,16 @@ executors, and every sink is a distributed write: nothing is collected.
 
 from __future__ import annotations
 
+import csv
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions.text import trim_ws
 from ..operators.clean import drop_blank_columns, drop_blank_rows, parse_dates, parse_numbers, trim_all
-from ..operators.lookup import maybe_broadcast
+from ..operators.lookup import BROADCAST_BYTES
 
 # Text tokens read as missing (pandas' default NA strings).
 NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
@@ -23,23 +24,18 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 
 
 _AT = ["__path", "__blk"]
-_MARK = "\x01"
 
 
-def _named(fields: Column) -> Column:
-    """Column names of a header: trimmed, ``column_<n>`` where blank, a repeated
-    name with the number of its earlier uses."""
-    names = F.transform(fields, lambda x, i: F.coalesce(F.nullif(trim_ws(x), F.lit("")),
-                                                        F.concat(F.lit("column_"), (i + 1).cast("string"))))
-    earlier = lambda x, i: F.size(F.filter(F.slice(names, 1, i), lambda y: y == x))
-    return F.transform(names, lambda x, i: F.when(earlier(x, i) > 0, F.concat(x, F.lit("."), earlier(x, i).cast("string")))
-                       .otherwise(x))
-
-
-def _fields(value: str | Column, width: int) -> Column:
-    """A CSV line as an array of ``width`` texts (null where it has fewer)."""
-    record = F.from_csv(value, ", ".join(f"c{i} string" for i in range(width)))
-    return F.array(*[record[f"c{i}"] for i in range(width)])
+def header_names(line: str) -> list[str]:
+    """Column names of a header line: trimmed, ``column_<n>`` where blank, a
+    repeated name with the number of its earlier uses."""
+    names: list[str] = []
+    uses: dict[str, int] = {}
+    for i, text in enumerate(next(csv.reader([line])), start=1):
+        name = text.strip() or f"column_{i}"
+        uses[name] = uses.get(name, 0) + 1
+        names.append(name if uses[name] == 1 else f"{name}.{uses[name] - 1}")
+    return names
 
 
 def raw_index(lines: DataFrame) -> DataFrame:
@@ -61,13 +57,15 @@ def read_raw(spark: SparkSession, path: str | list[str], columns: list[str] | No
     Files may have different headers: a column is matched by its name in each
     file's own header, never by its place, and is null where a file lacks it.
     The columns are those of all headers, in the order in which they are first
-    named. ``columns`` replaces every header by these names, by place.
+    named. ``columns`` replaces every header by these names, by place. The
+    driver sees the distinct header lines: as many as there are layouts.
 
     ``_raw_row`` is the 1-based row of the file, blank lines left out (header =
     1, first data row = 2). It comes from the full path of the file and from
     the split in which a line stands, so files of one name do not mix and a
-    file may be split across many tasks. Lines are indexed as text and parsed
-    once. ``multiline=True`` keeps quoted newlines (then a file is read
+    file may be split across many tasks. Lines are indexed as text; the small
+    index, one row a split, is broadcast if its counted size is within the
+    bound for it. ``multiline=True`` keeps quoted newlines (then a file is read
     unsplit); a header itself is one line. No file, or only empty ones: no rows.
     """
     at = [F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__blk"),
@@ -75,40 +73,39 @@ def read_raw(spark: SparkSession, path: str | list[str], columns: list[str] | No
     lines = (spark.read.text(path).where(F.trim("value") != "")
              .select("value", *at, F.monotonically_increasing_id().alias("__mid")))
     index = raw_index(lines)
-    heads = index.select("__path", "__header").distinct()
-    # the widest header bounds the fields of a line; so few names go to the driver as a schema has
-    width = heads.select(F.max(F.size(F.split("__header", ",", -1)))).first()[0]
-    if width is None:
-        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns or [])
-                                     + (", " if columns else "") + "_source_file string, _raw_row bigint")
-    if columns:
-        names, cols = F.array(*map(F.lit, columns)), list(columns)
-    else:
-        # a mark behind the last field tells how many there are, quoted commas or not
-        marked = _fields(F.concat("__header", F.lit("," + _MARK)), width + 1)
-        names = _named(F.slice(marked, 1, F.greatest(F.array_position(marked, _MARK) - 1, F.lit(0)).cast("int")))
-        cols = [r[0] for r in heads.select("__path", F.posexplode(names).alias("i", "c"))
-                .groupBy("c").agg(F.min(F.struct("i", "__path")).alias("at")).orderBy("at").collect()]
-    width = max(width, len(cols))
-    place = F.array(*[F.array_position(names, c) for c in cols])
-    index = index.select(*_AT, "__first", "__off", place.alias("__place"))
+    layouts = (index.groupBy("__header").agg(F.min("__path").alias("at"), F.sum(F.length("__path") + 64).alias("size"))
+               .orderBy("at").collect())
+    named = {r["__header"]: list(columns) if columns else header_names(r["__header"]) for r in layouts}
+    cols = list(columns) if columns else list(dict.fromkeys(n for names in named.values() for n in names))
+    if not layouts:
+        fields = [StructField(c, StringType()) for c in [*cols, "_source_file"]]
+        return spark.createDataFrame([], StructType([*fields, StructField("_raw_row", LongType())]))
+    width = max(map(len, named.values()))
+    # where each column stands in the file's own lines, null where it does not
+    place = F.create_map(*[F.lit(x) for header, names in named.items()
+                           for x in (header, ",".join(str(names.index(c)) if c in names else "" for c in cols))])
+    index = index.select(*_AT, "__first", "__off", F.transform(
+        F.split(F.element_at(place, F.col("__header")), ",", -1), lambda x: F.nullif(x, F.lit("")).cast("int")).alias("__place"))
+    small = sum(r["size"] for r in layouts) + 8 * len(cols) * len(layouts) <= BROADCAST_BYTES
+    record = StructType([StructField(f"c{i}", StringType()) for i in range(width)])
     if multiline:
-        rows = (spark.read.schema(", ".join(f"c{i} string" for i in range(width))).option("multiLine", True).csv(path)
-                .select(F.array(*[f"c{i}" for i in range(width)]).alias("__f"), *at, F.monotonically_increasing_id().alias("__mid")))
+        rows = (spark.read.schema(record).option("multiLine", True).csv(path)
+                .select(F.struct(*record.names).alias("__r"), *at, F.monotonically_increasing_id().alias("__mid")))
         # a file is one split here, with its own positions
         own = rows.groupBy("__path").agg(F.min("__mid").alias("__first"), F.lit(0).alias("__off"))
         index = own.join(index.groupBy("__path").agg(F.first("__place").alias("__place")), "__path")
-        rows = rows.join(maybe_broadcast(index), "__path")
     else:
-        rows = lines.join(maybe_broadcast(index), _AT)
+        rows = lines.withColumn("__r", F.from_csv("value", record.simpleString()[7:-1].replace(":", " ")))
+    keys = ["__path"] if multiline else _AT
     number = (F.col("__off") + F.col("__mid") - F.col("__first") + 1).cast("long")
-    rows = rows.withColumn("_raw_row", number).where("_raw_row > 1")
-    if not multiline:
-        rows = rows.withColumn("__f", _fields("value", width))
-    # place 0: the file has no such column
-    field = [F.get("__f", F.nullif(F.get("__place", F.lit(k)), F.lit(0)).cast("int") - 1) for k in range(len(cols))]
+    rows = rows.join(F.broadcast(index) if small else index, keys).withColumn("_raw_row", number).where("_raw_row > 1")
+    if len(named) == 1:
+        at_place = {c: F.col(f"__r.c{named[layouts[0]['__header']].index(c)}") for c in cols}
+    else:
+        rows = rows.withColumn("__f", F.array(*[f"__r.{c}" for c in record.names]))
+        at_place = {c: F.get("__f", F.get("__place", F.lit(k))) for k, c in enumerate(cols)}
     tokens = list(na_tokens)
-    return rows.select(*[F.when(~trim_ws(x).isin(tokens), x).alias(c) for x, c in zip(field, cols)],
+    return rows.select(*[F.when(~trim_ws(x).isin(tokens), x).alias(c) for c, x in at_place.items()],
                        "_source_file", "_raw_row")
 
 
