@@ -26,11 +26,15 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyhall.operators.ranges import RANGE, with_range
+
 WEIGHT = 15
 PIECE = 4096
 BLOCKS = 6
 #: Documents that are put in order by one task at most, about.
 BUCKET_ROWS = 2000
+#: Beyond so many buckets they grow instead; a bucket is sorted with spilling.
+MAX_BUCKETS = 4096
 
 _SPACE = r"[ \t\n\x0B\f\r]+"
 _LANES = 0x0001000100010001
@@ -66,24 +70,27 @@ def weighted_votes(texts: DataFrame, keys: list[str], text: str, carry: dict[str
 def in_order(docs: DataFrame) -> DataFrame:
     """(bucket, at, extra, doc_id, text, next): documents by descending
     doc_id, numbered in their bucket of neighbouring ids, each with the text
-    of the next; after the last comes the first. Extra rows repeat the first
+    of the next; after the last comes the first. Buckets are ranges of (doc_id,
+    text hash) with bounds from the data, so clustered, outlying, equal or null
+    ids share out like others. Extra rows repeat the first
     document of the bucket that comes next, for what is compared with it."""
     d = docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    low, high, n = d.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    span = (high - low + 1) if low is not None else 1
-    width = max(1, -(-span // max(1, -(-n // BUCKET_ROWS))))
-    bucket = F.coalesce(F.floor((F.col("doc_id").cast("double") - F.lit(float(low or 0))) / F.lit(float(width))), F.lit(-1))
-    d = d.withColumn("bucket", bucket)
-    # one row for about BUCKET_ROWS documents
-    tops = d.groupBy("bucket").agg(F.max("doc_id").alias("top"))
+    n = min(MAX_BUCKETS, max(1, -(-d.count() // BUCKET_ROWS)))
+    d = d.withColumn("__h", F.xxhash64("text"))
+    d = with_range(d, ["doc_id", "__h"], n).withColumn("bucket", F.col(RANGE).cast("long")).drop(RANGE)
+    # one row a bucket
+    tops = d.groupBy("bucket").agg(F.max(F.struct("doc_id", "__h")).alias("top"))
     up = Window.orderBy("bucket")
     to = F.coalesce(F.lead("bucket").over(up),
                     F.min("bucket").over(up.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    tops = tops.select(F.col("bucket").alias("__from"), "top", to.alias("__to"))
-    firsts = (d.join(tops, d["doc_id"].eqNullSafe(tops["top"]) & (d["bucket"] == tops["__from"]))
-              .select("doc_id", "text", F.col("__to").alias("bucket"), F.lit(True).alias("extra")))
-    rows = d.select("doc_id", "text", "bucket", F.lit(False).alias("extra")).unionByName(firsts)
-    w = Window.partitionBy("bucket").orderBy("extra", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
+    tops = tops.select(F.col("bucket").alias("__from"), F.col("top.doc_id").alias("__top"), F.col("top.__h").alias("__top_h"),
+                       to.alias("__to"))
+    at_top = d["doc_id"].eqNullSafe(tops["__top"]) & (d["__h"] == tops["__top_h"]) & (d["bucket"] == tops["__from"])
+    # repeated rows at the top have one text
+    firsts = (d.join(tops, at_top).groupBy(F.col("__to").alias("bucket"), "doc_id", "__h").agg(F.first("text").alias("text"))
+              .select("doc_id", "text", "__h", "bucket", F.lit(True).alias("extra")))
+    rows = d.select("doc_id", "text", "__h", "bucket", F.lit(False).alias("extra")).unionByName(firsts)
+    w = Window.partitionBy("bucket").orderBy("extra", F.desc_nulls_last("doc_id"), F.desc("__h"))
     return rows.select("bucket", F.row_number().over(w).cast("long").alias("at"), "extra", "doc_id", "text",
                        F.lead("text").over(w).alias("next"))
 
