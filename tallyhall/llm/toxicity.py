@@ -196,6 +196,10 @@ def feature_rows(batch_texts: list[str], stems: Stems) -> np.ndarray:
     return np.array(rows, np.float64).reshape(-1, len(FEATURES))
 
 
+#: Odd multipliers: each orders the hashes of words in its own way.
+MULTIPLIERS = (1, 0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
+
+
 class Model:
     """Learned stems, trees and calibration."""
 
@@ -206,8 +210,17 @@ class Model:
         return self.calibrated.predict(feature_rows(batch_texts, self.stems))
 
 
+def min_hashes(words: bytes) -> tuple[int, ...]:
+    """The least hash of the words under each of ``MULTIPLIERS``: sets that
+    share a part J of their words agree in all of them with chance J ** 4."""
+    h = np.fromiter(map(zlib.crc32, words.split()), np.uint64)
+    return tuple(int((h * np.uint64(m) % np.uint64(1 << 32)).min()) if len(h) else 0 for m in MULTIPLIERS)
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: int = MAX_DOCS):
     """A model fitted on at most ``max_docs`` labelled training documents.
+    Of near copies with one label (all ``min_hashes`` equal) one is used, so
+    that they don't stand on both sides of a fold or of the calibration.
     Features are made by Spark; the bounded matrix of them is fitted on the
     driver."""
     def run(batches):
@@ -223,10 +236,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: int
     kept, seen = [], set()
     for r in rows:
         words = bytes(r["words"])  # sets of words would take ten times the memory
-        sign = min(map(zlib.crc32, words.split()), default=0)  # near copies mostly share their least hash
+        sign = min_hashes(words)
         if (sign, r["y"]) not in seen:
             seen.add((sign, r["y"]))
-            kept.append((zlib.crc32(b"%d" % sign), r["y"], r["x"], words))
+            kept.append((zlib.crc32(b"%d" % sign[0]), r["y"], r["x"], words))
     del rows
     y = np.array([t for _, t, _, _ in kept], np.float64)
     counts = stem_counts([(h % FOLDS, t, w) for h, t, _, w in kept])
