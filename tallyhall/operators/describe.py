@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import corrected_skew
+from ..session import written_table
 from .combine import with_scalars
 
 # The quantiles reported by describe_series, with their names.
@@ -55,6 +56,8 @@ def describe_series(df: DataFrame, col: str, by=None, method: str = "distributed
             F.max("__x").alias("max"), corrected_skew("__x").alias("skew")]
     if method != "distributed":
         aggs.append(_q("__x", probs, method == "approx", accuracy).alias("__qs"))
+    else:
+        d = written_table(d, "series")  # read by the sums and by every pass of the quantiles
     g = (d.groupBy(*by) if by else d).agg(*aggs)
     if method == "distributed":
         qs = exact_quantiles(d, "__x", probs, by).withColumnRenamed("quantiles", "__qs")
@@ -108,68 +111,74 @@ def long_kpis(row: DataFrame, metrics, context: str | None = None) -> DataFrame:
     return out
 
 
+#: Rows of a group that may lie between a sketched quantile and the exact one: 1 in so many.
+SKETCH = 2000
+
+
 def exact_quantiles(df: DataFrame, value: str, probs, by=None, n_ranges: int | None = None
                     ) -> DataFrame:
-    """Exact linearly-interpolated quantiles without putting a group in one task.
+    """Exact linearly-interpolated quantiles without putting a group in one task
+    and without moving its rows.
 
-    1. value histogram ``(by, x) -> count`` (partial aggregation map-side);
-    2. split the histogram by ranges of ``(by, x)`` (``ranges.with_range``) so
-       a large group spreads over many tasks in value order, and take running
-       counts per range;
-    3. a small (group, range) table gives each range's rank offset;
-    4. each target order statistic is routed to the range that holds it and
-       joined on (group, range) only, so no task sees more than one range.
+    1. a sketch of each group gives two bounds about each quantile, and with
+       them ranges of values: narrow ones that hold the quantiles, wide ones
+       between them. ``n_ranges`` more bounds, if given, divide the wide ones;
+    2. every row is counted in its range (partial aggregation in every task);
+    3. each wanted rank is in the range that the counts say, whatever the
+       sketch was worth; only the rows of these ranges are taken, as value ->
+       count, and ranked.
 
     Returns ``by`` columns plus ``quantiles`` (array aligned with ``probs``).
     """
     from pyspark.sql import Window
+    from .combine import with_scalars
     from .lookup import maybe_broadcast
     by = [] if by is None else ([by] if isinstance(by, str) else list(by))
-    whole_input = not by
-    if whole_input:  # one constant group: every step below joins on keys
-        df, by = df.withColumn("__all", F.lit(0)), ["__all"]
     probs = list(probs)
-    n = n_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     x = (df.select(*by, F.col(value).cast("double").alias("__x"))
          .filter(F.col("__x").isNotNull() & ~F.isnan("__x")))
-    # the range of a value is a function of it, so every branch below sees the
-    # same ranges, also after executor loss
-    from .ranges import RANGE, with_range
-    h = (with_range(x.groupBy(*by, "__x").agg(F.count("*").alias("__c")), [*by, "__x"], n)
-         .withColumnRenamed(RANGE, "__pid"))
-    local = Window.partitionBy("__pid", *by).orderBy("__x").rowsBetween(Window.unboundedPreceding, 0)
-    h = h.withColumn("__cum", F.sum("__c").over(local))
-    tot = h.groupBy(*by, "__pid").agg(F.sum("__c").alias("__t"))
-    before = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by)
-    tot = (tot.withColumn("__off", F.coalesce(F.sum("__t").over(before), F.lit(0)))
-           .withColumn("__n", F.sum("__t").over(whole)))
-    # target order statistics (0-based ranks) per group
-    pa = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"))
-                   for i, p in enumerate(probs)])
-    groups = tot.select(*by, "__n").distinct()
-    t = (groups.select(*by, "__n", F.explode(pa).alias("q"))
-         .select(*by, "__n", "q.i", "q.p", ((F.col("__n") - 1) * F.col("q.p")).alias("pos")))
-    t = t.select(*by, "i", "pos",
-                 F.explode(F.array(F.struct(F.floor("pos").alias("k"), F.lit(0).alias("side")),
-                                   F.struct(F.ceil("pos").alias("k"), F.lit(1).alias("side"))))
-                 .alias("kk")).select(*by, "i", "pos", "kk.k", "kk.side")
-    # route each rank to its range: (group, range) table is groups × ranges rows
-    tr = t.join(maybe_broadcast(tot.select(*by, "__pid", "__off", "__t")), by)
-    tr = tr.filter((F.col("k") >= F.col("__off")) & (F.col("k") < F.col("__off") + F.col("__t")))
-    hv = h.join(tot.select(*by, "__pid", "__off"), [*by, "__pid"])
-    hv = hv.withColumn("__hi", F.col("__off") + F.col("__cum")).withColumn(
-        "__lo", F.col("__hi") - F.col("__c"))
-    picked = (hv.join(tr.drop("__off", "__t"), [*by, "__pid"])
-              .filter((F.col("k") >= F.col("__lo")) & (F.col("k") < F.col("__hi"))))
+    eps = 1 / SKETCH
+    at = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-eps, eps)} | {k / n_ranges for k in range(1, n_ranges or 1)})
+    groups = x.groupBy(*by) if by else x
+    sketch = groups.agg(F.percentile_approx("__x", at, 5 * SKETCH).alias("__b"))
+
+    def same(right: str):
+        """Null groups are groups like any other."""
+        test = F.lit(True)
+        for i, c in enumerate(by):
+            test &= F.col(c).eqNullSafe(F.col(f"__{right}{i}"))
+        return test
+
+    def renamed(d: DataFrame, right: str) -> DataFrame:
+        return d.withColumnsRenamed({c: f"__{right}{i}" for i, c in enumerate(by)})
+
+    d = x.join(maybe_broadcast(renamed(sketch, "s")), same("s")).select(*by, "__x", "__b") if by else with_scalars(x, sketch)
+    inside = sum((F.col("__x") >= F.get("__b", F.lit(i))).cast("int") for i in range(len(at)))
+    d = d.select(*by, "__x", inside.alias("__pid"))
+    # a row a group: the counts of its ranges in their order
+    tot = d.groupBy(*by, "__pid").agg(F.count("*").alias("__t"))
+    per = (tot.groupBy(*by) if by else tot).agg(F.sort_array(F.collect_list(F.struct("__pid", "__t"))).alias("__r"), F.sum("__t").alias("__n"))
+    pos = F.array(*[F.struct(F.lit(i).alias("i"), ((F.col("__n") - 1) * F.lit(float(p))).alias("pos")) for i, p in enumerate(probs)])
+    t = per.where("__n > 0").select(*by, "__r", F.explode(pos).alias("q")).select(
+        *by, "__r", "q.i", "q.pos", F.explode(F.array(F.floor("q.pos"), F.ceil("q.pos"))).alias("k"))
+    # the range of a rank: the last one with no more rows before it
+    ranges = F.transform("__r", lambda r, i: F.struct(
+        r["__pid"].alias("pid"), F.aggregate(F.slice("__r", F.lit(1), i), F.lit(0).cast("bigint"), lambda a, y: a + y["__t"]).alias("off")))
+    t = t.select(*by, "i", "pos", "k", F.element_at(F.filter(ranges, lambda r: r["off"] <= F.col("k")), -1).alias("r")).select(
+        *by, "i", "pos", "k", F.col("r.pid").alias("__in"), F.col("r.off").alias("__off"))
+    wanted = renamed(t.select(*by, "__in", "__off").distinct(), "w")
+    h = (d.join(maybe_broadcast(wanted), same("w") & (F.col("__pid") == F.col("__in")))
+         .groupBy(*by, "__pid", "__off", "__x").agg(F.count("*").alias("__c")))
+    local = Window.partitionBy(*by, "__pid").orderBy("__x").rowsBetween(Window.unboundedPreceding, 0)
+    h = h.withColumn("__hi", F.col("__off") + F.sum("__c").over(local)).withColumn("__lo", F.col("__hi") - F.col("__c"))
+    ranks = renamed(t.select(*by, "i", "pos", "k", "__in"), "w")
+    picked = h.join(ranks, same("w") & (F.col("__pid") == F.col("__in"))).where("k >= __lo AND k < __hi")
     per_q = picked.groupBy(*by, "i", "pos").agg(
-        F.max(F.when(F.col("side") == 0, F.col("__x"))).alias("vlo"),
-        F.max(F.when(F.col("side") == 1, F.col("__x"))).alias("vhi"))
+        F.max(F.when(F.col("k") == F.floor("pos"), F.col("__x"))).alias("vlo"),
+        F.max(F.when(F.col("k") == F.ceil("pos"), F.col("__x"))).alias("vhi"))
     lo_k, hi_k = F.floor("pos"), F.ceil("pos")
     qv = F.when(lo_k == hi_k, F.col("vlo")).otherwise(
         (hi_k - F.col("pos")) * F.col("vlo") + (F.col("pos") - lo_k) * F.col("vhi"))
-    per_q = per_q.withColumn("qv", qv)
-    agg = per_q.groupBy(*by).agg(
-        F.sort_array(F.collect_list(F.struct("i", "qv"))).alias("__qs"))
-    out = agg.select(*by, F.transform("__qs", lambda s: s["qv"]).alias("quantiles"))
-    return out.drop("__all") if whole_input else out
+    each = per_q.withColumn("qv", qv)
+    out = (each.groupBy(*by) if by else each).agg(F.sort_array(F.collect_list(F.struct("i", "qv"))).alias("__qs"))
+    return out.where(F.size("__qs") > 0).select(*by, F.transform("__qs", lambda s: s["qv"]).alias("quantiles"))
