@@ -23,3 +23,47 @@ def test_quantiles_move_no_rows_and_hold_for_any_bounds(spark):
     # no rows are ordered for bounds and searched by them
     assert "TakeOrderedAndProject" not in _plan(got) and "shiftright" not in _plan(got)
     assert exact_quantiles(df.limit(0), "v", probs).collect() == [] and exact_quantiles(df.limit(0), "v", probs, "g").collect() == []
+
+
+def test_parsers_that_trim_in_a_step_give_the_same(spark):
+    from tallyhall.functions.text import parse_mixed_date, parse_mixed_number
+    from tallyhall.operators import clean
+    texts = ["2024-02-03", " 03/02/2024\t", "02-03-2024", "13-02-2024", "03-feb-2024", "20240203", "2024/02/03", "n/a", "", None, "20240231", "1,234.50",
+             "- 1.234,5", "+7", "1,234", "1.234", "12.34.5", "--3", " 5 "]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert clean.parse_dates(df, ["t"]).collect() == df.select(parse_mixed_date("t").alias("t")).collect()
+    assert clean.parse_numbers(df, ["t"]).collect() == df.select(parse_mixed_number("t").alias("t")).collect()
+    assert [str(r[0]) for r in clean.parse_dates(df, ["t"]).collect()[:7]] == ["2024-02-03"] * 2 + ["2024-02-03", "None", "2024-02-03", "2024-02-03", "None"]
+    # the signs are taken off once, not wherever the parser names its text
+    plan = clean.parse_numbers(df, ["t"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[-+]") == 1
+
+
+@pytest.mark.parametrize("name", ["pos", "purchases", "bookings", "ledger", "inventory"])
+def test_an_extract_reads_its_facts_once(spark, name):
+    from tallyhall.plans.extracts import EXTRACTS, TABLES, extract
+    from tallyhall.plans.roles import Star
+    star = Star(spark, SMALL_SF_DIR)
+    got = extract(spark, star, name)
+    used = {t: star.t(t) for t in TABLES if f"{{{t}}}" in EXTRACTS[name]} | ({"accounts": star.dim_account} if "{accounts}" in EXTRACTS[name] else {})
+    want = spark.sql(EXTRACTS[name], **used)
+    assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    fact = {"pos": "l_orderkey", "purchases": "l_orderkey", "inventory": "event_id"}.get(name, "o_orderkey")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count(f"Relation [{fact}") == 1
+
+
+def test_equal_rows_are_combined_without_sorting(spark):
+    from tallyhall.operators.cleanse import Cleanse
+    df = spark.createDataFrame([("a", "x", 3), ("a", "x", 2), ("b", None, 1), ("b", None, None)], "k string, t string, _raw_row int")
+    c = Cleanse(df, "s").dedup("duplicate")
+    assert sorted(tuple(r)[:4] for r in c.df.collect()) == [("a", "x", 2, 2), ("b", None, 1, 2)]
+    assert "SortAggregate" not in _plan(c.df)
+
+
+def test_only_large_groups_are_split(spark):
+    from tallyhall.operators import clean
+    from tallyhall.operators.ranges import large_groups
+    df = spark.createDataFrame([(0, i) for i in range(300)] + [(None, i) for i in range(200)] + [(k, 1) for k in range(1, 100)], "g int, o int")
+    assert {r[0] for r in large_groups(df, ["g"], 4).collect()} == {0, None}
+    got = clean.line_numbers(df, "g", "o", "n", ranges=4).collect()
+    assert all(r["n"] == (r["o"] + 1 if r["g"] in (0, None) else 1) for r in got) and len(got) == 599
