@@ -178,9 +178,11 @@ def dedup_exact(df: DataFrame, ignore=LINEAGE, order=None) -> DataFrame:
 
 
 def line_numbers(df: DataFrame, group, order, out: str = "line_no", base: int = 1,
-                 ranges: int | None = None) -> DataFrame:
+                 ranges: int | None = None, split: bool = True) -> DataFrame:
     """Running number within ``group`` in ``order`` (1-based by default;
-    ``base=0`` for the suffix style).
+    ``base=0`` for the suffix style). ``split`` False: groups are known to be
+    no larger than a task's share (``has_large_groups``), so the rows are read
+    once and each group is numbered whole.
 
     A group that has more than a task's share of the rows is split by ranges of
     (group, order), so it spreads over many tasks in order; it is numbered
@@ -191,6 +193,9 @@ def line_numbers(df: DataFrame, group, order, out: str = "line_no", base: int =
     from .ranges import RANGE, bounds, large_groups, with_range
     group = [group] if isinstance(group, str) else list(group)
     order = [order] if isinstance(order, str) else list(order)
+    if not split:
+        number = F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1 + base
+        return df.withColumn(out, number.cast("int"))
     n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys, names = [*group, *order], [f"__g{i}" for i in range(len(group))]
     large = F.broadcast(large_groups(df, group, n).withColumn("__large", F.lit(True)))  # fewer than n rows

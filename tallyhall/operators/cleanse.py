@@ -41,9 +41,11 @@ class Cleanse:
         self.df = df.withColumn(COPIES, F.lit(1).cast("bigint")).withColumn(FLAGS, F.lit(0).cast("bigint"))
 
     # -------------------------------------------------------------- steps
-    def dedup(self, rule: str, keys=None, order=LINEAGE[1], ignore=LINEAGE) -> "Cleanse":
+    def dedup(self, rule: str, keys=None, order=LINEAGE[1], ignore=LINEAGE, within: str | None = None) -> "Cleanse":
         """Keep the first row of each key by ``order`` (``keys`` None: of equal
-        rows, lineage aside). Comes before all rules."""
+        rows, lineage aside). Comes before all rules. Rows are dealt by
+        ``within``, one of the keys, if it is given: a later step by that column
+        then moves them no more. For columns without large groups only."""
         if self.rules or self.duplicates:
             raise ValueError("duplicates are combined once, before the rules")
         self.duplicates = rule
@@ -52,7 +54,8 @@ class Cleanse:
         rest = [c for c in cols if c not in keys]
         # only the order is left of a row: its least value alone needs no sorting
         first = F.struct(F.min(order).alias(order)) if rest == [order] else F.min_by(F.struct(*rest), F.col(order)) if rest else F.first(F.lit(None))
-        self.df = (self.df.groupBy(*keys).agg(first.alias("__first"), F.sum(COPIES).alias(COPIES))
+        dealt = self.df.repartition(within) if within else self.df
+        self.df = (dealt.groupBy(*keys).agg(first.alias("__first"), F.sum(COPIES).alias(COPIES))
                    .select(*[F.col(f"__first.{c}").alias(c) if c in rest else F.col(c) for c in cols], COPIES,
                            F.lit(0).cast("bigint").alias(FLAGS)))
         return self
@@ -98,8 +101,10 @@ class Cleanse:
     def flagged(self) -> DataFrame:
         """All rows with their flags. A filter on these would be pushed below
         the steps and evaluate every parsed column once more; it is not pushed
-        through a generated row."""
-        return self.df.select(F.inline(F.array(F.struct(*self.df.columns))))
+        through a generated value. The other columns pass by it: those that are
+        not used later are not made, and rows stay dealt as they are."""
+        rest = [c for c in self.df.columns if c != FLAGS]
+        return self.df.select(*rest, F.inline(F.array(F.struct(FLAGS)))).select(*self.df.columns)
 
     def clean(self, df: DataFrame | None = None) -> DataFrame:
         df = self.flagged() if df is None else df

@@ -54,3 +54,17 @@ def large_groups(df: DataFrame, group: list[str], n: int) -> DataFrame:
     fewer than ``n``."""
     sizes = df.groupBy(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)]).agg(F.count("*").alias("__n"))
     return with_scalars(sizes, df.agg(F.count("*").alias("__all"))).where(F.col("__n") * n > F.col("__all")).drop("__n", "__all")
+
+
+#: Buckets of ``has_large_groups`` for each of the ``n``.
+BUCKETS = 64
+
+
+def has_large_groups(df: DataFrame, group: list[str], n: int) -> bool:
+    """False only if no group has more than an ``n``-th of the rows. Groups are
+    counted by a hash in ``BUCKETS`` * ``n`` counters, so that each task sends a
+    few counts and not its groups; a bucket is at least as large as its groups."""
+    bucket = F.pmod(F.xxhash64(*group), F.lit(BUCKETS * n)).alias("b")
+    sizes = df.groupBy(bucket).agg(F.count("*").alias("n"))
+    most, rows = sizes.agg(F.max("n"), F.sum("n")).first()
+    return (most or 0) * n > (rows or 0)

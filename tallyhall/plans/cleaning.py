@@ -18,6 +18,7 @@ from ..operators import clean, lookup
 from ..operators.calendar import calendar_between
 from ..operators.cleanse import Cleanse, cleansing_log
 from ..operators.gate import Checks
+from ..operators.ranges import has_large_groups
 from ..session import written_table
 from .extracts import extract
 from .roles import Star
@@ -76,8 +77,8 @@ def bookings(spark: SparkSession, star: Star) -> Cleanse:
                     date_id=date_key("arrival"))
 
 
-def pos(spark: SparkSession, star: Star) -> Cleanse:
-    c = Cleanse(extract(spark, star, "pos"), "pos").dedup("duplicate line")
+def pos(spark: SparkSession, star: Star, within: str | None = None) -> Cleanse:
+    c = Cleanse(extract(spark, star, "pos"), "pos").dedup("duplicate line", within=within)
     outlets = star.t("supplier").select("s_name", F.col("s_name").alias("outlet_name"), F.col("s_nationkey").alias("property_id"))
     c.using(_map("outlet", outlets, "s_name", ["outlet_name", "property_id"], ["outlet_name", "property_id"]))
     c.quarantine("unknown outlet", F.col("property_id").isNull())
@@ -136,8 +137,8 @@ def inventory(spark: SparkSession, star: Star) -> Cleanse:
     return c.derive(date_id=date_key("stock_date"))
 
 
-def purchases(spark: SparkSession, star: Star) -> Cleanse:
-    c = Cleanse(extract(spark, star, "purchases"), "purchases").dedup("duplicate purchase line")
+def purchases(spark: SparkSession, star: Star, within: str | None = None) -> Cleanse:
+    c = Cleanse(extract(spark, star, "purchases"), "purchases").dedup("duplicate purchase line", within=within)
     c = _property(c, star)
     c.using(_map("product_name", product_names(star), "key", "product_id", "product_id"))
     c.quarantine("unknown product", F.col("product_id").isNull())
@@ -181,25 +182,36 @@ _LINE_ORDER = {"pos": ["till_line", "outlet", "product_name", "category", "trans
                "purchases": ["doc_line", "property", "product_name", "supplier", "purchase_date", "quantity", "list_total", "unit_price"]}
 
 
-def numbered(name: str, df: DataFrame) -> DataFrame:
+#: The transaction or document of a line.
+_LINE_GROUP = {"pos": "transaction_id", "purchases": "purchase_id"}
+
+
+def numbered(name: str, df: DataFrame, split: bool = True) -> DataFrame:
     """Cleaned rows with their running number in the transaction (POS, from
-    1) or the purchase (from 0, as part of a key). Numbering reads them three
-    times."""
+    1) or the purchase (from 0, as part of a key). With ``split``, numbering
+    reads them three times."""
     if name == "pos":
-        return clean.line_numbers(df, "transaction_id", _LINE_ORDER["pos"], "line_no")
+        return clean.line_numbers(df, "transaction_id", _LINE_ORDER["pos"], "line_no", split=split)
     if name == "purchases":
-        r = clean.line_numbers(df, "purchase_id", _LINE_ORDER["purchases"], "__n", base=0)
+        r = clean.line_numbers(df, "purchase_id", _LINE_ORDER["purchases"], "__n", base=0, split=split)
         return r.withColumn("purchase_line_id", clean.composite_key("purchase_id", "__n"))
     return df
 
 
 def cleaned(spark: SparkSession, star: Star, name: str) -> DataFrame:
-    """The cleaned table of a source, amounts as declared decimals."""
-    df = CLEANERS[name](spark, star).clean()
-    if name in _LINE_ORDER:
+    """The cleaned table of a source, amounts as declared decimals.
+
+    Lines are dealt by their transaction when equal lines are combined, and are
+    numbered in the same tasks. Only if a transaction may have more than a
+    task's share are they written first and numbered by ranges."""
+    if name not in _LINE_GROUP:
+        return CLEANERS[name](spark, star).clean().select(*COLUMNS[name])
+    split = has_large_groups(star.t("lineitem"), ["l_orderkey"], int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df = CLEANERS[name](spark, star, within=None if split else _LINE_GROUP[name]).clean()
+    if split:
         used = {*COLUMNS[name], *_LINE_ORDER[name]}
         df = written_table(df.select(*[c for c in df.columns if c in used]), f"clean-{name}")
-    return numbered(name, df).select(*COLUMNS[name])
+    return numbered(name, df, split).select(*COLUMNS[name])
 
 
 def log(spark: SparkSession, star: Star) -> DataFrame:

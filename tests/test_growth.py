@@ -67,3 +67,38 @@ def test_only_large_groups_are_split(spark):
     assert {r[0] for r in large_groups(df, ["g"], 4).collect()} == {0, None}
     got = clean.line_numbers(df, "g", "o", "n", ranges=4).collect()
     assert all(r["n"] == (r["o"] + 1 if r["g"] in (0, None) else 1) for r in got) and len(got) == 599
+
+
+@pytest.mark.parametrize("name,columns", [("pos", 17), ("purchases", 10)])
+def test_lines_move_once_and_are_not_stored_unless_a_transaction_is_large(spark, name, columns, monkeypatch):
+    from tallyhall.plans import cleaning
+    from tallyhall.plans.roles import Star
+    star = Star(spark, SMALL_SF_DIR)
+    stored = []
+    keep = cleaning.written_table
+    monkeypatch.setattr(cleaning, "written_table", lambda df, n: stored.append(n) or keep(df, n))
+    got = cleaning.cleaned(spark, star, name)
+    # dealt by transaction for the duplicates, and numbered where they are
+    assert not stored and len(got.columns) == columns and _plan(got).count(f"hashpartitioning({cleaning._LINE_GROUP[name]}") == 1
+    assert "_raw_row" not in got.columns and "SortMergeJoin" not in _plan(got)
+    monkeypatch.setattr(cleaning, "has_large_groups", lambda *a: True)
+    want = cleaning.cleaned(spark, star, name)
+    assert stored and want.columns == got.columns and sorted(want.collect()) == sorted(got.collect())
+
+
+def test_large_groups_are_seen_in_few_counters(spark):
+    from tallyhall.operators.ranges import has_large_groups
+    even = spark.range(5000).select((F.col("id") % 1000).alias("g"))
+    hot = spark.range(5000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("g"))
+    none = spark.range(5000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("g"))
+    assert [has_large_groups(d, ["g"], 8) for d in (even, hot, none, even.limit(0))] == [False, True, True, False]
+
+
+def test_flags_alone_are_kept_from_the_filter(spark):
+    """Columns that nobody reads are not made, and kept rows stay dealt."""
+    from tallyhall.operators.cleanse import Cleanse
+    df = spark.createDataFrame([("a", "1", 1), ("a", "1", 2), ("b", "x", 3)], "k string, t string, _raw_row int")
+    c = Cleanse(df, "s").dedup("duplicate", within="k").derive(unread=F.sha2("t", 256), n=F.col("t").try_cast("int")).quarantine("no number", F.col("n").isNull())
+    assert [r["k"] for r in c.clean().collect()] == ["a"] and [r["_rule"] for r in c.quarantined().collect()] == ["no number"]
+    assert "sha2" not in c.clean().select("k", "n")._jdf.queryExecution().optimizedPlan().toString()
+    assert _plan(c.clean().groupBy("k").count()).count("Exchange hashpartitioning") == 1
