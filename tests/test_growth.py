@@ -102,3 +102,9 @@ def test_flags_alone_are_kept_from_the_filter(spark):
     assert [r["k"] for r in c.clean().collect()] == ["a"] and [r["_rule"] for r in c.quarantined().collect()] == ["no number"]
     assert "sha2" not in c.clean().select("k", "n")._jdf.queryExecution().optimizedPlan().toString()
     assert _plan(c.clean().groupBy("k").count()).count("Exchange hashpartitioning") == 1
+
+
+def test_the_gate_stores_no_cleaned_table(spark):
+    from tallyhall.plans.catalog import QUERIES
+    plan = QUERIES["gate_full"](spark, SMALL_SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_orderkey") == 2 and plan.count("Relation [event_id") == 1 and "Relation [booking_id" not in plan
