@@ -108,3 +108,14 @@ def test_the_gate_stores_no_cleaned_table(spark):
     from tallyhall.plans.catalog import QUERIES
     plan = QUERIES["gate_full"](spark, SMALL_SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [l_orderkey") == 2 and plan.count("Relation [event_id") == 1 and "Relation [booking_id" not in plan
+
+
+def test_digit_dates_need_no_formatter(spark):
+    from tallyhall.functions.text import parse_trimmed_date
+    texts = ["2024-02-29", "2023-02-29", "29/02/2024", "31/04/2024", "02-29-2024", "13-01-2024", "20240229", "20230229", "0000-01-01", "9999-12-31",
+             "00000000", "2024-00-10", "10-feb-2024", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [str(r[0]) for r in df.select(parse_trimmed_date("t").cast("string")).collect()]
+    assert got == ["2024-02-29", "None", "2024-02-29", "None", "2024-02-29", "None", "2024-02-29", "None", "0000-01-01", "9999-12-31", "None", "None",
+                   "2024-02-10", "None"]
+    assert df.select(parse_trimmed_date("t", True))._jdf.queryExecution().optimizedPlan().toString().count("try_to_timestamp") <= 1
