@@ -85,6 +85,7 @@ def in_order(docs: DataFrame) -> DataFrame:
                     F.min("bucket").over(up.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     tops = tops.select(F.col("bucket").alias("__from"), F.col("top.doc_id").alias("__top"), F.col("top.__h").alias("__top_h"),
                        to.alias("__to"))
+    tops = F.broadcast(tops)  # at most MAX_BUCKETS rows: the texts need not move to meet them
     at_top = d["doc_id"].eqNullSafe(tops["__top"]) & (d["__h"] == tops["__top_h"]) & (d["bucket"] == tops["__from"])
     # repeated rows at the top have one text
     firsts = (d.join(tops, at_top).groupBy(F.col("__to").alias("bucket"), "doc_id", "__h").agg(F.first("text").alias("text"))

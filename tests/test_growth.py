@@ -119,3 +119,15 @@ def test_digit_dates_need_no_formatter(spark):
     assert got == ["2024-02-29", "None", "2024-02-29", "None", "2024-02-29", "None", "2024-02-29", "None", "0000-01-01", "9999-12-31", "None", "None",
                    "2024-02-10", "None"]
     assert df.select(parse_trimmed_date("t", True))._jdf.queryExecution().optimizedPlan().toString().count("try_to_timestamp") <= 1
+
+
+def test_texts_do_not_move_to_meet_the_tops_of_the_buckets(spark):
+    from tallyhall.llm.fingerprint import in_order
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(50)], "doc_id long, text string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = in_order(docs)
+        assert "SortMergeJoin" not in _plan(got) and got.where("not extra").count() == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
