@@ -107,7 +107,7 @@ def test_flags_alone_are_kept_from_the_filter(spark):
 def test_the_gate_stores_no_cleaned_table(spark):
     from tallyhall.plans.catalog import QUERIES
     plan = QUERIES["gate_full"](spark, SMALL_SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Relation [l_orderkey") == 2 and plan.count("Relation [event_id") == 1 and "Relation [booking_id" not in plan
+    assert plan.count("Relation [l_orderkey") == 2 and plan.count("Relation [o_orderkey") == 3 and "Relation [booking_id" not in plan
 
 
 def test_digit_dates_need_no_formatter(spark):
