@@ -1,9 +1,11 @@
-"""Token ids of whole texts by a public tokenizer, with a bounded word cache.
+"""Token ids of whole texts by a public tokenizer, with bounded caches.
 
 White space separates words in the tokenizer's normaliser, so ids can be
 looked up word by word. A word met before costs one dictionary lookup. A new
-word of ASCII or Latin letters goes straight to the tokenizer's model; every
-other new word goes through the whole tokenizer. Texts with the four control
+word below U+0250 is put together from its lower-case pre-tokens, which have a
+cache of their own: words are many, as case and punctuation differ, pre-tokens
+fewer. Only a new pre-token goes to the tokenizer's model; every other new
+word goes through the whole tokenizer. Texts with the four control
 characters that Python, but not the tokenizer, takes for white space are
 encoded whole. The ids equal ``encode(text, add_special_tokens=False)`` with
 special strings read as ordinary text; the tests compare both.
@@ -13,18 +15,22 @@ from __future__ import annotations
 
 import os
 import re
-import unicodedata
 from array import array
 
 import numpy as np
 
-#: Words kept per Python worker before the cache starts anew (about 125 MB).
-CACHE_WORDS = 200_000
-#: Longer words are encoded but not kept.
+#: Words kept per Python worker before the cache starts anew.
+CACHE_WORDS = 400_000
+#: Pre-tokens kept per Python worker, twice: the newest, and those before them.
+CACHE_PARTS = 250_000
+#: Longer words and pre-tokens are encoded but not kept.
 CACHE_CHARS = 48
 
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+_ODD_SPACE = "\x1c\x1d\x1e\x1f"
+#: Beyond the plain letters, or with a small letter that is.
+_BEYOND = re.compile("[^\x00-\u024f]|[" + "".join(c for c in map(chr, range(0x250)) if max(c.lower()) > "ɏ") + "]")
+#: Pre-tokens of lower-case plain words.
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ɏ]+|[0-9²³¹¼½¾]|[^a-zªµºß-öø-ɏ0-9²³¹¼½¾]+")
 
 
 def _byte_letters() -> list[str]:
@@ -36,6 +42,27 @@ def _byte_letters() -> list[str]:
     return [out[b] for b in range(256)]
 
 
+class PartIds(dict):
+    """Lower-case pre-token of plain letters -> its ids."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model, self.before = model, {}
+        self.letters = dict(enumerate(_byte_letters()))
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.before.get(part)
+        if ids is None:
+            own = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(self.letters)
+            ids = array("i", [t.id for t in self.model.tokenize(own)]).tobytes()
+        if len(part) <= CACHE_CHARS:
+            if len(self) >= CACHE_PARTS:
+                self.before = dict(self)
+                self.clear()
+            self[part] = ids
+        return ids
+
+
 class WordIds(dict):
     """word -> its ids as little-endian int32 bytes."""
 
@@ -44,8 +71,7 @@ class WordIds(dict):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.letters = {i: c for i, c in enumerate(_byte_letters())}
+        self.parts = PartIds(self.tokenizer.model)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added)) or "(?!)", re.I)
         # most texts have no beginning of one, which is soon seen where case does not matter
@@ -54,21 +80,15 @@ class WordIds(dict):
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
 
-    def by_model(self, piece: str) -> bytes:
-        """Ids of one pre-token in the model's own letters."""
-        return array("i", [t.id for t in self.model.tokenize(piece)]).tobytes()
-
     def __missing__(self, word: str) -> bytes:
-        low = word.lower()
-        if word.isascii():
-            parts = (low,) if low.isalpha() else _PARTS.findall(low)
-            if len(parts) == 1 and parts[0] == word:
-                ids = self.by_model(word if word.isprintable() else word.translate(self.letters))
-            else:  # pre-tokens are encoded independently
-                ids = b"".join(map(self.__getitem__, parts))
-        elif word.isalpha() and max(word) < "ɐ" and "İ" not in word \
-                and unicodedata.is_normalized("NFC", word):
-            ids = self.by_model(low.encode().decode("latin-1").translate(self.letters))
+        if word.isascii() or not _BEYOND.search(word):  # pre-tokens are encoded independently
+            low = word.lower()
+            if low.isalpha():
+                ids = self.parts[low]
+            elif (head := low[:-1]).isalpha():  # and one mark or digit
+                ids = self.parts[head] + self.parts[low[-1]]
+            else:
+                ids = b"".join(map(self.parts.__getitem__, _PARTS.findall(low)))
         else:
             ids = self.whole(word)
         if len(word) <= CACHE_CHARS:
@@ -78,7 +98,7 @@ class WordIds(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        if _ODD_SPACE.search(text) or any(s in text for s in self.starts) and self.added.search(text):
+        if any(c in text for c in _ODD_SPACE) or any(s in text for s in self.starts) and self.added.search(text):
             return self.whole(text)
         return b"".join(map(self.__getitem__, text.split()))
 

@@ -93,6 +93,33 @@ def test_cached_encoder_equals_the_library(rows):
     assert [np.frombuffer(e.encode(t), "<i4").tolist() for t in texts] == _library_ids(texts)
 
 
+def test_plain_letters_and_full_caches_equal_the_library(monkeypatch):
+    """Every letter below U+0250 and some beyond, alone and beside others; caches that turn over all the time."""
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 50)
+    monkeypatch.setattr(tokens, "CACHE_PARTS", 20)
+    some = [*map(chr, range(0x250)), "ɐ", "ⱥ", "ⱦ", "Σ", "ς", "İ", "\u0301", "中"]
+    texts = [f"{c} a{c} {c}a a{c}b É{c}{c} 1{c}2 '{c} {c}'s x{c}. {c}.. ab{c}'LL9" for c in some]
+    e = tokens.WordIds(BPE)
+    wrong = [(t, w) for t, w in zip(texts, _library_ids(texts)) if np.frombuffer(e.encode(t), "<i4").tolist() != w]
+    assert not wrong, wrong[:5]
+    assert len(e) <= 50 and len(e.parts) <= 20 and len(e.parts.before) <= 20
+
+
+def test_the_model_is_asked_once_for_a_pre_token():
+    """However its words are written: 18 words of one pre-token, 4 marks."""
+    e, asked = tokens.WordIds(BPE), []
+
+    class Model:
+        def tokenize(self, part, model=e.tokenizer.model):
+            asked.append(part)
+            return model.tokenize(part)
+
+    e.model = e.parts.model = Model()
+    texts = [a + w + b for w in ("éuxrelond", "Éuxrelond", "ÉUXRELOND") for a in ("", "(") for b in ("", ".", ",")]
+    assert [np.frombuffer(e.encode(t), "<i4").tolist() for t in texts] == _library_ids(texts)
+    assert len(asked) == len(set(asked)) <= 1 + 4
+
+
 def test_fullest_is_best_by_brute_force():
     rnd = random.Random(2)
     for _ in range(60):
