@@ -8,14 +8,26 @@ it. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhall.llm import neardup, packing, passages, quality, toxicity
-from tallyhall.llm.common import free_name, read_table, scratch_table
+from tallyhall.llm.common import free_name, read_table, scratch_table, small_batches
 from tallyhall.llm.tokens import public_path
 
 
+def stage(fn):
+    """A stage, in small batches: workers go from one to the next."""
+    @wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return fn(spark, docs, sf_dir)
+    return run
+
+
+@stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under 0.5."""
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -23,6 +35,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, name).where(F.col(name) < 0.5).drop(name)
 
 
+@stage
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least 0.3."""
     model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -30,16 +43,19 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.score(docs, model, name).where(F.col(name) >= 0.3).drop(name)
 
 
+@stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     return neardup.keep_first(docs, shingle=3, distance=3)
 
 
+@stage
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each repeated passage in its first document only."""
     return passages.remove_passages(docs)
 
 
+@stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of at most 2048 ids."""
     return packing.pack(packing.document_pieces(docs, public_path("word_bpe_49k.json"), 2048, 0), 2048)
@@ -60,8 +76,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+    for k, (_, step) in enumerate(STAGES):
+        docs = step(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = scratch_table(docs, f"stage-{k}")
     return docs

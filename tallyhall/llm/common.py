@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 
@@ -13,6 +14,19 @@ from tallyhall.session import checkpoint_dir
 
 #: A side of at most this many estimated bytes may be broadcast.
 BROADCAST_BYTES = 32 << 20
+#: Bytes of an Arrow batch, about.
+BATCH_BYTES = 4 << 20
+#: What a Python worker keeps between tasks, by name.
+_KEPT: dict = {}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by ``BATCH_BYTES``, unless the session does: ten
+    thousand texts, the usual bound, lie several times over in the memory of
+    the JVM and of its Python workers, which both keep it."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,3 +87,48 @@ def free_name(columns: list[str], name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def kept(name, make):
+    """What ``make()`` gives, kept by the Python worker for its next tasks."""
+    if name not in _KEPT:
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def drop_kept(*names) -> None:
+    """Forget all that is ``kept`` but ``names``."""
+    for name in _KEPT.keys() - set(names):
+        del _KEPT[name]
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: Arrow's pool and the C library
+    keep it otherwise, for as long as the worker lives."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def in_worker(run, *names):
+    """``run`` for mapInArrow. Python workers live on from job to job, so
+    what other operators ``kept`` goes before, freed memory afterwards."""
+    def task(batches):
+        drop_kept(*names)
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+    return task
+
+
+def on_group(run):
+    """``run`` for applyInArrow, likewise."""
+    def task(table: pa.Table) -> pa.Table:
+        drop_kept()
+        try:
+            return run(table)
+        finally:
+            release_memory()
+    return task

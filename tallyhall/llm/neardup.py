@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhall.llm.common import free_name, scratch_table, texts, with_columns
+from tallyhall.llm.common import free_name, in_worker, scratch_table, texts, with_columns
 from tallyhall.llm.components import connected_components
 
 DISTANCE = 3
@@ -84,7 +84,7 @@ def fingerprints(docs: DataFrame, name: str = "fp", text_col: str = "text", shin
                 fp.append(known[t])
             yield with_columns(b.select(keep), {name: pa.array(np.array(fp, np.uint64).view(np.int64), pa.int64())})
 
-    return docs.select(*keep, F.col(text_col).cast("string").alias(text)).mapInArrow(run, out)
+    return docs.select(*keep, F.col(text_col).cast("string").alias(text)).mapInArrow(in_worker(run), out)
 
 
 def _signed(x: int) -> int:
@@ -140,7 +140,7 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
                 found.update(_spanning(np.sort(np.array(fps_, np.int64)), distance))
             yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    some = few.select("fps").mapInArrow(run, "a bigint, b bigint").distinct()
+    some = few.select("fps").mapInArrow(in_worker(run), "a bigint, b bigint").distinct()
     return twos.union(some).union(_clique_links(v, shared, distance))
 
 

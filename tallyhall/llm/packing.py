@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhall.llm.common import scratch_table, texts
+from tallyhall.llm.common import in_worker, scratch_table, texts
 from tallyhall.llm.tokens import encoder
 
 #: Rows of one numbering task at most, about.
@@ -56,7 +56,7 @@ def document_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048,
                  *(pa.array(x, pa.int64()) for x in (start, length, crc))],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(in_worker(run, tokenizer), PIECES)
 
 
 def fullest(counts: dict[int, int], capacity: int) -> dict[int, int]:

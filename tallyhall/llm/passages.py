@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhall.llm.common import BROADCAST_BYTES, bounded_broadcast, free_name, scratch_table, texts
+from tallyhall.llm.common import BROADCAST_BYTES, bounded_broadcast, free_name, in_worker, on_group, scratch_table, texts
 
 K = 5
 MIN_WORDS = 50
@@ -49,6 +49,8 @@ MAX_GAP = 64
 #: Words of the documents that are packed together; places of a bucket.
 CHUNK = 1 << 20
 BUCKET_WORDS = 1 << 20
+#: Words that are hashed at once.
+STEP = 1 << 16
 #: Words of a long seed; successive ones of which one is taken.
 LONG, WINDOW = 42, 9
 #: Places that two documents share, at least, if no long seed does.
@@ -74,25 +76,34 @@ def word_hashes(raw: bytes) -> np.ndarray:
 
 def kmer_hashes(words: np.ndarray) -> np.ndarray:
     """A 64-bit hash of every ``K`` successive words."""
-    n = len(words) - K + 1
-    if n < 1:
-        return np.zeros(0, np.uint64)
-    w = words.astype(np.uint64)
-    h = w[:n] * _C[0]
-    for j in range(1, K):
-        h += (w[j:n + j] ^ (h >> np.uint64(29))) * _C[j]
-    h ^= h >> np.uint64(32)
-    h *= _C[2]
-    h ^= h >> np.uint64(29)
-    return h
+    out = np.zeros(max(0, len(words) - K + 1), np.uint64)
+    for s in range(0, len(out), STEP):
+        w = words[s:s + STEP + K - 1].astype(np.uint64)
+        n = len(w) - K + 1
+        h = w[:n] * _C[0]
+        for j in range(1, K):
+            h += (w[j:n + j] ^ (h >> np.uint64(29))) * _C[j]
+        h ^= h >> np.uint64(32)
+        h *= _C[2]
+        h ^= h >> np.uint64(29)
+        out[s:s + n] = h
+    return out
 
 
 def long_seeds(words: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(places in ``words``, hashes) of the long seeds of the documents that
     follow one another in ``words``."""
-    n = len(words) - LONG + 1
-    if n < WINDOW:
+    last = len(words) - LONG - WINDOW + 2  # first places of WINDOW successive ones
+    found = [_long_seeds(words[s:min(s + STEP, last) + LONG + WINDOW - 2], s, start, size) for s in range(0, last, STEP)]
+    if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    at, k = np.unique(np.concatenate([f[0] for f in found]), return_index=True)
+    return at, np.concatenate([f[1] for f in found])[k]
+
+
+def _long_seeds(words: np.ndarray, base_at: int, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those in ``words``, which begin at ``base_at``."""
+    n = len(words) - LONG + 1
     # a polynomial in an odd base, whose powers have inverses
     base = np.full(len(words), _C[0])
     base[0] = 1
@@ -109,14 +120,14 @@ def long_seeds(words: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[
     for reach in (1, 2, 4):
         least = np.minimum(least[:-reach], least[reach:])
     least = np.minimum(least[:-1], h[WINDOW - 1:])  # of every WINDOW = 1 + 2 * 4 successive ones
-    first = np.arange(n - WINDOW + 1)
+    first = base_at + np.arange(n - WINDOW + 1)
     doc = np.searchsorted(start, first, "right") - 1
     inside = first + (WINDOW - 1) + LONG <= start[doc] + size[doc]
     taken = np.zeros(n, bool)
     for k in range(WINDOW):
         taken[k:k + len(least)] |= inside & (h[k:k + len(least)] == least)
     at = np.flatnonzero(taken)
-    return at, h[at]
+    return at + base_at, h[at]
 
 
 def _pack(*columns: np.ndarray) -> bytes:
@@ -151,10 +162,13 @@ def _dealt(bucket: np.ndarray, ids: np.ndarray, tags: np.ndarray, docs: list[np.
     return out
 
 
-def _gathered(blobs: list[bytes], docs: int) -> list[np.ndarray]:
+def _gathered(blobs: list[bytes], docs: int, steps: int | None = None) -> list[np.ndarray]:
     """All documents of the blobs, each once and in order, and the columns
-    of ``_dealt``."""
+    of ``_dealt``; that at ``steps`` is summed up within each blob."""
     parts = [_unpack(b) for b in blobs]
+    if steps is not None:
+        for p in parts:
+            np.cumsum(p[2 + steps], out=p[2 + steps])
     ids, tags = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
     order = np.lexsort((tags, ids))
     new = np.append(True, (np.diff(ids[order]) != 0) | (np.diff(tags[order]) != 0))
@@ -162,8 +176,11 @@ def _gathered(blobs: list[bytes], docs: int) -> list[np.ndarray]:
     rank[order] = np.cumsum(new) - 1
     size = np.array([len(p[0]) for p in parts])
     base = np.cumsum(size) - size
-    cols = [np.concatenate([rank[p[k] + o] if k < 2 + docs else p[k] for p, o in zip(parts, base)]) for k in range(2, len(parts[0]))]
-    return [ids[order][new], tags[order][new], *cols]
+    cols = []
+    for k in reversed(range(2, len(parts[0]))):  # what is gathered goes at once: the parts are as large as the whole
+        own = [p.pop() for p in parts]
+        cols.append(np.concatenate([rank[c + o] for c, o in zip(own, base)] if k < 2 + docs else own))
+    return [ids[order][new], tags[order][new], *reversed(cols)]
 
 
 def _table(rows: list[tuple]) -> pa.RecordBatch:
@@ -177,16 +194,19 @@ BLOBS = "bucket int, data binary"
 
 def _by_hash(h: np.ndarray, doc: np.ndarray, place: np.ndarray, ids: np.ndarray, tags: np.ndarray,
              buckets: int) -> list[tuple[int, bytes]]:
-    """Places packed by 48 bits of their hash. (The few places alike in these
-    only are told apart when their words are aligned.)"""
-    h = (h >> np.uint64(16)).astype(np.int64)
+    """Places packed by 48 bits of their hash, which is overwritten. (The few
+    places alike in these only are told apart when their words are aligned.)"""
+    h >>= np.uint64(16)
+    h = h.view(np.int64)
     order = np.argsort(h)
-    h = h[order]
-    bucket = h // ((1 << 48) // buckets + 1)
-    step = np.diff(h, prepend=0)
-    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
-    step[starts] = h[starts]
-    return _dealt(bucket, ids, tags, [doc[order]], [step, place[order]])
+    doc, place, h = doc[order], place[order], h[order]
+    del order
+    bucket = (h // ((1 << 48) // buckets + 1)).astype(np.int32)
+    starts = np.flatnonzero(np.diff(bucket, prepend=np.int32(-1)))
+    first = h[starts]
+    h[1:] -= h[:-1].copy()
+    h[starts] = first
+    return _dealt(bucket, ids, tags, [doc], [h, place])
 
 
 def seeds(docs: DataFrame, buckets: int) -> DataFrame:
@@ -197,14 +217,17 @@ def seeds(docs: DataFrame, buckets: int) -> DataFrame:
         size = np.array([len(w) for w in words])
         start = np.cumsum(size) - size
         words = np.concatenate(words)
-        h = kmer_hashes(words)
-        doc = np.repeat(np.arange(len(size)), size)
-        place = np.arange(len(words)) - start[doc]
-        own = np.flatnonzero(place[:len(h)] <= size[doc[:len(h)]] - K)
+        kind = np.int32 if len(words) < 1 << 30 else np.int64  # one text may be longer
+        doc = np.repeat(np.arange(len(size), dtype=kind), size)
+        place = np.arange(len(words), dtype=kind) - start.astype(kind)[doc]
         far, far_h = long_seeds(words, start, size)
-        at = np.append(own, far)
-        strong = np.arange(len(at)) >= len(own)
-        return _table(_by_hash(np.append(h[own], far_h), doc[at], 2 * place[at] + strong, np.array(ids), np.array(tags), buckets))
+        h = kmer_hashes(words)
+        del words
+        own = place[:len(h)] <= size.astype(kind)[doc[:len(h)]] - K
+        h = np.append(h[own], far_h)
+        place = np.append(2 * place[:len(own)][own], 2 * place[far] + 1)
+        doc = np.append(doc[:len(own)][own], doc[far])
+        return _table(_by_hash(h, doc, place, np.array(ids), np.array(tags), buckets))
 
     def run(batches):
         part, total = [], 0
@@ -221,7 +244,7 @@ def seeds(docs: DataFrame, buckets: int) -> DataFrame:
         if part:
             yield blobs(part)
 
-    return _plain(docs).mapInArrow(run, BLOBS)
+    return _plain(docs).mapInArrow(in_worker(run), BLOBS)
 
 
 def _plain(docs: DataFrame) -> DataFrame:
@@ -233,12 +256,14 @@ def repeats(found: DataFrame, buckets: int) -> DataFrame:
     places that have it (by document, then place), packed by the document."""
     def run(table: pa.Table) -> pa.Table:
         blobs = table.column("data").to_pylist()
-        ids, tags, doc, _, place = _gathered(blobs, 1)
-        h = np.concatenate([np.cumsum(_unpack(b)[3]) for b in blobs])
+        ids, tags, doc, h, place = _gathered(blobs, 1, steps=1)
         order = np.argsort(h)
-        same = h[order][1:] == h[order][:-1]
+        sorted_h = h[order]
+        same = sorted_h[1:] == sorted_h[:-1]
         order = order[np.append(False, same) | np.append(same, False)]
-        order = order[np.lexsort((place[order], doc[order], h[order]))]
+        del sorted_h, same
+        h, doc, place = h[order], doc[order], place[order]
+        order = np.lexsort((place, doc, h))
         h, doc, place = h[order], doc[order], place[order]
         start = np.flatnonzero(np.diff(h, prepend=-1))
         size = np.diff(np.append(start, len(h)))
@@ -249,7 +274,7 @@ def repeats(found: DataFrame, buckets: int) -> DataFrame:
         rows = _dealt(bucket[order], ids, tags, [doc[two][order], doc[first][order]], [place[two][order], place[first][order]])
         return pa.Table.from_batches([_table(rows)])
 
-    return found.groupBy("bucket").applyInArrow(run, BLOBS)
+    return found.groupBy("bucket").applyInArrow(on_group(run), BLOBS)
 
 
 def _matches(table: pa.Table) -> tuple[np.ndarray, ...]:
@@ -379,7 +404,7 @@ def chained(found: DataFrame) -> DataFrame:
                          if len(xs) >= 2 or (xs[0], ys[0]) in sure]
         return pa.Table.from_batches([_rows(rows, "id", "tag", "first_id", "first_tag", "xs", "ys")])
 
-    return found.groupBy("bucket").applyInArrow(run, CHAIN)
+    return found.groupBy("bucket").applyInArrow(on_group(run), CHAIN)
 
 
 def _extend(a: np.ndarray, b: np.ndarray, edits: int = 8, after: int = 2) -> list[tuple[int, int, int, int]]:
@@ -525,7 +550,7 @@ def packed_texts(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in
                                               enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["id", "tag", "data"])
 
-    return docs.mapInArrow(run, "id bigint, tag bigint, data binary").dropDuplicates(["id", "tag"])
+    return docs.mapInArrow(in_worker(run), "id bigint, tag bigint, data binary").dropDuplicates(["id", "tag"])
 
 
 def _unpacked(keys: list, data: list[bytes]):
@@ -553,7 +578,7 @@ def windows(chain: DataFrame, packed: DataFrame, around: int) -> DataFrame:
                                                                                 pa.int32(), pa.bool_(), pa.bool_(), pa.binary()])],
                 names=["id", "tag", "first_id", "first_tag", "xs", "ys", "from", "starts", "ends", "window"])
 
-    return chain.join(packed, ["id", "tag"]).mapInArrow(run, f"{CHAIN}, `from` int, starts boolean, ends boolean, window binary")
+    return chain.join(packed, ["id", "tag"]).mapInArrow(in_worker(run), f"{CHAIN}, `from` int, starts boolean, ends boolean, window binary")
 
 
 def aligned(docs: DataFrame) -> DataFrame:
@@ -584,10 +609,10 @@ def _aligned(both: DataFrame) -> DataFrame:
     near = 16  # more words than a step beyond a difference looks at
 
     def run(batches):
+        last, words, done = None, None, {}
         for b in batches:
             out, again = set(), []
             cols = [b.column(c).to_pylist() for c in ("id", "tag", "first_id", "first_tag", "xs", "ys", "from", "starts", "ends", "window")]
-            last, words, done = None, None, {}
             for row, data in zip(zip(*cols), b.column("data").to_pylist()):
                 i, t, fi, ft, xs, ys, lo, starts, ends, window = row
                 if (fi, ft) != last:
@@ -610,7 +635,7 @@ def _aligned(both: DataFrame) -> DataFrame:
             rows += [(*r, *(None,) * 5) for r in again]
             yield _rows(rows, "id", "tag", "first_id", "first_tag", "xs", "ys", "start", "end", "first_start", "first_end", "similarity")
 
-    return both.mapInArrow(run, f"{CHAIN}, start int, `end` int, first_start int, first_end int, similarity double")
+    return both.mapInArrow(in_worker(run), f"{CHAIN}, start int, `end` int, first_start int, first_end int, similarity double")
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -658,5 +683,5 @@ def remove_passages(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(list(out.values()), names=columns).take(pa.array(keep, pa.int64()))
 
     untouched = marked.where(F.col(has).isNull()).select(*columns)
-    changed = marked.where(F.col(has).isNotNull()).mapInArrow(run, docs.schema)
+    changed = marked.where(F.col(has).isNotNull()).mapInArrow(in_worker(run), docs.schema)
     return untouched.unionByName(changed)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhall.llm.common import texts, with_columns
+from tallyhall.llm.common import in_worker, texts, with_columns
 from tallyhall.llm.sample import labelled_sample
 
 #: Labelled documents that the model is fitted on, at most.
@@ -165,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_docs: in
                 [pa.array([i.astype("<i4").tobytes() for i, _ in rows]), pa.array([len(i) for i, _ in rows], pa.int32()),
                  b.column("__label"), b.column("__id")], names=["i", "n", "y", "id"])
 
-    got = labelled_sample(docs, labels, label, max_docs).mapInArrow(run, "i binary, n int, y int, id bigint").collect()
+    got = labelled_sample(docs, labels, label, max_docs).mapInArrow(in_worker(run), "i binary, n int, y int, id bigint").collect()
     got.sort(key=lambda r: (r["id"], bytes(r["i"])))
     y = np.array([r["y"] for r in got], np.float64)
     if not len(y) or y.min() == y.max():
@@ -189,4 +189,4 @@ def score(docs: DataFrame, model, name: str = "score", text_col: str = "text") -
             p = [model.predict(_rows(b.slice(k, 500), text_col, meta)) for k in range(0, b.num_rows, 500)]
             yield with_columns(b, {name: pa.array(np.concatenate([np.zeros(0), *p]), pa.float64())})
 
-    return docs.mapInArrow(run, out)
+    return docs.mapInArrow(in_worker(run), out)

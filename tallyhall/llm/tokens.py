@@ -19,6 +19,8 @@ from array import array
 
 import numpy as np
 
+from tallyhall.llm.common import kept
+
 #: Words kept per Python worker before the cache starts anew.
 CACHE_WORDS = 400_000
 #: Pre-tokens kept per Python worker, twice: the newest, and those before them.
@@ -103,14 +105,10 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-_ENCODERS: dict[str, WordIds] = {}
-
-
 def encoder(path: str) -> WordIds:
-    """The worker's encoder for a tokenizer file; kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordIds(path)
-    return _ENCODERS[path]
+    """The worker's encoder for a tokenizer file; kept between tasks, until
+    another operator's task comes."""
+    return kept(path, lambda: WordIds(path))
 
 
 def public_path(name: str) -> str:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhall.llm.common import texts, with_columns
+from tallyhall.llm.common import in_worker, texts, with_columns
 from tallyhall.llm.sample import labelled_sample
 from tallyhall.llm.trees import fit_boosted, fit_isotonic
 
@@ -231,7 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: int
                  b.column("__label"), b.column("__id")], names=["x", "words", "y", "id"])
 
     rows = (labelled_sample(docs, labels, label, max_docs)
-            .mapInArrow(run, "x array<double>, words binary, y int, id bigint").collect())
+            .mapInArrow(in_worker(run), "x array<double>, words binary, y int, id bigint").collect())
     rows.sort(key=lambda r: (r["id"], r["words"]))
     kept, seen = [], set()
     for r in rows:
@@ -264,4 +264,4 @@ def score(docs: DataFrame, model, name: str = "score", text_col: str = "text") -
         for b in batches:
             yield with_columns(b, {name: pa.array(model.predict(texts(b, text_col)), pa.float64())})
 
-    return docs.mapInArrow(run, out)
+    return docs.mapInArrow(in_worker(run), out)
