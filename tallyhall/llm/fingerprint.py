@@ -5,8 +5,9 @@ that is set, against each that is not. A word weighs as much as it is long,
 ``WEIGHT`` at most, so that the short words all texts share decide little.
 A bit of the fingerprint is 1 if the votes for it outweigh those against it.
 Four of the 64 sums share one long, in lanes of 16 bits: sixteen sums are
-kept for a piece of ``PIECE`` words, whose votes cannot overflow a lane, and
-are added up by document. Words of a document are summed before they move.
+kept for a piece of ``PIECE`` words, whose votes cannot overflow a lane nor
+reach the long's sign, and are added up by document. Words of a document are
+summed before they move.
 
 Search. ``BLOCKS`` blocks of bits make permuted tables: in each, another
 choice of ``BLOCKS`` - radius blocks leads and is the key. Fingerprints that
@@ -29,7 +30,9 @@ from pyspark.sql import functions as F
 from tallyhall.operators.ranges import RANGE, with_range
 
 WEIGHT = 15
-PIECE = 4096
+#: Words of a piece. Its votes stay under 2^15: the top lane ends in the long's
+#: sign, and a sum that reaches it is an overflow, which ends the query.
+PIECE = 2048
 BLOCKS = 6
 #: Documents that are put in order by one task at most, about.
 BUCKET_ROWS = 2000
@@ -147,7 +150,9 @@ def within_radius(queries: DataFrame, fps: DataFrame, radius: int = 3) -> DataFr
         d = d.select(name, F.posexplode(masks).alias("t", "mask"))
         return d.select(name, "t", F.col(name).bitwiseAND(F.col("mask")).alias("key"))
 
-    q, f = indexed(queries, "q"), indexed(fps, "fp")
+    # a side is taken for as small as it was before its rows were multiplied, so
+    # it would be broadcast: neither is to meet in one memory
+    q, f = indexed(queries, "q"), indexed(fps, "fp").hint("merge")
     x = F.col("q").bitwiseXOR(F.col("fp"))
     first = F.lit(True)  # no earlier table has the pair: every block left out so far differs
     for t, (_, skipped) in enumerate(tables):

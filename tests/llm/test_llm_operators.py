@@ -541,6 +541,18 @@ def test_fingerprints_equal_brute_force(spark, docs, rows, odd, none, monkeypatc
     assert len(one) == 1 and one[0]["near_next"] == 1.0
 
 
+def test_long_texts_of_one_long_word_overflow_no_lane(spark):
+    """All votes for the same bits, at full weight, in the lane that ends in the sign."""
+    words = ["abcdefghijklmnopqrstuvwxyz", "Haftungsausschluss", "abcdefgh"]
+    assert all(xxhash.xxh64_intdigest(w.encode(), 42) >> 48 for w in words)
+    texts = [f"{w} " * n for w in words for n in (2048, 2049, 4096, 9000)] + [" ".join(words * 3000), "short"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["fp"] & (1 << 64) - 1 for r in fingerprint.fingerprints(docs).collect()}
+    assert got == {k: _fingerprint(t) for k, t in enumerate(texts)}
+    # no sum of a piece reaches the sign, whatever the words
+    assert fingerprint.PIECE * fingerprint.WEIGHT < 1 << 15
+
+
 @pytest.mark.parametrize("radius", [1, 3, 5])
 def test_radius_search_equals_brute_force(spark, radius):
     rnd = random.Random(radius)
@@ -554,6 +566,16 @@ def test_radius_search_equals_brute_force(spark, radius):
     assert len(found) == len(set(found)) and {p for p in found if p[0] in s[:100]} == want
 
 
+def test_permuted_tables_are_not_broadcast(spark):
+    """A side is small before each fingerprint becomes a row of every table."""
+    df = spark.range(3000).select(F.xxhash64("id").alias("fp"))
+    got = fingerprint.within_radius(df.where(F.col("fp") % 20 == 0), df, 3)
+    assert got.where("q = fp").count() == df.where(F.col("fp") % 20 == 0).count()
+    got.collect()  # the plan that ran, not the first one
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "Broadcast" not in plan
+
+
 # -- language model, pieces ------------------------------------------------
 
 def _lm(pairs, order=2):
